@@ -36,7 +36,7 @@ WITH w AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL AN
 g AS (
   SELECT doc_id, list_sort(list_distinct(
     CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-         ELSE list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS s
+         ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS s
   FROM w WHERE len(w) > 0),
 e AS (SELECT min(doc_id) AS rep, list_sort(list(DISTINCT doc_id)) AS docs, s, len(s) AS n FROM g GROUP BY s),
 x AS (SELECT rep, unnest(s) AS gram FROM e),
