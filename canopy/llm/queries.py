@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from canopy.llm import exact_dedup, ngram_join
+from canopy.llm import exact_dedup, mixing, ngram_join, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,12 +19,23 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(_table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.schedule(_table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
+    "op5_mixing": op5_mixing,
+    "op6_toxicity": op6_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
@@ -44,6 +55,27 @@ p AS (SELECT a.rep AS ra, b.rep AS rb, count(*) AS c FROM x a JOIN x b ON a.gram
 SELECT ra AS rep_a, rb AS rep_b, c / (a.n + b.n - c) AS jaccard, a.docs AS docs_a, b.docs AS docs_b
 FROM p JOIN e a ON a.rep = ra JOIN e b ON b.rep = rb WHERE c / (a.n + b.n - c) >= 0.6
 UNION ALL SELECT rep, rep, 1.0::DOUBLE, docs, docs FROM e WHERE len(docs) > 1""",
+    "op5_mixing": r"""
+WITH t AS (
+  SELECT coalesce(source, '(none)') AS source, doc_id, len(regexp_extract_all(coalesce(text, ''), '\S+')) AS tokens,
+    md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents),
+p AS (SELECT *, sum(tokens) OVER (PARTITION BY source ORDER BY key, doc_id, tokens ROWS UNBOUNDED PRECEDING) - tokens AS a FROM t),
+s AS (SELECT source, sum(tokens)::HUGEINT AS total, floor(sqrt(sum(tokens)::DOUBLE) * sqrt(sqrt(sum(tokens)::DOUBLE)))::HUGEINT AS share
+  FROM t GROUP BY source HAVING sum(tokens) > 0),
+e AS (SELECT source, total, share, sum(share) OVER () AS whole, sum(share) OVER (ORDER BY source)::HUGEINT AS cum FROM s),
+f AS (SELECT *, (cum - share) * 2147483648 // whole::HUGEINT AS low, cum * 2147483648 // whole::HUGEINT AS high FROM e),
+n AS (SELECT max((((total + 4095) // 4096 + 4) * whole::HUGEINT + share - 1) // share) AS slots FROM e),
+i AS (SELECT unnest(range(0, (SELECT slots FROM n)::BIGINT)) AS slot),
+g AS (SELECT slot, source, total, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS rank
+  FROM i JOIN f ON (slot % 2147483648) * 1327217885 % 2147483648 >= low AND (slot % 2147483648) * 1327217885 % 2147483648 < high),
+u AS (SELECT source, any_value(total)::BIGINT AS total, count(*) * 4096 AS used FROM g GROUP BY source),
+r AS (SELECT p.source, doc_id, tokens, used, unnest(range(0, ((used - 1 - a) // total + 1)::BIGINT)) AS epoch, a::BIGINT AS a, total
+  FROM p JOIN u ON p.source = u.source WHERE tokens > 0 AND a < used),
+b AS (SELECT *, a + epoch * total AS b0 FROM r),
+c AS (SELECT *, unnest(range(b0 // 4096, (least(b0 + tokens, used) - 1) // 4096 + 1)) AS rank FROM b)
+SELECT slot, c.source, c.rank, doc_id, epoch, greatest(b0, c.rank * 4096) - b0 AS from_token,
+  least(b0 + tokens, (c.rank + 1) * 4096) - greatest(b0, c.rank * 4096) AS tokens
+FROM c JOIN g ON c.source = g.source AND c.rank = g.rank""",
     "op9_exact_dedup": """
 SELECT DISTINCT doc_id, CASE WHEN text IS NULL THEN doc_id ELSE first END AS winner,
   text IS NOT NULL AND doc_id IS DISTINCT FROM first AS is_repeat, text IS NOT NULL AS member
