@@ -10,9 +10,10 @@ pairs that share a part's content are verified on the whole n-gram sets.
 Parts of a scheme whose largest size allows a difference of d: if d + 1 and an allowance for empty parts are at most
 PARTS, there are that many, and some nonempty part of a matching pair must agree; sets with more empty parts than the
 allowance meet under a key of their own, so these bands are exact. In larger bands the sketch has about one part for
-LOAD n-grams, of which the first PARTS are joined: a pair at the threshold agrees in one with probability exp(-LOAD *
-d / size), so at most (1 - exp(-LOAD (1 - t) * 2 / (1 + t)))^PARTS is missed, 0.1 % at t = 0.6 and exactly the
-threshold, and far less above. With all parts of the larger bands the keys would outgrow the text itself.
+LOAD n-grams, of which the first PARTS are joined, and a pair must agree in two of them. Each part of a pair at the
+threshold agrees with probability exp(-LOAD * d / size) = 0.135 at t = 0.6, so by the binomial law 0.8 % of the pairs
+exactly at the threshold are missed, and far less above. (With all parts of the larger bands the keys would outgrow
+the text itself.)
 
 Defined results: rows with a null doc_id are left out, null and wordless texts have the empty set and pair with
 nothing, texts of fewer than n words have one n-gram. Texts with equal sets (copies above all) form one entry with the
@@ -55,8 +56,6 @@ def scheme(t: float, band: int) -> tuple[int, int]:
         empty = parts * math.exp(-least / parts)
         if parts == 1 or spare >= empty + 3 * math.sqrt(empty):
             return parts, spare
-    if d + 1 <= PARTS:
-        return PARTS, PARTS - d - 1
     return max(PARTS, math.ceil(size / LOAD)), -1
 
 
@@ -76,9 +75,12 @@ def set_ids(doc: np.ndarray, gram: np.ndarray, rows: int) -> tuple[np.ndarray, n
     return size, out >> _U(1)
 
 
-def keys_of(doc: np.ndarray, gram: np.ndarray, size: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, key, whether it is of the row's own band) of the joined parts of all rows."""
-    rows, out = len(size), []
+def keys_of(doc: np.ndarray, gram: np.ndarray, size: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of the joined parts of all rows.
+
+    The lowest bit of a key tells whether it is of the row's own band, the next whether it suffices alone.
+    """
+    rows, out, strong = len(size), [], []
     band = bands(t, size)
     spread, code = mix(gram, 21), mix(gram, 22)
     for own in (True, False):
@@ -96,11 +98,14 @@ def keys_of(doc: np.ndarray, gram: np.ndarray, size: np.ndarray, t: float) -> tu
         at = np.flatnonzero(full)
         row = at // PARTS
         out.append((row, mix(content[at] ^ mix((b[row] * PARTS + at % PARTS).astype(_U), 23)), np.full(len(at), own)))
+        strong.append(spare[row] >= 0)
         # more empty parts than the scheme allows for: these sets meet each other
         empty = np.minimum(parts, PARTS) - full.reshape(rows, PARTS).sum(axis=1) if rows else parts
         rest = np.flatnonzero((spare >= 0) & (empty > spare) & (size > 0))
         out.append((rest, mix(mix(b[rest].astype(_U), 24), 25), np.full(len(rest), own)))
-    return tuple(np.concatenate(x) for x in zip(*out))  # type: ignore[return-value]
+        strong.append(np.ones(len(rest), bool))
+    row, key, own_ = (np.concatenate(x) for x in zip(*out))
+    return row, (key & ~_U(3)) | (np.concatenate(strong).astype(_U) << _U(1)) | own_.astype(_U)
 
 
 def _signatures(n: int, t: float):
@@ -109,10 +114,9 @@ def _signatures(n: int, t: float):
             for part in pieces(batch, 1):
                 doc, gram = grams(words(part.column(1)), part.num_rows, n)
                 size, sid = set_ids(doc, gram, part.num_rows)
-                row, key, own = keys_of(doc, gram, size, t)
-                # one row for each text: its set, and its keys with the lowest bit telling whether they are of its own band
+                row, key = keys_of(doc, gram, size, t)
                 order = np.argsort(row, kind="stable")
-                packed = ((key & ~_U(1)) | own.astype(_U))[order].view(np.int64)
+                packed = key[order].view(np.int64)
                 offsets = np.searchsorted(row[order], np.arange(part.num_rows + 1))
                 keep = np.flatnonzero(size > 0)
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(packed))
@@ -132,21 +136,22 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         following = next(seen_last, None)
         key = np.concatenate([held[0], np.asarray(batch.column(0))])
         sid = np.concatenate([held[1], np.asarray(batch.column(1))])
-        whole = key >> 1
+        whole = key >> 2
         cut = len(key)
         if following is not None and len(key):
             cut = int(np.searchsorted(whole, whole[-1]))
         held = np.stack([key[cut:], sid[cut:]])
-        yield from _pairs(whole[:cut], (key[:cut] & 1).astype(bool), sid[:cut])
+        yield from _pairs(key[:cut], sid[:cut])
         batch = following
 
 
-def _pairs(key: np.ndarray, own: np.ndarray, sid: np.ndarray) -> Iterator[pa.RecordBatch]:
-    if not len(key):
+def _pairs(keys: np.ndarray, sid: np.ndarray) -> Iterator[pa.RecordBatch]:
+    if not len(keys):
         return
+    key, own, weight = keys >> 2, (keys & 1).astype(bool), 1 + ((keys >> 1) & 1)
     start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     length = np.diff(np.concatenate([start, [len(key)]]))
-    lows, highs, held = [], [], 0
+    lows, highs, weights, held = [], [], [], 0
     for a, n in zip(start[length > 1].tolist(), length[length > 1].tolist()):
         # copies have the same key: one row for each set, of its own band if any is
         order = np.lexsort((~own[a : a + n], sid[a : a + n]))
@@ -159,18 +164,17 @@ def _pairs(key: np.ndarray, own: np.ndarray, sid: np.ndarray) -> Iterator[pa.Rec
             ok = o[x + i] | o[x + j]
             lows.append(s[x + i[ok]])
             highs.append(s[x + j[ok]])
+            weights.append(np.full(int(ok.sum()), weight[a]))
             held += int(ok.sum())
             if held > PAIR_BLOCK:
-                yield _batch(lows, highs)
-                lows, highs, held = [], [], 0
+                yield _batch(lows, highs, weights)
+                lows, highs, weights, held = [], [], [], 0
     if held:
-        yield _batch(lows, highs)
+        yield _batch(lows, highs, weights)
 
 
-def _batch(lows: list, highs: list) -> pa.RecordBatch:
-    p = np.stack([np.concatenate(lows), np.concatenate(highs)], axis=1)
-    p = np.unique(p, axis=0) if len(p) < 1 << 16 else p
-    return pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], names=["a", "b"])
+def _batch(*columns: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=["a", "b", "weight"])
 
 
 def _sets(n: int):
@@ -211,8 +215,8 @@ def _search(docs: DataFrame, n: int, t: float) -> tuple[DataFrame, DataFrame]:
         signed.groupBy("sid").agg(F.array_sort(F.collect_set("doc_id")).alias("docs")).withColumn("rep", F.col("docs")[0]), "groups"
     )
     keyed = signed.select(F.explode("keys").alias("key"), "sid")
-    met = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_meet, "a long, b long")
-    met = written(met.distinct(), "candidates")
+    met = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_meet, "a long, b long, weight long")
+    met = written(met.groupBy("a", "b").agg(F.sum("weight").alias("weight")).where(F.col("weight") >= 2).select("a", "b"), "candidates")
     ids = met.select(F.col("a").alias("sid")).unionByName(met.select(F.col("b").alias("sid"))).distinct()
     reps = written(groups.join(ids, "sid", "left_semi").select("rep").distinct(), "candidate_ids")
     texts = own.join(sized(reps), own["doc_id"] == reps["rep"], "left_semi")
