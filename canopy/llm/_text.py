@@ -95,11 +95,17 @@ def words(texts: pa.Array) -> Words:
     before[offs[:-1][offs[:-1] < n]] = False
     after[offs[1:][offs[1:] > 0] - 1] = False
     start, end = np.flatnonzero(w & ~before), np.flatnonzero(w & ~after) + 1
+    doc = np.searchsorted(offs, start, side="right") - 1
+    return Words(data, offs, start, end, doc, hash_ranges(data, start, end))
+
+
+def hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each range, none of them empty."""
+    n = len(data)
     cum = np.cumsum((data.astype(_U) + _U(1)) * _powers(_P, n), dtype=_U)
     low = np.where(start > 0, cum[np.maximum(start, 1) - 1], _U(0))
     h = (cum[end - 1] - low) * _powers(_P_INV, n)[start]
-    doc = np.searchsorted(offs, start, side="right") - 1
-    return Words(data, offs, start, end, doc, mix(h, 1) ^ (end - start).astype(_U))
+    return mix(h, 1) ^ (end - start).astype(_U)
 
 
 _MULT = [mix(np.array([i], dtype=_U), 77)[0] | _U(1) for i in range(64)]
