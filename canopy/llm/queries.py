@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from canopy.llm import exact_dedup, mixing, ngram_join, toxicity
+from canopy.llm import bpe, embedding_dedup, exact_dedup, lm_score, mixing, ngram_join, resharding, secrets, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,18 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(_table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeats(_table(spark, sf_dir, "documents"))
+
+
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(_table(spark, sf_dir, "documents"))
+
+
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.groups(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(_table(spark, sf_dir, "documents"))
 
@@ -28,15 +40,33 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf_dir, "documents"))
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(_table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(_table(spark, sf_dir, "documents"))
 
 
+def op10_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resharding.reshard(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_substring_dedup": op2_substring_dedup,
+    "op3_lm_score": op3_lm_score,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_mixing": op5_mixing,
     "op6_toxicity": op6_toxicity,
+    "op7_secrets": op7_secrets,
+    "op8_bpe": op8_bpe,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_resharding": op10_resharding,
 }
 
 _WORDS = r"regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
