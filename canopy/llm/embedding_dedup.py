@@ -222,7 +222,7 @@ def _build(key: tuple, table: pa.Table) -> pa.Table:
     size = key[0].as_py()
     vectors = np.asarray(table.column("vector").combine_chunks().flatten()).reshape(-1, size)
     graph = Graph(np.asarray(table.column("id")), vectors)
-    return pa.table({"size": [key[0].as_py()], "shard": [key[1].as_py()], "graph": pa.array([pickle.dumps(graph)], pa.binary())})
+    return pa.table({"size": pa.array([size], pa.int32()), "shard": pa.array([key[1].as_py()], pa.int64()), "graph": pa.array([pickle.dumps(graph)], pa.binary())})
 
 
 def _query(threshold: float):
