@@ -6,9 +6,9 @@ passages. A repeated passage of K or more words is thus covered by paths, whatev
 
 1. In each document, edges are grouped under anchors: the run of ANCHOR words of the least hash within the edge. Equal
    edges have equal anchors, so only one row an anchor (about one for 16 words) is shuffled, with 32 bits an edge.
-   Rows that are equal are first merged into one with a count (with map-side combine), so copies don't pile up.
+   Rows that are equal are first merged into one with a count, so copies don't pile up in memory.
 2. Under each anchor edges are counted, and repeated edges joined without a branch (the edge of K + 1 words occurs as
-   often as both) become segments. These go back to the documents by a join on (anchor, edges).
+   often as both) become segments. These go back to the documents by a join on a hash of (anchor, edges).
 3. Joins of neighbouring segments in documents count their links; unbranched links are contracted to paths by
    connected components.
 4. Each occurrence is read again at its source: its words are digested whole, must equal those of the path's first
@@ -36,7 +36,7 @@ from canopy.llm._text import long_runs, mix, pieces, words
 K = 50
 ANCHOR = 20
 _U = np.uint64
-FOUND = "anchor long, edges binary, first array<int>, size array<int>, segment array<long>, copies array<long>"
+FOUND = "variant long, first array<int>, size array<int>, segment array<long>, copies array<long>"
 
 
 def anchors(grams: np.ndarray, width: int) -> np.ndarray:
@@ -91,7 +91,7 @@ def _runs(k: int, anchor: int):
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """FOUND of rows (anchor, edges, n) in order of anchor; an anchor may go on in the next batch."""
+    """FOUND of rows (anchor, edges, n, variant) in order of anchor; an anchor may go on in the next batch."""
     held, rest = None, iter(batches)
     batch = next(rest, None)
     while batch is not None:
@@ -162,8 +162,8 @@ def _segments_of(batch: pa.RecordBatch) -> pa.RecordBatch | None:
 
     picked = batch.take(pa.array(rows))
     return pa.RecordBatch.from_arrays(
-        [picked.column(0), picked.column(1), lists(head - offs[owner], pa.int32()), lists(end - head, pa.int32()), lists(segment.view(np.int64), pa.int64()), lists(count[head], pa.int64())],
-        names=["anchor", "edges", "first", "size", "segment", "copies"],
+        [picked.column(3), lists(head - offs[owner], pa.int32()), lists(end - head, pa.int32()), lists(segment.view(np.int64), pa.int64()), lists(count[head], pa.int64())],
+        names=["variant", "first", "size", "segment", "copies"],
     )
 
 
@@ -213,10 +213,12 @@ def repeats(docs: DataFrame, k: int = K, anchor: int = ANCHOR) -> DataFrame:
         same = ["doc_id", "h"]
         own = own.join(sized(twice), same, "left_anti").unionByName(own.join(sized(twice), same, "left_semi").dropDuplicates(same))
     runs = written(own.mapInArrow(_runs(k, anchor), "doc_id long, h long, pos int, anchor long, edges binary"), "runs")
-    variants = runs.groupBy("anchor", "edges").agg(F.count(F.lit(1)).alias("n"))
-    found = variants.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_segments, FOUND)
+    variant = F.xxhash64("anchor", "edges").alias("variant")
+    # one shuffle by anchor serves the merging of equal rows and the comparison under each anchor
+    variants = runs.select("anchor", "edges").repartition("anchor").groupBy("anchor", "edges").agg(F.count(F.lit(1)).alias("n"))
+    found = variants.select("anchor", "edges", "n", variant).sortWithinPartitions("anchor").mapInArrow(_segments, FOUND)
     found = written(found, "segments")
-    rows = runs.join(found, ["anchor", "edges"]).select("doc_id", "h", F.col("pos").alias("base"), F.explode(F.arrays_zip("first", "size", "segment", "copies")).alias("s"))
+    rows = runs.select("doc_id", "h", "pos", variant).join(found, "variant").select("doc_id", "h", F.col("pos").alias("base"), F.explode(F.arrays_zip("first", "size", "segment", "copies")).alias("s"))
     spots = written(rows.select("doc_id", "h", (F.col("base") + F.col("s.first")).alias("pos"), F.col("s.size").alias("size"), F.col("s.segment").alias("segment"), F.col("s.copies").alias("copies")), "spots")
     in_doc = Window.partitionBy("doc_id", "h").orderBy("pos")
     after = spots.select("segment", "copies", (F.lead("pos").over(in_doc) == F.col("pos") + F.col("size")).alias("next"), F.lead("segment").over(in_doc).alias("to"), F.lead("copies").over(in_doc).alias("to_copies"))
