@@ -1,10 +1,345 @@
-"""The engine's queries over the tables of a scale folder, and the same in SQL."""
+"""Queries over the tables of a scale folder, with equal SQL for DuckDB.
+
+Documents are compared as JSON text of integers and strings; arrays are in order of the children's keys.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from canopy.functions import jsonpath, plugins
+from canopy.operators import changes, resolve, search
+from canopy.plans import catalog
+from canopy.plans.compile import as_json, compile, doc_keys
+from canopy.plans.spec import parse
+from canopy.sources.sinks import mapping
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+
+
+def _query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _node(table: str, columns: list[str], *children: dict, rel: str | None = None, **more: Any) -> dict:
+    """rel: `o2m` or `o2o`, with :scalar and @join_table where wanted."""
+    out: dict[str, Any] = {"table": table, "columns": columns, "children": list(children), **more}
+    if rel:
+        kind, _, through = rel.partition("@")
+        kind, _, variant = kind.partition(":")
+        out["relationship"] = {"type": {"o2m": "one_to_many", "o2o": "one_to_one"}[kind], "variant": variant or "object", "through_tables": [through] if through else []}
+    return out
+
+
+def _docs(spark: SparkSession, sf_dir: str, nodes: dict, **args) -> DataFrame:
+    """(_id, doc)"""
+    got = as_json(compile(parse({"index": "x", "nodes": nodes}), catalog.of_folder(spark, sf_dir), **args))
+    return got.select("_id", F.col("_source").alias("doc"))
+
+
+_ORDERS = "(SELECT o_custkey, list({'o_orderkey': o_orderkey, 'o_orderstatus': o_orderstatus} ORDER BY o_orderkey) AS v FROM orders GROUP BY 1)"
+
+
+@_query("SELECT n_nationkey::VARCHAR AS _id, to_json({'n_nationkey': n_nationkey, 'n_name': n_name, 'n_regionkey': n_regionkey})::VARCHAR AS doc FROM nation")
+def doc_root_columns(spark, sf_dir):
+    return _docs(spark, sf_dir, _node("nation", []))
+
+
+@_query(f"""SELECT c_custkey::VARCHAR AS _id, to_json({{'c_name': c_name, 'nation_label': {{'n_name': n_name}}, 'orders': o.v}})::VARCHAR AS doc
+FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN {_ORDERS} o ON o.o_custkey = c_custkey""")
+def doc_o2m_object(spark, sf_dir):
+    return _docs(spark, sf_dir, _node("customer", ["c_name"], _node("nation", ["n_name"], rel="o2o", label="nation_label"), _node("orders", ["o_orderkey", "o_orderstatus"], rel="o2m")))
+
+
+@_query("""SELECT c_custkey::VARCHAR AS _id, to_json({'c_name': c_name, 'orders': o.v})::VARCHAR AS doc FROM customer LEFT JOIN
+(SELECT o_custkey, list(o_orderpriority ORDER BY o_orderkey) AS v FROM orders GROUP BY 1) o ON o_custkey = c_custkey""")
+def doc_o2m_scalar(spark, sf_dir):
+    return _docs(spark, sf_dir, _node("customer", ["c_name"], _node("orders", ["o_orderpriority"], rel="o2m:scalar")))
+
+
+@_query("SELECT s_suppkey::VARCHAR AS _id, to_json({'s_name': s_name, 'nation': CASE WHEN n_nationkey IS NOT NULL THEN {'n_nationkey': n_nationkey, 'n_name': n_name} END})::VARCHAR AS doc FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey")
+def doc_o2o_object(spark, sf_dir):
+    return _docs(spark, sf_dir, _node("supplier", ["s_name"], _node("nation", ["n_nationkey", "n_name"], rel="o2o")))
+
+
+@_query("SELECT o_orderkey::VARCHAR AS _id, to_json({'o_orderstatus': o_orderstatus, 'buyer': c_name})::VARCHAR AS doc FROM orders LEFT JOIN customer ON c_custkey = o_custkey")
+def doc_o2o_scalar(spark, sf_dir):
+    return _docs(spark, sf_dir, _node("orders", ["o_orderstatus"], _node("customer", ["c_name"], rel="o2o:scalar", label="buyer")))
+
+
+@_query("""SELECT d.doc_id::VARCHAR AS _id, to_json({'source': source, 'labels': CASE WHEN l.doc_id IS NOT NULL THEN {'quality': quality, 'toxic': toxic} END})::VARCHAR AS doc
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
+def doc_null_child(spark, sf_dir):
+    return _docs(spark, sf_dir, _node("documents", ["source"], _node("labels", ["quality", "toxic"], rel="o2o")))
+
+
+@_query(f"""WITH c AS (SELECT c_nationkey, list({{'c_custkey': c_custkey, 'orders': o.v}} ORDER BY c_custkey) AS v FROM customer LEFT JOIN {_ORDERS} o ON o_custkey = c_custkey GROUP BY 1),
+n AS (SELECT n_regionkey, list({{'n_name': n_name, 'customer': c.v}} ORDER BY n_nationkey) AS v FROM nation LEFT JOIN c ON c_nationkey = n_nationkey GROUP BY 1)
+SELECT r_regionkey::VARCHAR AS _id, to_json({{'r_name': r_name, 'nations': n.v}})::VARCHAR AS doc FROM region LEFT JOIN n ON n_regionkey = r_regionkey""")
+def doc_deep_nested(spark, sf_dir):
+    orders = _node("orders", ["o_orderkey", "o_orderstatus"], rel="o2m")
+    customers = _node("customer", ["c_custkey"], orders, rel="o2m")
+    return _docs(spark, sf_dir, _node("region", ["r_name"], _node("nation", ["n_name"], customers, rel="o2m", label="nations")))
+
+
+_THROUGH = "SELECT o_orderkey::VARCHAR AS _id, to_json({{'o_orderstatus': o_orderstatus, 'part': v}})::VARCHAR AS doc FROM orders LEFT JOIN (SELECT l_orderkey, list({0}) AS v FROM lineitem LEFT JOIN part ON p_partkey = l_partkey GROUP BY 1) ON l_orderkey = o_orderkey"
+
+
+@_query(_THROUGH.format("{'p_partkey': p_partkey, 'p_brand': p_brand} ORDER BY p_partkey"))
+def doc_through_object(spark, sf_dir):
+    return _docs(spark, sf_dir, _node("orders", ["o_orderstatus"], _node("part", ["p_partkey", "p_brand"], rel="o2m@lineitem")))
+
+
+@_query(_THROUGH.format("p_brand ORDER BY p_partkey"))
+def doc_through_scalar(spark, sf_dir):
+    return _docs(spark, sf_dir, _node("orders", ["o_orderstatus"], _node("part", ["p_brand"], rel="o2m:scalar@lineitem")))
+
+
+@_query(_THROUGH.format("{'p_brand': p_brand} ORDER BY p_partkey"))
+def doc_through_first_column(spark, sf_dir):
+    return _docs(spark, sf_dir, _node("orders", ["o_orderstatus"], _node("part", ["p_brand", "p_size"], rel="o2o@lineitem")))
+
+
+@_query("SELECT conv_id || '|' || turn AS _id, to_json({'role': role})::VARCHAR AS doc FROM conversations")
+def doc_composite_id(spark, sf_dir):
+    return _docs(spark, sf_dir, _node("conversations", ["role"]))
+
+
+@_query("""SELECT o_orderkey::VARCHAR AS _id, to_json({'o_orderkey': o_orderkey, 'brands': b, 'sizes': s})::VARCHAR AS doc FROM orders LEFT JOIN
+(SELECT l_orderkey, list(p_brand ORDER BY p_partkey) AS b, list(p_size ORDER BY p_partkey) AS s FROM lineitem LEFT JOIN part ON p_partkey = l_partkey GROUP BY 1) ON l_orderkey = o_orderkey""")
+def doc_two_labels(spark, sf_dir):
+    twice = [_node("part", [c], rel="o2m:scalar@lineitem", label=n) for c, n in (("p_brand", "brands"), ("p_size", "sizes"))]
+    return _docs(spark, sf_dir, _node("orders", ["o_orderkey"], *twice))
+
+
+@_query("""SELECT a.n_nationkey::VARCHAR AS _id, to_json({'n_name': a.n_name, 'neighbours': list(b.n_name ORDER BY b.n_nationkey)})::VARCHAR AS doc
+FROM nation a JOIN nation b ON b.n_regionkey = a.n_regionkey GROUP BY a.n_nationkey, a.n_name""")
+def doc_self_join(spark, sf_dir):
+    child = _node("nation", ["n_name"], rel="o2m:scalar", label="neighbours")
+    child["relationship"]["foreign_key"] = {"parent": ["n_regionkey"], "child": ["n_regionkey"]}
+    return _docs(spark, sf_dir, _node("nation", ["n_name"], child))
+
+
+_CUSTOMER = _node("customer", ["c_name"], _node("nation", ["n_name"], rel="o2o"), _node("orders", ["o_orderkey"], rel="o2m"))
+_KEYS_SQL = """SELECT 'customer' AS "table", 'c_custkey' AS key, c_custkey::VARCHAR AS value, c_custkey::VARCHAR AS _id FROM customer
+UNION ALL SELECT 'nation', 'n_nationkey', n_nationkey::VARCHAR, c_custkey::VARCHAR FROM customer JOIN nation ON n_nationkey = c_nationkey
+UNION ALL SELECT 'orders', 'o_orderkey', o_orderkey::VARCHAR, c_custkey::VARCHAR FROM customer JOIN orders ON o_custkey = c_custkey"""
+
+
+def _customers(spark, sf_dir):
+    return parse({"index": "customers", "nodes": _CUSTOMER}), catalog.of_folder(spark, sf_dir)
+
+
+@_query(f"""SELECT _id, list_sort(list("table" || '.' || key || '=' || value)) AS keys FROM ({_KEYS_SQL}) GROUP BY _id""")
+def doc_meta_keys(spark, sf_dir):
+    got = compile(*_customers(spark, sf_dir))
+    return got.select("_id", F.array_sort(F.transform("_keys", lambda k: F.concat(k["table"], F.lit("."), k["key"], F.lit("="), k["value"]))).alias("keys"))
+
+
+@_query(f"""SELECT "table", key, value, _id FROM ({_KEYS_SQL}) WHERE "table" = 'nation' AND value IN ('3', '7')""")
+def doc_keys_lookup(spark, sf_dir):
+    asked = spark.createDataFrame([("nation", "n_nationkey", "3"), ("nation", "n_nationkey", "7")], "table string, key string, value string")
+    return doc_keys(compile(*_customers(spark, sf_dir))).join(F.broadcast(asked), ["table", "key", "value"]).select("table", "key", "value", "_id")
+
+
+@_query("SELECT event_id::VARCHAR AS _id, to_json({'event_id': event_id, 'props_k': props->>'$.k'})::VARCHAR AS doc FROM events")
+def json_path_props(spark, sf_dir):
+    return _docs(spark, sf_dir, _node("events", ["event_id", "props->>'k'"]))
+
+
+@_query("SELECT n_nationkey::VARCHAR AS _id, to_json({'id': n_nationkey, 'n_name': n_name})::VARCHAR AS doc FROM nation")
+def rename_fields(spark, sf_dir):
+    return _docs(spark, sf_dir, _node("nation", ["n_nationkey", "n_name"], transform={"rename": {"n_nationkey": "id"}}))
+
+
+@_query("SELECT n_nationkey::VARCHAR AS _id, to_json({'n_name': replace(replace(n_name, 'A', 'a-'), '-', '_')})::VARCHAR AS doc FROM nation")
+def replace_chain(spark, sf_dir):
+    return _docs(spark, sf_dir, _node("nation", ["n_name"], transform={"replace": {"n_name": {"A": "a-", "-": "_"}}}))
+
+
+@_query("""SELECT n_nationkey::VARCHAR AS _id, to_json({'n_nationkey': n_nationkey, 'n_name': n_name, 'tag': concat_ws(':', 'nation', CASE WHEN n_nationkey <> 0 THEN n_nationkey::VARCHAR END, n_name),
+'again': concat_ws('/', concat_ws(':', 'nation', CASE WHEN n_nationkey <> 0 THEN n_nationkey::VARCHAR END, n_name), 'x')})::VARCHAR AS doc FROM nation""")
+def concat_literals(spark, sf_dir):
+    rules = [{"columns": ["nation", "n_nationkey", "n_name"], "delimiter": ":", "destination": "tag"}, {"columns": ["tag", "x"], "delimiter": "/", "destination": "again"}]
+    return _docs(spark, sf_dir, _node("nation", ["n_nationkey", "n_name"], transform={"concat": rules}))
+
+
+@_query("SELECT n_nationkey::VARCHAR AS _id, to_json({'name': replace(n_name, 'A', 'a'), 'tag': concat_ws('-', replace(n_name, 'A', 'a'), 'n_name')})::VARCHAR AS doc FROM nation")
+def transform_order(spark, sf_dir):
+    rules = {"replace": {"n_name": {"A": "a"}}, "rename": {"n_name": "name"}, "concat": {"columns": ["name", "n_name"], "delimiter": "-", "destination": "tag"}}
+    return _docs(spark, sf_dir, _node("nation", ["n_name"], transform=rules))
+
+
+@_query(f"""SELECT c_custkey::VARCHAR AS _id, to_json({{'c_name': c_name, 'orders': o.v}})::VARCHAR AS doc FROM customer LEFT JOIN {_ORDERS} o ON o_custkey = c_custkey WHERE c_custkey % 10 = 3""")
+def key_filter_docs(spark, sf_dir):
+    keys = _t(spark, sf_dir, "customer").where("c_custkey % 10 = 3").select("c_custkey")
+    return _docs(spark, sf_dir, _node("customer", ["c_name"], _node("orders", ["o_orderkey", "o_orderstatus"], rel="o2m")), root_keys=keys)
+
+
+@_query("SELECT event_id::VARCHAR AS _id, to_json({'event_type': event_type})::VARCHAR AS doc FROM events WHERE event_id >= 100 AND event_id < 900")
+def tx_window_docs(spark, sf_dir):
+    return _docs(spark, sf_dir, _node("events", ["event_type"]), tx=("event_id", 100, 900))
+
+
+@_query("""SELECT event_id, event_type FROM (SELECT *, lag(event_type) OVER w AS p, lag(value) OVER w AS v, count(*) OVER w AS n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
+WHERE n > 1 AND (event_type IS DISTINCT FROM p)""")
+def changed_column_filter(spark, sf_dir):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("user_id").orderBy("event_id")
+    both = _t(spark, sf_dir, "events").select("event_id", "event_type", F.struct("event_type", "value").alias("new"), F.lag(F.struct("event_type", "value")).over(w).alias("old"))
+    return both.where(F.col("old").isNotNull() & changes.changed("new", "old", ["event_type"])).select("event_id", "event_type")
+
+
+@_query("""SELECT event_id, sum(CASE WHEN event_type IS DISTINCT FROM p THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id)::BIGINT AS run
+FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS p FROM events)""")
+def run_grouping(spark, sf_dir):
+    return changes.run_groups(_t(spark, sf_dir, "events"), ["event_id"], ["event_type"], ["user_id"]).select("event_id", "run")
+
+
+@_query("SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1")
+def latest_state(spark, sf_dir):
+    return changes.latest(_t(spark, sf_dir, "events").select("user_id", "event_id", "event_type"), ["user_id"], ["event_id"])
+
+
+@_query("SELECT event_type AS \"table\", count(*) AS n, min(event_id) AS first FROM events GROUP BY 1")
+def insert_fast_path(spark, sf_dir):
+    return _t(spark, sf_dir, "events").groupBy(F.col("event_type").alias("table")).agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first"))
+
+
+def _events(spark, rows):
+    return spark.createDataFrame(rows, changes.EVENT)
+
+
+def _affected(spark, sf_dir, rows):
+    spec, tables = _customers(spark, sf_dir)
+    return resolve.resolve(_events(spark, rows), spec, tables, doc_keys(compile(spec, tables)))
+
+
+@_query("SELECT '5' AS _id UNION SELECT '77' UNION SELECT c_custkey::VARCHAR FROM customer WHERE c_nationkey = 4")
+def affected_roots_insert(spark, sf_dir):
+    rows = [(1, "INSERT", "customer", {"c_custkey": "5"}, None, 1), (2, "INSERT", "orders", {"o_orderkey": "-1", "o_custkey": "77"}, None, 2), (3, "INSERT", "nation", {"n_nationkey": "4", "n_regionkey": "1"}, None, 3)]
+    return _affected(spark, sf_dir, rows)[1]
+
+
+@_query("SELECT o_custkey::VARCHAR AS _id FROM orders WHERE o_orderkey = 8 UNION SELECT '12' UNION SELECT '13'")
+def affected_roots_update(spark, sf_dir):
+    return _affected(spark, sf_dir, [(1, "UPDATE", "orders", {"o_orderkey": "8", "o_custkey": "12"}, {"o_orderkey": "8", "o_custkey": "13"}, 1)])[1]
+
+
+@_query("SELECT 'delete' AS what, '9' AS _id UNION SELECT 'again', o_custkey::VARCHAR FROM orders WHERE o_orderkey = 8")
+def affected_roots_delete(spark, sf_dir):
+    gone, again = _affected(spark, sf_dir, [(1, "DELETE", "customer", None, {"c_custkey": "9"}, 1), (2, "DELETE", "orders", None, {"o_orderkey": "8"}, 2)])
+    return gone.select(F.lit("delete").alias("what"), "_id").unionByName(again.select(F.lit("again").alias("what"), "_id"))
+
+
+@_query("SELECT c_custkey::VARCHAR AS _id FROM customer")
+def truncate_child(spark, sf_dir):
+    return _affected(spark, sf_dir, [(1, "TRUNCATE", "orders", None, None, 1)])[1]
+
+
+@_query("SELECT 'delete' AS what, '15' AS _id UNION SELECT 'again', '16'")
+def rekey_actions(spark, sf_dir):
+    gone, again = _affected(spark, sf_dir, [(1, "UPDATE", "customer", {"c_custkey": "16"}, {"c_custkey": "15"}, 1)])
+    return gone.select(F.lit("delete").alias("what"), "_id").unionByName(again.select(F.lit("again").alias("what"), "_id"))
+
+
+@_query("SELECT event_id, event_id < 500 AND event_id NOT IN (7, 8) AS ready FROM events")
+def late_holdback(spark, sf_dir):
+    ready, held = changes.visible(_t(spark, sf_dir, "events").select("event_id", F.col("event_id").alias("txid")), 500, [7, 8])
+    return ready.select("event_id", F.lit(True).alias("ready")).unionByName(held.select("event_id", F.lit(False).alias("ready")))
+
+
+@_query("SELECT least(min(event_id), 1000) - 1 AS checkpoint FROM events WHERE event_id >= 40")
+def checkpoint_value(spark, sf_dir):
+    return spark.createDataFrame([(changes.checkpoint(_t(spark, sf_dir, "events").where("event_id >= 40").withColumnRenamed("event_id", "txid"), 1000),)], "checkpoint long")
+
+
+@_query("SELECT unnest(['conversations', 'labels', 'nation']) AS table_name, unnest([['conv_id', 'turn'], ['doc_id'], ['n_nationkey']]) AS primary_keys, unnest([[]::VARCHAR[], ['doc_id'], ['n_regionkey']]) AS foreign_keys")
+def key_catalog_union(spark, sf_dir):
+    return catalog.of_folder(spark, sf_dir).key_view(spark).where(F.col("table_name").isin("conversations", "labels", "nation"))
+
+
+@_query("""SELECT c_custkey AS id, left(c_name, 1) || '***@example.org' AS email, '***' || right(lpad(c_custkey::VARCHAR, 10, '0'), 4) AS phone, left(sha256(c_custkey::VARCHAR), 16) AS user_id, '[REDACTED]' AS secret FROM customer""")
+def mask_fields(spark, sf_dir):
+    own = _t(spark, sf_dir, "customer").select(
+        F.struct(F.col("c_custkey").alias("id"), F.concat("c_name", F.lit("@example.org")).alias("email"), F.lpad(F.col("c_custkey").cast("string"), 10, "0").alias("phone"), F.col("c_custkey").alias("user_id"), F.col("c_name").alias("secret")).alias("_source")
+    )
+    return plugins.run(own, ["Masking"]).select("_source.*")
+
+
+@_query("SELECT p_partkey, trim(regexp_replace(regexp_replace(lower(p_type), '[\\s_]+', '-', 'g'), '[^a-z0-9-]', '', 'g'), '-') AS slug FROM part")
+def slug_fields(spark, sf_dir):
+    own = _t(spark, sf_dir, "part").select("p_partkey", F.struct(F.col("p_type").alias("title")).alias("_source"))
+    return plugins.run(own, ["Slug"]).select("p_partkey", F.col("_source.slug").alias("slug"))
+
+
+@_query("SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN [p_size, p_size + 1] END AS coordinates FROM part")
+def geo_point(spark, sf_dir):
+    kind = F.when(F.col("p_size") % 2 == 0, "Point").otherwise("Polygon")
+    shape = F.struct(kind.alias("type"), F.array(F.col("p_size"), F.col("p_size") + 1).alias("coordinates"))
+    own = _t(spark, sf_dir, "part").select("p_partkey", F.struct(shape.alias("geometry")).alias("_source"))
+    return plugins.run(own, ["Geometry"]).select("p_partkey", F.col("_source.coordinates").alias("coordinates"))
+
+
+@_query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN '9999-12-31 23:59:59' WHEN o_orderstatus = 'P' THEN '0001-01-01 00:00:00' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS day FROM orders")
+def infinity_dates(spark, sf_dir):
+    s = F.col("o_orderstatus")
+    day = F.when(s == "F", "infinity").when(s == "P", "-infinity").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    own = _t(spark, sf_dir, "orders").select("o_orderkey", F.struct(day.alias("publish_date")).alias("_source"))
+    return plugins.run(own, ["Infinity"]).select("o_orderkey", F.date_format("_source.publish_date", "yyyy-MM-dd HH:mm:ss").alias("day"))
+
+
+@_query("SELECT p_partkey, regexp_replace(p_type, '(ste)', '<em>\\1</em>', 'gi') AS shown FROM part WHERE p_type ILIKE '%ste%'")
+def ngram_search(spark, sf_dir):
+    found = _t(spark, sf_dir, "part").where(search.matches(["p_type"], "ste"))
+    return found.select("p_partkey", search.highlight("p_type", "ste").alias("shown"))
+
+
+@_query("""SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0)) + 1, 6) AS score
+FROM embeddings ORDER BY 2 DESC, 1 LIMIT 10""")
+def cosine_topk(spark, sf_dir):
+    e = _t(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    query = e.where("vec_id = 0").first()["embedding"]
+    return search.top_by_cosine(e, "embedding", query, 10, "vec_id").withColumn("score", F.round("score", 6))
+
+
+@_query("SELECT event_id, 'UPDATE' AS op, 'events' AS \"table\", event_type AS new_type, user_id::VARCHAR AS old_user FROM events")
+def log_line_parse(spark, sf_dir):
+    line = F.concat(F.lit("table public.events: UPDATE: old-key: user_id[bigint]:"), "user_id", F.lit(" new-tuple: event_id[bigint]:"), "event_id", F.lit(" event_type[text]:'"), "event_type", F.lit("' value[double precision]:null"))
+    got = changes.parse_log(_t(spark, sf_dir, "events").select("event_id", line.alias("line")))
+    return got.select("event_id", "op", "table", F.col("new")["event_type"].alias("new_type"), F.col("old")["user_id"].alias("old_user"))
+
+
+@_query("SELECT unnest(['c_name', 'orders.o_orderdate']) AS field, unnest(['keyword', 'date']) AS type")
+def mapping_types(spark, sf_dir):
+    orders = _node("orders", ["o_orderdate"], rel="o2m", transform={"mapping": {"o_orderdate": {"type": "date"}}})
+    got = mapping(parse({"index": "x", "nodes": _node("customer", ["c_name"], orders, transform={"mapping": {"c_name": {"type": "keyword"}}})}).root)
+
+    def flat(m: dict, at: str = ""):
+        for k, v in m.items():
+            yield from flat(v["properties"], f"{at}{k}.") if "properties" in v else [(at + k, v["type"])]
+
+    return spark.createDataFrame(list(flat(got)), "field string, type string")
+
+
+@_query("SELECT event_id, 'props_k' AS name, props->>'$.k' AS k FROM events")
+def json_path_name(spark, sf_dir):
+    path = "props->>'k'"
+    return _t(spark, sf_dir, "events").select("event_id", F.lit(jsonpath.output_name(path)).alias("name"), jsonpath.path_column(path).alias("k"))
