@@ -306,10 +306,10 @@ def infinity_dates(spark, sf_dir):
     return plugins.run(own, ["Infinity"]).select("o_orderkey", F.date_format("_source.publish_date", "yyyy-MM-dd HH:mm:ss").alias("day"))
 
 
-@_query("SELECT p_partkey, regexp_replace(p_type, '(ste)', '<em>\\1</em>', 'gi') AS shown FROM part WHERE p_type ILIKE '%ste%'")
+@_query("SELECT p_partkey, regexp_replace(p_name, '(idg)', '<em>\\1</em>', 'gi') AS shown FROM part WHERE p_name ILIKE '%idg%'")
 def ngram_search(spark, sf_dir):
-    found = _t(spark, sf_dir, "part").where(search.matches(["p_type"], "ste"))
-    return found.select("p_partkey", search.highlight("p_type", "ste").alias("shown"))
+    found = _t(spark, sf_dir, "part").where(search.matches(["p_name"], "idg"))
+    return found.select("p_partkey", search.highlight("p_name", "idg").alias("shown"))
 
 
 @_query("""SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0)) + 1, 6) AS score
