@@ -215,7 +215,8 @@ def _search(docs: DataFrame, n: int, t: float) -> tuple[DataFrame, DataFrame]:
         signed.groupBy("sid").agg(F.array_sort(F.collect_set("doc_id")).alias("docs")).withColumn("rep", F.col("docs")[0]), "groups"
     )
     keyed = signed.select(F.explode("keys").alias("key"), "sid")
-    met = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_meet, "a long, b long, weight long")
+    # the two flag bits are not part of what must be equal
+    met = keyed.repartition(F.shiftright("key", 2)).sortWithinPartitions("key").mapInArrow(_meet, "a long, b long, weight long")
     met = written(met.groupBy("a", "b").agg(F.sum("weight").alias("weight")).where(F.col("weight") >= 2).select("a", "b"), "candidates")
     ids = met.select(F.col("a").alias("sid")).unionByName(met.select(F.col("b").alias("sid"))).distinct()
     reps = written(groups.join(ids, "sid", "left_semi").select("rep").distinct(), "candidate_ids")

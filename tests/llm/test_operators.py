@@ -71,6 +71,25 @@ def test_ngram_join(docs, nothing):
     assert {5, 7, 120, 121, 124} <= set(kept) and not {110, 111, 112, 113} & set(kept)
 
 
+def test_ngram_join_across_bands(spark):
+    """Pairs on both sides of every band border meet also when each shuffle has many partitions."""
+    rng, rows = random.Random(8), []
+    for band in range(5, 14):
+        for k in range(4):
+            large = int(np.ceil((1 / ngram_join.THRESHOLD) ** band))
+            text = prose(rng, 2 * large + 40).split()[: large + 2]
+            rows += [(len(rows), " ".join(text[:-1])), (len(rows) + 1, " ".join(text))]
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    for k, v in zip(kept, ("60", "false")):
+        spark.conf.set(k, v)
+    try:
+        got = {(r["rep_a"], r["rep_b"]) for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert got == {(i, i + 1) for i in range(0, len(rows), 2)}
+
+
 def test_substring_dedup(docs, nothing):
     k, places, total = substring_dedup.K, collections.defaultdict(set), {}
     for i, t, *_ in corpus():
