@@ -1,19 +1,14 @@
-"""N-gram Jaccard join by parity sketches and the pigeonhole principle.
-
-A text is the set A of its distinct n-grams of words. Every n-gram toggles one bit of a wide sketch, so the Hamming
-distance of two sketches is at most the symmetric difference of their sets. J(A, B) >= t bounds that difference by
-d = (1 - t) / (1 + t) * (|A| + |B|), and |B| >= t |A| bounds the sizes that can meet. So sizes fall into bands of
-ratio 1/t, and a set takes part in the scheme of its own band and, as the smaller one, in that of the next. The
-sketch of a scheme is cut into parts, a part's content (as a linear 64-bit fingerprint of its bits) is a join key, and
-pairs that share a part's content are verified on the whole n-gram sets.
-
-Parts of a scheme whose largest size allows a difference of d: if d + 1 and an allowance for empty parts are at most
-PARTS, there are that many, and some nonempty part of a matching pair must agree; sets with more empty parts than the
-allowance meet under a key of their own, so these bands are exact. In larger bands the sketch has about one part for
-LOAD n-grams, of which the first PARTS are joined, and a pair must agree in two of them. Each part of a pair at the
-threshold agrees with probability exp(-LOAD * d / size) = 0.135 at t = 0.6, so by the binomial law 0.8 % of the pairs
-exactly at the threshold are missed, and far less above. (With all parts of the larger bands the keys would outgrow
-the text itself.)
+"""Exact n-gram Jaccard join by prefixes in order of rarity.
+
+A text is the set A of its distinct n-grams of words. J(A, B) >= t asks for at least ceil(t |A|) common n-grams, so if
+all sets are in one and the same order, the first |A| - ceil(t |A|) + 1 n-grams of A and those of B have one in common:
+these prefixes are the join keys, and no pair is missed, whatever its sizes. Any order is right; the one by the frequency
+in a sample of the texts (then by hash) leaves the common n-grams out of most prefixes and keeps the groups small.
+
+Sets with a common key meet if |B| >= t |A|. Each key carries the one before it: where it is the same in both sets, they
+have met there already, so near copies meet once for each run of common n-grams. Then parity sketches of two to four bits
+for an n-gram are compared: their Hamming distance is at most the sets' symmetric difference, which J(A, B) >= t bounds by
+(1 - t) / (1 + t) * (|A| + |B|), so only pairs that don't match are dropped. The others are verified on the whole sets.
 
 Defined results: rows with a null doc_id are left out, null and wordless texts have the empty set and pair with
 nothing, texts of fewer than n words have one n-gram. Texts with equal sets (copies above all) form one entry with the
@@ -23,7 +18,6 @@ each of its texts. Extra columns are ignored.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,32 +30,15 @@ from canopy.llm._text import grams, mix, pieces, words
 
 N = 3
 THRESHOLD = 0.6
-PARTS = 48
-LOAD = 4.0
+SAMPLE_BYTES = 64 << 20
+FREQUENT = 1 << 19
 PAIR_BLOCK = 1 << 18
 _U = np.uint64
 
 
-def difference(t: float, size: int) -> int:
-    """Most elements in which two sets of up to this size differ, if J >= t."""
-    return math.floor((1 - t) / (1 + t) * 2 * size + 1e-9)
-
-
-def scheme(t: float, band: int) -> tuple[int, int]:
-    """(parts of the sketch, empty parts a set may have; -1 where only the first PARTS parts are joined)."""
-    size = math.floor((1 / t) ** (band + 1) + 1e-9)
-    d = difference(t, size)
-    for spare in range(PARTS - d):
-        parts, least = d + 1 + spare, max(1, math.floor((1 / t) ** band * t))
-        empty = parts * math.exp(-least / parts)
-        if parts == 1 or spare >= empty + 3 * math.sqrt(empty):
-            return parts, spare
-    return max(PARTS, math.ceil(size / LOAD)), -1
-
-
-def bands(t: float, sizes: np.ndarray) -> np.ndarray:
-    b = np.floor(np.log(np.maximum(sizes, 1)) / math.log(1 / t) + 1e-9).astype(np.int64)
-    return np.maximum(b, 0)
+def prefix(t: float, size: np.ndarray) -> np.ndarray:
+    """How many n-grams of a set are keys."""
+    return np.minimum(size, size - np.ceil(t * size - 1e-9).astype(np.int64) + 1)
 
 
 def set_ids(doc: np.ndarray, gram: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -75,106 +52,103 @@ def set_ids(doc: np.ndarray, gram: np.ndarray, rows: int) -> tuple[np.ndarray, n
     return size, out >> _U(1)
 
 
-def keys_of(doc: np.ndarray, gram: np.ndarray, size: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of the joined parts of all rows.
+def keys_of(doc: np.ndarray, gram: np.ndarray, size: np.ndarray, t: float, frequent: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, key, key before it or 0) of all rows; frequent: n-grams in order, count: how frequent each of them is."""
+    often = np.zeros(len(gram), np.int64)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, gram), len(frequent) - 1)
+        often = np.where(frequent[at] == gram, count[at], 0)
+    # the hashes of a row are in order already
+    gram = gram[np.lexsort((often, doc))]
+    place = np.arange(len(gram)) - (np.cumsum(size) - size)[doc]
+    before = np.zeros(len(gram), _U)
+    before[1:] = gram[:-1] | _U(1)
+    before[place == 0] = 0
+    keep = place < prefix(t, size)[doc]
+    return doc[keep], gram[keep], before[keep]
 
-    The lowest bit of a key tells whether it is of the row's own band, the next whether it suffices alone.
-    """
-    rows, out, strong = len(size), [], []
-    band = bands(t, size)
-    spread, code = mix(gram, 21), mix(gram, 22)
-    for own in (True, False):
-        b = band + (0 if own else 1)
-        table = {int(x): scheme(t, int(x)) for x in np.unique(b)}
-        parts = np.array([table[int(x)][0] for x in b], dtype=np.int64)
-        spare = np.array([table[int(x)][1] for x in b], dtype=np.int64)
-        part = (spread % parts[doc].astype(_U)).astype(np.int64)
-        in_ = np.flatnonzero(part < PARTS)
-        slot = doc[in_] * PARTS + part[in_]
-        content = np.zeros(rows * PARTS, _U)
-        np.bitwise_xor.at(content, slot, code[in_])
-        full = np.zeros(rows * PARTS, bool)
-        full[slot] = True
-        at = np.flatnonzero(full)
-        row = at // PARTS
-        out.append((row, mix(content[at] ^ mix((b[row] * PARTS + at % PARTS).astype(_U), 23)), np.full(len(at), own)))
-        strong.append(spare[row] >= 0)
-        # more empty parts than the scheme allows for: these sets meet each other
-        empty = np.minimum(parts, PARTS) - full.reshape(rows, PARTS).sum(axis=1) if rows else parts
-        rest = np.flatnonzero((spare >= 0) & (empty > spare) & (size > 0))
-        out.append((rest, mix(mix(b[rest].astype(_U), 24), 25), np.full(len(rest), own)))
-        strong.append(np.ones(len(rest), bool))
-    row, key, own_ = (np.concatenate(x) for x in zip(*out))
-    return row, (key & ~_U(3)) | (np.concatenate(strong).astype(_U) << _U(1)) | own_.astype(_U)
-
-
-def _signatures(n: int, t: float):
+
+def _signatures(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, 1):
                 doc, gram = grams(words(part.column(1)), part.num_rows, n)
                 size, sid = set_ids(doc, gram, part.num_rows)
-                row, key = keys_of(doc, gram, size, t)
-                order = np.argsort(row, kind="stable")
-                packed = key[order].view(np.int64)
-                offsets = np.searchsorted(row[order], np.arange(part.num_rows + 1))
                 keep = np.flatnonzero(size > 0)
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(packed))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sid.view(np.int64))], names=["doc_id", "sid"]).take(pa.array(keep))
+
+    return run
+
+
+def _sampled(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, 1):
+                gram, count = np.unique(grams(words(part.column(1)), part.num_rows, n)[1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(count)], names=["gram", "n"])
+
+    return run
+
+
+def _keys(n: int, t: float, frequent: np.ndarray, count: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, 1):
+                doc, gram = grams(words(part.column(1)), part.num_rows, n)
+                size, sid = set_ids(doc, gram, part.num_rows)
+                row, key, before = keys_of(doc, gram, size, t, frequent, count)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sid.view(np.int64)), pa.array(size), lists], names=["doc_id", "sid", "size", "keys"]
-                ).take(pa.array(keep))
+                    [pa.array(key.view(np.int64)), pa.array(sid.view(np.int64)[row]), pa.array(before.view(np.int64)), pa.array(size[row], pa.int32())],
+                    names=["key", "sid", "before", "size"],
+                )
+
+    return run
+
+
+def _meet(t: float):
+    """Pairs of sets with the same key, from rows in order of key; a key may go on in the next batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            rows = np.stack([np.asarray(c, dtype=np.int64) for c in batch.columns])
+            if not rows.shape[1]:
+                continue
+            cut = int(np.searchsorted(rows[0], rows[0, -1]))
+            if cut or (held and held[-1][0, -1] != rows[0, 0]):
+                yield from _pairs(np.concatenate([*held, rows[:, :cut]], axis=1), t)
+                held = []
+            held.append(rows[:, cut:])
+        if held:
+            yield from _pairs(np.concatenate(held, axis=1), t)
 
     return run
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of sets with the same key, from rows (key, sid) in order of key; a key may go on in the next batch."""
-    held = np.zeros((2, 0), np.int64)
-    seen_last = iter(batches)
-    batch = next(seen_last, None)
-    while batch is not None:
-        following = next(seen_last, None)
-        key = np.concatenate([held[0], np.asarray(batch.column(0))])
-        sid = np.concatenate([held[1], np.asarray(batch.column(1))])
-        whole = key >> 2
-        cut = len(key)
-        if following is not None and len(key):
-            cut = int(np.searchsorted(whole, whole[-1]))
-        held = np.stack([key[cut:], sid[cut:]])
-        yield from _pairs(key[:cut], sid[:cut])
-        batch = following
-
-
-def _pairs(keys: np.ndarray, sid: np.ndarray) -> Iterator[pa.RecordBatch]:
-    if not len(keys):
-        return
-    key, own, weight = keys >> 2, (keys & 1).astype(bool), 1 + ((keys >> 1) & 1)
-    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    length = np.diff(np.concatenate([start, [len(key)]]))
-    lows, highs, weights, held = [], [], [], 0
-    for a, n in zip(start[length > 1].tolist(), length[length > 1].tolist()):
-        # copies have the same key: one row for each set, of its own band if any is
-        order = np.lexsort((~own[a : a + n], sid[a : a + n]))
-        s, o = sid[a : a + n][order], own[a : a + n][order]
-        first = np.concatenate([[True], s[1:] != s[:-1]])
-        s, o = s[first], o[first]
-        step = max(1, PAIR_BLOCK // len(s))
-        for x in range(0, len(s) - 1, step):
-            i, j = np.triu_indices(min(step, len(s) - x), 1, len(s) - x)
-            ok = o[x + i] | o[x + j]
-            lows.append(s[x + i[ok]])
-            highs.append(s[x + j[ok]])
-            weights.append(np.full(int(ok.sum()), weight[a]))
-            held += int(ok.sum())
-            if held > PAIR_BLOCK:
-                yield _batch(lows, highs, weights)
-                lows, highs, weights, held = [], [], [], 0
-    if held:
-        yield _batch(lows, highs, weights)
+def _pairs(rows: np.ndarray, t: float) -> Iterator[pa.RecordBatch]:
+    """rows: key, sid, key before and size; the rows of a key are all there."""
+    key, sid, before, size = rows[:, np.lexsort((rows[1], rows[3], rows[0]))]
+    # copies have the same keys: one row for each set
+    once = np.concatenate([[True], (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])])[: len(key)]
+    key, sid, before, size = key[once], sid[once], before[once], size[once]
+    group = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]])[: len(key)])
+    most = np.minimum(np.floor(size / max(t, 1e-9) + 1e-9), (1 << 32) - 1).astype(np.int64)
+    high = np.searchsorted((group << 32) + size, (group << 32) + most, side="right")
+    partners = high - np.arange(len(key)) - 1
+    some = np.flatnonzero(partners)
+    block = np.cumsum(partners[some]) // PAIR_BLOCK
+    for mine in np.split(some, np.flatnonzero(np.diff(block)) + 1):
+        if len(mine):
+            n = partners[mine]
+            i = np.repeat(mine, n)
+            j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+            new = (before[i] != before[j]) | (before[i] == 0)
+            x, y = sid[i[new]], sid[j[new]]
+            yield _batch([np.minimum(x, y)], [np.maximum(x, y)])
 
 
 def _batch(*columns: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=["a", "b", "weight"])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=["a", "b"])
 
 
 def _sets(n: int):
@@ -190,6 +164,45 @@ def _sets(n: int):
     return run
 
 
+def _sketches(n: int):
+    """Each n-gram toggles one bit of a sketch whose width is a power of two; halves laid over each other make the next smaller width."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, 1):
+                doc, gram = grams(words(part.column(1)), part.num_rows, n)
+                size, sid = set_ids(doc, gram, part.num_rows)
+                width = 1 << np.maximum(6, np.ceil(np.log2(np.maximum(2 * size, 1)))).astype(np.int64)
+                at = np.concatenate([[0], np.cumsum(width >> 3)])
+                bit = (mix(gram, 21) & (width[doc] - 1).astype(_U)).astype(np.int64)
+                data = np.zeros(at[-1], np.uint8)
+                np.bitwise_xor.at(data, at[doc] + (bit >> 3), (1 << (bit & 7)).astype(np.uint8))
+                sketches = [data[at[i] : at[i + 1]].tobytes() for i in range(part.num_rows)]
+                yield pa.RecordBatch.from_arrays([pa.array(sid.view(np.int64)), pa.array(sketches, pa.binary()), pa.array(size, pa.int32())], names=["sid", "sketch", "size"])
+
+    return run
+
+
+def _near(t: float):
+    """The pairs whose sketches don't rule out J >= t."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, sa, sb, na, nb = batch.columns
+            most = np.floor((1 - t) / (1 + t) * (np.asarray(na, dtype=np.int64) + np.asarray(nb)) + 1e-9)
+            apart = np.zeros(batch.num_rows)
+            for i in range(batch.num_rows):
+                x, y = np.frombuffer(sa[i].as_buffer(), _U), np.frombuffer(sb[i].as_buffer(), _U)
+                while len(x) > len(y):
+                    x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+                while len(y) > len(x):
+                    y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+                apart[i] = np.bitwise_count(x ^ y).sum()
+            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).take(pa.array(np.flatnonzero(apart <= most)))
+
+    return run
+
+
 def _verify(t: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,23 +220,54 @@ def _verify(t: float):
     return run
 
 
+def _frequent(own: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(n-grams in order, texts that have them) of at most FREQUENT of those that occur more than once in about
+    SAMPLE_BYTES of the texts. They only settle the order of the keys, and any order finds all pairs."""
+    whole = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    share = max(1, -(-whole // SAMPLE_BYTES))
+    sample = own.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).mapInArrow(_sampled(n), "gram long, n long")
+    counts = written(sample.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1"), "frequent")
+    least, total = None, 0
+    for r in counts.groupBy(F.least("n", F.lit(1000)).alias("n")).count().orderBy(F.desc("n")).collect():
+        total += r["count"]
+        if total > FREQUENT and least is not None:
+            break
+        least = r["n"]
+    found = counts.where(F.col("n") >= (least or 0)).toArrow()
+    gram, count = (np.asarray(found.column(c).combine_chunks()) for c in ("gram", "n"))
+    gram = gram.view(_U)
+    order = np.argsort(gram)
+    return gram[order], count[order]
+
+
 def _search(docs: DataFrame, n: int, t: float) -> tuple[DataFrame, DataFrame]:
     """(groups, pairs): groups has (sid, rep, docs) of each distinct set, pairs (a, b, jaccard) of sids that match."""
     own = own_columns(docs, {"doc_id": F.col("doc_id").cast("long"), "text": "text"}).where("doc_id is not null")
-    signed = written(own.mapInArrow(_signatures(n, t), "doc_id long, sid long, size long, keys array<long>"), "signatures")
+    signed = own.mapInArrow(_signatures(n), "doc_id long, sid long")
     groups = written(
         signed.groupBy("sid").agg(F.array_sort(F.collect_set("doc_id")).alias("docs")).withColumn("rep", F.col("docs")[0]), "groups"
     )
-    keyed = signed.select(F.explode("keys").alias("key"), "sid")
-    # the two flag bits are not part of what must be equal
-    met = keyed.repartition(F.shiftright("key", 2)).sortWithinPartitions("key").mapInArrow(_meet, "a long, b long, weight long")
-    met = written(met.groupBy("a", "b").agg(F.sum("weight").alias("weight")).where(F.col("weight") >= 2).select("a", "b"), "candidates")
-    ids = met.select(F.col("a").alias("sid")).unionByName(met.select(F.col("b").alias("sid"))).distinct()
-    reps = written(groups.join(ids, "sid", "left_semi").select("rep").distinct(), "candidate_ids")
-    texts = own.join(sized(reps), own["doc_id"] == reps["rep"], "left_semi")
-    sets = written(texts.mapInArrow(_sets(n), "sid long, grams binary").dropDuplicates(["sid"]), "sets")
+    keyed = own.mapInArrow(_keys(n, t, *_frequent(own, n)), "key long, sid long, before long, size int")
+    met = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_meet(t), "a long, b long")
+    met = written(met.distinct(), "candidates")
+
+    def of_sets(pairs: DataFrame, name: str, make, schema: str) -> DataFrame:
+        """What make has for each of the sets in pairs, once."""
+        ids = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
+        reps = written(groups.join(ids, "sid", "left_semi").select("rep").distinct(), f"{name}_ids")
+        texts = own.join(sized(reps), own["doc_id"] == reps["rep"], "left_semi")
+        return written(texts.mapInArrow(make, schema).dropDuplicates(["sid"]), name)
+
+    sketches = of_sets(met, "sketches", _sketches(n), "sid long, sketch binary, size int")
+    near = (
+        met.join(sketches.select(F.col("sid").alias("a"), F.col("sketch").alias("sa"), F.col("size").alias("na")), "a")
+        .join(sketches.select(F.col("sid").alias("b"), F.col("sketch").alias("sb"), F.col("size").alias("nb")), "b")
+        .select("a", "b", "sa", "sb", "na", "nb")
+    )
+    near = written(near.mapInArrow(_near(t), "a long, b long"), "near")
+    sets = of_sets(near, "sets", _sets(n), "sid long, grams binary")
     pairs = (
-        met.join(sets.select(F.col("sid").alias("a"), F.col("grams").alias("ga")), "a")
+        near.join(sets.select(F.col("sid").alias("a"), F.col("grams").alias("ga")), "a")
         .join(sets.select(F.col("sid").alias("b"), F.col("grams").alias("gb")), "b")
         .select("a", "b", "ga", "gb")
         .mapInArrow(_verify(t), "a long, b long, jaccard double")

@@ -90,6 +90,24 @@ def test_ngram_join_across_bands(spark):
     assert got == {(i, i + 1) for i in range(0, len(rows), 2)}
 
 
+def test_ngram_join_at_the_threshold(spark):
+    """No pair is missed, of whatever sizes, however close to the threshold; and the order of the keys doesn't matter."""
+    rows = []
+    for large in [*range(3, 120), 500, 1000, 5000, *[3, 5, 300] * 150]:
+        text = [f"w{len(rows)}x{i}" for i in range(large + 2)]
+        small = next(k for k in range(1, large + 1) if k / large >= ngram_join.THRESHOLD)
+        rows += [(len(rows), " ".join(text[: small + 2])), (len(rows) + 1, " ".join(text))]
+    # most of their n-grams are common to many texts
+    shared = [f"s{i}" for i in range(60)]
+    rows += [(len(rows) + k, " ".join([*shared, *[f"t{k}x{i}" for i in range(70 if k else 20)]])) for k in range(30)]
+    rows += [(len(rows), rows[-30][1] + " end")]
+    got = {(r["rep_a"], r["rep_b"]) for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    n = len(rows) - 31
+    sets = {i: {tuple(w[k : k + 3]) for k in range(len(w) - 2)} for i, t in rows[n:] for w in [t.split()]}
+    want = {(a, b) for a, b in itertools.combinations(sets, 2) if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= ngram_join.THRESHOLD}
+    assert got == {(i, i + 1) for i in range(0, n, 2)} | want and want
+
+
 def test_substring_dedup(docs, nothing):
     k, places, total = substring_dedup.K, collections.defaultdict(set), {}
     for i, t, *_ in corpus():
