@@ -172,6 +172,20 @@ def test_lm_score_predicts_like_a_code():
     assert (2.0 ** -cost.astype(np.float64)).sum() == pytest.approx(1, rel=1e-4)
 
 
+def test_lm_score_adapts_within_a_document():
+    """A long document that repeats itself is cheap, and the gates are fitted, however small the corpus is."""
+    rng = random.Random(5)
+    once = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=2000))
+    other = [prose(rng, 300) for _ in range(60)]
+    bits, size = lm_score.costs(pa.array([*other[:30], once * 50, *other[30:]]), first=31)
+    assert bits[30] / size[30] < 2.5
+    model = lm_score.Mixer()
+    text = pa.array(other)
+    for _, key, count, _ in lm_score.blocks(*lm_score.raw(text), lm_score.BLOCK):
+        model.learn(key, count, False)
+    assert not np.array_equal(model.weight, lm_score.Mixer().weight)
+
+
 def test_lm_score(spark, docs, nothing):
     got = {r["doc_id"]: r for r in lm_score.score(docs, slot_bits=16).collect()}
     assert got[120]["bits_per_byte"] is None and got[121]["bytes"] == 0 and got[124]["bits_per_byte"] < 6
