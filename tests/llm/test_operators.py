@@ -186,6 +186,13 @@ def test_lm_score_adapts_within_a_document():
     assert not np.array_equal(model.weight, lm_score.Mixer().weight)
 
 
+def test_lm_score_learns_from_every_context():
+    for key in range(1 << 20, (1 << 20) + 40):
+        model = lm_score.Mixer(12)
+        model.learn(np.array([key], np.uint64), np.array([3]), False)
+        assert model.map.sum() == 3 * 8
+
+
 def test_lm_score(spark, docs, nothing):
     got = {r["doc_id"]: r for r in lm_score.score(docs, slot_bits=16).collect()}
     assert got[120]["bits_per_byte"] is None and got[121]["bytes"] == 0 and got[124]["bits_per_byte"] < 6
