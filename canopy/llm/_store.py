@@ -1,10 +1,11 @@
-"""Written tables that cut lineage, size-checked joins, connected components."""
+"""Written tables that cut lineage, size-checked joins, forests and connected components."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, keep_files: int | None = None) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: it survives lost executors and is computed once."""
     spark = df.sparkSession
     path = new_path(spark, name)
@@ -52,6 +53,26 @@ def sized(small: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(small) if small.count() <= most_rows else small
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of each id to the least id that the pairs connect it with."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    one, two = at[: len(a)], at[len(a) :]
+    label = np.arange(len(ids))
+    while True:
+        low = np.minimum(label[one], label[two])
+        new = label.copy()
+        np.minimum.at(new, one, low)
+        np.minimum.at(new, two, low)
+        np.minimum.at(new, label[one], low)
+        np.minimum.at(new, label[two], low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    keep = label != np.arange(len(ids))
+    return ids[label[keep]], ids[keep]
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component): component is the least node that edges connect to node.
 

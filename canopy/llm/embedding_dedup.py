@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canopy.llm._store import components, own_columns, written
+from canopy.llm._store import components, forest, own_columns, written
 from canopy.llm._text import mix
 
 THRESHOLD = 0.9
@@ -197,26 +197,6 @@ def matches(graph: Graph, queries: np.ndarray, names: np.ndarray, threshold: flo
     return i[ok], k[ok], beam
 
 
-def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links of each id to the least id that the pairs connect it with."""
-    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-    one, two = at[: len(a)], at[len(a) :]
-    label = np.arange(len(ids))
-    while True:
-        low = np.minimum(label[one], label[two])
-        new = label.copy()
-        np.minimum.at(new, one, low)
-        np.minimum.at(new, two, low)
-        np.minimum.at(new, label[one], low)
-        np.minimum.at(new, label[two], low)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    keep = label != np.arange(len(ids))
-    return ids[label[keep]], ids[keep]
-
-
 def _build(key: tuple, table: pa.Table) -> pa.Table:
     table = table.sort_by("id")
     size = key[0].as_py()

@@ -1,19 +1,24 @@
-"""Exact n-gram Jaccard join by prefixes in order of rarity.
+"""Exact n-gram Jaccard join: prefixes in order of rarity, parity sketches, verification.
 
 A text is the set A of its distinct n-grams of words. J(A, B) >= t asks for at least ceil(t |A|) common n-grams, so if
-all sets are in one and the same order, the first |A| - ceil(t |A|) + 1 n-grams of A and those of B have one in common:
-these prefixes are the join keys, and no pair is missed, whatever its sizes. Any order is right; the one by the frequency
-in a sample of the texts (then by hash) leaves the common n-grams out of most prefixes and keeps the groups small.
+all sets are in one and the same order, the first |A| - ceil(t |A|) + 1 n-grams of A and those of B have one in common
+(pigeonhole): these prefixes are the join keys, and no pair is missed, whatever its sizes. Any order is right; the one by
+the frequency in a sample of the texts (then by hash) leaves the common n-grams out of most prefixes and keeps the groups
+small. A key that the sample shows in more than HOT sets is cut into blocks of sets, and every two blocks meet apart.
 
 Sets with a common key meet if |B| >= t |A|. Each key carries the one before it: where it is the same in both sets, they
-have met there already, so near copies meet once for each run of common n-grams. Then parity sketches of two to four bits
-for an n-gram are compared: their Hamming distance is at most the sets' symmetric difference, which J(A, B) >= t bounds by
-(1 - t) / (1 + t) * (|A| + |B|), so only pairs that don't match are dropped. The others are verified on the whole sets.
-
-Defined results: rows with a null doc_id are left out, null and wordless texts have the empty set and pair with
-nothing, texts of fewer than n words have one n-gram. Texts with equal sets (copies above all) form one entry with the
-list of all their doc_ids, so the result stays linear in the copies. A doc_id that occurs in several rows stands for
-each of its texts. Extra columns are ignored.
+have met there already, so near copies meet once for each run of common n-grams.
+
+Every set has a parity sketch: each n-gram toggles one of two to four bits an n-gram. The Hamming distance of two
+sketches is at most the sets' symmetric difference, which J(A, B) >= t bounds by (1 - t) / (1 + t) * (|A| + |B|), so only
+pairs that don't match are dropped. The rest is verified on the whole sets. For both steps pairs are dealt into blocks of
+sets that have partners in common; a block gets each of its sketches or sets once, not once for every pair, and gives
+the links of each set and a spanning forest, so the result never holds a row for each pair.
+
+Defined results: every document (doc_id, distinct n-gram set) has one row. Rows with a null doc_id are left out; null and
+wordless texts have no set, no links and are their own winner; texts of fewer than n words have one n-gram. Equal rows
+count once. A doc_id with texts of several sets has a row for each of them. Ties don't matter. Extra columns are ignored.
+Sets and n-grams are told apart by 64-bit hashes, keys before by 40 bits.
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canopy.llm._store import components, own_columns, sized, written
+from canopy.llm._store import components, forest, own_columns, sized, written
 from canopy.llm._text import grams, mix, pieces, words
 
 N = 3
@@ -33,7 +38,10 @@ THRESHOLD = 0.6
 SAMPLE_BYTES = 64 << 20
 FREQUENT = 1 << 19
 PAIR_BLOCK = 1 << 18
+HOT = 1 << 20
+BLOCK_GRAMS = 1 << 21
 _U = np.uint64
+_MOST_SIZE = (1 << 24) - 1
 
 
 def prefix(t: float, size: np.ndarray) -> np.ndarray:
@@ -52,30 +60,53 @@ def set_ids(doc: np.ndarray, gram: np.ndarray, rows: int) -> tuple[np.ndarray, n
     return size, out >> _U(1)
 
 
+def sketches(doc: np.ndarray, gram: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """Parity sketches; their width is a power of two, and halves laid over each other make the next smaller width."""
+    width = 1 << np.maximum(6, np.ceil(np.log2(np.maximum(2 * size, 1)))).astype(np.int64)
+    at = np.concatenate([[0], np.cumsum(width >> 3)])
+    bit = (mix(gram, 21) & (width[doc] - 1).astype(_U)).astype(np.int64) + 8 * at[doc]
+    parity = (np.bincount(bit, minlength=8 * at[-1]) & 1).astype(np.uint8)
+    data = np.packbits(parity, bitorder="little").tobytes()
+    return [data[a:z] for a, z in zip(at.tolist(), at[1:].tolist())]
+
+
 def keys_of(doc: np.ndarray, gram: np.ndarray, size: np.ndarray, t: float, frequent: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(row, key, key before it or 0) of all rows; frequent: n-grams in order, count: how frequent each of them is."""
+    """(row, key, key before it or 0, sample's count) of all rows; frequent: n-grams in order, count: of each of them."""
     often = np.zeros(len(gram), np.int64)
     if len(frequent):
         at = np.minimum(np.searchsorted(frequent, gram), len(frequent) - 1)
         often = np.where(frequent[at] == gram, count[at], 0)
     # the hashes of a row are in order already
-    gram = gram[np.lexsort((often, doc))]
+    order = np.lexsort((often, doc))
+    gram, often = gram[order], often[order]
     place = np.arange(len(gram)) - (np.cumsum(size) - size)[doc]
     before = np.zeros(len(gram), _U)
-    before[1:] = gram[:-1] | _U(1)
+    before[1:] = gram[:-1] >> _U(24) | _U(1)
     before[place == 0] = 0
     keep = place < prefix(t, size)[doc]
-    return doc[keep], gram[keep], before[keep]
+    return doc[keep], gram[keep], before[keep], often[keep]
+
 
+def split(key: np.ndarray, sid: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which entry, key) with an entry of `rows` expected rows in each two of its ceil(rows / HOT) blocks."""
+    blocks = np.maximum(1, -(-rows // HOT))
+    if (blocks == 1).all():
+        return np.arange(len(key)), key
+    at = np.repeat(np.arange(len(key)), blocks)
+    other = np.arange(len(at)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    own = (mix(sid[at], 51) % blocks[at].astype(_U)).astype(np.int64)
+    pair = np.minimum(own, other) << 32 | np.maximum(own, other)
+    return at, np.where(blocks[at] > 1, mix(key[at] ^ mix(pair.astype(_U), 52), 53), key[at])
 
-def _signatures(n: int):
+
+def _signed(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, 1):
-                doc, gram = grams(words(part.column(1)), part.num_rows, n)
+            for part in pieces(batch, 2):
+                doc, gram = grams(words(part.column(2)), part.num_rows, n)
                 size, sid = set_ids(doc, gram, part.num_rows)
-                keep = np.flatnonzero(size > 0)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sid.view(np.int64))], names=["doc_id", "sid"]).take(pa.array(keep))
+                body = pa.array(sketches(doc, gram, size), pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sid.view(np.int64)), pa.array(size, pa.int32()), body], names=["doc_id", "h", "sid", "size", "body"])
 
     return run
 
@@ -83,24 +114,23 @@ def _signatures(n: int):
 def _sampled(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, 1):
-                gram, count = np.unique(grams(words(part.column(1)), part.num_rows, n)[1], return_counts=True)
+            for part in pieces(batch, 2):
+                gram, count = np.unique(grams(words(part.column(2)), part.num_rows, n)[1], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(count)], names=["gram", "n"])
 
     return run
 
 
-def _keys(n: int, t: float, frequent: np.ndarray, count: np.ndarray):
+def _keys(n: int, t: float, frequent: np.ndarray, count: np.ndarray, share: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, 1):
-                doc, gram = grams(words(part.column(1)), part.num_rows, n)
+            for part in pieces(batch, 2):
+                doc, gram = grams(words(part.column(2)), part.num_rows, n)
                 size, sid = set_ids(doc, gram, part.num_rows)
-                row, key, before = keys_of(doc, gram, size, t, frequent, count)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(sid.view(np.int64)[row]), pa.array(before.view(np.int64)), pa.array(size[row], pa.int32())],
-                    names=["key", "sid", "before", "size"],
-                )
+                row, key, before, often = keys_of(doc, gram, size, t, frequent, count)
+                at, key = split(key, sid[row], often * share)
+                rest = before << _U(24) | np.minimum(size[row], _MOST_SIZE).astype(_U)
+                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (key, sid[row][at], rest[at])], names=["key", "sid", "rest"])
 
     return run
 
@@ -126,8 +156,13 @@ def _meet(t: float):
 
 
 def _pairs(rows: np.ndarray, t: float) -> Iterator[pa.RecordBatch]:
-    """rows: key, sid, key before and size; the rows of a key are all there."""
-    key, sid, before, size = rows[:, np.lexsort((rows[1], rows[3], rows[0]))]
+    """rows: key, sid, and key before with size; the rows of a key are all there."""
+    alone = rows[0, 1:] != rows[0, :-1]
+    ends = np.concatenate([[True], alone]) & np.concatenate([alone, [True]])
+    rows = rows[:, ~ends[: rows.shape[1]]]
+    size = rows[2] & _MOST_SIZE
+    order = np.lexsort((rows[1], size, rows[0]))
+    key, sid, before, size = rows[0, order], rows[1, order], rows[2, order] >> 24, size[order]
     # copies have the same keys: one row for each set
     once = np.concatenate([[True], (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])])[: len(key)]
     key, sid, before, size = key[once], sid[once], before[once], size[once]
@@ -144,85 +179,90 @@ def _pairs(rows: np.ndarray, t: float) -> Iterator[pa.RecordBatch]:
             j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
             new = (before[i] != before[j]) | (before[i] == 0)
             x, y = sid[i[new]], sid[j[new]]
-            yield _batch([np.minimum(x, y)], [np.maximum(x, y)])
-
-
-def _batch(*columns: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
 
 def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, 1):
-                doc, gram = grams(words(part.column(1)), part.num_rows, n)
+            for part in pieces(batch, 2):
+                doc, gram = grams(words(part.column(2)), part.num_rows, n)
                 size, sid = set_ids(doc, gram, part.num_rows)
                 at = np.concatenate([[0], np.cumsum(size)])
                 sets = [gram[at[i] : at[i + 1]].tobytes() for i in range(part.num_rows)]
-                yield pa.RecordBatch.from_arrays([pa.array(sid.view(np.int64)), pa.array(sets, pa.binary())], names=["sid", "grams"])
+                yield pa.RecordBatch.from_arrays([pa.array(sid.view(np.int64)), pa.array(sets, pa.binary())], names=["sid", "body"])
 
     return run
 
 
-def _sketches(n: int):
-    """Each n-gram toggles one bit of a sketch whose width is a power of two; halves laid over each other make the next smaller width."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in pieces(batch, 1):
-                doc, gram = grams(words(part.column(1)), part.num_rows, n)
-                size, sid = set_ids(doc, gram, part.num_rows)
-                width = 1 << np.maximum(6, np.ceil(np.log2(np.maximum(2 * size, 1)))).astype(np.int64)
-                at = np.concatenate([[0], np.cumsum(width >> 3)])
-                bit = (mix(gram, 21) & (width[doc] - 1).astype(_U)).astype(np.int64)
-                data = np.zeros(at[-1], np.uint8)
-                np.bitwise_xor.at(data, at[doc] + (bit >> 3), (1 << (bit & 7)).astype(np.uint8))
-                sketches = [data[at[i] : at[i + 1]].tobytes() for i in range(part.num_rows)]
-                yield pa.RecordBatch.from_arrays([pa.array(sid.view(np.int64)), pa.array(sketches, pa.binary()), pa.array(size, pa.int32())], names=["sid", "sketch", "size"])
-
-    return run
+def _held(pairs: pa.Table, bodies: pa.Table) -> tuple[np.ndarray, ...]:
+    """(sids in order, their sizes, their bodies, place of a, place of b)."""
+    bodies = bodies.sort_by("sid")
+    sid = np.asarray(bodies.column("sid"))
+    a, b = (np.asarray(pairs.column(c)) for c in ("a", "b"))
+    return sid, np.asarray(bodies.column("size"), dtype=np.int64), bodies.column("body").to_pylist(), np.searchsorted(sid, a), np.searchsorted(sid, b)
 
 
 def _near(t: float):
     """The pairs whose sketches don't rule out J >= t."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b, sa, sb, na, nb = batch.columns
-            most = np.floor((1 - t) / (1 + t) * (np.asarray(na, dtype=np.int64) + np.asarray(nb)) + 1e-9)
-            apart = np.zeros(batch.num_rows)
-            for i in range(batch.num_rows):
-                x, y = np.frombuffer(sa[i].as_buffer(), _U), np.frombuffer(sb[i].as_buffer(), _U)
-                while len(x) > len(y):
-                    x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-                while len(y) > len(x):
-                    y = y[: len(y) // 2] ^ y[len(y) // 2 :]
-                apart[i] = np.bitwise_count(x ^ y).sum()
-            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).take(pa.array(np.flatnonzero(apart <= most)))
+    def run(pairs: pa.Table, bodies: pa.Table) -> pa.Table:
+        sid, size, body, i, j = _held(pairs, bodies)
+        width = np.array([len(x) for x in body], np.int64) >> 3
+        narrow = np.minimum(width[i], width[j])
+        apart = np.zeros(len(i), np.int64)
+        for w in np.unique(narrow).tolist():
+            mine = np.flatnonzero(narrow == w)
+            used, at = np.unique(np.concatenate([i[mine], j[mine]]), return_inverse=True)
+            table = np.stack([np.bitwise_xor.reduce(np.frombuffer(body[k], _U).reshape(-1, w), axis=0) for k in used.tolist()])
+            x, y = at[: len(mine)], at[len(mine) :]
+            for low in range(0, len(mine), step := max(1, (1 << 20) // w)):
+                cut = slice(low, low + step)
+                apart[mine[cut]] = np.bitwise_count(table[x[cut]] ^ table[y[cut]]).sum(axis=1)
+        ok = apart <= np.floor((1 - t) / (1 + t) * (size[i] + size[j]) + 1e-9)
+        return pa.table({"a": pa.array(sid[i[ok]]), "b": pa.array(sid[j[ok]])})
 
     return run
 
 
 def _verify(t: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b, ga, gb = batch.columns
-            j = np.zeros(batch.num_rows)
-            for i in range(batch.num_rows):
-                x = np.frombuffer(ga[i].as_buffer(), _U)
-                y = np.frombuffer(gb[i].as_buffer(), _U)
-                both = np.sort(np.concatenate([x, y]))
-                same = int((both[1:] == both[:-1]).sum())
-                j[i] = same / (len(x) + len(y) - same)
-            ok = np.flatnonzero(j >= t)
-            yield pa.RecordBatch.from_arrays([a, b, pa.array(j)], names=["a", "b", "jaccard"]).take(pa.array(ok))
+    """(sid, root, links) of each set with J >= t in the block: root is the least set that the block connects it with."""
+
+    def run(pairs: pa.Table, bodies: pa.Table) -> pa.Table:
+        sid, size, body, i, j = _held(pairs, bodies)
+        docs = np.asarray(bodies.sort_by("sid").column("n"), dtype=np.int64)
+        at = np.concatenate([[0], np.cumsum(size)])
+        gram = np.unique(np.frombuffer(b"".join(body), _U), return_inverse=True)[1]
+        mark = np.zeros(int(gram.max()) + 1 if len(gram) else 0, bool)
+        order = np.argsort(i, kind="stable")
+        i, j = i[order], j[order]
+        ok = np.zeros(len(i), bool)
+        heads = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1]])) if len(i) else np.zeros(0, np.int64)
+        for low, high in zip(heads.tolist(), [*heads[1:].tolist(), len(i)]):
+            one = int(i[low])
+            mine = gram[at[one] : at[one + 1]]
+            mark[mine] = True
+            for a in range(low, high, 256):
+                two = j[a : min(high, a + 256)]
+                n = size[two]
+                spots = np.arange(int(n.sum())) + np.repeat(at[two] - (np.cumsum(n) - n), n)
+                same = np.add.reduceat(mark[gram[spots]].astype(np.int64), np.cumsum(n) - n)
+                ok[a : a + len(two)] = same / (size[one] + n - same) >= t
+            mark[mine] = False
+        i, j = i[ok], j[ok]
+        links = np.bincount(i, docs[j], len(sid)) + np.bincount(j, docs[i], len(sid))
+        root = np.arange(len(sid))
+        top, low_ = forest(i, j)
+        root[low_] = top
+        some = np.flatnonzero(links)
+        return pa.table({"sid": pa.array(sid[some]), "root": pa.array(sid[root[some]]), "links": pa.array(links[some].astype(np.int64))})
 
     return run
 
 
-def _frequent(own: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(n-grams in order, texts that have them) of at most FREQUENT of those that occur more than once in about
-    SAMPLE_BYTES of the texts. They only settle the order of the keys, and any order finds all pairs."""
+def _frequent(own: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(n-grams in order, sampled texts that have them, the sample's share) of at most FREQUENT of those that occur more
+    than once in about SAMPLE_BYTES of the texts. They only settle the order of the keys, and any order finds all pairs."""
     whole = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     share = max(1, -(-whole // SAMPLE_BYTES))
     sample = own.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).mapInArrow(_sampled(n), "gram long, n long")
@@ -237,75 +277,83 @@ def _frequent(own: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     gram, count = (np.asarray(found.column(c).combine_chunks()) for c in ("gram", "n"))
     gram = gram.view(_U)
     order = np.argsort(gram)
-    return gram[order], count[order]
+    return gram[order], count[order], share
+
+
+def _compared(pairs: DataFrame, bodies: DataFrame, judge, schema: str) -> DataFrame:
+    """judge over all pairs (a, b) with the bodies (sid, size, n, body) of both, in blocks.
+
+    The home of a pair is the least set that is a or a partner of a, so sets with common partners share a home. Homes are
+    dealt into buckets of about BLOCK_GRAMS n-grams; a home of more than that is cut by both sides of its pairs.
+    """
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    homes = both.groupBy("a").agg(F.min("b").alias("home")).withColumn("home", F.least("a", "home"))
+    placed = written(pairs.join(homes, "a"), "placed")
+    need = placed.select("home", F.col("a").alias("sid")).unionByName(placed.select("home", F.col("b").alias("sid"))).distinct()
+    weight = written(need.join(bodies.select("sid", "size"), "sid").groupBy("home").agg(F.sum("size").alias("weight")), "weights")
+    buckets = max(1, -(-(weight.agg(F.sum("weight")).first()[0] or 0) // BLOCK_GRAMS))
+    large = weight.where(F.col("weight") > BLOCK_GRAMS).select("home", F.ceil(2 * F.col("weight") / BLOCK_GRAMS).cast("int").alias("cuts"))
+    dealt = placed.join(sized(large), "home", "left")
+
+    def side(c: str):
+        return F.when(F.col("cuts").isNull(), 0).otherwise(F.pmod(F.xxhash64(c), F.col("cuts"))).cast("int")
+
+    bucket = F.when(F.col("cuts").isNull(), F.pmod(F.xxhash64("home"), F.lit(buckets))).otherwise(F.col("home"))
+    dealt = dealt.select("a", "b", bucket.alias("bucket"), side("a").alias("i"), side("b").alias("j"))
+    block = ["bucket", "i", "j"]
+    need = dealt.select(*block, F.col("a").alias("sid")).unionByName(dealt.select(*block, F.col("b").alias("sid"))).distinct()
+    shipped = need.join(bodies, "sid").select(*[F.col(c).alias(f"to_{c}") for c in block], "sid", "size", "n", "body")
+    return dealt.groupBy(*block).cogroup(shipped.groupBy(*[f"to_{c}" for c in block])).applyInArrow(judge, schema)
 
 
 def _search(docs: DataFrame, n: int, t: float) -> tuple[DataFrame, DataFrame]:
-    """(groups, pairs): groups has (sid, rep, docs) of each distinct set, pairs (a, b, jaccard) of sids that match."""
-    own = own_columns(docs, {"doc_id": F.col("doc_id").cast("long"), "text": "text"}).where("doc_id is not null")
-    signed = own.mapInArrow(_signatures(n), "doc_id long, sid long")
-    groups = written(
-        signed.groupBy("sid").agg(F.array_sort(F.collect_set("doc_id")).alias("docs")).withColumn("rep", F.col("docs")[0]), "groups"
-    )
-    keyed = own.mapInArrow(_keys(n, t, *_frequent(own, n)), "key long, sid long, before long, size int")
+    """(rows, groups): rows (doc_id, h, sid, size, body) of the documents, h a hash of the text; groups (sid, winner,
+    n_links) of the sets that have a link or several doc_ids."""
+    own = own_columns(docs, {"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")}).where("doc_id is not null")
+    own = own.select("doc_id", F.xxhash64("text").alias("h"), "text")
+    signed = written(own.mapInArrow(_signed(n), "doc_id long, h long, sid long, size int, body binary"), "signed")
+    members = signed.where("size > 0").groupBy("sid", "doc_id").agg(F.min("h").alias("h"), F.max("size").alias("size"))
+    groups = members.groupBy("sid").agg(F.min(F.struct("doc_id", "h")).alias("rep"), F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
+    groups = written(groups.select("sid", F.col("rep.doc_id").alias("rep"), F.col("rep.h").alias("h"), "n", "size"), "groups")
+    rest = signed.where("size > 0").join(groups.select("sid", "rep", F.col("h").alias("rep_h")), "sid").where("doc_id <> rep or h <> rep_h")
+    rest = written(rest.select("doc_id", "h").distinct(), "copies")
+    keyed = own.join(sized(rest), ["doc_id", "h"], "left_anti").select("doc_id", "h", "text")
+    keyed = keyed.mapInArrow(_keys(n, t, *_frequent(own, n)), "key long, sid long, rest long")
     met = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_meet(t), "a long, b long")
     met = written(met.distinct(), "candidates")
-
-    def of_sets(pairs: DataFrame, name: str, make, schema: str) -> DataFrame:
-        """What make has for each of the sets in pairs, once."""
-        ids = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
-        reps = written(groups.join(ids, "sid", "left_semi").select("rep").distinct(), f"{name}_ids")
-        texts = own.join(sized(reps), own["doc_id"] == reps["rep"], "left_semi")
-        return written(texts.mapInArrow(make, schema).dropDuplicates(["sid"]), name)
-
-    sketches = of_sets(met, "sketches", _sketches(n), "sid long, sketch binary, size int")
-    near = (
-        met.join(sketches.select(F.col("sid").alias("a"), F.col("sketch").alias("sa"), F.col("size").alias("na")), "a")
-        .join(sketches.select(F.col("sid").alias("b"), F.col("sketch").alias("sb"), F.col("size").alias("nb")), "b")
-        .select("a", "b", "sa", "sb", "na", "nb")
-    )
-    near = written(near.mapInArrow(_near(t), "a long, b long"), "near")
-    sets = of_sets(near, "sets", _sets(n), "sid long, grams binary")
-    pairs = (
-        near.join(sets.select(F.col("sid").alias("a"), F.col("grams").alias("ga")), "a")
-        .join(sets.select(F.col("sid").alias("b"), F.col("grams").alias("gb")), "b")
-        .select("a", "b", "ga", "gb")
-        .mapInArrow(_verify(t), "a long, b long, jaccard double")
-    )
-    return groups, pairs
+    sketched = signed.join(groups.select("sid", F.col("rep").alias("doc_id"), "h", "n"), ["sid", "doc_id", "h"]).dropDuplicates(["sid"])
+    near = written(_compared(met, sketched.select("sid", "size", "n", "body"), _near(t), "a long, b long"), "near")
+    ids = near.select(F.col("a").alias("sid")).unionByName(near.select(F.col("b").alias("sid"))).distinct()
+    few = written(groups.join(ids, "sid", "left_semi"), "matched")
+    texts = own.join(sized(few.select(F.col("rep").alias("doc_id"), "h")), ["doc_id", "h"], "left_semi").select("doc_id", "h", "text")
+    sets = texts.mapInArrow(_sets(n), "sid long, body binary").dropDuplicates(["sid"])
+    sets = written(sets.join(few.select("sid", "size", "n"), "sid"), "sets")
+    linked = written(_compared(near, sets, _verify(t), "sid long, root long, links long"), "linked")
+    classes = components(linked.select("sid", "root"), "sid", "root").withColumnsRenamed({"node": "sid", "component": "class"})
+    links = linked.groupBy("sid").agg(F.sum("links").alias("links"))
+    found = groups.join(classes, "sid", "left").join(links, "sid", "left").where("class is not null or n > 1")
+    found = written(found.select("sid", "rep", F.coalesce("class", "sid").alias("class"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")), "classes")
+    winners = found.groupBy("class").agg(F.min("rep").alias("winner"))
+    return signed, found.join(winners, "class").select("sid", "winner", "n_links")
 
 
 def join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD) -> DataFrame:
-    """(rep_a, rep_b, jaccard, docs_a, docs_b) for all pairs of distinct n-gram sets with J >= threshold, rep_a <
-    rep_b the least doc_ids of the lists docs_a and docs_b; and a row with rep_a = rep_b and jaccard 1 for each set
-    that several doc_ids have. (An id with several texts can put a rep on both sides.)"""
-    groups, pairs = _search(docs, n, threshold)
-    left = groups.select(F.col("sid").alias("a"), F.col("rep").alias("x"), F.col("docs").alias("dx"))
-    right = groups.select(F.col("sid").alias("b"), F.col("rep").alias("y"), F.col("docs").alias("dy"))
-    both = pairs.join(left, "a").join(right, "b")
-    first = F.col("x") <= F.col("y")
-    both = both.select(
-        F.least("x", "y").alias("rep_a"), F.greatest("x", "y").alias("rep_b"), "jaccard",
-        F.when(first, F.col("dx")).otherwise(F.col("dy")).alias("docs_a"), F.when(first, F.col("dy")).otherwise(F.col("dx")).alias("docs_b"),
-    )
-    copies = groups.where(F.size("docs") > 1).select(
-        F.col("rep").alias("rep_a"), F.col("rep").alias("rep_b"), F.lit(1.0).alias("jaccard"), F.col("docs").alias("docs_a"), F.col("docs").alias("docs_b")
-    )
-    return both.unionByName(copies)
+    """(doc_id, winner, n_links) of every document: winner is the least doc_id of those that matching pairs connect with
+    it, n_links the number of other documents with J >= threshold, copies included."""
+    signed, groups = _search(docs, n, threshold)
+    rows = signed.select("doc_id", F.when(F.col("size") > 0, F.col("sid")).alias("sid")).distinct()
+    return rows.join(groups, "sid", "left").select("doc_id", F.coalesce("winner", "doc_id").alias("winner"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def remove_near_copies(docs: DataFrame, n: int = N, threshold: float = THRESHOLD) -> DataFrame:
     """docs with one document, that of the least doc_id, of each group that matching pairs connect.
 
-    Rows with a null doc_id and texts without words stay.
+    Rows with a null doc_id and texts without words stay, and so do all rows of the doc_id that stays.
     """
-    groups, pairs = _search(docs, n, threshold)
-    reps = groups.select(F.col("sid"), "rep")
-    edges = pairs.join(reps.select(F.col("sid").alias("a"), F.col("rep").alias("x")), "a").join(
-        reps.select(F.col("sid").alias("b"), F.col("rep").alias("y")), "b"
-    )
-    edges = edges.select("x", "y").unionByName(
-        groups.where(F.size("docs") > 1).select(F.col("rep").alias("x"), F.explode("docs").alias("y"))
-    )
-    gone = written(components(edges, "x", "y").where("node <> component").select(F.col("node").alias("__i")), "near_copies")
-    return docs.join(sized(gone), F.col("doc_id") == F.col("__i"), "left_anti")
+    signed, groups = _search(docs, n, threshold)
+    gone = signed.where("size > 0").join(groups, "sid").where("doc_id <> winner").select(F.col("doc_id").alias("i"), F.col("h").alias("g"))
+    gone = written(gone.distinct(), "near_copies")
+    # extra columns can't clash with names inside one struct
+    rows = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"))
+    key = (F.col("row.doc_id").cast("long") == F.col("i")) & (F.xxhash64(F.col("row.text").cast("string")) == F.col("g"))
+    return rows.join(sized(gone), key, "left_anti").select("row.*")

@@ -73,18 +73,24 @@ _WORDS = r"regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x
 
 ORACLES: dict[str, str] = {
     "op1_ngram_join": f"""
-WITH w AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
 g AS (
   SELECT doc_id, list_sort(list_distinct(
     CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
          ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS s
   FROM w WHERE len(w) > 0),
-e AS (SELECT min(doc_id) AS rep, list_sort(list(DISTINCT doc_id)) AS docs, s, len(s) AS n FROM g GROUP BY s),
+d AS (SELECT DISTINCT doc_id, s, len(s) AS n FROM g),
+e AS (SELECT min(doc_id) AS rep, s, n, count(*) AS docs FROM d GROUP BY s, n),
 x AS (SELECT rep, unnest(s) AS gram FROM e),
-p AS (SELECT a.rep AS ra, b.rep AS rb, count(*) AS c FROM x a JOIN x b ON a.gram = b.gram AND a.rep < b.rep GROUP BY 1, 2)
-SELECT ra AS rep_a, rb AS rep_b, c / (a.n + b.n - c) AS jaccard, a.docs AS docs_a, b.docs AS docs_b
-FROM p JOIN e a ON a.rep = ra JOIN e b ON b.rep = rb WHERE c / (a.n + b.n - c) >= 0.6
-UNION ALL SELECT rep, rep, 1.0::DOUBLE, docs, docs FROM e WHERE len(docs) > 1""",
+p AS (SELECT a.rep AS ra, b.rep AS rb, count(*) AS c FROM x a JOIN x b ON a.gram = b.gram AND a.rep < b.rep GROUP BY 1, 2),
+m AS MATERIALIZED (SELECT ra, rb FROM p JOIN e a ON a.rep = ra JOIN e b ON b.rep = rb WHERE c / (a.n + b.n - c) >= 0.6),
+l AS MATERIALIZED (SELECT ra AS one, rb AS two FROM m UNION ALL SELECT rb, ra FROM m),
+r(rep, to_) AS (SELECT rep, rep FROM e UNION SELECT r.rep, l.two FROM r JOIN l ON l.one = r.to_),
+c AS (SELECT rep, min(to_) AS winner FROM r GROUP BY rep),
+k AS (SELECT one AS rep, sum(docs) AS links FROM l JOIN e ON e.rep = l.two GROUP BY one)
+SELECT d.doc_id, c.winner, CAST(e.docs - 1 + coalesce(k.links, 0) AS BIGINT) AS n_links
+FROM d JOIN e ON e.s = d.s JOIN c ON c.rep = e.rep LEFT JOIN k ON k.rep = e.rep
+UNION ALL SELECT DISTINCT doc_id, doc_id, 0 FROM documents WHERE doc_id IS NOT NULL AND doc_id NOT IN (SELECT doc_id FROM d)""",
     "op5_mixing": r"""
 WITH t AS (
   SELECT coalesce(source, '(none)') AS source, doc_id, len(regexp_extract_all(coalesce(text, ''), '\S+')) AS tokens,

@@ -48,50 +48,67 @@ def words_of(t):
     return re.findall(WORD, (t or "").lower())
 
 
-def gram_sets():
-    out = collections.defaultdict(set)
-    for i, t, *_ in corpus():
-        w = words_of(t)
+def brute_join(rows, t=ngram_join.THRESHOLD, n=ngram_join.N):
+    """{(doc_id, winner, n_links)} of all documents, pair by pair."""
+    sets, out = collections.defaultdict(set), set()
+    for i, text in rows:
+        w = words_of(text)
         if i is not None and w:
-            out[frozenset(tuple(w[k : k + 3]) for k in range(max(1, len(w) - 2)))].add(i)
+            sets[frozenset(tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1)))].add(i)
+        elif i is not None:
+            out.add((i, i, 0))
+    keys = list(sets)
+    near = {a: [b] for a, b in zip(range(len(keys)), range(len(keys)))}
+    for a, b in itertools.combinations(range(len(keys)), 2):
+        if min(len(keys[a]), len(keys[b])) >= t * max(len(keys[a]), len(keys[b])) and len(keys[a] & keys[b]) >= t * len(keys[a] | keys[b]):
+            near[a].append(b)
+            near[b].append(a)
+    done = set()
+    for a in near:
+        if a in done:
+            continue
+        group, rest = {a}, [a]
+        while rest:
+            for b in near[rest.pop()]:
+                if b not in group:
+                    group.add(b)
+                    rest.append(b)
+        done |= group
+        winner = min(i for b in group for i in sets[keys[b]])
+        out |= {(i, winner, sum(len(sets[keys[c]]) for c in near[b]) - 1) for b in group for i in sets[keys[b]]}
     return out
 
 
+def joined(df):
+    rows = [tuple(r) for r in ngram_join.join(df).collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
 def test_ngram_join(docs, nothing):
-    sets = gram_sets()
-    want = {(min(v), min(v)): 1.0 for v in sets.values() if len(v) > 1}
-    for (a, x), (b, y) in itertools.combinations(sets.items(), 2):
-        j = len(a & b) / len(a | b)
-        if j >= ngram_join.THRESHOLD:
-            want[tuple(sorted((min(x), min(y))))] = j
-    got = {(r["rep_a"], r["rep_b"]): r["jaccard"] for r in ngram_join.join(docs).collect()}
-    assert got == pytest.approx(want) and len(want) >= 3
+    want = brute_join([(i, t) for i, t, *_ in corpus()])
+    assert joined(docs) == want and sum(n > 0 for *_, n in want) >= 8
     assert ngram_join.join(nothing).count() == 0
-    kept = sorted(r[0] for r in ngram_join.remove_near_copies(docs).where("doc_id is not null").select("doc_id").collect())
-    assert {5, 7, 120, 121, 124} <= set(kept) and not {110, 111, 112, 113} & set(kept)
-
-
-def test_ngram_join_across_bands(spark):
-    """Pairs on both sides of every band border meet also when each shuffle has many partitions."""
-    rng, rows = random.Random(8), []
-    for band in range(5, 14):
-        for k in range(4):
-            large = int(np.ceil((1 / ngram_join.THRESHOLD) ** band))
-            text = prose(rng, 2 * large + 40).split()[: large + 2]
-            rows += [(len(rows), " ".join(text[:-1])), (len(rows) + 1, " ".join(text))]
-    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
-    for k, v in zip(kept, ("60", "false")):
+    clash = docs.withColumns({c: F.lit("clash") for c in ("i", "g", "__i", "row", "sid", "n_links")})
+    kept = ngram_join.remove_near_copies(clash)
+    assert kept.columns == clash.columns and {r["g"] for r in kept.select("g").distinct().collect()} == {"clash"}
+    kept = {r[0] for r in kept.select("doc_id").collect()}
+    assert {None, 5, 7, 120, 121, 124} <= kept and not {110, 111, 112, 113} & kept
+
+
+@pytest.fixture
+def many_partitions(spark):
+    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    kept = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in kept.items():
         spark.conf.set(k, v)
-    try:
-        got = {(r["rep_a"], r["rep_b"]) for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    finally:
-        for k, v in kept.items():
-            spark.conf.set(k, v)
-    assert got == {(i, i + 1) for i in range(0, len(rows), 2)}
 
 
-def test_ngram_join_at_the_threshold(spark):
-    """No pair is missed, of whatever sizes, however close to the threshold; and the order of the keys doesn't matter."""
+def test_ngram_join_at_the_threshold(spark, many_partitions):
+    """No link is missed, of whatever sizes and however close to the threshold, however the rows are dealt."""
     rows = []
     for large in [*range(3, 120), 500, 1000, 5000, *[3, 5, 300] * 150]:
         text = [f"w{len(rows)}x{i}" for i in range(large + 2)]
@@ -101,11 +118,19 @@ def test_ngram_join_at_the_threshold(spark):
     shared = [f"s{i}" for i in range(60)]
     rows += [(len(rows) + k, " ".join([*shared, *[f"t{k}x{i}" for i in range(70 if k else 20)]])) for k in range(30)]
     rows += [(len(rows), rows[-30][1] + " end")]
-    got = {(r["rep_a"], r["rep_b"]) for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    n = len(rows) - 31
-    sets = {i: {tuple(w[k : k + 3]) for k in range(len(w) - 2)} for i, t in rows[n:] for w in [t.split()]}
-    want = {(a, b) for a, b in itertools.combinations(sets, 2) if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= ngram_join.THRESHOLD}
-    assert got == {(i, i + 1) for i in range(0, n, 2)} | want and want
+    assert joined(spark.createDataFrame(rows, "doc_id long, text string")) == brute_join(rows)
+
+
+def test_ngram_join_in_blocks(spark, monkeypatch):
+    """Hot keys and large groups of near copies are cut, and nothing is lost by it."""
+    rng = random.Random(12)
+    base = prose(rng, 80).split()
+    rows = [(k, " ".join(w if rng.random() > 0.05 else f"x{k}y{p}" for p, w in enumerate(base))) for k in range(60)]
+    rows += [(100 + k, "one line that all of them have") for k in range(20)] + [(200 + k, prose(rng, 30)) for k in range(20)]
+    want = brute_join(rows)
+    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", 500)
+    monkeypatch.setattr(ngram_join, "HOT", 10)
+    assert joined(spark.createDataFrame(rows, "doc_id long, text string")) == want and max(n for *_, n in want) > 20
 
 
 def test_substring_dedup(docs, nothing):
