@@ -2,8 +2,9 @@
 
 1. Texts are split into pre-tokens. Those of about CHUNK_BYTES of text form a chunk, with a dictionary of its words;
    the documents of the chunk become the sequence of their words' numbers. Both are written as one table.
+   It is bucketed by chunk, so the positions are not shuffled again.
 2. The words of all chunks' dictionaries are shuffled by hash, so that each distinct word of the corpus meets itself in
-   one bucket, where it is encoded once; the ids go back to the chunks that asked.
+   one bucket, where it is encoded once; the ids go back to the chunks that asked. Buckets follow the size of the texts.
 3. By chunk, ids join the positions, and each document is the ids of its words in order.
 
 What is shuffled are dictionaries and compressed positions, about a byte and a half for each word of text, not a row
@@ -28,13 +29,15 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canopy.llm._store import own_columns, written
+from canopy.llm._store import bucketed, own_columns
 from canopy.llm._text import hash_ranges, pieces, raw
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
+PIECE_BYTES = 512 << 10
 LEAST_BUCKETS = 32
+BUCKET_BYTES = 1 << 30
 _ZSTD = pa.Codec("zstd", compression_level=1)
 
 MADE = "chunk string, bucket int, doc_ids array<long>, counts array<int>, codes binary, words binary"
@@ -83,7 +86,7 @@ def _split(pattern: str, buckets: int):
         for batch in batches:
             for chunk in pieces(batch, 1, CHUNK_BYTES):
                 lists, counts = [], []
-                for part in pieces(chunk, 1):
+                for part in pieces(chunk, 1, PIECE_BYTES):
                     flat: list[str] = []
                     for text in part.column(1).to_pylist():
                         if text is None:
@@ -101,11 +104,11 @@ def _split(pattern: str, buckets: int):
 def _chunk(ids: pa.Array, counts: np.ndarray, words: pa.ChunkedArray, buckets: int) -> pa.RecordBatch:
     coded = words.dictionary_encode().combine_chunks()
     coded = coded.chunk(0) if isinstance(coded, pa.ChunkedArray) else coded
-    code = np.asarray(coded.indices, dtype=np.int64)
+    code = np.asarray(coded.indices)
     # numbers in order of frequency, so that most of them are small
     often = np.argsort(-np.bincount(code, minlength=len(coded.dictionary)), kind="stable")
-    number = np.empty(len(often), np.int64)
-    number[often] = np.arange(len(often))
+    number = np.empty(len(often), np.int32)
+    number[often] = np.arange(len(often), dtype=np.int32)
     dictionary = coded.dictionary.take(pa.array(often))
     code = number[code]
     name = uuid.uuid4().hex
@@ -131,53 +134,64 @@ def _chunk(ids: pa.Array, counts: np.ndarray, words: pa.ChunkedArray, buckets: i
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)] if rows else [pa.array([], f.type) for f in schema], schema=schema)
 
 
+_encodings: dict[int, tuple[dict[bytes, int], tiktoken.Encoding]] = {}
+
+
+def _encoding(held) -> tuple[dict[bytes, int], tiktoken.Encoding]:
+    """The vocabulary, and its encoding, which is built once in a worker."""
+    if held.value is not _encodings.get(0, (None,))[0]:
+        _encodings[0] = held.value, tiktoken.Encoding("held", pat_str=r"[\s\S]+", mergeable_ranks=held.value, special_tokens={})
+    return _encodings[0]
+
+
 def _encode(held):
-    def run(table: pa.Table) -> pa.Table:
-        encoding = tiktoken.Encoding("held", pat_str=r"[\s\S]+", mergeable_ranks=held.value, special_tokens={})
-        one = encoding._encode_single_piece
+    """(chunk, codes, ids) of rows (bucket, chunk, codes, words) in order of buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks, encoding = _encoding(held)
         known: dict[bytes, list[int]] = {}
-        out = []
-        for blob in table.column("words").to_pylist():
-            ids, counts = [], []
-            for w in _unpack_words(blob):
-                got = known.get(w)
-                if got is None:
-                    got = known[w] = [held.value[w]] if w in held.value else one(w)
-                ids += got
-                counts.append(len(got))
-            out.append(len(a := _pack(np.array(counts, np.int64))).to_bytes(8, "little") + a + _pack(np.array(ids, np.int64)))
-        return pa.table({"chunk": table.column("chunk"), "codes": table.column("codes"), "ids": pa.array(out, pa.binary())})
+        now = None
+        for batch in batches:
+            for i, bucket in enumerate(batch.column(0).to_pylist()):
+                if bucket != now:
+                    known, now = {}, bucket
+                ids, counts = [], []
+                for w in _unpack_words(batch.column(3)[i].as_py()):
+                    got = known.get(w)
+                    if got is None:
+                        got = known[w] = [ranks[w]] if w in ranks else encoding._encode_single_piece(w)
+                    ids += got
+                    counts.append(len(got))
+                out = len(a := _pack(np.array(counts, np.uint32))).to_bytes(8, "little") + a + _pack(np.array(ids, np.uint32))
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(i, 1), batch.column(2).slice(i, 1), pa.array([out], pa.binary())], names=["chunk", "codes", "ids"])
 
     return run
 
 
 def _join(ids: pa.Table, docs: pa.Table) -> pa.Table:
     codes, counts, flat = [], [], []
-    for c, b in zip(ids.column("codes").to_pylist(), ids.column("ids").to_pylist()):
+    for c, b in zip(ids.column("codes"), ids.column("ids")):
+        c, b = c.as_py(), b.as_py()
         n = int.from_bytes(b[:8], "little")
-        codes.append(np.cumsum(_unpack(c).astype(np.int64)))
-        counts.append(_unpack(b[8 : 8 + n]).astype(np.int64))
+        codes.append(np.cumsum(_unpack(c), dtype=np.int64))
+        counts.append(_unpack(b[8 : 8 + n]))
         flat.append(_unpack(b[8 + n :]))
-    empty = np.zeros(0, np.int64)
-    code, count = (np.concatenate(x) if x else empty for x in (codes, counts))
-    tokens = np.concatenate(flat) if flat else empty
-    start = np.concatenate([[0], np.cumsum(count)])[:-1]
-    by_code, size = np.zeros(len(code), np.int64), np.zeros(len(code), np.int64)
-    by_code[code], size[code] = start, count
+    code = np.concatenate(codes) if codes else np.zeros(0, np.int64)
+    count, tokens = (np.concatenate(x).astype(np.int32) if x else np.zeros(0, np.int32) for x in (counts, flat))
+    by_code, size = np.zeros(len(code), np.int32), np.zeros(len(code), np.int32)
+    by_code[code], size[code] = np.cumsum(count, dtype=np.int32) - count, count
     out_ids, out_lists = [], []
-    for doc_ids, n, blob in zip(docs.column("doc_ids").to_pylist(), docs.column("counts").to_pylist(), docs.column("codes").to_pylist()):
-        seq = _unpack(blob).astype(np.int64)
+    for doc_ids, n, blob in zip(docs.column("doc_ids"), docs.column("counts"), docs.column("codes")):
+        seq = _unpack(blob.as_py()).view(np.int32)
         k = size[seq]
-        ends = np.cumsum(k)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.arange(total) + np.repeat(by_code[seq] - (ends - k), k)
-        n_ = np.array(n, np.int64)
-        word_ends = np.cumsum(np.maximum(n_, 0))
-        offs = np.concatenate([[0], ends])[np.concatenate([[0], word_ends])]
-        mask = pa.array(np.concatenate([n_ < 0, [False]]))
-        offsets = pa.array(offs, pa.int32(), mask=np.asarray(mask))
-        out_ids.append(pa.array(doc_ids, pa.int64()))
-        out_lists.append(pa.ListArray.from_arrays(offsets, pa.array(tokens[at].astype(np.int32))))
+        ends = np.concatenate([np.zeros(1, np.int32), np.cumsum(k, dtype=np.int32)])
+        at = np.repeat(by_code[seq] - ends[:-1], k)
+        at += np.arange(len(at), dtype=np.int32)
+        n_ = np.asarray(n.values)
+        offs = ends[np.concatenate([[0], np.cumsum(np.maximum(n_, 0), dtype=np.int64)])]
+        offsets = pa.array(offs, pa.int32(), mask=np.concatenate([n_ < 0, [False]]))
+        out_ids.append(doc_ids.values)
+        out_lists.append(pa.ListArray.from_arrays(offsets, pa.array(tokens[at])))
     return pa.table({"doc_id": pa.chunked_array(out_ids, pa.int64()), "token_ids": pa.chunked_array(out_lists, pa.list_(pa.int32()))})
 
 
@@ -185,40 +199,41 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN
     """(doc_id, token_ids) of every row."""
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(read_vocabulary(vocabulary))
-    buckets = max(LEAST_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = own_columns(docs, {"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
-    made = written(own.mapInArrow(_split(pattern, buckets), MADE), "words")
-    asked = made.where("bucket >= 0").select("chunk", "bucket", "codes", "words")
-    ids = asked.groupBy("bucket").applyInArrow(_encode(held), "chunk string, codes binary, ids binary")
-    placed = made.where("bucket < 0").select("chunk", "doc_ids", "counts", "codes")
-    return ids.groupBy("chunk").cogroup(placed.groupBy("chunk")).applyInArrow(_join, "doc_id long, token_ids array<int>")
+    whole = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, parts, whole // BUCKET_BYTES)
+    made = bucketed(own.mapInArrow(_split(pattern, buckets), MADE), "words", "chunk", parts)
+    asked = made.where("bucket >= 0").select("bucket", "chunk", "codes", "words")
+    ids = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_encode(held), "chunk string, codes binary, ids binary")
+    placed = made.where("bucket < 0").select(F.col("chunk").alias("of"), "doc_ids", "counts", F.col("codes").alias("codes"))
+    return ids.groupBy("chunk").cogroup(placed.groupBy("of")).applyInArrow(_join, "doc_id long, token_ids array<int>")
+
 
+def _decoder(held, texts: bool):
+    """Rows (doc_id, token_ids, n_tokens, text, text_md5); the text only if asked for."""
 
-def _decoder(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, starts, sizes = held.value
         data = np.frombuffer(table, np.uint8)
         for batch in batches:
-            col = batch.column(1)
-            offs = np.asarray(col.offsets).astype(np.int64)
-            ids = np.asarray(col.values)[offs[0] : offs[-1]]
-            offs = offs - offs[0]
-            texts: list[str | None] = []
-            step = max(1, batch.num_rows * (1 << 21) // max(1, len(ids)))
-            for low in range(0, batch.num_rows, step):
-                high = min(batch.num_rows, low + step)
-                mine = ids[offs[low] : offs[high]]
-                k = sizes[mine]
-                ends = np.concatenate([[0], np.cumsum(k)])
-                at = np.arange(int(ends[-1])) + np.repeat(starts[mine] - ends[:-1], k)
-                body = data[at].tobytes()
-                cut = ends[offs[low : high + 1] - offs[low]].tolist()
-                texts += [body[a:b].decode("utf-8", "replace") for a, b in zip(cut, cut[1:])]
-            nulls = np.asarray(col.is_null())
-            texts = [None if x else t for x, t in zip(nulls, texts)]
-            size = pa.array(np.diff(offs).astype(np.int32), mask=nulls)
-            digest = [None if t is None else hashlib.md5(t.encode()).hexdigest() for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), col, size, pa.array(texts, pa.string()), pa.array(digest, pa.string())], names=["doc_id", "token_ids", "n_tokens", "text", "text_md5"])
+            ends = np.asarray(batch.column(1).offsets).astype(np.int64)
+            low = 0
+            while low < batch.num_rows:  # rows of about PIECE_BYTES tokens at a time
+                high = min(batch.num_rows, max(low + 1, int(np.searchsorted(ends, ends[low] + PIECE_BYTES, side="right")) - 1))
+                part = batch.slice(low, high - low)
+                ids, offs = np.asarray(batch.column(1).values)[ends[low] : ends[high]], ends[low : high + 1] - ends[low]
+                k = sizes[ids]
+                cut = np.concatenate([[0], np.cumsum(k)])
+                body = data[np.arange(int(cut[-1])) + np.repeat(starts[ids] - cut[:-1], k)].tobytes()
+                cut = cut[offs].tolist()
+                nulls = np.asarray(part.column(1).is_null())
+                got = [None if x else body[a:b].decode("utf-8", "replace") for x, a, b in zip(nulls, cut, cut[1:])]
+                digest = [None if t is None else hashlib.md5(t.encode()).hexdigest() for t in got]
+                columns = {"doc_id": part.column(0), "token_ids": part.column(1), "n_tokens": pa.array(np.diff(offs).astype(np.int32), mask=nulls)}
+                columns |= {"text": pa.array(got, pa.string())} if texts else {}
+                yield pa.RecordBatch.from_pydict(columns | {"text_md5": pa.array(digest, pa.string())})
+                low = high
 
     return run
 
@@ -232,12 +247,17 @@ def token_bytes(vocabulary: dict[bytes, int]) -> tuple[bytes, np.ndarray, np.nda
     return b"".join(by_id), np.cumsum(size) - size, size
 
 
+def _decoded(encoded: DataFrame, vocabulary: str, texts: bool) -> DataFrame:
+    held = encoded.sparkSession.sparkContext.broadcast(token_bytes(read_vocabulary(vocabulary)))
+    schema = "doc_id long, token_ids array<int>, n_tokens int, " + "text string, " * texts + "text_md5 string"
+    return encoded.select("doc_id", "token_ids").mapInArrow(_decoder(held, texts), schema)
+
+
 def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, token_ids, n_tokens, text, text_md5) of rows (doc_id, token_ids)."""
-    held = encoded.sparkSession.sparkContext.broadcast(token_bytes(read_vocabulary(vocabulary)))
-    return encoded.select("doc_id", "token_ids").mapInArrow(_decoder(held), "doc_id long, token_ids array<int>, n_tokens int, text string, text_md5 string")
+    return _decoded(encoded, vocabulary, True)
 
 
 def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, n_tokens, token_ids, text_md5): ids of every row, and the MD5 of what they decode to."""
-    return decode(encode(docs, vocabulary), vocabulary).select("doc_id", "n_tokens", "token_ids", "text_md5")
+    return _decoded(encode(docs, vocabulary), vocabulary, False).select("doc_id", "n_tokens", "token_ids", "text_md5")
