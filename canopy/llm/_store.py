@@ -31,11 +31,17 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: it survives lost executors and is computed once."""
+def written(df: DataFrame, name: str, done: tuple[DataFrame, ...] = ()) -> DataFrame:
+    """df as a Parquet table in the shared folder: it survives lost executors and is computed once.
+
+    done: tables made by this function that nothing needs any more; their files are removed.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    for old in done:
+        for file in old.inputFiles()[:1]:
+            drop_path(spark, file.rpartition("/")[0])
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,8 +6,9 @@ all sets are in one and the same order, the first |A| - ceil(t |A|) + 1 n-grams
 the frequency in a sample of the texts (then by hash) leaves the common n-grams out of most prefixes and keeps the groups
 small. A key that the sample shows in more than HOT sets is cut into blocks of sets, and every two blocks meet apart.
 
-Sets with a common key meet if |B| >= t |A|. Each key carries the one before it: where it is the same in both sets, they
-have met there already, so near copies meet once for each run of common n-grams.
+Sets with a common key meet if |B| >= t |A|, and if enough n-grams are left from the key on in both (a pair that matches
+has at least t / (1 + t) * (|A| + |B|) in common, none of them before its first common key). Each key carries the one before
+it: where it is the same in both sets, they have met there already, so near copies meet once for each run of common n-grams.
 
 Every set has a parity sketch: each n-gram toggles one of two to four bits an n-gram. The Hamming distance of two
 sketches is at most the sets' symmetric difference, which J(A, B) >= t bounds by (1 - t) / (1 + t) * (|A| + |B|), so only
@@ -41,7 +42,17 @@ PAIR_BLOCK = 1 << 18
 HOT = 1 << 20
 BLOCK_GRAMS = 1 << 21
 _U = np.uint64
-_MOST_SIZE = (1 << 24) - 1
+
+
+def code(x: np.ndarray, up: bool) -> np.ndarray:
+    """Numbers from 1 to 2^31 in 12 bits, rounded down or up by less than 1 / 128; larger numbers have larger codes."""
+    e = np.frexp(x.astype(np.float64))[1] - 1
+    down = e * 128 + np.floor(np.ldexp(x, 7 - e)).astype(np.int64) - 128
+    return down + (decode(down) < x) if up else down
+
+
+def decode(c: np.ndarray) -> np.ndarray:
+    return np.ldexp(1 + (c & 127) / 128, c >> 7)
 
 
 def prefix(t: float, size: np.ndarray) -> np.ndarray:
@@ -71,7 +82,7 @@ def sketches(doc: np.ndarray, gram: np.ndarray, size: np.ndarray) -> list[bytes]
 
 
 def keys_of(doc: np.ndarray, gram: np.ndarray, size: np.ndarray, t: float, frequent: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(row, key, key before it or 0, sample's count) of all rows; frequent: n-grams in order, count: of each of them."""
+    """(row, key, key before it or 0, its place, sample's count) of all rows; frequent: n-grams in order, count: of each."""
     often = np.zeros(len(gram), np.int64)
     if len(frequent):
         at = np.minimum(np.searchsorted(frequent, gram), len(frequent) - 1)
@@ -84,7 +95,7 @@ def keys_of(doc: np.ndarray, gram: np.ndarray, size: np.ndarray, t: float, frequ
     before[1:] = gram[:-1] >> _U(24) | _U(1)
     before[place == 0] = 0
     keep = place < prefix(t, size)[doc]
-    return doc[keep], gram[keep], before[keep], often[keep]
+    return doc[keep], gram[keep], before[keep], place[keep], often[keep]
 
 
 def split(key: np.ndarray, sid: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -127,9 +138,9 @@ def _keys(n: int, t: float, frequent: np.ndarray, count: np.ndarray, share: int)
             for part in pieces(batch, 2):
                 doc, gram = grams(words(part.column(2)), part.num_rows, n)
                 size, sid = set_ids(doc, gram, part.num_rows)
-                row, key, before, often = keys_of(doc, gram, size, t, frequent, count)
+                row, key, before, place, often = keys_of(doc, gram, size, t, frequent, count)
                 at, key = split(key, sid[row], often * share)
-                rest = before << _U(24) | np.minimum(size[row], _MOST_SIZE).astype(_U)
+                rest = before << _U(24) | (code(size[row], False) << 12 | code(size[row] - place, True)).astype(_U)
                 yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (key, sid[row][at], rest[at])], names=["key", "sid", "rest"])
 
     return run
@@ -156,19 +167,20 @@ def _meet(t: float):
 
 
 def _pairs(rows: np.ndarray, t: float) -> Iterator[pa.RecordBatch]:
-    """rows: key, sid, and key before with size; the rows of a key are all there."""
+    """rows: key, sid, and key before with the codes of the size and of what is left; the rows of a key are all there."""
     alone = rows[0, 1:] != rows[0, :-1]
     ends = np.concatenate([[True], alone]) & np.concatenate([alone, [True]])
     rows = rows[:, ~ends[: rows.shape[1]]]
-    size = rows[2] & _MOST_SIZE
-    order = np.lexsort((rows[1], size, rows[0]))
-    key, sid, before, size = rows[0, order], rows[1, order], rows[2, order] >> 24, size[order]
+    size = rows[2] >> 12 & 4095
+    rows = rows[:, order := np.lexsort((rows[1], size, rows[0]))]
+    size = size[order]
     # copies have the same keys: one row for each set
-    once = np.concatenate([[True], (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])])[: len(key)]
-    key, sid, before, size = key[once], sid[once], before[once], size[once]
+    once = np.concatenate([[True], (rows[0, 1:] != rows[0, :-1]) | (rows[1, 1:] != rows[1, :-1])])[: len(size)]
+    (key, sid, rest), size = rows[:, once], size[once]
+    before, low, left = rest >> 24, decode(size), decode(rest & 4095)
     group = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]])[: len(key)])
-    most = np.minimum(np.floor(size / max(t, 1e-9) + 1e-9), (1 << 32) - 1).astype(np.int64)
-    high = np.searchsorted((group << 32) + size, (group << 32) + most, side="right")
+    most = np.minimum(code(decode(size + 1) / max(t, 1e-9) + 1e-6, True), 4095)
+    high = np.searchsorted((group << 12) + size, (group << 12) + most, side="right")
     partners = high - np.arange(len(key)) - 1
     some = np.flatnonzero(partners)
     block = np.cumsum(partners[some]) // PAIR_BLOCK
@@ -178,6 +190,7 @@ def _pairs(rows: np.ndarray, t: float) -> Iterator[pa.RecordBatch]:
             i = np.repeat(mine, n)
             j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
             new = (before[i] != before[j]) | (before[i] == 0)
+            new &= np.minimum(left[i], left[j]) >= t / (1 + t) * (low[i] + low[j]) - 1e-6
             x, y = sid[i[new]], sid[j[new]]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
@@ -281,7 +294,7 @@ def _frequent(own: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray, int]:
 
 
 def _compared(pairs: DataFrame, bodies: DataFrame, judge, schema: str) -> DataFrame:
-    """judge over all pairs (a, b) with the bodies (sid, size, n, body) of both, in blocks.
+    """The table of judge over all pairs (a, b) with the bodies (sid, size, n, body) of both, in blocks.
 
     The home of a pair is the least set that is a or a partner of a, so sets with common partners share a home. Homes are
     dealt into buckets of about BLOCK_GRAMS n-grams; a home of more than that is cut by both sides of its pairs.
@@ -303,7 +316,8 @@ def _compared(pairs: DataFrame, bodies: DataFrame, judge, schema: str) -> DataFr
     block = ["bucket", "i", "j"]
     need = dealt.select(*block, F.col("a").alias("sid")).unionByName(dealt.select(*block, F.col("b").alias("sid"))).distinct()
     shipped = need.join(bodies, "sid").select(*[F.col(c).alias(f"to_{c}") for c in block], "sid", "size", "n", "body")
-    return dealt.groupBy(*block).cogroup(shipped.groupBy(*[f"to_{c}" for c in block])).applyInArrow(judge, schema)
+    out = dealt.groupBy(*block).cogroup(shipped.groupBy(*[f"to_{c}" for c in block])).applyInArrow(judge, schema)
+    return written(out, "compared", (placed, weight, pairs))
 
 
 def _search(docs: DataFrame, n: int, t: float) -> tuple[DataFrame, DataFrame]:
@@ -322,13 +336,13 @@ def _search(docs: DataFrame, n: int, t: float) -> tuple[DataFrame, DataFrame]:
     met = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_meet(t), "a long, b long")
     met = written(met.distinct(), "candidates")
     sketched = signed.join(groups.select("sid", F.col("rep").alias("doc_id"), "h", "n"), ["sid", "doc_id", "h"]).dropDuplicates(["sid"])
-    near = written(_compared(met, sketched.select("sid", "size", "n", "body"), _near(t), "a long, b long"), "near")
+    near = _compared(met, sketched.select("sid", "size", "n", "body"), _near(t), "a long, b long")
     ids = near.select(F.col("a").alias("sid")).unionByName(near.select(F.col("b").alias("sid"))).distinct()
     few = written(groups.join(ids, "sid", "left_semi"), "matched")
     texts = own.join(sized(few.select(F.col("rep").alias("doc_id"), "h")), ["doc_id", "h"], "left_semi").select("doc_id", "h", "text")
     sets = texts.mapInArrow(_sets(n), "sid long, body binary").dropDuplicates(["sid"])
     sets = written(sets.join(few.select("sid", "size", "n"), "sid"), "sets")
-    linked = written(_compared(near, sets, _verify(t), "sid long, root long, links long"), "linked")
+    linked = _compared(near, sets, _verify(t), "sid long, root long, links long")
     classes = components(linked.select("sid", "root"), "sid", "root").withColumnsRenamed({"node": "sid", "component": "class"})
     links = linked.groupBy("sid").agg(F.sum("links").alias("links"))
     found = groups.join(classes, "sid", "left").join(links, "sid", "left").where("class is not null or n > 1")
