@@ -7,7 +7,8 @@ that differs is no member. Members other than their winner are repeats; nonmembe
 
 Defined results: a null text has no digest, is never a repeat and is its own winner. Empty and long texts are texts
 like others. Rows with the same doc_id and text are one document. The winner of a group is its least doc_id; a null
-doc_id wins only where the group has no other. Extra columns are ignored by decide() and kept by remove_repeats().
+doc_id wins only where the group has no other. Extra columns are ignored by decide() and kept by remove_repeats(), whatever
+their names.
 """
 
 from __future__ import annotations
@@ -143,18 +144,18 @@ def _decide(rows: DataFrame, history: DataFrame | None) -> DataFrame:
     hashes = past.select("digest", "winner", shard).groupBy("shard").applyInPandas(_build, "shard int, blob binary")
     own = rows.where("digest is not null").select(shard, "digest", "doc_id")
     # a shard with many lookups, as of one text copied very often, is spread over several tasks
-    tasks = own.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_TASK).cast("int").alias("tasks"))
-    hashes = hashes.join(F.broadcast(tasks), "shard").select(
+    tasks = written(own.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_TASK).cast("int").alias("tasks")), "tasks")
+    hashes = hashes.join(sized(tasks), "shard").select(
         "shard", "blob", F.lit(None).cast("binary").alias("digest"), F.lit(None).cast("long").alias("doc_id"),
         F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("salt"),
     )
-    own = own.join(F.broadcast(tasks), "shard").select(
+    own = own.join(sized(tasks), "shard").select(
         "shard", F.lit(None).cast("binary").alias("blob"), "digest", "doc_id",
         F.pmod(F.xxhash64("doc_id"), F.col("tasks")).cast("int").alias("salt"),
     )
     both = hashes.unionByName(own).repartition("shard", "salt").sortWithinPartitions("shard", "salt", F.col("blob").isNull())
     looked = both.select(
-        (F.col("shard") * 1_000 + F.col("salt")).alias("shard"), "blob", "digest", "doc_id"
+        (F.shiftleft(F.col("shard").cast("long"), 32) + F.col("salt")).alias("shard"), "blob", "digest", "doc_id"
     ).mapInArrow(_look_up, OUT)
     looked = written(looked, "looked")
     members = looked.where("found").select("digest", "doc_id", "winner", F.lit(True).alias("member"))
@@ -169,18 +170,28 @@ def _decide(rows: DataFrame, history: DataFrame | None) -> DataFrame:
     )
 
 
+def earlier(docs: DataFrame) -> DataFrame:
+    """The history (digest, winner) of the half of docs with the lower doc_ids, as if they had come before the others."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    low, high = ids.agg(F.min("doc_id"), F.max("doc_id")).first()
+    return history_of(digests(docs.where(F.col("doc_id") <= ((low or 0) + (high or 0)) // 2)))
+
+
 def remove_repeats(docs: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """docs without repeats, with all their columns; of rows with the same doc_id and text one stays."""
     rows = written(digests(docs), "digests")
-    gone = written(_decide(rows, history).where("is_repeat").select(F.col("digest").alias("__d"), F.col("doc_id").alias("__i")), "repeats")
-    twice = written(rows.where("n > 1 and digest is not null").select(F.col("digest").alias("__d"), F.col("doc_id").alias("__i")), "twice")
-    marked = docs.withColumn("__digest", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
+    gone = written(_decide(rows, history).where("is_repeat").select(F.col("digest").alias("d"), F.col("doc_id").alias("i")), "repeats")
+    twice = written(rows.where("n > 1 and digest is not null").select(F.col("digest").alias("d"), F.col("doc_id").alias("i")), "twice")
+    # extra columns can't clash with names inside one struct
+    marked = docs.select(
+        F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("own_id"), F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("own_digest")
+    )
 
     def among(few: DataFrame, how: str, of: DataFrame) -> DataFrame:
-        return of.join(sized(few), F.col("__digest").eqNullSafe(F.col("__d")) & F.col("doc_id").eqNullSafe(F.col("__i")), how)
+        return of.join(sized(few), F.col("own_digest").eqNullSafe(F.col("d")) & F.col("own_id").eqNullSafe(F.col("i")), how)
 
     kept = among(gone, "left_anti", marked)
     if twice.count():
-        again = among(twice, "left_semi", kept).dropDuplicates(["doc_id", "text"])
+        again = among(twice, "left_semi", kept).dropDuplicates(["own_id", "own_digest"])
         kept = among(twice, "left_anti", kept).unionByName(again)
-    return kept.drop("__digest")
+    return kept.select("row.*")

@@ -7,14 +7,16 @@ order, around and around, so that every slot has exactly block_tokens tokens. An
 few slots of the target weights. A token is a longest run of characters that aren't white space.
 
 Positions in a source are sums over ALL its documents: sums of 65,536 hash buckets, then running sums in each bucket,
-so that a source of any size needs no single task; ranks of slots are made alike from chunks of slots.
+so that a source of any size needs no single task; ranks of slots are made alike from chunks of slots. Of each source one
+row, its name and tokens, reaches the driver.
 
 Without given weights a source's weight is its tokens to the power 0.75. Without a given length the schedule is long
 enough for every document to occur once; sources above their share of the data then occur once, the others repeat.
 
 Defined results: a null source is the source "(none)"; null, empty and blank texts have no tokens and no segment, and
 keep() lets them stay once. Rows that repeat, even wholly, are separate documents. Sources of weight 0 and sources
-without tokens get no slot. Empty tables give empty results. Extra columns are ignored by schedule() and kept by mix().
+without tokens get no slot. Empty tables give empty results. Extra columns are ignored by schedule() and kept by mix(),
+whatever their names.
 """
 
 from __future__ import annotations
@@ -83,12 +85,14 @@ def slots_of(spark: SparkSession, ends: list[tuple[str, int]], slots: int) -> Da
     if not slots:
         return spark.createDataFrame([], "slot long, source string, rank long")
     point = (F.col("id") % LATTICE) * GOLDEN % LATTICE
-    limits = F.array(*[F.lit(e).cast("long") for _, e in ends])
-    names = F.array(*[F.lit(s) for s, _ in ends])
-    below = F.size(F.filter(limits, lambda e: e <= F.col("point")))
-    made = spark.range(slots).withColumn("point", point).select(
-        F.col("id").alias("slot"), F.element_at(names, below + 1).alias("source"), F.floor(F.col("id") / CHUNK).alias("chunk")
-    )
+    # a point is looked up among the sources whose stretches touch its cell of the lattice, of which there are few
+    width = LATTICE >> min(31, (4 * len(ends) - 1).bit_length())
+    lows = [0, *(e for _, e in ends[:-1])]
+    stretches = spark.createDataFrame([(s, low, e) for (s, e), low in zip(ends, lows) if e > low], "source string, low long, high long")
+    cells = F.explode(F.sequence(F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width)))
+    stretches = stretches.withColumn("cell", cells)
+    made = spark.range(slots).withColumn("point", point).withColumn("cell", F.floor(F.col("point") / width)).join(sized(stretches), "cell")
+    made = made.where("low <= point and point < high").select(F.col("id").alias("slot"), "source", F.floor(F.col("id") / CHUNK).alias("chunk"))
     by = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     base = made.groupBy("source", "chunk").agg(F.count(F.lit(1)).alias("n")).withColumn("base", F.coalesce(F.sum("n").over(by), F.lit(0)))
     inner = F.row_number().over(Window.partitionBy("source", "chunk").orderBy("slot")) - 1
@@ -108,7 +112,7 @@ def _prepared(docs: DataFrame, weights: dict[str, float] | None, block: int, slo
     sums = schedule.groupBy("source").agg((F.count(F.lit(1)) * block).alias("used"))
     known = spark.createDataFrame([(s, totals[s]) for s, _ in ends], "source string, total long")
     # one row for each source
-    sums = F.broadcast(sums.join(known, "source"))
+    sums = sized(written(sums.join(known, "source"), "sums"))
     epochs = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("used") - 1 - F.col("a")) / F.col("total"))))
     rounds = at.where("tokens > 0").join(sums, "source").where("a < used").select("*", epochs.alias("epoch"))
     return at, schedule, rounds.withColumn("begin", F.col("a") + F.col("epoch") * F.col("total"))
@@ -138,17 +142,21 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_tokens:
     at, order, rounds = _prepared(docs, weights, block_tokens, slots, seed)
     b = F.lit(block_tokens)
     due = rounds.select("doc_id", "h", "copy", "source", F.floor(F.col("begin") / b).alias("rank"), "begin").join(order, ["source", "rank"])
-    due = due.select("doc_id", "h", "copy", "slot", "begin").unionByName(
-        at.where("tokens = 0").select("doc_id", "h", "copy", F.lit(-1).cast("long").alias("slot"), F.lit(0).cast("long").alias("begin"))
+    due = due.select("source", "doc_id", "h", "copy", "slot", "begin").unionByName(
+        at.where("tokens = 0").select("source", "doc_id", "h", "copy", F.lit(-1).cast("long").alias("slot"), F.lit(0).cast("long").alias("begin"))
     )
-    due = due.select(*[F.col(c).alias(f"__{c}") for c in due.columns])
-    rows = docs.withColumn("__hash", F.xxhash64("text")).withColumn("__nth", F.lit(1))
-    twice = written(at.where("copy > 1").select(F.col("doc_id").alias("__d"), F.col("h").alias("__g")).distinct(), "twice")
+    due = due.select(*[F.col(c).alias(f"due_{c}") for c in due.columns])
+    # extra columns can't clash with names inside one struct
+    rows = docs.select(
+        F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("own_id"), F.xxhash64(F.col("text").cast("string")).alias("own_hash"),
+        F.coalesce("source", F.lit("(none)")).alias("own_source"), F.lit(1).alias("nth"),
+    )
+    twice = written(at.where("copy > 1").select(F.col("doc_id").alias("d"), F.col("h").alias("g")).distinct(), "twice")
     if twice.count():
-        is_ = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__hash") == F.col("__g"))
-        nth = F.row_number().over(Window.partitionBy("doc_id", "__hash", F.coalesce("source", F.lit("(none)"))).orderBy("__nth"))
-        again = rows.join(sized(twice), is_, "left_semi").withColumn("__nth", nth)
+        is_ = F.col("own_id").eqNullSafe(F.col("d")) & (F.col("own_hash") == F.col("g"))
+        nth = F.row_number().over(Window.partitionBy("own_id", "own_hash", "own_source").orderBy("nth"))
+        again = rows.join(sized(twice), is_, "left_semi").withColumn("nth", nth)
         rows = rows.join(sized(twice), is_, "left_anti").unionByName(again)
-    own = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("__hash") == F.col("__h")) & (F.col("__nth") == F.col("__copy"))
-    mixed = rows.join(due, own)
-    return mixed.repartitionByRange("__slot", "__begin").sortWithinPartitions("__slot", "__begin").select(*[f"`{c}`" for c in docs.columns])
+    own = F.col("own_id").eqNullSafe(F.col("due_doc_id")) & (F.col("own_hash") == F.col("due_h")) & (F.col("nth") == F.col("due_copy"))
+    mixed = rows.join(due, own & (F.col("own_source") == F.col("due_source")))
+    return mixed.repartitionByRange("due_slot", "due_begin").sortWithinPartitions("due_slot", "due_begin").select("row.*")

@@ -49,7 +49,8 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.decide(_table(spark, sf_dir, "documents"))
+    docs = _table(spark, sf_dir, "documents")
+    return exact_dedup.decide(docs, exact_dedup.earlier(docs))
 
 
 def op10_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,6 +115,7 @@ SELECT slot, c.source, c.rank, doc_id, epoch, greatest(b0, c.rank * 4096) - b0 A
 FROM c JOIN g ON c.source = g.source AND c.rank = g.rank""",
     "op9_exact_dedup": """
 SELECT DISTINCT doc_id, CASE WHEN text IS NULL THEN doc_id ELSE first END AS winner,
-  text IS NOT NULL AND doc_id IS DISTINCT FROM first AS is_repeat, text IS NOT NULL AS member
-FROM (SELECT doc_id, text, min(doc_id) OVER (PARTITION BY text) AS first FROM documents)""",
+  text IS NOT NULL AND doc_id IS DISTINCT FROM first AS is_repeat, text IS NOT NULL AND coalesce(known, false) AS member
+FROM (SELECT doc_id, text, min(doc_id) OVER (PARTITION BY text) AS first,
+  bool_or(doc_id <= (SELECT (min(doc_id) + max(doc_id)) // 2 FROM documents)) OVER (PARTITION BY text) AS known FROM documents)""",
 }

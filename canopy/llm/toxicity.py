@@ -1,14 +1,14 @@
 """Toxic spans by a linear-chain conditional random field with two labels.
 
-Training. At most SAMPLE labelled documents (those of the least hash of doc_id) are read, and of a document at most
-WINDOWS evenly spaced windows of WINDOW words, so that what reaches the driver is bounded. The labels are of whole
-documents; tokens get theirs by a test of each word: a word is an offender if it occurs in more toxic documents than
-chance allows (Chernoff bound of the binomial tail, Benjamini-Hochberg at FDR), and an offender in a toxic document is
-labelled 1, every other token 0. The field has a weight for each word, one for each length, a bias and the transitions,
-and is fitted by Adam on the exact gradient from forward-backward.
-
-Scoring. All words of all texts pass forward-backward in one sweep over the documents of a batch. The score of a
-document is the largest marginal of label 1, `expected` their sum, and runs of tokens of marginal >= 0.5 are the
+Training. At most SAMPLE labelled documents (those of the least hash of doc_id) are read, whole, as chains of WINDOW
+words. The labels are of whole documents; tokens get theirs by a test of each word: a word is an offender if it occurs in
+more toxic documents than chance allows (Chernoff bound of the binomial tail, Benjamini-Hochberg at FDR), and an offender
+in a toxic document is labelled 1, every other token 0. The field has a weight for each word of the sample, one for each
+length, a bias and the transitions, and all of them are fitted by Adam on the exact gradient from forward-backward.
+
+Scoring. All words of all texts pass forward-backward in one sweep over the documents of a batch. Chains are swept in
+segments of SEGMENT words side by side, so a very long text takes no more steps than others: what a segment makes of a
+message is linear, so two basis messages give it, and messages then pass from segment to segment. The score of a document is the largest marginal of label 1, `expected` their sum, and runs of tokens of marginal >= 0.5 are the
 offending spans, with offsets in characters (end excluded). A document is toxic if it has such a span.
 
 Defined results: null, empty and wordless texts have score 0 and no spans. Labels that are null are left out; of
@@ -31,66 +31,131 @@ from canopy.llm._store import own_columns
 from canopy.llm._text import pieces, words
 
 SAMPLE = 4000
-WINDOW, WINDOWS = 256, 16
+WINDOW = 256
+SEGMENT = 512
 FDR = 0.01
 STEPS, RATE, L2, L2_LENGTH = 80, 0.4, 1e-6, 0.05
 LENGTHS = 16
-TABLE = 1 << 18
-GROUP = 12 << 20
+GROUP = 4 << 20
 _U = np.uint64
 
 SPANS = "array<struct<start:int,end:int,p:double>>"
 
 
-def _sweep(e: np.ndarray, start: np.ndarray, length: np.ndarray, trans: np.ndarray) -> np.ndarray:
-    """Marginals of label 1 of chains that lie one after another in e, the scores of label 1 over label 0."""
-    order = np.argsort(-length, kind="stable")
-    start, length = start[order], length[order]
-    x = np.exp(np.clip(e, -60, 60)).astype(np.float64)
-    m = np.exp(trans)
-    ahead, back = np.zeros(len(e)), np.zeros(len(e))
-    longest = int(length[0]) if len(length) else 0
-    active = np.searchsorted(-length, -np.arange(1, longest + 1), side="right")
-    r = None
-    for t in range(longest):
-        n = int(active[t])
-        at = start[:n] + t
-        if r is None:
-            one, zero = x[at], 1.0
+def _pass(x, m, place, size, step, first, carry, out):
+    """Messages along segments: those of `carry` (share of label 1) enter at `place` and go on by `step` for `size` tokens.
+
+    Forward (step 1) a message passes a transition and then a token, but at the `first` token of a chain no transition;
+    backward (step -1) a token and then a transition. Gives what leaves the segments and the logarithm of the mass it was
+    scaled by; out gets each token's message. The segments are in order of falling size.
+    """
+    leave, mass = carry.copy(), np.zeros(len(carry))
+    active = np.searchsorted(-size, -np.arange(1, (int(size[0]) if len(size) else 0) + 1), side="right")
+    for t, n in enumerate(active.tolist()):
+        at, r = place[:n] + step * t, leave[:n]
+        if step > 0:
+            zero, one = m[0, 0] * (1 - r) + m[1, 0] * r, (m[0, 1] * (1 - r) + m[1, 1] * r)
+            if t == 0:
+                zero, one = np.where(first[:n], 1.0, zero), np.where(first[:n], 1.0, one)
+            one = one * x[at]
         else:
-            r = r[:n]
-            one, zero = (m[0, 1] * (1 - r) + m[1, 1] * r) * x[at], m[0, 0] * (1 - r) + m[1, 0] * r
-        r = one / (one + zero)
-        ahead[at] = r
-    # back holds, for each token, the share of label 1 in what follows
-    b = np.zeros(0)
-    for t in range(longest - 1, -1, -1):
-        n = int(active[t])
-        at = start[:n] + t
-        cur = np.full(n, 0.5)
-        k = len(b)
-        if k:
-            nxt = x[at[:k] + 1] * b
-            stay = 1 - b
-            one, zero = m[1, 0] * stay + m[1, 1] * nxt, m[0, 0] * stay + m[0, 1] * nxt
-            cur[:k] = one / (one + zero)
-        back[at] = cur
-        b = cur
+            if out is not None:
+                out[at] = r
+            r = x[at] * r
+            zero, one = m[0, 0] * (1 - leave[:n]) + m[0, 1] * r, m[1, 0] * (1 - leave[:n]) + m[1, 1] * r
+        total = zero + one
+        leave[:n] = one / total
+        mass[:n] += np.log(total)
+        if step > 0 and out is not None:
+            out[at] = leave[:n]
+    return leave, mass
+
+
+def _messages(e: np.ndarray, start: np.ndarray, length: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(share of label 1 in what goes up to each token, and in what follows it) of chains that lie one after another in e,
+    the scores of label 1 over label 0."""
+    x, m = np.exp(np.clip(e, -60, 60)), np.exp(trans)
+    count = -(-length // SEGMENT)
+    chain = np.repeat(np.arange(len(length)), count)
+    number = np.arange(len(chain)) - np.repeat(np.cumsum(count) - count, count)
+    low = start[chain] + SEGMENT * number
+    size = np.minimum(length[chain] - SEGMENT * number, SEGMENT)
+    order = np.argsort(-size, kind="stable")
+    ahead, back = np.zeros(len(e)), np.zeros(len(e))
+    last = number == count[chain] - 1
+    for step, head, place, out in ((1, number == 0, low, ahead), (-1, last, low + size - 1, back)):
+        carry = np.full(len(chain), 0.5)
+        # chains of several segments: what each segment makes of either label, then from one to the next
+        long = np.flatnonzero(count[chain] > 1)
+        if len(long):
+            long = long[np.argsort(-size[long], kind="stable")]
+            both = [_pass(x, m, place[long], size[long], step, head[long], np.full(len(long), v), None) for v in (0.0, 1.0)]
+            leave, mass = (np.zeros((2, len(chain))) for _ in range(2))
+            for k, (r, w) in enumerate(both):
+                leave[k, long], mass[k, long] = r, w
+            scale = np.exp(mass - mass.max(axis=0))
+            turn = number if step > 0 else count[chain] - 1 - number
+            by_turn = np.argsort(turn, kind="stable")
+            ends = np.searchsorted(turn[by_turn], np.arange(1, int(count.max()) + 1))
+            for a, z in zip(ends, ends[1:]):
+                now = by_turn[a:z]
+                before = now - step
+                w = np.stack([scale[0, before] * (1 - carry[before]), scale[1, before] * carry[before]])
+                carry[now] = (w * leave[:, before]).sum(axis=0) / w.sum(axis=0)
+        _pass(x, m, place[order], size[order], step, head[order], carry[order], out)
+    return ahead, back
+
+
+def _sweep(e: np.ndarray, start: np.ndarray, length: np.ndarray, trans: np.ndarray) -> np.ndarray:
+    """Marginals of label 1."""
+    ahead, back = _messages(e, start, length, trans)
     top = ahead * back
     return top / (top + (1 - ahead) * (1 - back))
 
 
+def gradient(e: np.ndarray, start: np.ndarray, length: np.ndarray, trans: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of minus the log likelihood of labels y: by each token's score, and by the transitions (expected minus seen)."""
+    ahead, back = _messages(e, start, length, trans)
+    top = ahead * back
+    inner = np.ones(len(e), bool)
+    inner[start + length - 1] = False
+    inner = np.flatnonzero(inner)
+    one, two = ahead[inner], back[inner + 1] * np.exp(np.clip(e[inner + 1], -60, 60))
+    m = np.exp(trans)
+    pair = [(1 - one) * (1 - back[inner + 1]) * m[0, 0], (1 - one) * two * m[0, 1], one * (1 - back[inner + 1]) * m[1, 0], one * two * m[1, 1]]
+    whole = sum(pair)
+    expected = np.array([(p / whole).sum() for p in pair]).reshape(2, 2)
+    seen = np.bincount(2 * y[inner].astype(np.int64) + y[inner + 1], minlength=4).reshape(2, 2)
+    return top / (top + (1 - ahead) * (1 - back)) - y, expected - seen
+
+
 @dataclass
 class Model:
-    known: np.ndarray  # hash of the word in each place of the table
+    known: np.ndarray  # hash of the word in each place of the table, whose size is a power of two
     weight: np.ndarray
+    others: np.ndarray  # words whose place is taken, in order
+    other_weight: np.ndarray
     length: np.ndarray
     bias: float
     trans: np.ndarray
 
+    @classmethod
+    def of(cls, known: np.ndarray, w: np.ndarray, length: np.ndarray, bias: float, trans: np.ndarray) -> Model:
+        size = 1 << (2 * max(1, len(known)) - 1).bit_length()
+        at = (known & _U(size - 1)).astype(np.int64)
+        table, weight = np.zeros(size, _U), np.zeros(size)
+        table[at], weight[at] = known, w
+        rest = np.flatnonzero(table[at] != known)
+        return cls(table, weight, known[rest], w[rest], length, bias, trans)
+
     def emissions(self, h: np.ndarray, size: np.ndarray) -> np.ndarray:
-        at = (h % _U(TABLE)).astype(np.int64)
-        w = np.where(self.known[at] == h, self.weight[at], 0.0)
+        at = (h & _U(len(self.known) - 1)).astype(np.int64)
+        found = self.known[at]
+        w = np.where(found == h, self.weight[at], 0.0)
+        miss = np.flatnonzero((found != h) & (found != 0)) if len(self.others) else []
+        if len(miss):
+            spot = np.minimum(np.searchsorted(self.others, h[miss]), len(self.others) - 1)
+            w[miss] = np.where(self.others[spot] == h[miss], self.other_weight[spot], 0.0)
         return w + self.length[np.minimum(size, LENGTHS - 1)] + self.bias
 
 
@@ -127,30 +192,27 @@ def fit(h: np.ndarray, size: np.ndarray, doc: np.ndarray, seq_start: np.ndarray,
         inner[seq_start + seq_len - 1] = False
         inner = np.flatnonzero(inner)
         seen = np.array([[((y[inner] == a) & (y[inner + 1] == b)).sum() for b in (0, 1)] for a in (0, 1)], dtype=float)
-        # transitions as log odds over independence: what the labels of neighbours say beyond their rates
+        # at first log odds over independence: what the labels of neighbours say beyond their rates
         rate = y.mean()
         trans = np.log((seen + 1.0) / (seen.sum(1, keepdims=True) + 2.0) / np.array([1 - rate, rate]))
         size = np.minimum(size, LENGTHS - 1)
-        params = [w, ln, np.array([bias])]
+        params = [w, ln, np.array([bias]), trans]
         first = [np.zeros_like(p) for p in params]
         second = [np.zeros_like(p) for p in params]
         count = max(1, int(y.sum()))
         for step in range(1, STEPS + 1):
             e = params[0][word] + params[1][size] + params[2][0]
-            diff = (_sweep(e, seq_start, seq_len, trans) - y) / count
-            grads = [np.bincount(word, diff, len(known)) + L2 * params[0], np.bincount(size, diff, LENGTHS) + L2_LENGTH * params[1], np.array([diff.sum()])]
+            diff, moves = gradient(e, seq_start, seq_len, params[3], y)
+            diff /= count
+            grads = [np.bincount(word, diff, len(known)) + L2 * params[0], np.bincount(size, diff, LENGTHS) + L2_LENGTH * params[1], np.array([diff.sum()]), moves / count + L2_LENGTH * params[3]]
             for i, g in enumerate(grads):
                 first[i] = 0.9 * first[i] + 0.1 * g
                 second[i] = 0.99 * second[i] + 0.01 * g * g
                 params[i] = params[i] - RATE * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.99**step)) + 1e-6)
-        w, ln, bias = params[0], params[1], float(params[2][0])
+        w, ln, bias, trans = params[0], params[1], float(params[2][0]), params[3]
     else:
         bias = -20.0
-    table, weight = np.zeros(TABLE, _U), np.zeros(TABLE)
-    order = np.argsort(np.abs(w))  # of words in the same place the strongest stays
-    at = (known[order] % _U(TABLE)).astype(np.int64)
-    table[at], weight[at] = known[order], w[order]
-    return Model(table, weight, ln, bias, trans)
+    return Model.of(known, w, ln, bias, trans)
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,10 +223,7 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out: list[tuple[int, bytes, bytes]] = []
             for i in range(part.num_rows):
                 a, z = int(b[i]), int(b[i + 1])
-                starts = range(a, z, WINDOW)
-                if len(starts) > WINDOWS:
-                    starts = [a + int(k * (z - a - WINDOW) / (WINDOWS - 1)) for k in range(WINDOWS)]
-                for s in starts:
+                for s in range(a, z, WINDOW):
                     e = min(z, s + WINDOW)
                     out.append((i, w.hash[s:e].tobytes(), np.minimum(w.end[s:e] - w.start[s:e], 255).astype(np.uint8).tobytes()))
             rows = pa.array([o[0] for o in out], pa.int64())

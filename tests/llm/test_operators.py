@@ -18,6 +18,7 @@ from canopy.llm._store import components
 from canopy.llm._text import WORD
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+CLASHES = "key h sid shard winner slot size a bucket __i __d __hash __slot __digest d g i row nth rank begin epoch due_slot own_id own_hash text_md5".split()
 SYLLABLES = "an ber cor dul en fir gol hin is jor kal lum mon ner ol pur qua ras sol tir un vel".split()
 
 
@@ -37,7 +38,7 @@ def corpus():
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    return spark.createDataFrame(corpus(), SCHEMA).withColumns({c: F.lit("clash") for c in ("key", "h", "sid", "shard", "winner", "slot", "size", "a", "bucket")}).repartition(3)
+    return spark.createDataFrame(corpus(), SCHEMA).withColumns({c: F.lit("clash") for c in CLASHES}).repartition(3)
 
 
 @pytest.fixture(scope="module")
@@ -45,6 +46,12 @@ def nothing(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
+def assert_untouched(kept, docs):
+    """All columns of docs are there, with their values."""
+    assert kept.columns == docs.columns
+    assert kept.select(*CLASHES).distinct().collect() == [tuple(["clash"] * len(CLASHES))]
+
+
 def words_of(t):
     return re.findall(WORD, (t or "").lower())
 
@@ -90,16 +97,15 @@ def test_ngram_join(docs, nothing):
     want = brute_join([(i, t) for i, t, *_ in corpus()])
     assert joined(docs) == want and sum(n > 0 for *_, n in want) >= 8
     assert ngram_join.join(nothing).count() == 0
-    clash = docs.withColumns({c: F.lit("clash") for c in ("i", "g", "__i", "row", "sid", "n_links")})
-    kept = ngram_join.remove_near_copies(clash)
-    assert kept.columns == clash.columns and {r["g"] for r in kept.select("g").distinct().collect()} == {"clash"}
+    kept = ngram_join.remove_near_copies(docs)
+    assert_untouched(kept, docs)
     kept = {r[0] for r in kept.select("doc_id").collect()}
     assert {None, 5, 7, 120, 121, 124} <= kept and not {110, 111, 112, 113} & kept
 
 
 @pytest.fixture
 def many_partitions(spark):
-    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     kept = {k: spark.conf.get(k) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
@@ -322,22 +328,59 @@ def test_mixing(docs, nothing):
             once[r["doc_id"]] += r["tokens"]
     assert {i: n for i, n in tokens.items() if n} == dict(once)
     mixed = mixing.mix(docs, block_tokens=block)
-    assert mixed.columns == docs.columns and {r["doc_id"] for r in mixed.collect()} == {r[0] for r in corpus()}
+    assert_untouched(mixed, docs)
+    assert {r["doc_id"] for r in mixed.collect()} == {r[0] for r in corpus()}
     assert mixing.schedule(nothing).count() == 0 and mixing.mix(nothing).count() == 0
 
 
-def test_sweep_is_forward_backward():
+def every_labelling(e, trans):
+    """(labels, unnormalized probability) of all labellings of one chain."""
+    for y in itertools.product((0, 1), repeat=len(e)):
+        yield np.array(y), np.exp(sum(e[t] * y[t] for t in range(len(e))) + sum(trans[y[t], y[t + 1]] for t in range(len(e) - 1)))
+
+
+@pytest.mark.parametrize("segment", [2, 3, 512])
+def test_sweep_is_forward_backward(monkeypatch, segment):
+    monkeypatch.setattr(toxicity, "SEGMENT", segment)
     rng = np.random.default_rng(1)
-    length = np.array([1, 4, 6])
-    e, trans = rng.normal(size=11), rng.normal(size=(2, 2))
-    got = toxicity._sweep(e, np.array([0, 1, 5]), length, trans)
-    for s, n in zip((0, 1, 5), length):
-        z, top = 0.0, np.zeros(n)
-        for y in itertools.product((0, 1), repeat=int(n)):
-            w = np.exp(sum(e[s + t] * y[t] for t in range(n)) + sum(trans[y[t], y[t + 1]] for t in range(n - 1)))
-            z += w
-            top += w * np.array(y)
-        assert got[s : s + n] == pytest.approx(top / z)
+    length = np.array([1, 4, 7, 2])
+    start = np.cumsum(length) - length
+    e, trans = rng.normal(size=14), rng.normal(size=(2, 2))
+    got = toxicity._sweep(e, start, length, trans)
+    for s, n in zip(start, length):
+        every = list(every_labelling(e[s : s + n], trans))
+        assert got[s : s + n] == pytest.approx(sum(w * y for y, w in every) / sum(w for _, w in every))
+
+
+def test_gradient_is_that_of_the_likelihood():
+    rng = np.random.default_rng(2)
+    length, start = np.array([3, 5]), np.array([0, 3])
+    e, trans, y = rng.normal(size=8), rng.normal(size=(2, 2)), rng.integers(0, 2, 8)
+
+    def loss(e, trans):
+        out = 0.0
+        for s, n in zip(start, length):
+            every = list(every_labelling(e[s : s + n], trans))
+            out -= np.log(next(w for v, w in every if (v == y[s : s + n]).all()) / sum(w for _, w in every))
+        return out
+
+    by_token, by_pair = toxicity.gradient(e, start, length, trans, y)
+    for i in range(8):
+        d = np.eye(8)[i] * 1e-5
+        assert by_token[i] == pytest.approx((loss(e + d, trans) - loss(e - d, trans)) / 2e-5, abs=1e-6)
+    for a, b in itertools.product((0, 1), repeat=2):
+        d = np.zeros((2, 2))
+        d[a, b] = 1e-5
+        assert by_pair[a, b] == pytest.approx((loss(e, trans + d) - loss(e, trans - d)) / 2e-5, abs=1e-6)
+
+
+def test_model_keeps_every_word():
+    rng = np.random.default_rng(3)
+    known = np.unique(rng.integers(1, 1 << 63, 5000).astype(np.uint64))
+    w = rng.normal(size=len(known))
+    model = toxicity.Model.of(known, w, np.zeros(toxicity.LENGTHS), 0.0, np.zeros((2, 2)))
+    assert len(model.others) and (model.emissions(known, np.ones(len(known), np.int64)) == w).all()
+    assert not model.emissions(known + np.uint64(1), np.ones(len(known), np.int64))[~np.isin(known + np.uint64(1), known)].any()
 
 
 def test_toxicity_held_out(spark, nothing):
@@ -361,6 +404,10 @@ def test_toxicity_held_out(spark, nothing):
     assert not got[900]["toxic"] and got[901]["spans"] == [] and got[None]["toxic"]
     kept = toxicity.reject_toxic(df, model)
     assert kept.columns == df.columns and kept.count() == len(rows) - 61
+    clash = df.withColumns({c: F.lit("clash") for c in CLASHES})
+    assert_untouched(toxicity.reject_toxic(clash, model), clash)
+    long = spark.createDataFrame([(1, "so it goes " * 100_000 + "grubvile"), (2, "so it goes " * 100_000)], "doc_id long, text string")
+    assert {r["doc_id"]: r["toxic"] for r in toxicity.score(long, model).collect()} == {1: True, 2: False}
     assert toxicity.score(nothing, toxicity.train(nothing, spark.createDataFrame([], "doc_id long, quality int, toxic int"))).count() == 0
 
 
@@ -415,11 +462,14 @@ def test_exact_dedup(spark, docs, nothing):
     assert {(r["doc_id"], r["winner"]) for r in exact_dedup.decide(docs).collect()} == want
     kept = exact_dedup.remove_repeats(docs)
     texts = [r["text"] for r in kept.collect()]
-    assert kept.columns == docs.columns and len(texts) == len(set(texts)) and set(texts) == {t for _, t, *_ in corpus()}
+    assert_untouched(kept, docs)
+    assert len(texts) == len(set(texts)) and set(texts) == {t for _, t, *_ in corpus()}
     past = exact_dedup.history_of(exact_dedup.digests(spark.createDataFrame([(-5, "one")], "doc_id long, text string")))
     got = {r["doc_id"]: r for r in exact_dedup.decide(docs, past).collect()}
     assert got[123]["winner"] == -5 and got[123]["member"] and not got[124]["member"]
-    assert exact_dedup.decide(nothing).count() == 0
+    known = {r["doc_id"]: r["member"] for r in exact_dedup.decide(docs, exact_dedup.earlier(docs)).collect()}
+    assert known[5] and known[110] and not known[124] and not known[120]
+    assert exact_dedup.decide(nothing, exact_dedup.earlier(nothing)).count() == 0
 
 
 def test_resharding(docs, nothing):
