@@ -1,19 +1,21 @@
 """Secret scans by a battery of randomness tests with control of false discoveries.
 
-Candidates are the longest runs of 16 or more of A-Z a-z 0-9 + / _ - (then up to two =) that touch no other letter. The
-encoding is inferred from the characters: dec, hex, lower, upper, base36 (one case and digits), letters (both cases)
-or base64. On the whole string run three tests of the hypothesis that its symbols are uniform and independent:
-chi-squared uniformity of the alphabet, runs above and below its middle, and serial correlation; Fisher's sum of their
-log p-values is the score, small for random strings.
-
-What ordinary strings score is counted over ALL texts: the text between candidates, reduced to the alphabet of an
-encoding, is cut into strings of each length of LENGTHS, which are scored alike. (A fixed pool of PRIOR strings of
-English letter frequencies is always added, so that a table without text has a null too; that of dec has uniform
-digits, as ordinary numbers are no less random than keys.) A candidate's p-value is the share of the null of its
-encoding and of the next shorter length that is as random as it, so short strings need more evidence: this is what
-makes the control aware of lengths. Benjamini and Hochberg's step-up at FDR within each encoding picks the findings,
-which must also not fail the battery itself at PASS. Scores are counted in steps of 1 / STEPS; the counts that reach the driver
-are bounded by the encodings, lengths and steps.
+Candidates are the longest runs of 16 or more of A-Z a-z 0-9 + / _ - (then up to two =) that touch no other letter or
+digit of any script. The encoding is inferred from the characters: dec, hex, lower, upper, base36 (one case and digits),
+letters (both cases) or base64. On the whole string run three tests of the hypothesis that its symbols are uniform and
+independent: chi-squared uniformity of the alphabet, runs of digits and letters (where an encoding has only one of them,
+above and below its middle), and serial correlation; Fisher's sum of their log p-values is the score, small for random
+strings.
+
+What ordinary strings score is counted over ALL texts: of each text, what lies between candidates is reduced to the
+alphabet of an encoding and cut into strings of every length of LENGTHS, which are scored alike. Texts are cut each by
+itself, so the counts don't depend on how the table is partitioned. (A fixed pool of PRIOR strings of English letter
+frequencies is always added, so that a table without text has a null too; that of dec has uniform digits, as ordinary
+numbers are no less random than keys.) A candidate's p-value is the share of the null of its encoding and of the next
+shorter length that is as random as it, so short strings need more evidence: this is what makes the control aware of
+lengths. Benjamini and Hochberg's step-up at FDR within each encoding picks the findings, which must also not fail the
+battery itself at PASS. Scores are counted in steps of 1 / STEPS; the counts that reach the driver are bounded by the
+encodings, lengths and steps.
 
 Defined results: null, empty and candidate-free texts have no findings; repeated rows have their findings each; a null
 doc_id is kept. Offsets are in characters, the end excluded. Extra columns are ignored.
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +40,7 @@ FDR = 0.01
 PASS = 1e-4
 PRIOR = 4096
 STEPS, MOST = 4, 800
+PIECE = 1 << 20
 
 DIGITS, LOW, UP = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ALPHABETS = {
@@ -44,7 +48,7 @@ ALPHABETS = {
 }
 NAMES = list(ALPHABETS)
 SHARES = "e12.7 t9.1 a8.2 o7.5 i7.0 n6.7 s6.3 h6.1 r6.0 d4.3 l4.0 c2.8 u2.8 m2.4 w2.4 f2.2 g2.0 y2.0 p1.9 b1.5 v1.0 k0.8 j0.15 x0.15 q0.1 z0.07"
-FOUND = re.compile(rb"(?<![A-Za-z0-9+/_\-\x80-\xff])[A-Za-z0-9+/_\-]{16,}={0,2}(?![A-Za-z0-9+/_\-\x80-\xff])")
+FOUND = re.compile(rb"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{16,}={0,2}(?![A-Za-z0-9+/_\-])")
 OUT = "kind int, doc_id long, start int, end int, encoding string, length int, score double, bucket int, n long"
 
 
@@ -65,6 +69,10 @@ def _tables() -> dict[str, np.ndarray]:
 
 
 TABLES = _tables()
+#: The symbols on one side of the runs test.
+SIDES = {n: np.array([c in DIGITS for c in a]) if set(a) & set(DIGITS) and set(a) - set(DIGITS) else np.arange(len(a)) >= len(a) // 2 for n, a in ALPHABETS.items()}
+#: Lengths of the null, each twice the one it is made from.
+DOUBLES = {32: 16, 64: 32, 128: 64, 40: 20, 48: 24, 96: 48}
 
 
 def encoding_of(s: bytes) -> str:
@@ -92,32 +100,92 @@ def _two_sided(z: np.ndarray) -> np.ndarray:
     return np.clip(t * np.exp(-x * x + s), 1e-300, 1.0)
 
 
-def battery(symbols: np.ndarray, k: int) -> np.ndarray:
-    """Fisher's score (chi-squared of 6 degrees under randomness) of each row of symbols, all of one length."""
-    rows, n = symbols.shape
-    if not rows:
-        return np.zeros(0)
-    flat = (np.arange(rows)[:, None] * k + symbols).ravel()
-    counts = np.bincount(flat, minlength=rows * k).reshape(rows, k)
-    chi = (counts.astype(np.float64) ** 2).sum(1) * k / n - n
+@dataclass
+class Moments:
+    """What the battery asks of strings of one length; that of two strings side by side follows from theirs."""
+
+    n: int
+    counts: np.ndarray  # of each symbol
+    sum: np.ndarray
+    squares: np.ndarray
+    products: np.ndarray  # of neighbours
+    side: np.ndarray  # symbols on one side
+    changes: np.ndarray  # of side
+    ends: np.ndarray  # first and last symbol
+
+    @classmethod
+    def of(cls, symbols: np.ndarray, name: str) -> Moments:
+        rows, n = symbols.shape
+        k, x = len(ALPHABETS[name]), symbols.astype(np.float32)
+        counts = np.bincount((np.arange(rows)[:, None] * k + symbols).ravel(), minlength=rows * k).reshape(rows, k).astype(np.float32)
+        side = SIDES[name][symbols]
+        return cls(
+            n, counts, x.sum(1), np.einsum("ij,ij->i", x, x), np.einsum("ij,ij->i", x[:, 1:], x[:, :-1]),
+            side.sum(1).astype(np.float32), (side[:, 1:] != side[:, :-1]).sum(1).astype(np.float32), symbols[:, [0, -1]],
+        )
+
+    def doubled(self, at: np.ndarray, name: str) -> Moments:
+        """Of the strings at and at + 1, one after the other."""
+        a, b, side = at, at + 1, SIDES[name]
+        left, right = self.ends[a, 1], self.ends[b, 0]
+        return Moments(
+            2 * self.n, self.counts[a] + self.counts[b], self.sum[a] + self.sum[b], self.squares[a] + self.squares[b],
+            self.products[a] + self.products[b] + left * right, self.side[a] + self.side[b],
+            self.changes[a] + self.changes[b] + (side[left] != side[right]), np.stack([self.ends[a, 0], self.ends[b, 1]], 1),
+        )
+
+
+def score_of(m: Moments, name: str) -> np.ndarray:
+    """Fisher's score (chi-squared of 6 degrees under randomness) of each string."""
+    n, k = m.n, len(ALPHABETS[name])
+    chi = np.einsum("ij,ij->i", m.counts, m.counts).astype(np.float64) * k / n - n
     # Wilson and Hilferty's cube root makes it normal
     z = (np.cbrt(chi / (k - 1)) - (1 - 2 / (9 * (k - 1)))) / np.sqrt(2 / (9 * (k - 1)))
     p1 = np.where(z > 0, _two_sided(z) / 2, 1 - _two_sided(z) / 2)
-    high = symbols >= k // 2
-    n1 = high.sum(1).astype(np.float64)
+    n1 = m.side.astype(np.float64)
     n0 = n - n1
-    runs = 1 + (high[:, 1:] != high[:, :-1]).sum(1)
     mean = 1 + 2 * n1 * n0 / n
     var = (mean - 1) * (mean - 2) / max(1, n - 1)
-    # a string on one side of the middle has no variance: under randomness it has probability 2^(1-n)
-    p2 = np.where(var > 1e-9, _two_sided((runs - mean) / np.sqrt(np.maximum(var, 1e-9))), 2.0 ** (1 - min(n, 900)))
-    x = symbols - symbols.mean(1, keepdims=True)
-    power = (x * x).sum(1)
-    r = (x[:, 1:] * x[:, :-1]).sum(1) / np.maximum(power, 1e-9)
-    p3 = np.where(power > 1e-9, _two_sided((r + 1 / n) * np.sqrt(n)), 1e-30)
+    # a string on one side has no variance: under randomness it has the probability of that side to the power n
+    share = SIDES[name].mean()
+    alone = np.where(n1 > 0, share, 1 - share) ** min(n, 900)
+    p2 = np.where(var > 1e-9, _two_sided((1 + m.changes - mean) / np.sqrt(np.maximum(var, 1e-9))), np.maximum(alone, 1e-300))
+    s, ends = m.sum.astype(np.float64), m.ends.astype(np.float64).sum(1)
+    mean = s / n
+    power = m.squares - s * mean
+    near = m.products - mean * (2 * s - ends) + (n - 1) * mean * mean
+    p3 = np.where(power > 1e-6 * n, _two_sided((near / np.maximum(power, 1e-9) + 1 / n) * np.sqrt(n)), 1e-30)
     return -2 * (np.log(p1) + np.log(p2) + np.log(p3))
 
 
+def battery(symbols: np.ndarray, name: str) -> np.ndarray:
+    """The score of each row of symbols, all of one length."""
+    return score_of(Moments.of(symbols, name), name) if len(symbols) else np.zeros(0)
+
+
+def ordinary(data: np.ndarray, doc: np.ndarray, rows: int, null: np.ndarray) -> None:
+    """Adds the scores of all strings that texts are cut into to null; doc: the text of each byte."""
+    for e, name in enumerate(NAMES):
+        symbols = TABLES[name][data]
+        keep = symbols >= 0
+        symbols, size = symbols[keep].astype(np.int64), np.bincount(doc[keep], minlength=rows)
+        first = np.cumsum(size) - size
+        made: dict[int, tuple[Moments, np.ndarray]] = {}
+        for b, n in enumerate(LENGTHS.tolist()):
+            half = made.get(DOUBLES.get(n, 0))
+            pieces_ = size // n  # of each text
+            if not pieces_.any():
+                continue
+            place = np.arange(int(pieces_.sum())) - np.repeat(np.cumsum(pieces_) - pieces_, pieces_)
+            if half is None:
+                at = np.repeat(first, pieces_) + n * place
+                m = Moments.of(symbols[at[:, None] + np.arange(n)], name)
+            else:
+                m = half[0].doubled(np.repeat(half[1], pieces_) + 2 * place, name)
+            made[n] = m, np.cumsum(pieces_) - pieces_
+            null[e, b] += np.bincount(bucket_of(score_of(m, name)), minlength=MOST + 1)
+
+
 def p_random(score: np.ndarray) -> np.ndarray:
     """The upper tail of chi-squared with 6 degrees of freedom."""
     h = np.asarray(score) / 2
@@ -148,19 +216,32 @@ def prior() -> np.ndarray:
             if t[ord(d)] >= 0:
                 weight[t[ord(d)]] += 1.0
         for b, n in enumerate(LENGTHS):
-            scores = battery(rng.choice(k, (PRIOR, int(n)), p=weight / weight.sum()), k)
+            scores = battery(rng.choice(k, (PRIOR, int(n)), p=weight / weight.sum()), name)
             out[e, b] = np.bincount(bucket_of(scores), minlength=MOST + 1)
     return out
 
 
+def _letter(data: bytes, at: int) -> bool:
+    """Whether the character beyond ASCII that byte `at` belongs to is a letter or digit."""
+    low = at
+    while low > 0 and data[low] & 0xC0 == 0x80:
+        low -= 1
+    return data[low : low + 4].decode("utf-8", "ignore")[:1].isalnum()
+
+
 def candidates(data: bytes) -> list[tuple[int, int]]:
-    return [m.span() for m in FOUND.finditer(data)]
+    out = []
+    for m in FOUND.finditer(data):
+        a, z = m.span()
+        if not (a and data[a - 1] >= 0x80 and _letter(data, a - 1) or z < len(data) and data[z] >= 0x80 and _letter(data, z)):
+            out.append((a, z))
+    return out
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     null = np.zeros((len(NAMES), len(LENGTHS), MOST + 1), np.int64)
     for batch in batches:
-        for part in pieces(batch, 1):
+        for part in pieces(batch, 1, PIECE):
             data, offs = raw(part.column(1))
             # texts are apart by a byte that no candidate holds
             gap = np.full(len(data) + part.num_rows, 32, np.uint8)
@@ -171,18 +252,18 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = np.searchsorted(starts, spans[:, 0], side="right") - 1
             chars = np.concatenate([[0], np.cumsum((gap & 0xC0) != 0x80)])
             found: dict[tuple[str, int], list[tuple[int, bytes]]] = {}
-            ordinary = np.ones(len(gap), bool)
+            between = np.ones(len(gap), bool)
             for i, (a, z) in enumerate(spans.tolist()):
                 s = gap[a:z].tobytes().rstrip(b"=")
                 name = encoding_of(s)
                 if name not in ("lower", "upper", "letters"):  # these are words nearly always
-                    ordinary[a:z] = False
+                    between[a:z] = False
                 found.setdefault((name, len(s)), []).append((i, s))
             score, kinds, sizes = np.zeros(len(spans)), [""] * len(spans), np.zeros(len(spans), np.int32)
             for (name, n), mine in found.items():
                 symbols = TABLES[name][np.frombuffer(b"".join(s for _, s in mine), np.uint8)].reshape(-1, n)
                 at = [i for i, _ in mine]
-                score[at] = battery(symbols, len(ALPHABETS[name]))
+                score[at] = battery(symbols.astype(np.int64), name)
                 sizes[at] = n
                 for i in at:
                     kinds[i] = name
@@ -191,15 +272,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _rows(
                     0, part.column(0).take(pa.array(row)), chars[spans[:, 0]] - base, chars[spans[:, 1]] - base, kinds, sizes, score, bucket_of(score), None
                 )
-            text = gap[ordinary]
-            for e, name in enumerate(NAMES):
-                symbols = TABLES[name][text]
-                symbols = symbols[symbols >= 0]
-                for b, n in enumerate(LENGTHS):
-                    # every text in turn is cut to one of the lengths, by its place: all lengths see all kinds of text
-                    cut = symbols[b * len(symbols) // len(LENGTHS) : (b + 1) * len(symbols) // len(LENGTHS)]
-                    cut = cut[: len(cut) // n * n].reshape(-1, n)
-                    null[e, b] += np.bincount(bucket_of(battery(cut, len(ALPHABETS[name]))), minlength=MOST + 1)
+            doc = np.repeat(np.arange(part.num_rows), np.diff(offs) + 1)
+            ordinary(gap[between], doc[between], part.num_rows, null)
     e, b, s = np.nonzero(null)
     if len(e):
         yield _rows(1, pa.nulls(len(e), pa.int64()), e * 0, e * 0, [NAMES[i] for i in e], b, s / STEPS, s, null[e, b, s])

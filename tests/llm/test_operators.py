@@ -425,13 +425,51 @@ def test_secrets(spark, docs, nothing):
     assert secrets.scan(docs).count() == 0 and secrets.scan(nothing).count() == 0
 
 
+def planted_keys(rng, kind):
+    letters = {"hex": "0123456789abcdef", "HEX": "0123456789ABCDEF", "base36": secrets.DIGITS + secrets.LOW, "base64": secrets.ALPHABETS["base64"]}[kind[:-2]]
+    return "".join(rng.choices(letters, k=int(kind[-2:])))
+
+
+def test_secrets_recall_by_encoding(spark):
+    """The findings are those of any partitioning, and keys of each encoding are found."""
+    rng, rows = random.Random(4), [(i, prose(random.Random(i), 200)) for i in range(1000, 1800)]
+    kinds = ["hex32", "hex64", "HEX40", "base3640", "base6440", "base6464"]
+    for k, kind in enumerate(kinds):
+        rows += [(100 * k + i, f"{prose(rng, 30)} «{planted_keys(rng, kind)}» {prose(rng, 30)}") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {tuple(r) for r in secrets.scan(df.coalesce(1)).collect()}
+    assert got == {tuple(r) for r in secrets.scan(df.repartition(16)).collect()}
+    found = {r[0] for r in got}
+    share = {kind: sum(100 * k + i in found for i in range(50)) / 50 for k, kind in enumerate(kinds)}
+    assert all(x >= (0.6 if "36" in kind else 0.9) for kind, x in share.items()), share
+    assert not found & set(range(1000, 1800))
+
+
+def test_secrets_null_is_that_of_each_text():
+    """Moments of doubled strings give the scores of the whole strings, text by text."""
+    rng = random.Random(2)
+    texts = [prose(rng, n).encode() for n in (300, 2, 90, 0, 700)]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    null = np.zeros((len(secrets.NAMES), len(secrets.LENGTHS), secrets.MOST + 1), np.int64)
+    secrets.ordinary(data, doc, len(texts), null)
+    for e, name in enumerate(secrets.NAMES):
+        for b, n in enumerate(secrets.LENGTHS.tolist()):
+            want = np.zeros(secrets.MOST + 1, np.int64)
+            for t in texts:
+                x = secrets.TABLES[name][np.frombuffer(t, np.uint8)]
+                x = x[x >= 0].astype(np.int64)
+                want += np.bincount(secrets.bucket_of(secrets.battery(x[: len(x) // n * n].reshape(-1, n), name)), minlength=secrets.MOST + 1)
+            assert abs(null[e, b] - want).sum() <= 2 and null[e, b].sum() == want.sum()
+
+
 def test_battery_is_calibrated():
     rng = np.random.default_rng(3)
-    for name in ("hex", "base64"):
+    for name in ("hex", "base36", "base64"):
         k = len(secrets.ALPHABETS[name])
-        p = secrets.p_random(secrets.battery(rng.integers(0, k, (4000, 64)), k))
+        p = secrets.p_random(secrets.battery(rng.integers(0, k, (4000, 64)), name))
         assert 0.002 < (p < 0.01).mean() < 0.04
-    assert secrets.p_random(secrets.battery(np.tile(np.arange(16), (1, 4)), 16))[0] < 1e-3
+    assert secrets.p_random(secrets.battery(np.tile(np.arange(16), (1, 4)), "hex"))[0] < 1e-3
 
 
 def test_bpe(docs, nothing):
