@@ -40,3 +40,18 @@ def path_column(name: str) -> Column:
     value = F.try_variant_get(F.try_parse_json(F.col(f"`{column}`")), path, "variant")
     text = F.try_variant_get(F.try_parse_json(F.col(f"`{column}`")), path, "string")
     return text if steps[-1][0].endswith(">>") else F.to_json(value)
+
+
+def mysql_path(name: str) -> str:
+    """The path in the form of JSON_EXTRACT: names in quotes, positions in brackets."""
+    tokens = [t.strip() for op, step in _steps(name)[1] for t in (step.strip("{}").split(",") if op[0] == "#" else [step])]
+    return "$" + "".join(f"[{t}]" if t.isdigit() else f'."{t}"' for t in tokens)
+
+
+def mysql_column(name: str) -> Column:
+    """JSON_EXTRACT of mysql_path, unquoted where the last step asks for text."""
+    steps = _steps(name)[1]
+    path = re.sub(r'\."([^"]*)"', r"['\1']", mysql_path(name))
+    value = F.try_variant_get(F.try_parse_json(F.col(f"`{base_column(name)}`")), path, "variant")
+    text = F.try_variant_get(F.try_parse_json(F.col(f"`{base_column(name)}`")), path, "string")
+    return text if steps[-1][0].endswith(">>") else F.to_json(value)

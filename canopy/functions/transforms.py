@@ -11,11 +11,21 @@ from pyspark.sql.types import ArrayType, BooleanType, DataType, DecimalType, Dou
 Fields = dict[str, tuple[Column, DataType]]
 
 
+def inherited(parent: dict[str, Any], own: dict[str, Any], label: str) -> dict[str, Any]:
+    """The transform of a child: its own, and what replace and rename of its parent say under its label."""
+    out = dict(own)
+    for kind, nested in (("replace", lambda v: any(isinstance(x, dict) for x in v.values())), ("rename", lambda v: True)):
+        rules = (parent.get(kind) or {}).get(label)
+        if isinstance(rules, dict) and nested(rules):
+            out[kind] = rules | (own.get(kind) or {})
+    return out
+
+
 def replace(fields: Fields, rules: dict[str, dict[str, str]]) -> Fields:
     """Replaces substrings, one rule after another, in strings and lists of strings; other types stay."""
     out = dict(fields)
     for name, pairs in rules.items():
-        if name not in out:
+        if name not in out or any(isinstance(x, dict) for x in pairs.values()):  # rules of a child
             continue
         column, kind = out[name]
 

@@ -36,6 +36,99 @@ def parse_log(lines: DataFrame, column: str = "line") -> DataFrame:
     return parsed.withColumns({"new": F.when(~gone, F.col("__new")), "old": F.when(gone, F.col("__new")).otherwise(F.col("__old"))}).drop("__new", "__old")
 
 
+def log_events(log: DataFrame) -> DataFrame:
+    """EVENT rows of a log (lsn, xid, line): seq is the position, txid the transaction."""
+    return parse_log(log, "line").select(F.col("lsn").alias("seq"), "op", "table", "new", "old", F.col("xid").cast("string").cast("long").alias("txid"))
+
+
+def within(rows: DataFrame, column: str, low: int | None, high: int | None) -> DataFrame:
+    """Rows whose transaction is at least low and below high; 0 is a bound like others."""
+    if low is not None:
+        rows = rows.where(F.col(column) >= low)
+    return rows if high is None else rows.where(F.col(column) < high)
+
+
+def committed(log: DataFrame) -> DataFrame:
+    """Log rows of transactions whose COMMIT is in the log; the others wait for it."""
+    done = log.where(F.col("line").startswith("COMMIT")).select("xid").distinct()
+    return log.join(done, "xid", "left_semi")
+
+
+def captured(rows: DataFrame, table: str, keys: list[str], watched: list[str] | None = None) -> DataFrame:
+    """What a row trigger would emit for rows (op, new, old) of structs: only key columns, and an UPDATE only if one of
+    the watched columns changed (all of them without a list)."""
+    fields = watched or rows.schema["new"].dataType.fieldNames()
+    kept = rows.where((F.col("op") != "UPDATE") | changed("new", "old", fields))
+
+    def picked(c: str) -> Column:
+        values = [x for k in sorted(keys) for x in (F.lit(k), F.col(c)[k].cast("string"))]
+        return F.when(F.col(c).isNotNull(), F.create_map(*values)).alias(c)
+
+    return kept.select("op", F.lit(table).alias("table"), picked("new"), picked("old"))
+
+
+def notifications(messages: DataFrame, index: str, schemas: list[str], column: str = "payload") -> DataFrame:
+    """EVENT rows of JSON messages {tg_op, table, schema, new, old, xmin, indices}; bad JSON and messages for other
+    indices or schemas are left out. seq is the message's place in `seq`."""
+    kind = "struct<tg_op:string,table:string,schema:string,new:map<string,string>,old:map<string,string>,xmin:long,indices:array<string>>"
+    got = messages.select("seq", F.from_json(column, kind).alias("m")).where("m.tg_op is not null")
+    got = got.where(F.array_contains("m.indices", index) & F.col("m.schema").isin(schemas))
+    return got.select("seq", F.col("m.tg_op").alias("op"), F.col("m.table").alias("table"), F.col("m.new").alias("new"), F.col("m.old").alias("old"), F.col("m.xmin").alias("txid"))
+
+
+def binlog_events(rows: DataFrame) -> DataFrame:
+    """EVENT rows of a binlog (file, pos, kind, table, before, after); rotations and other kinds are left out.
+
+    Files are in order of the number at the end of their names.
+    """
+    ops = F.create_map(*[F.lit(x) for x in ("write", "INSERT", "update", "UPDATE", "delete", "DELETE")])
+    number = F.regexp_extract("file", r"(\d+)$", 1).cast("long")
+    known = rows.where(F.col("kind").isin("write", "update", "delete"))
+    return known.select((F.shiftleft(number, 40) + F.col("pos")).alias("seq"), ops[F.col("kind")].alias("op"), "table", F.col("after").alias("new"), F.col("before").alias("old"), F.lit(None).cast("long").alias("txid"))
+
+
+def named(values: Column, columns: list[str]) -> Column:
+    """A row whose keys are all UNKNOWN_COLn gets the names of its columns by place, @n beyond them; others stay."""
+    names = F.array(*[F.lit(c) for c in columns])
+    keys = F.map_keys(values)
+    place = lambda k: F.regexp_extract(k, r"^UNKNOWN_COL(\d+)$", 1)
+    renamed = F.transform_keys(values, lambda k, _: F.coalesce(F.get(names, place(k).cast("int")), F.concat(F.lit("@"), place(k))))
+    return F.when(F.forall(keys, lambda k: place(k) != ""), renamed).otherwise(values)
+
+
+def tuple_id(page: Column, row: Column) -> Column:
+    """The text of a physical place."""
+    return F.concat(F.lit("("), page.cast("string"), F.lit(","), row.cast("string"), F.lit(")"))
+
+
+def page_and_row(place: Column) -> list[Column]:
+    bare = F.replace(F.replace(place, F.lit("("), F.lit("")), F.lit(")"), F.lit(""))
+    return [F.split_part(bare, F.lit(","), F.lit(n)).cast("int").alias(c) for n, c in ((1, "page"), (2, "row"))]
+
+
+def after(rows: DataFrame, place: list[str], last: tuple) -> DataFrame:
+    """Rows beyond the last one done, in order of place: where a scan goes on."""
+    return rows.where(F.struct(*place) > F.struct(*[F.lit(x) for x in last]))
+
+
+def in_places(rows: DataFrame, place: list[str], blocks: DataFrame) -> DataFrame:
+    """Rows at the places of blocks."""
+    return rows.join(blocks.select(*place).distinct(), place, "left_semi")
+
+
+def uuid_equals(column: Column, value: str) -> Column:
+    """Equality with a UUID; false, not an error, for a text that is none."""
+    import re
+
+    ok = re.fullmatch(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", value)
+    return F.lower(column) == value.lower() if ok else F.lit(False)
+
+
+def lock_key(name: Column) -> Column:
+    """A stable 60-bit number of a name."""
+    return F.conv(F.left(F.sha2(name, 256), F.lit(15)), 16, 10).cast("long")
+
+
 def data(op: str = "op") -> Column:
     """The row of an event: the old one of a deletion if it is there, else the new one."""
     return F.when(F.col(op) == "DELETE", F.coalesce("old", "new")).otherwise(F.col("new"))
@@ -69,6 +162,11 @@ def run_groups(events: DataFrame, order: list[str], by: list[str], within: list[
     return events.withColumn("run", F.sum(new.cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
 
+def insert_groups(events: DataFrame) -> DataFrame:
+    """(table, n, first, last) of a batch of insertions alone: their order doesn't matter, so tables are the only groups."""
+    return events.groupBy("table").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first"), F.max("seq").alias("last"))
+
+
 def latest(events: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last event of each key."""
     columns = [c for c in events.columns if c not in keys]

@@ -24,13 +24,32 @@ def ngrams(c: Column, least: int = 3, most: int = 10) -> Column:
 
 
 def matches(fields: list[str], term: str) -> Column:
-    """Any field holds the term (3 to 10 characters) within a word, whatever the case."""
+    """Any field holds the term within a word, whatever the case.
+
+    Terms of 3 to 10 characters are looked up among the n-grams, as with_ngrams() stores them; shorter and longer ones
+    have none and are looked for in the words themselves.
+    """
     out = F.lit(False)
     for f in fields:
-        out = out | F.coalesce(F.array_contains(ngrams(F.col(f)), F.lit(term.lower())), F.lit(False))
+        if 3 <= len(term) <= 10:
+            found = F.array_contains(ngrams(F.col(f)), F.lit(term.lower()))
+        else:
+            found = F.exists(F.split(F.lower(F.col(f)), r"[^\p{L}\p{N}]+"), lambda w: w.contains(term.lower()))
+        out = out | F.coalesce(found, F.lit(False))
     return out
 
 
+def with_ngrams(documents: DataFrame, fields: list[str]) -> DataFrame:
+    """The documents made anew with <field>_ngram beside each field, so that a search reads an array instead of cutting words."""
+    return documents.withColumns({f"{f}_ngram": ngrams(F.col(f)) for f in fields})
+
+
+def query(documents: DataFrame, body: str, name: str = "documents") -> DataFrame:
+    """Any SQL over documents under a name; _meta, lineage and vectors are not part of what is searched."""
+    hidden = [c for c in documents.columns if c in ("_meta", "_keys", "embedding")]
+    return documents.sparkSession.sql(body, **{name: documents.drop(*hidden)})
+
+
 def highlight(field: str, term: str, before: str = "<em>", after: str = "</em>") -> Column:
     return F.regexp_replace(F.col(field), f"(?i)({re.escape(term)})", f"{before}$1{after}")
 

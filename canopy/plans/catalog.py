@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -51,9 +52,35 @@ class Catalog:
         return [t.name for t in self.tables.values() if base_table in t.base_tables]
 
     def key_view(self, spark: SparkSession) -> DataFrame:
-        """(table_name, primary_keys, foreign_keys) of every table."""
-        rows = [(t.name, sorted(t.primary_key), sorted({c for f in t.foreign_keys for c in f.columns})) for t in self.tables.values()]
-        return spark.createDataFrame(rows, "table_name string, primary_keys array<string>, foreign_keys array<string>")
+        """(table_name, primary_keys, foreign_keys, columns) of every table."""
+        constraints = self.constraints(spark)
+        keys = constraints.groupBy("table_name").agg(
+            F.sort_array(F.collect_set(F.when(F.col("kind") == "primary", F.col("column_name")))).alias("primary_keys"),
+            F.sort_array(F.collect_set(F.when(F.col("kind") == "foreign", F.col("column_name")))).alias("foreign_keys"),
+        )
+        columns = self.columns(spark).groupBy("table_name").agg(F.sort_array(F.collect_list(F.struct("place", "column_name"))).alias("c"))
+        none = F.array().cast("array<string>")
+        return columns.join(keys, "table_name", "left").select(
+            "table_name", F.coalesce("primary_keys", none).alias("primary_keys"), F.coalesce("foreign_keys", none).alias("foreign_keys"), F.col("c.column_name").alias("columns")
+        )
+
+    def columns(self, spark: SparkSession) -> DataFrame:
+        """(table_name, place, column_name, type) of every column."""
+        rows = [(t.name, i, f.name, f.dataType.simpleString()) for t in self.tables.values() for i, f in enumerate(t.load().schema)]
+        return spark.createDataFrame(rows, "table_name string, place int, column_name string, type string")
+
+    def constraints(self, spark: SparkSession) -> DataFrame:
+        """(table_name, kind, column_name) of every column of a key."""
+        rows = [(t.name, "primary", c) for t in self.tables.values() for c in t.primary_key]
+        rows += [(t.name, "foreign", c) for t in self.tables.values() for f in t.foreign_keys for c in f.columns]
+        return spark.createDataFrame(rows, "table_name string, kind string, column_name string")
+
+
+def united(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Two key views as one: of each table the union of its keys; its columns are those of new, if it has any."""
+    both = old.withColumn("age", F.lit(0)).unionByName(new.withColumn("age", F.lit(1)))
+    sets = [F.sort_array(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("primary_keys", "foreign_keys")]
+    return both.groupBy("table_name").agg(*sets, F.max_by("columns", "age").alias("columns"))
 
 
 _KEYS: dict[str, tuple[tuple[str, ...], tuple[ForeignKey, ...]]] = {

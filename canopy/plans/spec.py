@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import urllib.request
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import Any
@@ -125,11 +126,33 @@ def parse(raw: dict[str, Any]) -> DocSpec:
     return DocSpec(index, root, raw.get("routing"), raw.get("pipeline"), tuple(raw.get("plugins") or ()), raw.get("setting") or {}, raw.get("mapping") or {})
 
 
-def load(path: str, environment: dict[str, str] | None = None) -> list[DocSpec]:
-    """The documents of a JSON file; top-level strings have $names replaced from the environment."""
-    env = os.environ if environment is None else environment
+def read_source(path: str | None = None, url: str | None = None, s3: str | None = None) -> str:
+    """The text of a configuration from exactly one of a local file, an http(s) address and an object in S3."""
+    given = [x for x in (path, url, s3) if x]
+    if len(given) != 1:
+        raise SpecError("give exactly one of a path, a URL and an S3 address")
+    if url:
+        if not re.match(r"https?://", url):
+            raise SpecError(f"{url} is not http(s)")
+        with urllib.request.urlopen(url, timeout=30) as answer:
+            return answer.read().decode()
+    if s3:
+        bucket, _, key = s3.removeprefix("s3://").partition("/")
+        if not s3.startswith("s3://") or not key:
+            raise SpecError(f"{s3} names no object")
+        try:
+            import boto3
+        except ImportError as error:
+            raise SpecError("reading from S3 needs boto3") from error
+        return boto3.client("s3").get_object(Bucket=bucket, Key=key)["Body"].read().decode()
     with open(path) as f:
-        docs = json.load(f)
+        return f.read()
+
+
+def load(path: str | None = None, environment: dict[str, str] | None = None, url: str | None = None, s3: str | None = None) -> list[DocSpec]:
+    """The documents of a JSON list; top-level strings have $names replaced from the environment."""
+    env = os.environ if environment is None else environment
+    docs = json.loads(read_source(path, url, s3))
     if not isinstance(docs, list):
         raise SpecError("a configuration is a list of documents")
 
@@ -137,3 +160,13 @@ def load(path: str, environment: dict[str, str] | None = None) -> list[DocSpec]:
         return re.sub(r"\$(\w+)", lambda m: env.get(m[1], m[0]), x) if isinstance(x, str) else x
 
     return [parse({k: fill(v) for k, v in d.items()}) for d in docs]
+
+
+def identifier(*parts: str) -> str:
+    """A name of letters, digits and _ alone, as for cursors and indices: all else is left out."""
+    return re.sub(r"[^0-9a-zA-Z_]+", "", "_".join(parts).lower())
+
+
+def quoted(name: str, dialect: str = "ansi") -> str:
+    mark = "`" if dialect in ("spark", "mysql") else '"'
+    return mark + name.replace(mark, 2 * mark) + mark

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import json
 import uuid
 from abc import ABC, abstractmethod
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -22,12 +21,20 @@ INDEX_TYPES = set(
 )
 
 
+PARAMETERS = set(
+    "analyzer boost coerce copy_to doc_values dynamic eager_global_ordinals enabled fielddata fields format ignore_above ignore_malformed index_options "
+    "index_phrases index_prefixes index meta normalizer norms null_value position_increment_gap properties search_analyzer similarity store term_vector type dims scaling_factor".split()
+)
+
+
 def mapping(node: Node) -> dict[str, Any]:
     """The index mapping of a tree, from transform.mapping of its nodes, nested under their labels."""
     out: dict[str, Any] = {}
     for column, rule in (node.transform.get("mapping") or {}).items():
         if rule.get("type") not in INDEX_TYPES:
             raise SpecError(f"{node.table}.{column}: unknown type {rule.get('type')}")
+        if unknown := set(rule) - PARAMETERS:
+            raise SpecError(f"{node.table}.{column}: unknown parameters {sorted(unknown)}")
         out[column] = dict(rule)
     for child in node.children:
         if inner := mapping(child):
@@ -35,18 +42,46 @@ def mapping(node: Node) -> dict[str, Any]:
     return out
 
 
+def actions(upserts: DataFrame, deletes: DataFrame, major: int = 8) -> DataFrame:
+    """(_op_type, _id, _index, _routing, pipeline, _source[, _type]) of both; what documents lack is null.
+
+    Servers before major version 7 want a _type.
+    """
+    rows = as_json(upserts)
+    names = ["_index", "_routing", "pipeline", "_source"]
+    part = lambda df, op: df.select(F.lit(op).alias("_op_type"), "_id", *[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in names])
+    out = part(deletes, "delete").unionByName(part(rows, "index"))
+    return out.withColumn("_type", F.lit("_doc")) if major < 7 else out
+
+
 class Sink(ABC):
-    """Where documents go. doc_count is how many upserts and deletions were written."""
+    """Where documents go. doc_count is how many upserts and deletions were written.
+
+    extra_setting and extra_mapping are merged into what create() makes of a specification.
+    """
 
     doc_count = 0
 
+    def __init__(self, extra_setting: dict[str, Any] | None = None, extra_mapping: dict[str, Any] | None = None) -> None:
+        self.extra_setting, self.extra_mapping = extra_setting or {}, extra_mapping or {}
+
     def create(self, spec: DocSpec) -> dict[str, Any]:
         """Settings and mapping of the index, made if it is missing."""
-        return {"settings": spec.setting, "mappings": spec.mapping or {"properties": mapping(spec.root)}, "routing_required": bool(spec.routing)}
+        body = {"properties": mapping(spec.root) | self.extra_mapping}
+        return {"settings": spec.setting | self.extra_setting, "mappings": spec.mapping or body, "routing_required": bool(spec.routing)}
 
     @abstractmethod
     def bulk(self, upserts: DataFrame, deletes: DataFrame) -> None:
-        """Deletes _ids, then puts documents in place of those of the same _id."""
+        """Deletes _ids, then puts documents in place of those of the same _id, whatever their routing."""
+
+    def manifest(self) -> Any:
+        """What a later run needs to go on, as JSON."""
+        return {"doc_count": self.doc_count}
+
+    def restore(self, manifest: Any) -> None:
+        self.doc_count = manifest["doc_count"]
+
+    def refresh(self) -> None: ...
 
     def teardown(self) -> None: ...
 
@@ -54,32 +89,43 @@ class Sink(ABC):
 class MemorySink(Sink):
     """For tests and notebooks: documents in a dictionary on the driver."""
 
-    def __init__(self) -> None:
+    def __init__(self, **extra) -> None:
+        super().__init__(**extra)
         self.documents: dict[str, str] = {}
+        self.routing: dict[str, str] = {}
 
     def bulk(self, upserts: DataFrame, deletes: DataFrame) -> None:
-        for r in deletes.toLocalIterator():
+        for r in actions(upserts, deletes).toLocalIterator():
             self.documents.pop(r["_id"], None)
-            self.doc_count += 1
-        for r in as_json(upserts).toLocalIterator():
-            self.documents[r["_id"]] = r["_source"]
+            if r["_op_type"] == "index":
+                self.documents[r["_id"]], self.routing[r["_id"]] = r["_source"], r["_routing"]
             self.doc_count += 1
 
     def teardown(self) -> None:
         self.documents.clear()
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 class JsonLinesSink(Sink):
-    """Appends actions as JSON lines, a folder for each batch."""
+    """Appends actions as JSON lines, a folder for each batch; nulls are left out of a line."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, **extra) -> None:
+        super().__init__(**extra)
         self.path = path
+        self._spark: SparkSession | None = None
 
     def bulk(self, upserts: DataFrame, deletes: DataFrame) -> None:
-        action = lambda op: F.lit(op).alias("_op_type")
-        rows = as_json(upserts).select(action("index"), "_id", "_source")
-        gone = deletes.select(action("delete"), "_id", F.lit(None).cast("string").alias("_source"))
-        gone.unionByName(rows).write.json(f"{self.path}/{uuid.uuid4().hex}")
+        seen, self._spark = Observation(), upserts.sparkSession
+        actions(upserts, deletes).observe(seen, F.count(F.lit(1)).alias("n")).write.json(f"{self.path}/{uuid.uuid4().hex}")
+        self.doc_count += seen.get["n"]
+
+    def teardown(self) -> None:
+        if self._spark:
+            _remove(self._spark, self.path)
 
 
 class ParquetSink(Sink):
@@ -87,7 +133,8 @@ class ParquetSink(Sink):
 
     BUCKETS = 64
 
-    def __init__(self, spark: SparkSession, path: str, schema: StructType, buckets: int = BUCKETS) -> None:
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, buckets: int = BUCKETS, **extra) -> None:
+        super().__init__(**extra)
         self.spark, self.path, self.schema, self.buckets = spark, path, schema, buckets
         self._version: dict[int, str] = {}
 
@@ -107,6 +154,7 @@ class ParquetSink(Sink):
         if old:
             rows = self.spark.read.schema(self.schema).parquet(*old).join(ids, "_id", "left_anti").select(*rows.columns).unionByName(rows)
         at = f"{self.path}/{uuid.uuid4().hex}"
+        self.doc_count += upserts.count() + deletes.count()
         rows.withColumn("__b", self._bucket()).repartition("__b").write.partitionBy("__b").parquet(at)
         made = {r["__b"] for r in self.spark.read.parquet(at).select("__b").distinct().collect()} if rows.head(1) else set()
         for b in hit:
@@ -114,6 +162,13 @@ class ParquetSink(Sink):
             if b in made:
                 self._version[b] = f"{at}/__b={b}"
 
-    def manifest(self) -> str:
-        """Which folders the table consists of, to be kept with a checkpoint."""
-        return json.dumps(self._version)
+    def manifest(self) -> Any:
+        return super().manifest() | {"folders": {str(b): at for b, at in self._version.items()}}
+
+    def restore(self, manifest: Any) -> None:
+        super().restore(manifest)
+        self._version = {int(b): at for b, at in manifest["folders"].items()}
+
+    def teardown(self) -> None:
+        self._version = {}
+        _remove(self.spark, self.path)

@@ -132,7 +132,7 @@ def test_incremental_equals_recompute(spark, tmp_path):
         df.write.parquet(f"{tmp_path}/{n}")
         return spark.read.schema(df.schema).parquet(f"{tmp_path}/{n}")
 
-    sync = Sync(spec, lib.catalog, MemorySink(), save)
+    sync = Sync(spec, lib.catalog, MemorySink(), save, f"{tmp_path}/state")
     sync.snapshot()
     for step in range(3):
         events = []
@@ -208,7 +208,7 @@ def test_mapping_rejects_unknown_types():
 
 def test_stream(spark, tmp_path):
     lib, spec = Library(spark), parse(SPEC)
-    sync = Sync(spec, lib.catalog, MemorySink(), lambda df: spark.createDataFrame(df.collect(), df.schema))
+    sync = Sync(spec, lib.catalog, MemorySink(), lambda df: spark.createDataFrame(df.collect(), df.schema), f"{tmp_path}/state")
     sync.snapshot()
     lib.rows["rating"][3] = (3, "b", 1)
     spark.createDataFrame([lib.event(1, "INSERT", "rating", (3, "b", 1))], changes.EVENT).write.parquet(f"{tmp_path}/in")
