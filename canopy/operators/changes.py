@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 OPS = ("INSERT", "UPDATE", "DELETE", "TRUNCATE")
@@ -118,8 +120,6 @@ def in_places(rows: DataFrame, place: list[str], blocks: DataFrame) -> DataFrame
 
 def uuid_equals(column: Column, value: str) -> Column:
     """Equality with a UUID; false, not an error, for a text that is none."""
-    import re
-
     ok = re.fullmatch(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", value)
     return F.lower(column) == value.lower() if ok else F.lit(False)
 
@@ -184,3 +184,14 @@ def visible(events: DataFrame, below: int, in_progress: list[int]) -> tuple[Data
     """(events to process, events to hold back): those of later or open transactions, or of none, wait."""
     ok = F.coalesce((F.col("txid") < below) & ~F.col("txid").isin(in_progress or [-1]), F.lit(False))
     return events.where(ok), events.where(~ok)
+
+
+def visibility(spark: SparkSession, txids: list[int], below: int, in_progress: list[int]) -> DataFrame:
+    """(place, txid, ready) of asked transactions, in the order asked."""
+    asked = spark.createDataFrame([(txids,)], "t array<long>").select(F.posexplode("t").alias("place", "txid"))
+    return asked.withColumn("ready", (F.col("txid") < below) & ~F.col("txid").isin(in_progress or [-1])).orderBy("place")
+
+
+def high_water(events: DataFrame) -> int | None:
+    """The last transaction of a batch."""
+    return events.agg(F.max("txid")).first()[0]

@@ -16,7 +16,9 @@ from canopy.operators import changes, resolve, search
 from canopy.plans import catalog
 from canopy.plans.compile import as_json, compile, doc_keys
 from canopy.plans.spec import parse
-from canopy.sources.sinks import mapping
+from canopy.sources import log, scratch
+from canopy.sources.sinks import ParquetSink, actions, mapping
+from canopy.streaming.sync import Sync
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -186,9 +188,9 @@ def transform_order(spark, sf_dir):
     return _docs(spark, sf_dir, _node("nation", ["n_name"], transform=rules))
 
 
-@_query(f"""SELECT c_custkey::VARCHAR AS _id, to_json({{'c_name': c_name, 'orders': o.v}})::VARCHAR AS doc FROM customer LEFT JOIN {_ORDERS} o ON o_custkey = c_custkey WHERE c_custkey % 10 = 3""")
+@_query(f"""SELECT c_custkey::VARCHAR AS _id, to_json({{'c_name': c_name, 'orders': o.v}})::VARCHAR AS doc FROM customer LEFT JOIN {_ORDERS} o ON o_custkey = c_custkey WHERE c_acctbal < 0""")
 def key_filter_docs(spark, sf_dir):
-    keys = _t(spark, sf_dir, "customer").where("c_custkey % 10 = 3").select("c_custkey")
+    keys = _t(spark, sf_dir, "customer").where("c_acctbal < 0").select("c_custkey")
     return _docs(spark, sf_dir, _node("customer", ["c_name"], _node("orders", ["o_orderkey", "o_orderstatus"], rel="o2m")), root_keys=keys)
 
 
@@ -218,9 +220,18 @@ def latest_state(spark, sf_dir):
     return changes.latest(_t(spark, sf_dir, "events").select("user_id", "event_id", "event_type"), ["user_id"], ["event_id"])
 
 
-@_query("SELECT event_type AS \"table\", count(*) AS n, min(event_id) AS first FROM events GROUP BY 1")
+@_query("SELECT event_type AS \"table\", count(*) AS n, min(event_id) AS first, max(event_id) AS last FROM events GROUP BY 1")
 def insert_fast_path(spark, sf_dir):
-    return _t(spark, sf_dir, "events").groupBy(F.col("event_type").alias("table")).agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first"))
+    return changes.insert_groups(_as_events(spark, sf_dir))
+
+
+def _as_events(spark, sf_dir):
+    """The rows of events as insertions into tables named by their type."""
+    return _t(spark, sf_dir, "events").select(
+        F.col("event_id").alias("seq"), F.lit("INSERT").alias("op"), F.col("event_type").alias("table"),
+        F.create_map(F.lit("event_id"), F.col("event_id").cast("string"), F.lit("user_id"), F.col("user_id").cast("string")).alias("new"),
+        F.lit(None).cast("map<string,string>").alias("old"), F.col("event_id").alias("txid"),
+    )
 
 
 def _events(spark, rows):
@@ -235,12 +246,12 @@ def _affected(spark, sf_dir, rows):
 @_query("SELECT '5' AS _id UNION SELECT '77' UNION SELECT c_custkey::VARCHAR FROM customer WHERE c_nationkey = 4")
 def affected_roots_insert(spark, sf_dir):
     rows = [(1, "INSERT", "customer", {"c_custkey": "5"}, None, 1), (2, "INSERT", "orders", {"o_orderkey": "-1", "o_custkey": "77"}, None, 2), (3, "INSERT", "nation", {"n_nationkey": "4", "n_regionkey": "1"}, None, 3)]
-    return _affected(spark, sf_dir, rows)[1]
+    return _affected(spark, sf_dir, rows)[1].select("_id")
 
 
 @_query("SELECT o_custkey::VARCHAR AS _id FROM orders WHERE o_orderkey = 8 UNION SELECT '12' UNION SELECT '13'")
 def affected_roots_update(spark, sf_dir):
-    return _affected(spark, sf_dir, [(1, "UPDATE", "orders", {"o_orderkey": "8", "o_custkey": "12"}, {"o_orderkey": "8", "o_custkey": "13"}, 1)])[1]
+    return _affected(spark, sf_dir, [(1, "UPDATE", "orders", {"o_orderkey": "8", "o_custkey": "12"}, {"o_orderkey": "8", "o_custkey": "13"}, 1)])[1].select("_id")
 
 
 @_query("SELECT 'delete' AS what, '9' AS _id UNION SELECT 'again', o_custkey::VARCHAR FROM orders WHERE o_orderkey = 8")
@@ -251,7 +262,7 @@ def affected_roots_delete(spark, sf_dir):
 
 @_query("SELECT c_custkey::VARCHAR AS _id FROM customer")
 def truncate_child(spark, sf_dir):
-    return _affected(spark, sf_dir, [(1, "TRUNCATE", "orders", None, None, 1)])[1]
+    return _affected(spark, sf_dir, [(1, "TRUNCATE", "orders", None, None, 1)])[1].select("_id")
 
 
 @_query("SELECT 'delete' AS what, '15' AS _id UNION SELECT 'again', '16'")
@@ -266,14 +277,34 @@ def late_holdback(spark, sf_dir):
     return ready.select("event_id", F.lit(True).alias("ready")).unionByName(held.select("event_id", F.lit(False).alias("ready")))
 
 
-@_query("SELECT least(min(event_id), 1000) - 1 AS checkpoint FROM events WHERE event_id >= 40")
+@_query("SELECT least(min(event_id), 1000) - 1 AS checkpoint FROM events")
 def checkpoint_value(spark, sf_dir):
-    return spark.createDataFrame([(changes.checkpoint(_t(spark, sf_dir, "events").where("event_id >= 40").withColumnRenamed("event_id", "txid"), 1000),)], "checkpoint long")
+    return spark.createDataFrame([(changes.checkpoint(_t(spark, sf_dir, "events").withColumnRenamed("event_id", "txid"), 1000),)], "checkpoint long")
+
 
+_KEYS_OF = """(VALUES ('region', ['r_regionkey'], []), ('nation', ['n_nationkey'], ['n_regionkey']), ('customer', ['c_custkey'], ['c_nationkey']),
+('supplier', ['s_suppkey'], ['s_nationkey']), ('part', ['p_partkey'], []), ('orders', ['o_orderkey'], ['o_custkey']), ('lineitem', [], ['l_orderkey', 'l_partkey', 'l_suppkey']),
+('events', ['event_id'], []), ('documents', ['doc_id'], []), ('labels', ['doc_id'], ['doc_id']), ('conversations', ['conv_id', 'turn'], []), ('embeddings', ['vec_id'], []),
+('pages', ['page_id'], []), ('benchmark', ['item_id'], [])) AS k(table_name, primary_keys, foreign_keys)"""
 
-@_query("SELECT unnest(['conversations', 'labels', 'nation']) AS table_name, unnest([['conv_id', 'turn'], ['doc_id'], ['n_nationkey']]) AS primary_keys, unnest([[]::VARCHAR[], ['doc_id'], ['n_regionkey']]) AS foreign_keys")
+
+@_query(f"""SELECT table_name, CASE WHEN table_name = 'lineitem' THEN ['l_linenumber', 'l_orderkey'] ELSE primary_keys END AS primary_keys, foreign_keys,
+(SELECT list(column_name ORDER BY column_index) FROM duckdb_columns() c WHERE c.table_name = k.table_name) AS columns FROM {_KEYS_OF}""")
 def key_catalog_union(spark, sf_dir):
-    return catalog.of_folder(spark, sf_dir).key_view(spark).where(F.col("table_name").isin("conversations", "labels", "nation"))
+    view = catalog.of_folder(spark, sf_dir).key_view(spark)
+    more = view.where("table_name = 'lineitem'").withColumn("primary_keys", F.array(F.lit("l_orderkey"), F.lit("l_linenumber")))
+    return catalog.united(view, more)
+
+
+@_query("SELECT table_name, column_name FROM duckdb_columns() WHERE table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events', 'documents', 'labels', 'conversations', 'embeddings', 'pages', 'benchmark')")
+def catalog_columns(spark, sf_dir):
+    return catalog.of_folder(spark, sf_dir).columns(spark).select("table_name", "column_name")
+
+
+@_query(f"SELECT table_name, len(primary_keys) + len(foreign_keys) AS n, list_sort(list_concat(primary_keys, foreign_keys)) AS columns FROM {_KEYS_OF}")
+def table_constraints(spark, sf_dir):
+    got = catalog.of_folder(spark, sf_dir).constraints(spark).groupBy("table_name")
+    return got.agg(F.count(F.lit(1)).cast("long").alias("n"), F.sort_array(F.collect_list("column_name")).alias("columns"))
 
 
 @_query("""SELECT c_custkey AS id, left(c_name, 1) || '***@example.org' AS email, '***' || right(lpad(c_custkey::VARCHAR, 10, '0'), 4) AS phone, left(sha256(c_custkey::VARCHAR), 16) AS user_id, '[REDACTED]' AS secret FROM customer""")
@@ -343,3 +374,227 @@ def mapping_types(spark, sf_dir):
 def json_path_name(spark, sf_dir):
     path = "props->>'k'"
     return _t(spark, sf_dir, "events").select("event_id", F.lit(jsonpath.output_name(path)).alias("name"), jsonpath.path_column(path).alias("k"))
+
+
+@_query("SELECT event_id, '$.\"k\"' AS path, props->>'$.k' AS k FROM events")
+def json_path_mysql(spark, sf_dir):
+    path = "props->>'k'"
+    return _t(spark, sf_dir, "events").select("event_id", F.lit(jsonpath.mysql_path(path)).alias("path"), jsonpath.mysql_column(path).alias("k"))
+
+
+@_query("SELECT event_id::VARCHAR AS _id, user_id::BIGINT AS _txid FROM events")
+def doc_txid(spark, sf_dir):
+    got = compile(parse({"index": "x", "nodes": _node("events", ["event_type"])}), catalog.of_folder(spark, sf_dir), xid="user_id")
+    return got.select("_id", "_txid")
+
+
+@_query("""SELECT o_orderkey::VARCHAR AS _id, to_json({'o_orderstatus': o_orderstatus, 'part': v})::VARCHAR AS doc FROM orders LEFT JOIN
+(SELECT l_orderkey, list({'p_partkey': p_partkey, 'p_brand': p_brand} ORDER BY p_partkey) AS v FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size > 25 GROUP BY 1) ON l_orderkey = o_orderkey""")
+def through_filter_docs(spark, sf_dir):
+    return _docs(spark, sf_dir, _node("orders", ["o_orderstatus"], _node("part", ["p_partkey", "p_brand"], rel="o2m@lineitem")), filters={"part": "p_size > 25"})
+
+
+@_query("""SELECT conv_id || '|' || turn AS _id, to_json({'turn': turn, 'same': v})::VARCHAR AS doc FROM conversations JOIN
+(SELECT conv_id AS c, role AS r, list(turn ORDER BY turn) AS v FROM conversations GROUP BY 1, 2) ON c = conv_id AND r = role""")
+def doc_composite_join(spark, sf_dir):
+    child = _node("conversations", ["turn"], rel="o2m:scalar", label="same")
+    child["relationship"]["foreign_key"] = {"parent": ["conv_id", "role"], "child": ["conv_id", "role"]}
+    return _docs(spark, sf_dir, _node("conversations", ["turn"], child))
+
+
+@_query("""SELECT c_custkey::VARCHAR AS _id, to_json({'c_name': c_name, 'orders': v})::VARCHAR AS doc FROM customer LEFT JOIN
+(SELECT o_custkey, list({'key': o_orderkey, 'o_orderstatus': replace(o_orderstatus, 'F', 'done')} ORDER BY o_orderkey) AS v FROM orders GROUP BY 1) ON o_custkey = c_custkey""")
+def nested_transforms(spark, sf_dir):
+    rules = {"rename": {"orders": {"o_orderkey": "key"}}, "replace": {"orders": {"o_orderstatus": {"F": "done"}}}}
+    return _docs(spark, sf_dir, _node("customer", ["c_name"], _node("orders", ["o_orderkey", "o_orderstatus"], rel="o2m"), transform=rules))
+
+
+@_query("SELECT o_orderkey, (o_orderkey // 100)::INT AS page, (o_orderkey % 100)::INT AS row FROM orders WHERE o_orderkey // 100 IN (1, 3, 4)")
+def block_filter(spark, sf_dir):
+    """Rows of some pages, by the text of their physical places and back."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", changes.tuple_id(F.floor(F.col("o_orderkey") / 100), F.col("o_orderkey") % 100).alias("place"))
+    o = o.select("o_orderkey", *changes.page_and_row(F.col("place")))
+    return changes.in_places(o, ["page"], spark.createDataFrame([(1,), (3,), (4,), (4,)], "page int")).select("o_orderkey", "page", "row")
+
+
+@_query("SELECT o_orderkey FROM orders WHERE o_orderkey // 100 > 3 OR (o_orderkey // 100 = 3 AND o_orderkey % 100 > 40)")
+def resume_filter(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", F.floor(F.col("o_orderkey") / 100).cast("int").alias("page"), (F.col("o_orderkey") % 100).cast("int").alias("row"))
+    return changes.after(o, ["page", "row"], (3, 40)).select("o_orderkey")
+
+
+@_query("SELECT event_id, event_id = 7 AS same, false AS bad FROM events")
+def uuid_guard(spark, sf_dir):
+    text = F.lpad(F.col("event_id").cast("string"), 12, "0")
+    own = F.concat(F.lit("00000000-0000-4000-8000-"), text)
+    return _t(spark, sf_dir, "events").select("event_id", changes.uuid_equals(own, "00000000-0000-4000-8000-000000000007").alias("same"), changes.uuid_equals(own, "7").alias("bad"))
+
+
+@_query("SELECT n_name, ('0x' || left(sha256(n_name), 15))::BIGINT AS key FROM nation")
+def lock_keys(spark, sf_dir):
+    return _t(spark, sf_dir, "nation").select("n_name", changes.lock_key(F.col("n_name")).alias("key"))
+
+
+@_query("SELECT n_nationkey, n_name AS name, n_regionkey::VARCHAR AS beyond FROM nation")
+def unknown_columns(spark, sf_dir):
+    cells = [x for i, c in enumerate(("n_nationkey", "n_name", "n_regionkey")) for x in (F.lit(f"UNKNOWN_COL{i}"), F.col(c).cast("string"))]
+    got = changes.named(F.create_map(*cells), ["id", "name"])
+    return _t(spark, sf_dir, "nation").select("n_nationkey", got["name"].alias("name"), got["@2"].alias("beyond"))
+
+
+@_query("""SELECT event_id, user_id::VARCHAR AS old_user FROM (SELECT *, lag(event_type) OVER w AS p, lag(event_id) OVER w AS e FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
+WHERE e IS NOT NULL AND event_type IS DISTINCT FROM p""")
+def captured_changes(spark, sf_dir):
+    from pyspark.sql import Window
+
+    own = F.struct("event_id", "user_id", "event_type", "value")
+    rows = _t(spark, sf_dir, "events").select(F.lit("UPDATE").alias("op"), own.alias("new"), F.lag(own).over(Window.partitionBy("user_id").orderBy("event_id")).alias("old"))
+    got = changes.captured(rows.where("old is not null"), "events", ["event_id", "user_id"], ["event_type"])
+    return got.select(F.col("new")["event_id"].cast("long").alias("event_id"), F.col("old")["user_id"].alias("old_user"))
+
+
+def _log(spark, sf_dir):
+    """A log in which each ten events are a transaction; those of odd numbers have no COMMIT."""
+    e = _t(spark, sf_dir, "events").select("event_id", "event_type", F.floor(F.col("event_id") / 10).alias("xid"))
+    line = F.concat(F.lit("table public.events: INSERT: event_id[bigint]:"), "event_id", F.lit(" event_type[text]:'"), "event_type", F.lit("'"))
+    rows = e.select((2 * F.col("event_id")).alias("lsn"), "xid", line.alias("line"))
+    ends = e.where("xid % 2 = 0").groupBy("xid").agg(F.max(2 * F.col("event_id") + 1).alias("lsn"))
+    return rows.unionByName(ends.select("lsn", "xid", F.concat(F.lit("COMMIT "), "xid").alias("line")))
+
+
+def _cursor(spark, sf_dir):
+    found = log.Cursor(_log(spark, sf_dir), scratch.folder(spark, "cursor"), "events")
+    found.create()
+    return found
+
+
+@_query("SELECT event_id AS seq, 'events' AS \"table\", event_type, event_id // 10 AS txid FROM events WHERE event_id // 10 >= 5 AND event_id // 10 < 40")
+def log_window(spark, sf_dir):
+    """Parsed rows of a range of transactions."""
+    got = changes.log_events(_cursor(spark, sf_dir).peek(low=5, high=40))
+    return got.select((F.col("seq") / 2).cast("long").alias("seq"), "table", F.col("new")["event_type"].alias("event_type"), "txid")
+
+
+@_query("""SELECT lsn, xid FROM (SELECT 2 * event_id AS lsn, event_id // 10 AS xid FROM events UNION ALL SELECT 2 * max(event_id) + 1, event_id // 10 FROM events WHERE event_id // 10 % 2 = 0 GROUP BY 2)
+ORDER BY lsn LIMIT 50 OFFSET 20""")
+def log_page(spark, sf_dir):
+    return _cursor(spark, sf_dir).peek(limit=50, offset=20).select("lsn", "xid")
+
+
+@_query("""WITH l AS (SELECT 2 * event_id AS lsn FROM events UNION ALL SELECT 2 * max(event_id) + 1 FROM events WHERE event_id // 10 % 2 = 0 GROUP BY event_id // 10)
+SELECT 'got' AS what, lsn FROM (SELECT lsn FROM l ORDER BY lsn LIMIT 100) UNION ALL SELECT 'left', count(*) - 100 FROM l UNION ALL SELECT 'head', max(lsn) FROM l""")
+def log_consumed(spark, sf_dir):
+    cursor = _cursor(spark, sf_dir)
+    got = cursor.get(limit=100).select(F.lit("got").alias("what"), "lsn")
+    return got.unionByName(spark.createDataFrame([("left", cursor.count()), ("head", cursor.head())], "what string, lsn long"))
+
+
+@_query("SELECT event_id FROM events WHERE event_id // 10 % 2 = 0")
+def committed_log(spark, sf_dir):
+    got = changes.log_events(changes.committed(_log(spark, sf_dir)))
+    return got.select(F.col("new")["event_id"].cast("long").alias("event_id"))
+
+
+@_query("SELECT event_id, 'UPDATE' AS op, event_type AS \"table\", user_id::VARCHAR AS user_id FROM events WHERE event_id % 3 = 1 UNION ALL SELECT event_id, 'INSERT', event_type, user_id::VARCHAR FROM events WHERE event_id % 3 = 0")
+def binlog_rows(spark, sf_dir):
+    """Rows of a binlog, the third kind of which are rotations."""
+    e = _t(spark, sf_dir, "events")
+    kind = F.element_at(F.array(F.lit("write"), F.lit("update"), F.lit("rotate")), (F.col("event_id") % 3 + 1).cast("int"))
+    rows = e.select(
+        F.lit("bin.000001").alias("file"), F.col("event_id").alias("pos"), kind.alias("kind"), F.col("event_type").alias("table"),
+        F.create_map(F.lit("user_id"), F.col("user_id").cast("string")).alias("after"), F.lit(None).cast("map<string,string>").alias("before"),
+    )
+    got = changes.binlog_events(rows)
+    return got.select((F.col("seq") - F.lit(1 << 40)).alias("event_id"), "op", "table", F.col("new")["user_id"].alias("user_id"))
+
+
+@_query("SELECT event_id AS seq, event_type AS \"table\", user_id::VARCHAR AS user_id, event_id AS txid FROM events WHERE event_id % 4 <> 0 AND event_id % 5 <> 0")
+def notified_events(spark, sf_dir):
+    """Messages of which some are for another index and some are no JSON."""
+    e = _t(spark, sf_dir, "events")
+    body = F.to_json(F.struct(
+        F.lit("INSERT").alias("tg_op"), F.col("event_type").alias("table"), F.lit("public").alias("schema"), F.create_map(F.lit("user_id"), F.col("user_id").cast("string")).alias("new"),
+        F.col("event_id").alias("xmin"), F.array(F.when(F.col("event_id") % 4 == 0, F.lit("other")).otherwise(F.lit("mine"))).alias("indices"),
+    ))
+    messages = e.select(F.col("event_id").alias("seq"), F.when(F.col("event_id") % 5 == 0, F.lit("{broken")).otherwise(body).alias("payload"))
+    got = changes.notifications(messages, "mine", ["public"])
+    return got.select("seq", "table", F.col("new")["user_id"].alias("user_id"), "txid")
+
+
+@_query("SELECT event_id AS seq, event_type AS \"table\" FROM events ORDER BY event_id LIMIT 50 OFFSET 100")
+def queue_pop(spark, sf_dir):
+    """The second pop of a queue that got two pushes."""
+    queue, events = log.EventQueue(spark, scratch.folder(spark, "queue")), _as_events(spark, sf_dir)
+    queue.push(events.where("seq < 120"))
+    queue.push(events.where("seq >= 120"))
+    queue.pop(100)
+    return queue.pop(50).select("seq", "table")
+
+
+@_query("SELECT unnest([0, 1, 2, 3]) AS place, unnest([9, 3, 5, 1]) AS txid, unnest([false, true, false, true]) AS ready")
+def visibility_in_order(spark, sf_dir):
+    return changes.visibility(spark, [9, 3, 5, 1], 6, [5])
+
+
+@_query("""SELECT 'index' AS _op_type, c_custkey::VARCHAR AS _id, c_nationkey::VARCHAR AS _routing, 'clean' AS pipeline FROM customer WHERE c_acctbal >= 0
+UNION ALL SELECT 'delete', c_custkey::VARCHAR, NULL, NULL FROM customer WHERE c_acctbal < 0""")
+def routing_actions(spark, sf_dir):
+    """Actions with routing and pipeline, as every sink gets them."""
+    spec = parse({"index": "customers", "routing": "c_nationkey", "pipeline": "clean", "nodes": _node("customer", ["c_name", "c_nationkey"])})
+    customers = _t(spark, sf_dir, "customer")
+    rows = compile(spec, catalog.of_folder(spark, sf_dir), where=F.col("c_acctbal") >= 0)
+    gone = customers.where("c_acctbal < 0").select(F.col("c_custkey").cast("string").alias("_id"))
+    return actions(rows, gone).select("_op_type", "_id", "_routing", "pipeline")
+
+
+@_query(f"""SELECT c_custkey::VARCHAR AS _id, to_json({{'c_name': c_name, 'nation': {{'n_name': n_name}}, 'orders': o.v}})::VARCHAR AS doc
+FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN {_ORDERS.replace(", 'o_orderstatus': o_orderstatus", "")} o ON o_custkey = c_custkey""")
+def restart_equals_recompute(spark, sf_dir):
+    """A snapshot before some orders, then their insertion by a Sync made anew over the state, which gives what a full run does."""
+    spec, tables = _customers(spark, sf_dir)
+    at = scratch.folder(spark, "restart")
+    schema = compile(spec, tables).schema
+    orders = _t(spark, sf_dir, "orders")
+
+    def sync(late: bool) -> Sync:
+        own = catalog.of_folder(spark, sf_dir)
+        own.add(catalog.TableDef("orders", lambda: orders if late else orders.where("o_orderstatus <> 'F'"), tables["orders"].primary_key, tables["orders"].foreign_keys))
+        return Sync(spec, own, ParquetSink(spark, f"{at}/docs", schema, 8), scratch.saver(spark, f"{at}/tables"), f"{at}/state")
+
+    sync(False).snapshot()
+    row = F.create_map(F.lit("o_orderkey"), F.col("o_orderkey").cast("string"), F.lit("o_custkey"), F.col("o_custkey").cast("string"))
+    late = orders.where("o_orderstatus = 'F'").select(
+        F.col("o_orderkey").alias("seq"), F.lit("INSERT").alias("op"), F.lit("orders").alias("table"), row.alias("new"), F.lit(None).cast("map<string,string>").alias("old"), F.col("o_orderkey").alias("txid")
+    )
+    again = sync(True)
+    for _ in range(2):  # the second time it changes nothing
+        again.apply(late, 0)
+    return as_json(sync(True).sink.read()).select("_id", F.col("_source").alias("doc"))
+
+
+@_query("SELECT doc_id::VARCHAR AS _id FROM documents JOIN conversations ON conv_id = doc_id WHERE conv_id = 3 AND turn = 1")
+def affected_composite_update(spark, sf_dir):
+    """A child row of a key of two columns leads to the documents that hold just that row."""
+    child = _node("conversations", ["role"], rel="o2m")
+    child["relationship"]["foreign_key"] = {"parent": ["doc_id"], "child": ["conv_id"]}
+    spec, tables = parse({"index": "x", "nodes": _node("documents", ["source"], child)}), catalog.of_folder(spark, sf_dir)
+    row = {"conv_id": "3", "turn": "1"}
+    return resolve.resolve(_events(spark, [(1, "UPDATE", "conversations", row, row, 1)]), spec, tables, doc_keys(compile(spec, tables)))[1].select("_id")
+
+
+@_query("SELECT p_brand, count(*) AS n FROM part WHERE p_size > 10 GROUP BY 1")
+def sql_search(spark, sf_dir):
+    parts = _t(spark, sf_dir, "part").withColumn("_meta", F.lit("hidden"))
+    return search.query(parts, "SELECT p_brand, count(*) AS n FROM {documents} WHERE p_size > 10 GROUP BY 1")
+
+
+@_query("SELECT p_partkey FROM part WHERE p_name ILIKE '%ring%'")
+def reindexed_search(spark, sf_dir):
+    """A search in documents that were made anew with their n-grams."""
+    found = search.with_ngrams(_t(spark, sf_dir, "part"), ["p_name"])
+    return found.where(F.array_contains("p_name_ngram", "ring")).select("p_partkey")
+
+
+@_query("SELECT p_partkey FROM part WHERE regexp_matches(lower(p_type), 'co')")
+def short_term_search(spark, sf_dir):
+    return _t(spark, sf_dir, "part").where(search.matches(["p_type"], "Co")).select("p_partkey")

@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 
 from canopy.functions import plugins
 from canopy.functions.jsonpath import output_name
-from canopy.operators import changes
+from canopy.operators import changes, resolve
 from canopy.plans.catalog import Catalog, ForeignKey, TableDef
-from canopy.plans.compile import as_json, compile, meta
-from canopy.plans.spec import SpecError, load, parse
-from canopy.sources.sinks import MemorySink, ParquetSink, mapping
+from canopy.plans.compile import as_json, compile, doc_keys, meta
+from canopy.plans.spec import SpecError, identifier, load, parse, quoted, read_source
+from canopy.sources import log
+from canopy.sources.scratch import saver
+from canopy.sources.sinks import JsonLinesSink, MemorySink, ParquetSink, mapping
+from canopy.streaming.state import KeyIndex, StateFile
 from canopy.streaming.sync import Sync
 
 SPEC = {
@@ -215,3 +218,163 @@ def test_stream(spark, tmp_path):
     stream = spark.readStream.schema(changes.EVENT).parquet(f"{tmp_path}/in")
     sync.stream(stream, f"{tmp_path}/checkpoint").awaitTermination()
     assert json.loads(sync.sink.documents["b"])["rating"] == [{"value": 1}]
+
+
+def test_keys_with_bars_keep_their_documents(spark, tmp_path):
+    lib, spec = Library(spark), parse(SPEC)
+    lib.rows["book"]["x|y"] = ("x|y", "Barred", 1)
+    sync = Sync(spec, lib.catalog, MemorySink(), saver(spark, f"{tmp_path}/t"), f"{tmp_path}/state")
+    sync.snapshot()
+    lib.rows["rating"][3] = (3, "x|y", 4)
+    sync.apply(spark.createDataFrame([lib.event(1, "INSERT", "rating", (3, "x|y", 4))], changes.EVENT))
+    assert json.loads(sync.sink.documents["x|y"])["rating"] == [{"value": 4}]
+
+
+def test_composite_keys_are_looked_up_whole(spark):
+    catalog = Catalog()
+    catalog.add(TableDef("a", lambda: spark.createDataFrame([(1,), (2,)], "id int"), ("id",)))
+    rows = [(1, 1, 1), (1, 2, 2), (9, 1, 2)]
+    catalog.add(TableDef("b", lambda: spark.createDataFrame(rows, "m int, n int, a_id int"), ("m", "n"), (ForeignKey(("a_id",), "a", ("id",)),)))
+    spec = parse({"index": "x", "nodes": {"table": "a", "children": [{"table": "b", "relationship": {"type": "one_to_many"}}]}})
+    event = [(1, "UPDATE", "b", {"m": "1", "n": "1"}, {"m": "1", "n": "1"}, 1)]
+    found = resolve.resolve(spark.createDataFrame(event, changes.EVENT), spec, catalog, doc_keys(compile(spec, catalog)))[1]
+    assert [r["_id"] for r in found.collect()] == ["1"]
+
+
+def test_restart_goes_on(spark, tmp_path):
+    """A new Sync over the state holds what the last one wrote, and leaves out batches that were applied."""
+    lib, spec = Library(spark), parse(SPEC)
+    schema = compile(spec, lib.catalog).schema
+
+    def sync():
+        return Sync(spec, lib.catalog, ParquetSink(spark, f"{tmp_path}/docs", schema, 2), saver(spark, f"{tmp_path}/t"), f"{tmp_path}/state")
+
+    with pytest.raises(RuntimeError):
+        sync().apply(spark.createDataFrame([], changes.EVENT))
+    sync().snapshot()
+    lib.rows["rating"][3] = (3, "b", 4)
+    batch = spark.createDataFrame([lib.event(7, "INSERT", "rating", (3, "b", 4))], changes.EVENT)
+    sync().apply(batch, 0)
+    lib.rows["rating"][3] = (3, "b", 5)
+    last = sync()
+    last.apply(batch, 0)
+    assert documents(last.sink.read())["b"]["rating"] == [{"value": 4}] and last.checkpoint == 6
+    last.apply(batch, 1)
+    assert documents(sync().sink.read()) == documents(compile(spec, lib.catalog))
+    assert last.status()["batches"] == 2 and last.status()["documents"] == 5
+    with pytest.raises(ValueError):
+        last.checkpoint = None
+
+
+def test_held_back_events_outlive_a_run(spark, tmp_path):
+    lib, spec = Library(spark), parse(SPEC)
+    sync = lambda: Sync(spec, lib.catalog, MemorySink(), saver(spark, f"{tmp_path}/t"), f"{tmp_path}/state")
+    sync().snapshot()
+    lib.rows["rating"][3] = (3, "b", 4)
+    sync().apply_visible(spark.createDataFrame([lib.event(7, "INSERT", "rating", (3, "b", 4))], changes.EVENT), 5, [])
+    later = sync()
+    assert later.sink.documents == {}
+    later.apply_visible(spark.createDataFrame([], changes.EVENT), 9, [])
+    assert json.loads(later.sink.documents["b"])["rating"] == [{"value": 4}]
+
+
+def test_key_index(spark, tmp_path):
+    rows = lambda *r: spark.createDataFrame([("t", "k", v, i, [i]) for v, i in r], "table string, key string, value string, _id string, _key array<string>")
+    ids = lambda *r: spark.createDataFrame([(i,) for i in r], "_id string")
+    index = KeyIndex(spark, f"{tmp_path}/i")
+    assert index.read().count() == 0
+    index.replace(rows(("1", "a"), ("2", "b")))
+    for n in range(KeyIndex.COMPACT + 2):
+        index.update(ids("a", "c"), rows((str(n), "a")))
+    index = KeyIndex(spark, f"{tmp_path}/i", index.manifest)
+    assert {(r["value"], r["_id"]) for r in index.read().collect()} == {("2", "b"), (str(n), "a")}
+    assert len(index.manifest["keys"]) <= KeyIndex.COMPACT
+
+
+def test_state_file(spark, tmp_path):
+    file = StateFile(spark, f"{tmp_path}/s/state.json")
+    assert file.load() == {}
+    for value in ({"a": 1}, {"a": [2, "é"]}):
+        file.save(value)
+        assert file.load() == value
+    (tmp_path / "s" / "state.json").write_text("{broken")
+    (tmp_path / "s" / ".state.json.crc").unlink(missing_ok=True)
+    with pytest.raises(ValueError):
+        file.load()
+    with pytest.raises(ValueError):
+        file.save(None)
+
+
+def test_cursor_and_consume(spark, tmp_path):
+    lib, spec = Library(spark), parse(SPEC)
+    sync = Sync(spec, lib.catalog, MemorySink(), saver(spark, f"{tmp_path}/t"), f"{tmp_path}/state")
+    sync.snapshot()
+    lines = [(1, 5, "BEGIN 5"), (2, 5, "table public.rating: INSERT: id[integer]:3 book_isbn[text]:'b' value[integer]:4"), (3, 5, "COMMIT 5"), (4, 6, "table public.rating: INSERT: id[integer]:4 book_isbn[text]:'c' value[integer]:1")]
+    cursor = log.Cursor(spark.createDataFrame(lines, log.LOG), f"{tmp_path}/c", "one")
+    with pytest.raises(ValueError):
+        cursor.peek()
+    cursor.create()
+    with pytest.raises(ValueError):
+        cursor.create()
+    assert cursor.count() == 4 and cursor.count(low=6) == 1 and cursor.head() == 4 and cursor.peek(upto=2).count() == 2
+    lib.rows["rating"] |= {3: (3, "b", 4), 4: (4, "c", 1)}
+    assert log.consume(cursor, sync) == 1 and cursor.done == 3
+    assert json.loads(sync.sink.documents["b"])["rating"] == [{"value": 4}] and json.loads(sync.sink.documents["c"])["rating"] is None
+    assert [r["lsn"] for r in cursor.get().collect()] == [4] and cursor.count() == 0
+    cursor.drop()
+    assert not cursor.exists()
+
+
+def test_queue(spark, tmp_path):
+    queue = log.EventQueue(spark, f"{tmp_path}/q")
+    assert queue.size() == 0 and queue.pop().count() == 0
+    events = lambda *seq: spark.createDataFrame([(n, "INSERT", "t", None, None, n) for n in seq], changes.EVENT)
+    assert queue.push(events(2, 1)) == 2 and queue.push(events(3)) == 1 and queue.size() == 3
+    assert [r["seq"] for r in queue.pop(2).orderBy("seq").collect()] == [1, 2] and queue.size() == 1
+    queue.set_meta(txid=4)
+    queue.delete()
+    assert queue.size() == 0 and queue.meta() == {"txid": 4}
+
+
+def test_json_lines_have_routing_and_pipeline(spark, tmp_path):
+    lib = Library(spark)
+    spec = parse({"index": "books", "routing": "title", "pipeline": "p", "nodes": {"table": "book"}})
+    docs = compile(spec, lib.catalog)
+    sink = JsonLinesSink(f"{tmp_path}/out")
+    sink.bulk(docs, spark.createDataFrame([("z",)], "_id string"))
+    got = {r["_id"]: r for r in spark.read.json(f"{tmp_path}/out/*").collect()}
+    assert got["a"]["_routing"] == "One" and got["a"]["pipeline"] == "p" and got["a"]["_index"] == "books" and got["z"]["_op_type"] == "delete" and sink.doc_count == 4
+    sink.teardown()
+    assert not (tmp_path / "out").exists()
+
+
+def test_configuration_comes_from_one_place(tmp_path):
+    (tmp_path / "s.json").write_text("[]")
+    assert load(str(tmp_path / "s.json")) == []
+    for bad in ({}, {"path": "a", "url": "http://b"}, {"url": "ftp://b"}, {"s3": "s3://bucket"}):
+        with pytest.raises(SpecError):
+            read_source(**bad)
+    assert identifier("My-Db", "x.y") == "mydb_xy" and quoted('a"b') == '"a""b"' and quoted("a", "mysql") == "`a`"
+
+
+def test_mapping_rejects_unknown_parameters():
+    with pytest.raises(SpecError):
+        mapping(parse({"index": "x", "nodes": {"table": "t", "transform": {"mapping": {"a": {"type": "text", "colour": 1}}}}}).root)
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from canopy import cli
+
+    spec = {"index": "nations", "nodes": {"table": "nation", "columns": ["n_name"], "children": [{"table": "region", "columns": ["r_name"], "relationship": {"type": "one_to_one"}}]}}
+    (tmp_path / "c.json").write_text(json.dumps([spec]))
+    spark.createDataFrame([(1, "N", 1)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{tmp_path}/data/nation.parquet")
+    spark.createDataFrame([(1, "R")], "r_regionkey int, r_name string").write.parquet(f"{tmp_path}/data/region.parquet")
+    spark.createDataFrame([(1, 1, "table public.region: UPDATE: r_regionkey[integer]:1 r_name[text]:'R'")], log.LOG).write.parquet(f"{tmp_path}/log")
+    places = ["--config", f"{tmp_path}/c.json", "--data", f"{tmp_path}/data", "--out", f"{tmp_path}/out", "--state", f"{tmp_path}/state"]
+    for action in ("analyze", "bootstrap", "snapshot", "sync", "status"):
+        cli.main([action, *places, "--log", f"{tmp_path}/log"])
+    said = capsys.readouterr().out
+    assert "region: joined to nation on r_regionkey = n_regionkey" in said and '"batches": 1' in said
+    cli.main(["teardown", *places])
+    with pytest.raises(SystemExit):
+        cli.main(["sync", "--config", "x", "--config-url", "y", "--data", "z"])
