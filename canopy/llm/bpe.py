@@ -195,8 +195,7 @@ def _join(ids: pa.Table, docs: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.chunked_array(out_ids, pa.int64()), "token_ids": pa.chunked_array(out_lists, pa.list_(pa.int32()))})
 
 
-def encode(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
-    """(doc_id, token_ids) of every row."""
+def _encoded(docs: DataFrame, vocabulary: str, pattern: str, join, schema: str) -> DataFrame:
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(read_vocabulary(vocabulary))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -207,7 +206,12 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN
     asked = made.where("bucket >= 0").select("bucket", "chunk", "codes", "words")
     ids = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_encode(held), "chunk string, codes binary, ids binary")
     placed = made.where("bucket < 0").select(F.col("chunk").alias("of"), "doc_ids", "counts", F.col("codes").alias("codes"))
-    return ids.groupBy("chunk").cogroup(placed.groupBy("of")).applyInArrow(_join, "doc_id long, token_ids array<int>")
+    return ids.groupBy("chunk").cogroup(placed.groupBy("of")).applyInArrow(join, schema)
+
+
+def encode(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
+    """(doc_id, token_ids) of every row."""
+    return _encoded(docs, vocabulary, pattern, _join, "doc_id long, token_ids array<int>")
 
 
 def _decoder(held, texts: bool):
@@ -247,17 +251,28 @@ def token_bytes(vocabulary: dict[bytes, int]) -> tuple[bytes, np.ndarray, np.nda
     return b"".join(by_id), np.cumsum(size) - size, size
 
 
-def _decoded(encoded: DataFrame, vocabulary: str, texts: bool) -> DataFrame:
-    held = encoded.sparkSession.sparkContext.broadcast(token_bytes(read_vocabulary(vocabulary)))
-    schema = "doc_id long, token_ids array<int>, n_tokens int, " + "text string, " * texts + "text_md5 string"
-    return encoded.select("doc_id", "token_ids").mapInArrow(_decoder(held, texts), schema)
+def _schema(texts: bool) -> str:
+    return "doc_id long, token_ids array<int>, n_tokens int, " + "text string, " * texts + "text_md5 string"
+
+
+def _bytes_of(docs: DataFrame, vocabulary: str):
+    return docs.sparkSession.sparkContext.broadcast(token_bytes(read_vocabulary(vocabulary)))
 
 
 def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, token_ids, n_tokens, text, text_md5) of rows (doc_id, token_ids)."""
-    return _decoded(encoded, vocabulary, True)
+    return encoded.select("doc_id", "token_ids").mapInArrow(_decoder(_bytes_of(encoded, vocabulary), True), _schema(True))
+
+
+def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
+    """(doc_id, n_tokens, token_ids, text_md5): ids of every row, and the MD5 of what they decode to.
+
+    Ids are decoded where they are put together, so that a task needs one Python worker and not two.
+    """
+    decoded = _decoder(_bytes_of(docs, vocabulary), False)
 
+    def join(ids: pa.Table, placed: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(decoded(iter(_join(ids, placed).to_batches())))
 
-def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(doc_id, n_tokens, token_ids, text_md5): ids of every row, and the MD5 of what they decode to."""
-    return _decoded(encode(docs, vocabulary), vocabulary, False).select("doc_id", "n_tokens", "token_ids", "text_md5")
+    found = _encoded(docs, vocabulary, pattern, join, _schema(False))
+    return found.select("doc_id", "n_tokens", "token_ids", "text_md5")

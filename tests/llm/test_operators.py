@@ -480,6 +480,8 @@ def test_bpe(docs, nothing):
     assert sorted(((r["doc_id"], r["token_ids"]) for r in encoded.collect()), key=repr) == want
     back = sorted(((r["doc_id"], r["text"]) for r in bpe.decode(encoded).collect()), key=repr)
     assert back == sorted(((i, t) for i, t, *_ in corpus()), key=repr)
+    whole = {(r["doc_id"], r["n_tokens"], r["text_md5"]) for r in bpe.round_trip(docs).collect()}
+    assert whole == {(i, None if t is None else len(reference.encode_ordinary(t)), None if t is None else hashlib.md5(t.encode()).hexdigest()) for i, t, *_ in corpus()}
     assert bpe.round_trip(nothing).count() == 0
 
 
