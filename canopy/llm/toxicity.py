@@ -37,6 +37,7 @@ FDR = 0.01
 STEPS, RATE, L2, L2_LENGTH = 80, 0.4, 1e-6, 0.05
 LENGTHS = 16
 GROUP = 4 << 20
+GROUP_TOKENS = 1 << 18
 _U = np.uint64
 
 SPANS = "array<struct<start:int,end:int,p:double>>"
@@ -182,6 +183,7 @@ def offenders(doc: np.ndarray, word: np.ndarray, toxic: np.ndarray, words_: int)
 def fit(h: np.ndarray, size: np.ndarray, doc: np.ndarray, seq_start: np.ndarray, seq_len: np.ndarray, toxic: np.ndarray) -> Model:
     """h, size, doc: hash, length and document of each token; toxic: of each document."""
     known, word = np.unique(h, return_inverse=True)
+    word = word.astype(np.int32)
     pair = np.unique(doc.astype(np.int64) * max(1, len(known)) + word)
     bad = offenders(pair // max(1, len(known)), pair % max(1, len(known)), toxic.astype(float), len(known))
     y = bad[word] & (toxic[doc] > 0)
@@ -200,11 +202,20 @@ def fit(h: np.ndarray, size: np.ndarray, doc: np.ndarray, seq_start: np.ndarray,
         first = [np.zeros_like(p) for p in params]
         second = [np.zeros_like(p) for p in params]
         count = max(1, int(y.sum()))
+        # some chains at a time, so that the gradient needs little memory
+        group = np.cumsum(seq_len) // GROUP_TOKENS
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(seq_len)]
         for step in range(1, STEPS + 1):
-            e = params[0][word] + params[1][size] + params[2][0]
-            diff, moves = gradient(e, seq_start, seq_len, params[3], y)
-            diff /= count
-            grads = [np.bincount(word, diff, len(known)) + L2 * params[0], np.bincount(size, diff, LENGTHS) + L2_LENGTH * params[1], np.array([diff.sum()]), moves / count + L2_LENGTH * params[3]]
+            grads = [L2 * params[0], L2_LENGTH * params[1], np.zeros(1), L2_LENGTH * params[3]]
+            for a, b in zip(cuts, cuts[1:]):
+                low, high = int(seq_start[a]), int(seq_start[b - 1] + seq_len[b - 1])
+                own, long = word[low:high], size[low:high]
+                diff, moves = gradient(params[0][own] + params[1][long] + params[2][0], seq_start[a:b] - low, seq_len[a:b], params[3], y[low:high])
+                diff /= count
+                grads[0] += np.bincount(own, diff, len(known))
+                grads[1] += np.bincount(long, diff, LENGTHS)
+                grads[2] += diff.sum()
+                grads[3] += moves / count
             for i, g in enumerate(grads):
                 first[i] = 0.9 * first[i] + 0.1 * g
                 second[i] = 0.99 * second[i] + 0.01 * g * g
@@ -246,7 +257,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     toxic = np.zeros(d.max() + 1 if len(d) else 0, np.int64)
     toxic[d] = np.asarray(got["toxic"].to_numpy(), dtype=np.int64)
     h = np.concatenate(seqs) if seqs else np.zeros(0, _U)
-    size = np.frombuffer(b"".join(got["sizes"].to_pylist()), np.uint8).astype(np.int64)
+    size = np.frombuffer(b"".join(got["sizes"].to_pylist()), np.uint8)
+    del got, seqs
     start = np.concatenate([[0], np.cumsum(length)])[:-1]
     return fit(h, size, np.repeat(d, length), start, length, toxic)
 
