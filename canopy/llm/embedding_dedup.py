@@ -2,18 +2,22 @@
 
 Equal vectors are first made one. The distinct ones are dealt by hash into shards of about SHARD_ROWS. A shard's graph
 has layers of geometrically falling size; a node is linked to diverse near nodes of its layer (a candidate is taken if
-it is nearer to the node than to all taken before) and links go both ways. As a shard is of bounded size, candidates
-are found by matrix products rather than by inserting nodes one by one.
+it is nearer to the node than to all taken before; places that are left go to the nearest others) and links go both
+ways. As a shard is of bounded size, candidates are found by matrix products rather than by inserting nodes one by one.
 
 Every vector is a query to the graph of every shard: descent through the upper layers, then a beam search below, for
-many queries at a time. In each pair of query block and shard, AUDIT queries are first answered by brute force too, and the
-beam is doubled until it finds RECALL of their matches and of their nearest nodes, at last to the whole shard; a query whose beam is full of matches is answered by brute force
-over the shard, so there is no cap on partners. Matches are verified on the cosine in double precision; what a pair of
-block and shard connects leaves it as a spanning forest, and the forests' union is contracted to components.
+many queries at a time. A query whose beam is full of matches is asked again with a beam of twice the width, so there is
+no cap on partners. For each task and shard an audit comes first: AUDIT of the queries and AUDIT vectors planted just
+within the threshold of nodes of the shard are answered by brute force too, and the beam is doubled until it finds RECALL
+of all their matches. Matches are verified on the cosine in double precision; what a task connects leaves it as a
+spanning forest, and the forests' union is contracted to components.
+
+Queries are shipped as vectors to where a graph is, each once for each shard; a graph goes to one task for each
+QUERIES of them.
 
 Defined results: vectors that are null, empty, zero or not finite match nothing; only vectors of the same length are
 compared; rows with the same id and several vectors connect what each of them matches; a null id is left out. Extra
-columns are ignored. An empty table gives an empty result.
+columns are ignored. An empty table gives an empty result. Ties don't matter.
 """
 
 from __future__ import annotations
@@ -26,19 +30,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canopy.llm._store import components, forest, own_columns, written
+from canopy.llm._store import components, forest, own_columns, sized, written
 from canopy.llm._text import mix
 
 THRESHOLD = 0.9
-SHARD_ROWS = 8192
+SHARD_ROWS = 65536
 LINKS = 12
 CANDIDATES = 32
 BEAM = 32
 ENTRIES = 8
 AUDIT = 128
 RECALL = 0.98
-LANES = 512
-TASKS = 64
+LANES = 256
+QUERIES = 16384
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -48,8 +52,8 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 
 class Graph:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.exact = ids, unit(vectors)
-        self.unit = self.exact.astype(np.float32)
+        self.ids, self.vectors = ids, vectors
+        self.unit = unit(vectors).astype(np.float32)
         u = ((mix(ids.view(np.uint64), 41) >> np.uint64(11)).astype(np.float64) + 1) / 2.0**53
         level = np.floor(-np.log(u) / np.log(LINKS)).astype(np.int64)
         self.layers: list[tuple[np.ndarray, np.ndarray]] = []
@@ -59,22 +63,29 @@ class Graph:
             self.layers.append((nodes, self._links(nodes, LINKS * (2 if at == 0 else 1))))
         self.entry = int(np.flatnonzero(level == top)[0]) if len(ids) else 0
 
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "unit"}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ |= state
+        self.unit = unit(self.vectors).astype(np.float32)
+
     def _links(self, nodes: np.ndarray, most: int) -> np.ndarray:
         """Neighbours of each of nodes, padded with the node itself."""
         x = self.unit[nodes]
         n = len(nodes)
         want = min(CANDIDATES, n - 1)
-        links = np.tile(nodes[:, None], (1, most))
+        links = np.tile(nodes[:, None].astype(np.int32), (1, most))
         if want <= 0:
             return links
         near, sims = np.empty((n, want), np.int64), np.empty((n, want), np.float32)
-        for a in range(0, n, 1024):
-            s = x[a : a + 1024] @ x.T
+        for a in range(0, n, 128):
+            s = x[a : a + 128] @ x.T
             s[np.arange(len(s)), np.arange(a, a + len(s))] = -9
             part = np.argpartition(-s, want - 1, axis=1)[:, :want]
             value = np.take_along_axis(s, part, 1)
             order = np.argsort(-value, axis=1, kind="stable")
-            near[a : a + 1024], sims[a : a + 1024] = np.take_along_axis(part, order, 1), np.take_along_axis(value, order, 1)
+            near[a : a + 128], sims[a : a + 128] = np.take_along_axis(part, order, 1), np.take_along_axis(value, order, 1)
         half = max(1, most // 2)
         taken, count = np.full((n, half), -1), np.zeros(n, np.int64)
         for r in range(want):
@@ -88,6 +99,12 @@ class Graph:
             ok = np.flatnonzero((sims[:, r] > rival) & (count < half))
             taken[ok, count[ok]] = c[ok]
             count[ok] += 1
+        # what is left goes to the nearest that were passed over, so that groups of near copies hang together
+        for r in range(want):
+            c = near[:, r]
+            ok = np.flatnonzero((count < half) & ~(taken == c[:, None]).any(axis=1))
+            taken[ok, count[ok]] = c[ok]
+            count[ok] += 1
         # the way there and back; of too many, the nearest
         one, k = np.nonzero(taken >= 0)
         two = taken[one, k]
@@ -156,44 +173,60 @@ class Graph:
         return np.where(sims > -9, ids, -1), sims
 
 
-def audited_beam(graph: Graph, audit: np.ndarray, least: float) -> int:
-    """The narrowest beam that finds RECALL of the audit's matches and of its nearest nodes; 0 if that would look at the whole shard."""
-    true = audit @ graph.unit.T
-    nearest, count = true.max(1), (true >= least).sum()
+def near(graph: Graph, queries: np.ndarray, beam: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(query, node) of all found with a similarity of at least `least`; full beams are widened."""
+    one, two = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    rest = np.arange(len(queries))
+    while len(rest):
+        again = [np.zeros(0, np.int64)]
+        for a in range(0, len(rest), LANES):
+            part = rest[a : a + LANES]
+            if beam >= len(graph.ids):  # as wide as the shard
+                i, k = np.nonzero(queries[part] @ graph.unit.T >= least)
+                one.append(part[i])
+                two.append(k)
+                continue
+            ids, sims = graph.search(queries[part], beam)
+            ok = sims >= least
+            full = ok.all(axis=1)
+            again.append(part[full])
+            ok[full] = False
+            i, k = np.nonzero(ok)
+            one.append(part[i])
+            two.append(ids[i, k])
+        rest, beam = np.concatenate(again), 2 * beam
+    return np.concatenate(one), np.concatenate(two)
+
+
+def planted(graph: Graph, count: int, least: float) -> np.ndarray:
+    """Vectors just within the threshold of nodes of the graph."""
+    rng = np.random.default_rng(len(graph.ids))
+    x = graph.unit[rng.integers(0, len(graph.ids), count)].astype(np.float64)
+    away = rng.normal(size=x.shape)
+    away -= (away * x).sum(1, keepdims=True) * x
+    size = np.linalg.norm(away, axis=1, keepdims=True)
+    c = min(1.0, least + 1e-3)
+    return (c * x + np.sqrt(1 - c * c) * away / np.maximum(size, 1e-12)).astype(np.float32)
+
+
+def audited_beam(graph: Graph, queries: np.ndarray, least: float) -> int:
+    """The narrowest beam that finds RECALL of the matches of audited queries and of planted ones."""
+    audit = np.concatenate([queries, planted(graph, AUDIT, least)])
+    true = int((audit @ graph.unit.T >= least).sum())
     beam = BEAM
-    while beam * LINKS * 8 < len(graph.ids):
-        _, sims = graph.search(audit, beam)
-        if (sims.max(1) >= nearest - 1e-5).mean() >= RECALL and np.minimum((sims >= least).sum(), count) >= RECALL * count:
-            return beam
+    while beam < len(graph.ids) and len(near(graph, audit, beam, least)[0]) < RECALL * true:
         beam *= 2
-    return 0
+    return beam
 
 
 def matches(graph: Graph, queries: np.ndarray, names: np.ndarray, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray, int]:
-    """(query, node) of all that match, and the beam that the audit asked for (0: brute force)."""
+    """(query, node) of all that match, and the beam that the audit asked for."""
     slack = threshold - 1e-4
-    q = unit(queries).astype(np.float32)
-    beam = audited_beam(graph, q[np.argsort(mix(names.view(np.uint64), 43))[:AUDIT]], slack)
-    one, two = [], []
-    for a in range(0, len(q), LANES):
-        part = q[a : a + LANES]
-        full = np.arange(len(part))
-        if beam:
-            ids, sims = graph.search(part, beam)
-            ok = sims >= slack
-            full = np.flatnonzero(ok.all(axis=1))
-            ok[full] = False
-            i, k = np.nonzero(ok)
-            one.append(a + i)
-            two.append(ids[i, k])
-        if len(full):
-            i, k = np.nonzero(part[full] @ graph.unit.T >= slack)
-            one.append(a + full[i])
-            two.append(k)
-    found = np.concatenate(one), np.concatenate(two)
-    i, k = found
     exact = unit(queries)
-    ok = np.einsum("ij,ij->i", exact[i], graph.exact[k]) >= threshold
+    q = exact.astype(np.float32)
+    beam = audited_beam(graph, q[np.argsort(mix(names.view(np.uint64), 43))[:AUDIT]], slack)
+    i, k = near(graph, q, beam, slack)
+    ok = np.einsum("ij,ij->i", exact[i], unit(graph.vectors[k])) >= threshold
     return i[ok], k[ok], beam
 
 
@@ -206,14 +239,35 @@ def _build(key: tuple, table: pa.Table) -> pa.Table:
 
 
 def _query(threshold: float):
+    """Rows (task, graph, id, vector) in order of tasks, a task's graph first: links between queries and nodes."""
+
+    def answered(graph: Graph, ids: list[np.ndarray], vectors: list[np.ndarray]) -> pa.RecordBatch:
+        names = np.concatenate(ids)
+        i, k, _ = matches(graph, np.concatenate(vectors), names, threshold)
+        a, b = forest(names[i], graph.ids[k])
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        graph: Graph | None = None
+        ids: list[np.ndarray] = []
+        vectors: list[np.ndarray] = []
         for batch in batches:
-            for i in range(batch.num_rows):
-                graph: Graph = pickle.loads(batch.column(0)[i].as_py())
-                block: Graph = pickle.loads(batch.column(1)[i].as_py())
-                one, two, _ = matches(graph, block.exact, block.ids, threshold)
-                a, b = forest(block.ids[one], graph.ids[two])
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            heads = np.flatnonzero(np.asarray(batch.column(1).is_valid()))
+            cuts = [0, *heads.tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if batch.column(1)[a].is_valid:
+                    if graph is not None and ids:
+                        yield answered(graph, ids, vectors)
+                    graph, ids, vectors = pickle.loads(batch.column(1)[a].as_py()), [], []
+                    a += 1
+                if a < b:
+                    part = batch.slice(a, b - a)
+                    ids.append(np.asarray(part.column(2)))
+                    vectors.append(np.asarray(part.column(3).flatten()).reshape(b - a, -1))
+        if graph is not None and ids:
+            yield answered(graph, ids, vectors)
 
     return run
 
@@ -224,13 +278,21 @@ def groups(embeddings: DataFrame, threshold: float = THRESHOLD, shard_rows: int
     fine = own.where("id is not null and size(vector) > 0 and forall(vector, x -> x is not null and not isnan(x) and abs(x) < 1e150) and exists(vector, x -> abs(x) > 1e-150)")
     distinct = written(fine.groupBy("vector").agg(F.array_sort(F.collect_set("id")).alias("ids")).withColumn("id", F.col("ids")[0]), "vectors")
     shards = max(1, -(-distinct.count() // shard_rows))
-    dealt = distinct.select("id", "vector", F.size("vector").alias("size"), F.pmod(F.xxhash64("vector"), F.lit(shards)).alias("shard"))
+    size = F.size("vector").alias("size")
+    dealt = distinct.select("id", "vector", size, F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("long").alias("shard"))
     graphs = written(dealt.groupBy("size", "shard").applyInArrow(_build, "size int, shard long, graph binary"), "graphs")
-    # a part for each graph while they are few: a task reads one block and queries one graph
-    parts = min(shards, TASKS)
-    one = graphs.repartition(parts, "shard")
-    two = graphs.select(F.col("size").alias("size_b"), F.col("shard").alias("shard_b"), F.col("graph").alias("block")).repartition(parts, "shard_b")
-    pairs = one.crossJoin(two).where("size = size_b").select("graph", "block")
-    links = written(pairs.mapInArrow(_query(threshold), "a long, b long"), "matches")
+    # of each length of vectors, as many tasks for each graph as its queries need
+    tasks = distinct.groupBy(size).agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("long").alias("tasks"))
+    known = written(graphs.select("size", "shard").join(sized(written(tasks, "tasks")), "size"), "known")
+    lane = F.pmod(F.xxhash64("id"), F.col("tasks")).alias("lane")
+    asked = distinct.select("id", "vector", size).join(sized(known), "size").select(
+        "size", "shard", lane, F.lit(None).cast("binary").alias("graph"), "id", "vector"
+    )
+    held = graphs.join(sized(known), ["size", "shard"]).select(
+        "size", "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tasks") - 1)).alias("lane"), "graph", F.lit(None).cast("long").alias("id"), F.lit(None).cast("array<double>").alias("vector")
+    )
+    both = held.unionByName(asked).repartition("size", "shard", "lane").sortWithinPartitions("size", "shard", "lane", F.col("graph").isNull(), "id")
+    task = F.concat_ws(":", "size", "shard", "lane").alias("task")
+    links = written(both.select(task, "graph", "id", "vector").mapInArrow(_query(threshold), "a long, b long"), "matches")
     links = links.unionByName(distinct.where("size(ids) > 1").select(F.col("id").alias("a"), F.explode("ids").alias("b")))
     return components(links.where("a <> b"), "a", "b").select(F.col("node").alias("vec_id"), "component")

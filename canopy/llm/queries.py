@@ -92,6 +92,11 @@ k AS (SELECT one AS rep, sum(docs) AS links FROM l JOIN e ON e.rep = l.two GROUP
 SELECT d.doc_id, c.winner, CAST(e.docs - 1 + coalesce(k.links, 0) AS BIGINT) AS n_links
 FROM d JOIN e ON e.s = d.s JOIN c ON c.rep = e.rep LEFT JOIN k ON k.rep = e.rep
 UNION ALL SELECT DISTINCT doc_id, doc_id, 0 FROM documents WHERE doc_id IS NOT NULL AND doc_id NOT IN (SELECT doc_id FROM d)""",
+    "op4_embedding_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS x FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0),
+l AS MATERIALIZED (SELECT a.id AS one, b.id AS two FROM v a JOIN v b ON a.id <> b.id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.9),
+r(id, to_) AS (SELECT one, one FROM l UNION SELECT r.id, l.two FROM r JOIN l ON l.one = r.to_)
+SELECT id AS vec_id, min(to_) AS component FROM r GROUP BY id""",
     "op5_mixing": r"""
 WITH t AS (
   SELECT coalesce(source, '(none)') AS source, doc_id, len(regexp_extract_all(coalesce(text, ''), '\S+')) AS tokens,

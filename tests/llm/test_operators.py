@@ -294,18 +294,23 @@ def test_embedding_dedup(spark):
     assert embedding_dedup.groups(df.limit(0)).count() == 0
 
 
-def test_graph_recall():
-    """On clustered vectors the beams themselves, without the fallback, find what brute force finds."""
+def test_beams_pass_the_audit_out_of_sample(spark, monkeypatch):
+    """In shards far larger than the beam, queries from other shards find what brute force finds, and not by brute force."""
     rng = np.random.default_rng(4)
-    v = np.repeat(rng.normal(size=(400, 8)), 5, axis=0) + 0.02 * rng.normal(size=(2000, 8))
-    g = embedding_dedup.Graph(np.arange(2000), v)
-    q = g.unit[:300]
-    ids, sims = g.search(q, 64)
-    true = q @ g.unit.T >= 0.97
-    found = np.zeros_like(true)
-    i, k = np.nonzero(sims >= 0.97)
-    found[i, ids[i, k]] = True
-    assert (found & true).sum() >= 0.9 * true.sum()
+    own, other = rng.normal(size=(6000, 32)), rng.normal(size=(400, 32))
+    other[:200] = own[:200] + 0.05 * rng.normal(size=(200, 32))
+    own[1000:1150] = own[1000] + 0.05 * rng.normal(size=(150, 32))  # more matches than a beam holds
+    other[300] = own[1000]
+    g = embedding_dedup.Graph(np.arange(6000), own)
+    i, k, beam = embedding_dedup.matches(g, other, np.arange(400))
+    true = {tuple(x) for x in np.argwhere(embedding_dedup.unit(other) @ embedding_dedup.unit(own).T >= embedding_dedup.THRESHOLD)}
+    assert beam * 8 < 6000 and len(true & set(zip(i.tolist(), k.tolist()))) >= 0.98 * len(true) and sum(q == 300 for q, _ in true) > 100
+    every = {n: v.tolist() for n, v in enumerate(np.concatenate([own[:1200], other]))}
+    want = brute_groups(every, embedding_dedup.THRESHOLD)
+    monkeypatch.setattr(embedding_dedup, "QUERIES", 300)
+    df = spark.createDataFrame([(n, v) for n, v in every.items()], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["component"] for r in embedding_dedup.groups(df, shard_rows=800).collect()}
+    assert len(set(got.items()) & set(want.items())) >= 0.98 * len(want) and set(got) <= set(want)
 
 
 def test_components(spark):
