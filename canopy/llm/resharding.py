@@ -26,11 +26,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from canopy.llm._store import new_path, written
+from canopy.llm._store import new_path, sized, written
 
 NEW_SHARDS = 24
 HEADROOM = 1.02
 FILE_BYTES = 128 << 20
+MOST_PARTS = 100_000
 SEED = "shard"
 
 
@@ -108,23 +109,24 @@ class Plan:
         return sum(x for i, row in enumerate(self.flow) for j, x in enumerate(row) if i != j)
 
 
+OWN = ("old_shard", "new_shard", "bytes", "moved")
+
+
 def _keyed(docs: DataFrame, shard: str) -> DataFrame:
+    """(row, old_shard, bytes, key): extra columns can't clash with names inside one struct."""
     h = F.coalesce(F.xxhash64("text").cast("string"), F.lit(""))
     key = F.md5(F.concat_ws(":", F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), h))
-    return docs.withColumns(
-        {
-            "old_shard": F.coalesce(F.col(shard).cast("string"), F.lit("(none)")),
-            "bytes": F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"),
-            "__key": key,
-        }
-    )
+    return docs.select(
+        F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), F.coalesce(F.col(f"`{shard}`").cast("string"), F.lit("(none)")).alias("old_shard"),
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"), key.alias("key"),
+    )
 
 
 def solve(docs: DataFrame, shard: str = "source", capacities: list[int] | None = None, cost: list[list[float]] | None = None) -> Plan:
     """The plan of transfers; what reaches the driver are sizes of shards and one key for each border."""
     spark = docs.sparkSession
-    own = _keyed(docs, shard).groupBy("old_shard", "__key").agg(F.sum("bytes").alias("bytes"))
-    own = written(own.withColumn("bucket", F.conv(F.substring("__key", 1, 4), 16, 10).cast("int")), "sizes")
+    own = _keyed(docs, shard).groupBy("old_shard", "key").agg(F.sum("bytes").alias("bytes"))
+    own = written(own.withColumn("bucket", F.conv(F.substring("key", 1, 4), 16, 10).cast("int")), "sizes")
     sizes = {r["old_shard"]: r["bytes"] for r in own.groupBy("old_shard").agg(F.sum("bytes").alias("bytes")).orderBy("old_shard").collect()}
     names, supply = list(sizes), list(sizes.values())
     if capacities is None:
@@ -144,12 +146,12 @@ def solve(docs: DataFrame, shard: str = "source", capacities: list[int] | None =
     if borders:
         by = Window.partitionBy("old_shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
         base = own.groupBy("old_shard", "bucket").agg(F.sum("bytes").alias("n")).withColumn("base", F.coalesce(F.sum("n").over(by), F.lit(0)))
-        inner = Window.partitionBy("old_shard", "bucket").orderBy("__key").rowsBetween(Window.unboundedPreceding, -1)
+        inner = Window.partitionBy("old_shard", "bucket").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
         at = own.withColumn("inner", F.coalesce(F.sum("bytes").over(inner), F.lit(0))).join(base.select("old_shard", "bucket", "base"), ["old_shard", "bucket"])
-        at = at.select("old_shard", "__key", "bytes", (F.col("base") + F.col("inner")).alias("a"))
-        few = F.broadcast(spark.createDataFrame(borders, "old_shard string, n int, at long"))
+        at = at.select("old_shard", "key", "bytes", (F.col("base") + F.col("inner")).alias("a"))
+        few = sized(spark.createDataFrame(borders, "old_shard string, n int, at long"))
         hit = at.where("bytes > 0").join(few, "old_shard").where("a <= at and at < a + bytes")
-        found = {(r["old_shard"], r["n"]): r for r in hit.select("old_shard", "n", "at", "__key", "bytes", "a").collect()}
+        found = {(r["old_shard"], r["n"]): r for r in hit.select("old_shard", "n", "at", "key", "bytes", "a").collect()}
     used = [sum(plan.flow[i][j] for i in range(len(names))) for j in range(len(capacities))]
     loose: dict[tuple[int, str], list] = {}
     for i, quota in enumerate(quotas):
@@ -158,12 +160,12 @@ def solve(docs: DataFrame, shard: str = "source", capacities: list[int] | None =
             row = found[names[i], n]
             before = quota[n][0]
             if row["at"] == row["a"]:
-                ranges.append((row["__key"], j))
+                ranges.append((row["key"], j))
                 continue
             used[before] -= row["at"] - row["a"]
             used[j] -= min(row["bytes"] - (row["at"] - row["a"]), quota[n + 1][1])
-            loose.setdefault((i, row["__key"]), [row["bytes"], len(ranges)])
-            ranges += [(row["__key"], -1), (row["__key"] + "!", j)]
+            loose.setdefault((i, row["key"]), [row["bytes"], len(ranges)])
+            ranges += [(row["key"], -1), (row["key"] + "!", j)]
         plan.ranges.append(ranges)
     for (i, _), (size, at_) in sorted(loose.items(), key=lambda x: -x[1][0]):
         best = i if i < len(capacities) and used[i] + size <= capacities[i] else max(range(len(capacities)), key=lambda j: capacities[j] - used[j])
@@ -173,31 +175,40 @@ def solve(docs: DataFrame, shard: str = "source", capacities: list[int] | None =
     return plan
 
 
+def _placed(docs: DataFrame, plan: Plan, shard: str) -> DataFrame:
+    """(row, old_shard, new_shard, bytes, moved, key)"""
+    rows = [(name, i, [k for k, _ in plan.ranges[i]], [j for _, j in plan.ranges[i]]) for i, name in enumerate(plan.shards)]
+    table = sized(docs.sparkSession.createDataFrame(rows, "old_shard string, home int, starts array<string>, to array<int>"))
+    place = F.element_at("to", F.size(F.filter("starts", lambda k: k <= F.col("key")))).alias("new_shard")
+    found = _keyed(docs, shard).join(table, "old_shard").select("row", "old_shard", place, "bytes", "key", "home")
+    return found.withColumn("moved", F.col("new_shard") != F.col("home")).drop("home")
+
+
+def _flat(placed: DataFrame, columns: list[str]) -> DataFrame:
+    return placed.select(*[F.col(f"row.`{c}`") for c in columns if c not in OWN], *OWN)
+
+
 def assign(docs: DataFrame, plan: Plan, shard: str = "source") -> DataFrame:
     """docs with old_shard, new_shard, bytes and moved."""
-    spark = docs.sparkSession
-    rows = [(name, i, [k for k, _ in plan.ranges[i]], [j for _, j in plan.ranges[i]]) for i, name in enumerate(plan.shards)]
-    table = F.broadcast(spark.createDataFrame(rows, "old_shard string, __home int, __from array<string>, __to array<int>"))
-    keyed = _keyed(docs.drop("new_shard", "moved"), shard).join(table, "old_shard")
-    place = F.size(F.filter("__from", lambda k: k <= F.col("__key")))
-    keyed = keyed.withColumn("new_shard", F.element_at("__to", place))
-    return keyed.withColumn("moved", F.col("new_shard") != F.col("__home")).drop("__home", "__from", "__to")
+    return _flat(_placed(docs, plan, shard), docs.columns)
 
 
 def rewrite(docs: DataFrame, plan: Plan, shard: str = "source", path: str | None = None) -> DataFrame:
     """Writes the affected new shards, a folder each, and gives all rows, of these from the new files."""
     spark = docs.sparkSession
     path = path or new_path(spark, "shards")
-    rows = assign(docs, plan, shard)
+    placed = _placed(docs, plan, shard)
+    rows = _flat(placed, docs.columns)
     hit = sorted(plan.affected())
     if not hit:
-        return rows.drop("__key")
+        return rows
     files = max(1, -(-max(plan.capacities) // FILE_BYTES))
-    changed = rows.where(F.col("new_shard").isin(hit))
-    spread = F.pmod(F.xxhash64("__key"), F.lit(files))
-    changed.repartition("new_shard", spread).drop("__key").write.option("compression", "zstd").partitionBy("new_shard").parquet(path)
-    schema = rows.drop("__key").schema
-    return spark.read.schema(schema).parquet(path).unionByName(rows.where(~F.col("new_shard").isin(hit)).drop("__key"))
+    # a partition for each file, by its number: hashes of few numbers would put several of them into one
+    parts = min(files * len(plan.capacities), MOST_PARTS)
+    file = F.col("new_shard") * files + F.pmod(F.xxhash64("key"), F.lit(files)).cast("int")
+    changed = placed.where(F.col("new_shard").isin(hit)).repartitionById(parts, F.pmod(file, F.lit(parts)).cast("int"))
+    _flat(changed, docs.columns).write.option("compression", "zstd").partitionBy("new_shard").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path).select(*[f"`{c}`" for c in rows.columns]).unionByName(rows.where(~F.col("new_shard").isin(hit)))
 
 
 def reshard(docs: DataFrame, shard: str = "source", capacities: list[int] | None = None) -> DataFrame:

@@ -518,16 +518,26 @@ def test_exact_dedup(spark, docs, nothing):
 
 
 def test_resharding(docs, nothing):
-    rows = resharding.reshard(docs, capacities=[9000, 9000, 9000, 60000]).collect()
+    capacities = [9000, 9000, 9000, 60000]
+    rows = resharding.reshard(docs, capacities=capacities).collect()
     assert len(rows) == len(corpus())
-    used = collections.Counter()
+    used, old = collections.Counter(), collections.Counter()
     for r in rows:
         used[r["new_shard"]] += r["bytes"]
-    old = collections.Counter()
-    for r in rows:
         old[r["old_shard"]] += r["bytes"]
+    largest = max(r["bytes"] for r in rows)
     assert sum(used.values()) == sum(old.values()) == sum(len((t or "").encode()) for _, t, *_ in corpus())
+    # one document at a border is all that a shard may be over its capacity, or a move beyond the optimum
+    assert all(used[j] <= capacities[j] + largest for j in used)
+    home = {s: j for j, s in enumerate(sorted(old))}
+    assert all(r["moved"] == (home[r["old_shard"]] != r["new_shard"]) for r in rows)
+    moved = sum(r["bytes"] for r in rows if r["moved"])
+    least = sum(max(0, n - capacities[home[s]]) for s, n in old.items())
+    assert least <= moved + largest and moved <= least + largest * 4
     assert resharding.reshard(nothing).count() == 0
+    clash = docs.withColumns({c: F.lit("clash") for c in ("__key", "__home", "key", "home", "to", "starts")})
+    out = resharding.rewrite(clash, resharding.solve(clash, capacities=capacities))
+    assert set(clash.columns) <= set(out.columns) and out.select("__key", "key", "home", "row").distinct().collect() == [("clash",) * 4]
     with pytest.raises(ValueError):
         resharding.solve(docs, capacities=[10])
 
