@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import importlib
+import os
+import pkgutil
 import re
 import unicodedata
 from collections.abc import Callable
@@ -23,6 +26,23 @@ def plugin(name: str) -> Callable[[Plugin], Plugin]:
     return add
 
 
+def discover(package: str) -> list[str]:
+    """Imports all modules of a package, which register their plugins; gives the names that came."""
+    before = set(REGISTRY)
+    found = importlib.import_module(package)
+    for m in pkgutil.walk_packages(getattr(found, "__path__", []), f"{package}."):
+        importlib.import_module(m.name)
+    return sorted(set(REGISTRY) - before)
+
+
+CREDENTIALS: list[Callable[[str], str | None]] = [os.environ.get]
+
+
+def credentials(key: str) -> str | None:
+    """The first answer of the registered providers, the last registered first; the environment comes last."""
+    return next((v for v in (ask(key) for ask in reversed(CREDENTIALS)) if v is not None), None)
+
+
 def run(documents: DataFrame, names: list[str] | tuple[str, ...]) -> DataFrame:
     """The named plugins in the order given; documents whose _source becomes null are left out."""
     for name in names:

@@ -195,3 +195,17 @@ def visibility(spark: SparkSession, txids: list[int], below: int, in_progress: l
 def high_water(events: DataFrame) -> int | None:
     """The last transaction of a batch."""
     return events.agg(F.max("txid")).first()[0]
+
+
+def blocks(rows: DataFrame, key: str, size: int) -> DataFrame:
+    """Adds `block`: rows in order of the key, `size` to a block, without a task that orders them all.
+
+    Rows are ranged by key into partitions, counted there, and numbered from the sums of the partitions before.
+    """
+    ranged = rows.repartitionByRange(key).sortWithinPartitions(key).withColumn("__p", F.spark_partition_id())
+    mine = Window.partitionBy("__p").orderBy(key)
+    counts = ranged.groupBy("__p").agg(F.count(F.lit(1)).alias("n"))
+    # one row for each partition
+    base = counts.withColumn("base", F.coalesce(F.sum("n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    numbered = ranged.withColumn("__r", F.row_number().over(mine) - 1).join(base.select("__p", "base"), "__p")
+    return numbered.withColumn("block", F.floor((F.col("base") + F.col("__r")) / size)).drop("__p", "__r", "base")

@@ -16,6 +16,7 @@ from canopy.operators import changes, resolve, search
 from canopy.plans import catalog
 from canopy.plans.compile import as_json, compile, doc_keys
 from canopy.plans.spec import parse
+from canopy.plans.views import View
 from canopy.sources import log, scratch
 from canopy.sources.sinks import ParquetSink, actions, mapping
 from canopy.streaming.sync import Sync
@@ -598,3 +599,73 @@ def reindexed_search(spark, sf_dir):
 @_query("SELECT p_partkey FROM part WHERE regexp_matches(lower(p_type), 'co')")
 def short_term_search(spark, sf_dir):
     return _t(spark, sf_dir, "part").where(search.matches(["p_type"], "Co")).select("p_partkey")
+
+
+@_query("SELECT event_id, 'e' || event_id AS text, '\"e' || event_id || '\"' AS json, '[1,{\"b\":\"e' || event_id || '\"}]' AS list, '1' AS first, NULL::VARCHAR AS none FROM events")
+def json_path_steps(spark, sf_dir):
+    doc = F.concat(F.lit('{"a": [1, {"b": "e'), "event_id", F.lit('"}]}'))
+    own = _t(spark, sf_dir, "events").select("event_id", doc.alias("doc"))
+    paths = {"text": "doc#>>'{a,1,b}'", "json": "doc#>'{a,1,b}'", "list": "doc->'a'", "first": "doc->'a'->>0", "none": "doc->'z'->>'y'"}
+    return own.select("event_id", *[jsonpath.path_column(p).alias(n) for n, p in paths.items()])
+
+
+@_query("""SELECT c_custkey::VARCHAR AS _id, to_json({'c_name': c_name, 'orders': o.v})::VARCHAR AS doc FROM customer LEFT JOIN
+(SELECT o_custkey, list(CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END ORDER BY o_orderkey) AS v FROM orders GROUP BY 1) o ON o_custkey = c_custkey""")
+def doc_scalar_nulls(spark, sf_dir):
+    """Null values of a scalar child stay in its array."""
+    tables = catalog.of_folder(spark, sf_dir)
+    base = tables["orders"]
+    holes = lambda: base.load().withColumn("o_orderpriority", F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")))
+    tables.add(catalog.TableDef("orders", holes, base.primary_key, base.foreign_keys))
+    got = compile(parse({"index": "x", "nodes": _node("customer", ["c_name"], _node("orders", ["o_orderpriority"], rel="o2m:scalar"))}), tables)
+    return as_json(got).select("_id", F.col("_source").alias("doc"))
+
+
+@_query("SELECT c_custkey::VARCHAR AS _id FROM customer")
+def truncate_root(spark, sf_dir):
+    return _affected(spark, sf_dir, [(1, "TRUNCATE", "customer", None, None, 1)])[0].select("_id")
+
+
+@_query("SELECT n_name, 'hero' AS a, 'Groot' AS g FROM nation WHERE n_nationkey > 3")
+def constant_fields(spark, sf_dir):
+    """Plugins in order, the first of which makes some documents null, so that they are left out."""
+    plugins.REGISTRY.setdefault("canopy.few", lambda d: d.withColumn("_source", F.when(F.col("_source.n_nationkey") > 3, F.col("_source"))))
+    plugins.REGISTRY.setdefault("canopy.a", plugins.constant("a", "hero"))
+    own = _t(spark, sf_dir, "nation").select(F.struct("n_nationkey", "n_name").alias("_source"))
+    got = plugins.run(own, ["canopy.few", "canopy.a", "Groot"])
+    return got.select(F.col("_source.n_name").alias("n_name"), F.col("_source.a").alias("a"), F.col("_source.groot").alias("g"))
+
+
+@_query("SELECT p_partkey, trim(regexp_replace(regexp_replace(lower(p_name), '[\\s_]+', '-', 'g'), '[^a-z0-9-]', '', 'g'), '-') || '-' || p_partkey AS slug FROM part")
+def multi_field_slug(spark, sf_dir):
+    own = _t(spark, sf_dir, "part").select("p_partkey", F.struct(F.col("p_name").alias("title"), F.col("p_partkey").alias("id")).alias("_source"))
+    return plugins.run(own, ["MultiFieldSlug"]).select("p_partkey", F.col("_source.slug").alias("slug"))
+
+
+@_query("""SELECT o_custkey::VARCHAR AS _id, to_json({'n': n, 'buyer': c_name})::VARCHAR AS doc FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) JOIN customer ON c_custkey = o_custkey""")
+def materialized_view_docs(spark, sf_dir):
+    """Documents of a materialized view that was refreshed after its base table had grown."""
+    tables = catalog.of_folder(spark, sf_dir)
+    base, late = tables["orders"], []
+    rows = lambda: base.load() if late else base.load().where("o_orderstatus <> 'F'")
+    tables.add(catalog.TableDef("orders", rows, base.primary_key, base.foreign_keys))
+    view = View(spark, tables, "spending", "SELECT o_custkey, count(*) AS n FROM {orders} GROUP BY o_custkey", ("orders",), ("o_custkey",), scratch.folder(spark, "view"))
+    late.append(True)
+    view.refresh()
+    child = _node("customer", ["c_name"], rel="o2o:scalar", label="buyer")
+    child["relationship"]["foreign_key"] = {"parent": ["o_custkey"], "child": ["c_custkey"]}
+    got = compile(parse({"index": "x", "nodes": _node("spending", ["n"], child)}), tables)
+    return as_json(got).select("_id", F.col("_source").alias("doc"))
+
+
+@_query("SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 400 AS block FROM orders")
+def scan_blocks(spark, sf_dir):
+    """The tasks of a scan: blocks of 400 rows in order of the key."""
+    return changes.blocks(_t(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 400)
+
+
+@_query("SELECT max(event_id) AS txid, max(event_id) - 100 AS before FROM events")
+def current_transaction(spark, sf_dir):
+    e = _t(spark, sf_dir, "events").select(F.col("event_id").alias("txid"))
+    now = changes.high_water(e)
+    return spark.createDataFrame([(now, changes.high_water(changes.within(e, "txid", None, now - 99)))], "txid long, before long")

@@ -12,6 +12,8 @@ from canopy.operators import changes, resolve
 from canopy.plans.catalog import Catalog, ForeignKey, TableDef
 from canopy.plans.compile import as_json, compile, doc_keys, meta
 from canopy.plans.spec import SpecError, identifier, load, parse, quoted, read_source
+from canopy.plans.views import View
+from canopy.settings import Settings, redacted
 from canopy.sources import log
 from canopy.sources.scratch import saver
 from canopy.sources.sinks import JsonLinesSink, MemorySink, ParquetSink, mapping
@@ -378,3 +380,34 @@ def test_command_line(spark, tmp_path, capsys):
     cli.main(["teardown", *places])
     with pytest.raises(SystemExit):
         cli.main(["sync", "--config", "x", "--config-url", "y", "--data", "z"])
+
+
+def test_settings():
+    assert Settings.of({}) == Settings() and Settings.of({"CANOPY_PAGE": "7", "CANOPY_RAISE_ON_FAILURE": "false"}) == Settings(page=7, raise_on_failure=False)
+    with pytest.raises(ValueError):
+        Settings.of({"CANOPY_PAGE": "many"})
+    assert redacted("https://me:secret@host/x") == "https://me:***@host/x"
+
+
+def test_discovery_and_credentials(tmp_path, monkeypatch):
+    (tmp_path / "my_own_plugins").mkdir()
+    (tmp_path / "my_own_plugins" / "__init__.py").write_text("")
+    (tmp_path / "my_own_plugins" / "one.py").write_text("from canopy.functions.plugins import plugin\n\n\n@plugin('MineAlone')\ndef f(d):\n    return d\n")
+    monkeypatch.syspath_prepend(str(tmp_path))
+    assert plugins.discover("my_own_plugins") == ["MineAlone"]
+    monkeypatch.setenv("MY_KEY", "a")
+    assert plugins.credentials("MY_KEY") == "a" and plugins.credentials("NO_SUCH_KEY") is None
+    monkeypatch.setattr(plugins, "CREDENTIALS", [*plugins.CREDENTIALS, {"MY_KEY": "b"}.get])
+    assert plugins.credentials("MY_KEY") == "b"
+
+
+def test_views(spark, tmp_path):
+    lib = Library(spark)
+    view = View(spark, lib.catalog, "rated", "SELECT book_isbn, count(*) AS n FROM {rating} GROUP BY book_isbn", ("rating",), ("book_isbn",), f"{tmp_path}/v")
+    lib.rows["rating"][3] = (3, "a", 1)
+    assert view.load().first()["n"] == 2 and lib.catalog.view_of("rating") == ["rated"]
+    view.refresh()
+    view.register()
+    assert view.load().first()["n"] == 3 and spark.table("rated").count() == 1
+    view.drop()
+    assert "rated" not in lib.catalog.tables
