@@ -6,7 +6,7 @@ it is nearer to the node than to all taken before; places that are left go to th
 ways. As a shard is of bounded size, candidates are found by matrix products rather than by inserting nodes one by one.
 
 Every vector is a query to the graph of every shard: descent through the upper layers, then a beam search below, for
-many queries at a time. A query whose beam is full of matches is asked again with a beam of twice the width, so there is
+many queries at a time; a query that is a node of the graph itself begins at that node. A query whose beam is full of matches is asked again with a beam of twice the width, so there is
 no cap on partners. For each task and shard an audit comes first: AUDIT of the queries and AUDIT vectors planted just
 within the threshold of nodes of the shard are answered by brute force too, and the beam is doubled until it finds RECALL
 of all their matches. Matches are verified on the cosine in double precision; what a task connects leaves it as a
@@ -41,7 +41,7 @@ BEAM = 32
 ENTRIES = 8
 AUDIT = 128
 RECALL = 0.98
-LANES = 256
+LANES = 512
 QUERIES = 16384
 
 
@@ -82,22 +82,23 @@ class Graph:
         for a in range(0, n, 128):
             s = x[a : a + 128] @ x.T
             s[np.arange(len(s)), np.arange(a, a + len(s))] = -9
-            part = np.argpartition(-s, want - 1, axis=1)[:, :want]
+            part = np.argpartition(s, n - want, axis=1)[:, n - want :]
             value = np.take_along_axis(s, part, 1)
             order = np.argsort(-value, axis=1, kind="stable")
             near[a : a + 128], sims[a : a + 128] = np.take_along_axis(part, order, 1), np.take_along_axis(value, order, 1)
         half = max(1, most // 2)
         taken, count = np.full((n, half), -1), np.zeros(n, np.int64)
         for r in range(want):
-            c = near[:, r]
-            rival = np.full(n, -9.0, np.float32)
+            open_ = np.flatnonzero(count < half)
+            rival = np.full(len(open_), -9.0, np.float32)
+            mine = x[near[open_, r]]
             for k in range(half):
-                held = count > k
-                if not held.any():
+                held = np.flatnonzero(count[open_] > k)
+                if not len(held):
                     break
-                rival[held] = np.maximum(rival[held], np.einsum("ij,ij->i", x[c[held]], x[taken[held, k]]))
-            ok = np.flatnonzero((sims[:, r] > rival) & (count < half))
-            taken[ok, count[ok]] = c[ok]
+                rival[held] = np.maximum(rival[held], np.einsum("ij,ij->i", mine[held], x[taken[open_[held], k]]))
+            ok = open_[sims[open_, r] > rival]
+            taken[ok, count[ok]] = near[ok, r]
             count[ok] += 1
         # what is left goes to the nearest that were passed over, so that groups of near copies hang together
         for r in range(want):
@@ -120,10 +121,18 @@ class Graph:
         links[a[keep], place[keep]] = nodes[b[keep]]
         return links
 
-    def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """(nodes, similarities) of the best of each query, -1 where there are fewer than beam."""
+    def search(self, queries: np.ndarray, beam: int, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(nodes, similarities) of the best of each query, -1 where there are fewer than beam.
+
+        own: the node that each query is itself, to begin there instead of descending.
+        """
+        if own is not None:
+            return self._beam(queries, beam, own[:, None])
+        return self._beam(queries, beam, self._descend(queries))
+
+    def _descend(self, queries: np.ndarray) -> np.ndarray:
+        """The best ENTRIES of the upper layers for each query."""
         q, n = len(queries), len(self.ids)
-        lanes = np.arange(q)
         # down through the layers, in each from the best ENTRIES of the layer above
         start = np.full((q, 1), self.entry)
         for nodes, links in self.layers[:0:-1]:
@@ -136,8 +145,12 @@ class Graph:
                 s[:, 1:][around[:, 1:] == around[:, :-1]] = -9
                 take = min(ENTRIES, around.shape[1])
                 start = np.take_along_axis(around, np.argpartition(-s, take - 1, axis=1)[:, :take], 1)
-        start.sort(axis=1)
-        start = start[:, :beam]
+        return start
+
+    def _beam(self, queries: np.ndarray, beam: int, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        q, n = len(queries), len(self.ids)
+        lanes = np.arange(q)
+        start = np.sort(start, axis=1)[:, :beam]
         own = np.ones(start.shape, bool)
         own[:, 1:] = start[:, 1:] != start[:, :-1]
         links = self.layers[0][1]
@@ -173,20 +186,23 @@ class Graph:
         return np.where(sims > -9, ids, -1), sims
 
 
-def near(graph: Graph, queries: np.ndarray, beam: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """(query, node) of all found with a similarity of at least `least`; full beams are widened."""
+def near(graph: Graph, queries: np.ndarray, own: np.ndarray, beam: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(query, node) of all found with a similarity of at least `least`; full beams are widened.
+
+    own: the node of the graph that a query is, or -1.
+    """
     one, two = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     rest = np.arange(len(queries))
     while len(rest):
         again = [np.zeros(0, np.int64)]
-        for a in range(0, len(rest), LANES):
-            part = rest[a : a + LANES]
+        inside, outside = rest[own[rest] >= 0], rest[own[rest] < 0]
+        for part in [x[a : a + LANES] for x in (inside, outside) for a in range(0, len(x), LANES)]:
             if beam >= len(graph.ids):  # as wide as the shard
                 i, k = np.nonzero(queries[part] @ graph.unit.T >= least)
                 one.append(part[i])
                 two.append(k)
                 continue
-            ids, sims = graph.search(queries[part], beam)
+            ids, sims = graph.search(queries[part], beam, own[part] if own[part[0]] >= 0 else None)
             ok = sims >= least
             full = ok.all(axis=1)
             again.append(part[full])
@@ -209,12 +225,12 @@ def planted(graph: Graph, count: int, least: float) -> np.ndarray:
     return (c * x + np.sqrt(1 - c * c) * away / np.maximum(size, 1e-12)).astype(np.float32)
 
 
-def audited_beam(graph: Graph, queries: np.ndarray, least: float) -> int:
+def audited_beam(graph: Graph, queries: np.ndarray, own: np.ndarray, least: float) -> int:
     """The narrowest beam that finds RECALL of the matches of audited queries and of planted ones."""
-    audit = np.concatenate([queries, planted(graph, AUDIT, least)])
+    audit, own = np.concatenate([queries, planted(graph, AUDIT, least)]), np.concatenate([own, np.full(AUDIT, -1)])
     true = int((audit @ graph.unit.T >= least).sum())
     beam = BEAM
-    while beam < len(graph.ids) and len(near(graph, audit, beam, least)[0]) < RECALL * true:
+    while beam < len(graph.ids) and len(near(graph, audit, own, beam, least)[0]) < RECALL * true:
         beam *= 2
     return beam
 
@@ -224,8 +240,12 @@ def matches(graph: Graph, queries: np.ndarray, names: np.ndarray, threshold: flo
     slack = threshold - 1e-4
     exact = unit(queries)
     q = exact.astype(np.float32)
-    beam = audited_beam(graph, q[np.argsort(mix(names.view(np.uint64), 43))[:AUDIT]], slack)
-    i, k = near(graph, q, beam, slack)
+    # graph.ids are in order
+    own = np.minimum(np.searchsorted(graph.ids, names), len(graph.ids) - 1)
+    own = np.where(graph.ids[own] == names, own, -1)
+    audit = np.argsort(mix(names.view(np.uint64), 43))[:AUDIT]
+    beam = audited_beam(graph, q[audit], own[audit], slack)
+    i, k = near(graph, q, own, beam, slack)
     ok = np.einsum("ij,ij->i", exact[i], unit(graph.vectors[k])) >= threshold
     return i[ok], k[ok], beam
 

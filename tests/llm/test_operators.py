@@ -302,7 +302,7 @@ def test_beams_pass_the_audit_out_of_sample(spark, monkeypatch):
     own[1000:1150] = own[1000] + 0.05 * rng.normal(size=(150, 32))  # more matches than a beam holds
     other[300] = own[1000]
     g = embedding_dedup.Graph(np.arange(6000), own)
-    i, k, beam = embedding_dedup.matches(g, other, np.arange(400))
+    i, k, beam = embedding_dedup.matches(g, other, 10_000 + np.arange(400))
     true = {tuple(x) for x in np.argwhere(embedding_dedup.unit(other) @ embedding_dedup.unit(own).T >= embedding_dedup.THRESHOLD)}
     assert beam * 8 < 6000 and len(true & set(zip(i.tolist(), k.tolist()))) >= 0.98 * len(true) and sum(q == 300 for q, _ in true) > 100
     every = {n: v.tolist() for n, v in enumerate(np.concatenate([own[:1200], other]))}
