@@ -3,8 +3,9 @@
 A text is the set A of its distinct n-grams of words. J(A, B) >= t asks for at least ceil(t |A|) common n-grams, so if
 all sets are in one and the same order, the first |A| - ceil(t |A|) + 1 n-grams of A and those of B have one in common
 (pigeonhole): these prefixes are the join keys, and no pair is missed, whatever its sizes. Any order is right; the one by
-the frequency in a sample of the texts (then by hash) leaves the common n-grams out of most prefixes and keeps the groups
-small. A key that the sample shows in more than HOT sets is cut into blocks of sets, and every two blocks meet apart.
+frequency (then by hash) leaves the common n-grams out of most prefixes and keeps the groups small. The n-grams of all texts
+are counted for it, in a table of hashed places, so counts are never too low, and too high only by what shares a place. A
+key that may be in more than HOT sets is cut into blocks of sets, and every two blocks meet apart.
 
 Sets with a common key meet if |B| >= t |A|, and if enough n-grams are left from the key on in both (a pair that matches
 has at least t / (1 + t) * (|A| + |B|) in common, none of them before its first common key). Each key carries the one before
@@ -36,12 +37,13 @@ from canopy.llm._text import grams, mix, pieces, words
 
 N = 3
 THRESHOLD = 0.6
-SAMPLE_BYTES = 64 << 20
-FREQUENT = 1 << 19
+LEAST_BITS, MOST_BITS = 16, 24
+SLICE_BITS = 20
 PAIR_BLOCK = 1 << 18
 HOT = 1 << 20
 BLOCK_GRAMS = 1 << 21
 _U = np.uint64
+_ZSTD = pa.Codec("zstd", compression_level=1)
 
 
 def code(x: np.ndarray, up: bool) -> np.ndarray:
@@ -81,12 +83,13 @@ def sketches(doc: np.ndarray, gram: np.ndarray, size: np.ndarray) -> list[bytes]
     return [data[a:z] for a, z in zip(at.tolist(), at[1:].tolist())]
 
 
-def keys_of(doc: np.ndarray, gram: np.ndarray, size: np.ndarray, t: float, frequent: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(row, key, key before it or 0, its place, sample's count) of all rows; frequent: n-grams in order, count: of each."""
-    often = np.zeros(len(gram), np.int64)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, gram), len(frequent) - 1)
-        often = np.where(frequent[at] == gram, count[at], 0)
+def spot(gram: np.ndarray, size: int) -> np.ndarray:
+    """The place of each n-gram in a table of counts; size is a power of two."""
+    return (mix(gram, 91) & _U(size - 1)).astype(np.int64)
+
+
+def keys_of(doc: np.ndarray, gram: np.ndarray, size: np.ndarray, t: float, often: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, key, key before it or 0, its place, code of its count) of all rows; often: the code of each n-gram's count."""
     # the hashes of a row are in order already
     order = np.lexsort((often, doc))
     gram, often = gram[order], often[order]
@@ -110,36 +113,85 @@ def split(key: np.ndarray, sid: np.ndarray, rows: np.ndarray) -> tuple[np.ndarra
     return at, np.where(blocks[at] > 1, mix(key[at] ^ mix(pair.astype(_U), 52), 53), key[at])
 
 
-def _signed(n: int):
+SIGNED = ["doc_id", "h", "sid", "size", "body"]
+
+
+def _pack(counts_: np.ndarray) -> bytes:
+    """A bit for each place, and the counts that aren't 0 as two planes of bytes, compressed."""
+    some = np.flatnonzero(counts_)
+    planes = np.ascontiguousarray(counts_[some].view(np.uint8).reshape(-1, 2).T).tobytes()
+    return np.packbits(counts_ > 0).tobytes() + _ZSTD.compress(planes, asbytes=True)
+
+
+def _unpack(body: bytes, places: int) -> np.ndarray:
+    mask = np.unpackbits(np.frombuffer(body, np.uint8, places >> 3)).astype(bool)
+    out = np.zeros(places, np.uint16)
+    planes = np.frombuffer(_ZSTD.decompress(body[places >> 3 :], 2 * int(mask.sum()), asbytes=True), np.uint8)
+    out[mask] = np.ascontiguousarray(planes.reshape(2, -1).T).view(np.uint16).ravel()
+    return out
+
+
+def _counted(table: np.ndarray) -> pa.RecordBatch:
+    """A row for each slice of a table of counts that isn't empty, with its number as h and a size of -1."""
+    parts = table.reshape(-1, min(len(table), 1 << SLICE_BITS))
+    some = np.flatnonzero(parts.any(axis=1))
+    none = pa.nulls(len(some), pa.int64())
+    body = [_pack(parts[k]) for k in some.tolist()]
+    return pa.RecordBatch.from_arrays([none, pa.array(some, pa.int64()), none, pa.array(np.full(len(some), -1), pa.int32()), pa.array(body, pa.binary())], names=SIGNED)
+
+
+def _signed(n: int, bits: int):
+    """A row for each document, and those of the counts of all that the task saw."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, most = np.zeros(1 << bits, np.uint16), 0
         for batch in batches:
             for part in pieces(batch, 2):
                 doc, gram = grams(words(part.column(2)), part.num_rows, n)
                 size, sid = set_ids(doc, gram, part.num_rows)
                 body = pa.array(sketches(doc, gram, size), pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sid.view(np.int64)), pa.array(size, pa.int32()), body], names=["doc_id", "h", "sid", "size", "body"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sid.view(np.int64)), pa.array(size, pa.int32()), body], names=SIGNED)
+                if not len(gram):
+                    continue
+                at, count = np.unique(spot(gram, len(table)), return_counts=True)
+                while len(at):  # no place goes beyond 16 bits
+                    if most + min(int(count.max()), 1 << 15) >= 1 << 16:
+                        yield _counted(table)
+                        table[:], most = 0, 0
+                    now = np.minimum(count, 1 << 15)
+                    table[at] += now.astype(np.uint16)
+                    most += int(now.max())
+                    at, count = at[count > now], (count - now)[count > now]
+        if most:
+            yield _counted(table)
 
     return run
 
 
-def _sampled(n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in pieces(batch, 2):
-                gram, count = np.unique(grams(words(part.column(2)), part.num_rows, n)[1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(count)], names=["gram", "n"])
+def _added(bits: int):
+    """(part, codes) of one slice: 8 log2(count + 1) of all tasks' counts, rounded up."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        total = np.zeros(1 << min(bits, SLICE_BITS), np.int64)
+        for body in rows.column("body"):
+            total += _unpack(body.as_py(), len(total))
+        codes = np.minimum(np.ceil(8 * np.log2(total + 1.0)), 255).astype(np.uint8)
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "codes": pa.array([codes.tobytes()], pa.binary())})
 
     return run
 
 
-def _keys(n: int, t: float, frequent: np.ndarray, count: np.ndarray, share: int):
+def _keys(n: int, t: float, held):
+    """held: the broadcast codes of the counts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = held.value
         for batch in batches:
             for part in pieces(batch, 2):
                 doc, gram = grams(words(part.column(2)), part.num_rows, n)
                 size, sid = set_ids(doc, gram, part.num_rows)
-                row, key, before, place, often = keys_of(doc, gram, size, t, frequent, count)
-                at, key = split(key, sid[row], often * share)
+                row, key, before, place, often = keys_of(doc, gram, size, t, codes[spot(gram, len(codes))])
+                at, key = split(key, sid[row], np.exp2(often / 8).astype(np.int64))
                 rest = before << _U(24) | (code(size[row], False) << 12 | code(size[row] - place, True)).astype(_U)
                 yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (key, sid[row][at], rest[at])], names=["key", "sid", "rest"])
 
@@ -273,24 +325,19 @@ def _verify(t: float):
     return run
 
 
-def _frequent(own: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """(n-grams in order, sampled texts that have them, the sample's share) of at most FREQUENT of those that occur more
-    than once in about SAMPLE_BYTES of the texts. They only settle the order of the keys, and any order finds all pairs."""
+def table_bits(own: DataFrame) -> int:
+    """Of the table of counts: about a place for each n-gram, as far as it stays within MOST_BITS."""
     whole = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    share = max(1, -(-whole // SAMPLE_BYTES))
-    sample = own.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).mapInArrow(_sampled(n), "gram long, n long")
-    counts = written(sample.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1"), "frequent")
-    least, total = None, 0
-    for r in counts.groupBy(F.least("n", F.lit(1000)).alias("n")).count().orderBy(F.desc("n")).collect():
-        total += r["count"]
-        if total > FREQUENT and least is not None:
-            break
-        least = r["n"]
-    found = counts.where(F.col("n") >= (least or 0)).toArrow()
-    gram, count = (np.asarray(found.column(c).combine_chunks()) for c in ("gram", "n"))
-    gram = gram.view(_U)
-    order = np.argsort(gram)
-    return gram[order], count[order], share
+    return min(max(LEAST_BITS, (whole // 6).bit_length()), MOST_BITS)
+
+
+def counts(tables: DataFrame, bits: int) -> np.ndarray:
+    """The code of the count in each place of the table, from the rows (h, body) of all tasks."""
+    found = tables.groupBy("h").applyInArrow(_added(bits), "part long, codes binary").toArrow()
+    out = np.zeros(1 << bits, np.uint8)
+    for part, codes in zip(found.column("part").to_pylist(), found.column("codes").to_pylist()):
+        out[part << SLICE_BITS :][: len(codes)] = np.frombuffer(codes, np.uint8)
+    return out
 
 
 def _compared(pairs: DataFrame, bodies: DataFrame, judge, schema: str) -> DataFrame:
@@ -325,14 +372,17 @@ def _search(docs: DataFrame, n: int, t: float) -> tuple[DataFrame, DataFrame]:
     n_links) of the sets that have a link or several doc_ids."""
     own = own_columns(docs, {"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")}).where("doc_id is not null")
     own = own.select("doc_id", F.xxhash64("text").alias("h"), "text")
-    signed = written(own.mapInArrow(_signed(n), "doc_id long, h long, sid long, size int, body binary"), "signed")
+    bits = table_bits(own)
+    signed = written(own.mapInArrow(_signed(n, bits), "doc_id long, h long, sid long, size int, body binary"), "signed")
+    held = docs.sparkSession.sparkContext.broadcast(counts(signed.where("size < 0").select("h", "body"), bits))
+    signed = signed.where("size >= 0")
     members = signed.where("size > 0").groupBy("sid", "doc_id").agg(F.min("h").alias("h"), F.max("size").alias("size"))
     groups = members.groupBy("sid").agg(F.min(F.struct("doc_id", "h")).alias("rep"), F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
     groups = written(groups.select("sid", F.col("rep.doc_id").alias("rep"), F.col("rep.h").alias("h"), "n", "size"), "groups")
     rest = signed.where("size > 0").join(groups.select("sid", "rep", F.col("h").alias("rep_h")), "sid").where("doc_id <> rep or h <> rep_h")
     rest = written(rest.select("doc_id", "h").distinct(), "copies")
     keyed = own.join(sized(rest), ["doc_id", "h"], "left_anti").select("doc_id", "h", "text")
-    keyed = keyed.mapInArrow(_keys(n, t, *_frequent(own, n)), "key long, sid long, rest long")
+    keyed = keyed.mapInArrow(_keys(n, t, held), "key long, sid long, rest long")
     met = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_meet(t), "a long, b long")
     met = written(met.distinct(), "candidates")
     sketched = signed.join(groups.select("sid", F.col("rep").alias("doc_id"), "h", "n"), ["sid", "doc_id", "h"]).dropDuplicates(["sid"])

@@ -140,6 +140,25 @@ def test_ngram_join_in_blocks(spark, monkeypatch):
     assert joined(spark.createDataFrame(rows, "doc_id long, text string")) == want and max(n for *_, n in want) > 20
 
 
+def test_ngram_join_counts_all_texts(spark, docs, many_partitions):
+    """The order of the keys comes from the n-grams of every text, also of more texts than a table of one task can count."""
+    rows = [(i, t) for i, t, *_ in corpus() if i is not None] + [(1000 + k, "one line that all of them have") for k in range(300)]
+    own = spark.createDataFrame(rows, "doc_id long, text string").repartition(7).selectExpr("doc_id", "xxhash64(text) as h", "text")
+    bits = ngram_join.table_bits(own)
+    signed = own.mapInArrow(ngram_join._signed(3, bits), "doc_id long, h long, sid long, size int, body binary")
+    got = ngram_join.counts(signed.where("size < 0").select("h", "body"), bits)
+    true = collections.Counter()
+    for _, t in rows:
+        doc, gram = ngram_join.grams(ngram_join.words(pa.array([t], pa.string())), 1, 3)
+        true.update(ngram_join.spot(gram, 1 << bits).tolist())
+    assert {int(k): int(got[k]) for k in np.flatnonzero(got)} == {k: int(np.ceil(8 * np.log2(n + 1))) for k, n in true.items()}
+    assert signed.where("size >= 0").count() == len(rows)
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(70_000), "h": range(70_000), "text": ["same few words"] * 70_000})
+    tables = [b for b in ngram_join._signed(3, 16)(iter([batch])) if b.column("size")[0].as_py() < 0]
+    found = ngram_join._added(16)((pa.scalar(0),), pa.Table.from_batches(tables)).column("codes")[0].as_py()
+    assert len(tables) > 1 and max(found) == int(np.ceil(8 * np.log2(70_001)))
+
+
 def test_substring_dedup(docs, nothing):
     k, places, total = substring_dedup.K, collections.defaultdict(set), {}
     for i, t, *_ in corpus():
