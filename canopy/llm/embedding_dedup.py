@@ -12,8 +12,9 @@ within the threshold of nodes of the shard are answered by brute force too, and
 of all their matches. Matches are verified on the cosine in double precision; what a task connects leaves it as a
 spanning forest, and the forests' union is contracted to components.
 
-Queries are shipped as vectors to where a graph is, each once for each shard; a graph goes to one task for each
-QUERIES of them.
+Queries are shipped as vectors to where a graph is, each once for each shard, and answered QUERIES at a time. A graph is
+shipped in parts of PART_BYTES, and to several tasks only where there are fewer graphs than tasks that can run at once, so
+what is shipped of graphs grows with the vectors and not with vectors times shards.
 
 Defined results: vectors that are null, empty, zero or not finite match nothing; only vectors of the same length are
 compared; rows with the same id and several vectors connect what each of them matches; a null id is left out. Extra
@@ -43,6 +44,10 @@ AUDIT = 128
 RECALL = 0.98
 LANES = 512
 QUERIES = 16384
+VERIFIED = 16384
+PART_BYTES = 4 << 20
+LANES_A_CORE = 4
+STRIDE = 64
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -50,9 +55,27 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
+def nearest(s: np.ndarray, want: int) -> tuple[np.ndarray, np.ndarray]:
+    """(columns, values) of the `want` largest of each row, in no order. They lie in as many strides at most, those of the
+    largest maxima, so only these have to be looked at."""
+    n, strides = s.shape[1], s.shape[1] // STRIDE
+    cols = None
+    if strides > 2 * want:
+        most = s[:, : strides * STRIDE].reshape(len(s), strides, STRIDE).max(axis=2)
+        top = np.argpartition(most, strides - want, axis=1)[:, strides - want :]
+        cols = (top[:, :, None] * STRIDE + np.arange(STRIDE)).reshape(len(s), -1)
+        rest = np.broadcast_to(np.arange(strides * STRIDE, n), (len(s), n - strides * STRIDE))
+        cols = np.concatenate([cols, rest], axis=1)
+        s = np.take_along_axis(s, cols, 1)
+    part = np.argpartition(s, s.shape[1] - want, axis=1)[:, s.shape[1] - want :]
+    return part if cols is None else np.take_along_axis(cols, part, 1), np.take_along_axis(s, part, 1)
+
+
 class Graph:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors
+        with np.errstate(over="ignore"):
+            narrow = vectors.astype(np.float32)
+        self.ids, self.vectors = ids, narrow if (narrow == vectors).all() else vectors
         self.unit = unit(vectors).astype(np.float32)
         u = ((mix(ids.view(np.uint64), 41) >> np.uint64(11)).astype(np.float64) + 1) / 2.0**53
         level = np.floor(-np.log(u) / np.log(LINKS)).astype(np.int64)
@@ -78,12 +101,11 @@ class Graph:
         links = np.tile(nodes[:, None].astype(np.int32), (1, most))
         if want <= 0:
             return links
-        near, sims = np.empty((n, want), np.int64), np.empty((n, want), np.float32)
+        near, sims = np.empty((n, want), np.int32), np.empty((n, want), np.float32)
         for a in range(0, n, 128):
             s = x[a : a + 128] @ x.T
             s[np.arange(len(s)), np.arange(a, a + len(s))] = -9
-            part = np.argpartition(s, n - want, axis=1)[:, n - want :]
-            value = np.take_along_axis(s, part, 1)
+            part, value = nearest(s, want)
             order = np.argsort(-value, axis=1, kind="stable")
             near[a : a + 128], sims[a : a + 128] = np.take_along_axis(part, order, 1), np.take_along_axis(value, order, 1)
         half = max(1, most // 2)
@@ -246,7 +268,10 @@ def matches(graph: Graph, queries: np.ndarray, names: np.ndarray, threshold: flo
     audit = np.argsort(mix(names.view(np.uint64), 43))[:AUDIT]
     beam = audited_beam(graph, q[audit], own[audit], slack)
     i, k = near(graph, q, own, beam, slack)
-    ok = np.einsum("ij,ij->i", exact[i], unit(graph.vectors[k])) >= threshold
+    ok = np.zeros(len(i), bool)
+    for a in range(0, len(i), VERIFIED):
+        cut = slice(a, a + VERIFIED)
+        ok[cut] = np.einsum("ij,ij->i", exact[i[cut]], unit(graph.vectors[k[cut]])) >= threshold
     return i[ok], k[ok], beam
 
 
@@ -254,12 +279,14 @@ def _build(key: tuple, table: pa.Table) -> pa.Table:
     table = table.sort_by("id")
     size = key[0].as_py()
     vectors = np.asarray(table.column("vector").combine_chunks().flatten()).reshape(-1, size)
-    graph = Graph(np.asarray(table.column("id")), vectors)
-    return pa.table({"size": pa.array([size], pa.int32()), "shard": pa.array([key[1].as_py()], pa.int64()), "graph": pa.array([pickle.dumps(graph)], pa.binary())})
+    body = pickle.dumps(Graph(np.asarray(table.column("id")), vectors))
+    parts = [body[a : a + PART_BYTES] for a in range(0, len(body), PART_BYTES)]
+    n = len(parts)
+    return pa.table({"size": pa.array([size] * n, pa.int32()), "shard": pa.array([key[1].as_py()] * n, pa.int64()), "part": pa.array(range(n), pa.int32()), "graph": pa.array(parts, pa.binary())})
 
 
 def _query(threshold: float):
-    """Rows (task, graph, id, vector) in order of tasks, a task's graph first: links between queries and nodes."""
+    """Rows (task, part, graph, id, vector) in order of tasks, the parts of a task's graph first: links between queries and nodes."""
 
     def answered(graph: Graph, ids: list[np.ndarray], vectors: list[np.ndarray]) -> pa.RecordBatch:
         names = np.concatenate(ids)
@@ -269,24 +296,36 @@ def _query(threshold: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph: Graph | None = None
+        parts: list[bytes] = []
         ids: list[np.ndarray] = []
         vectors: list[np.ndarray] = []
+        held = 0
         for batch in batches:
-            heads = np.flatnonzero(np.asarray(batch.column(1).is_valid()))
-            cuts = [0, *heads.tolist(), batch.num_rows]
+            part = np.asarray(batch.column(1).fill_null(-1))
+            # a graph's parts, each alone, and the queries between them
+            cuts = np.unique(np.concatenate([[0], np.flatnonzero(part >= 0), np.flatnonzero(part >= 0) + 1, [len(part)]])).tolist()
             for a, b in zip(cuts, cuts[1:]):
-                if a == b:
+                if part[a] >= 0:
+                    if ids:
+                        yield answered(graph, ids, vectors)
+                    graph, ids, vectors, held = None, [], [], 0
+                    if part[a] == 0:
+                        parts = []
+                    parts.append(batch.column(2)[a].as_py())
                     continue
-                if batch.column(1)[a].is_valid:
-                    if graph is not None and ids:
+                if graph is None:
+                    graph, parts = pickle.loads(b"".join(parts)), []
+                while a < b:
+                    z = min(b, a + QUERIES - held)
+                    rows = batch.slice(a, z - a)
+                    ids.append(np.asarray(rows.column(3)))
+                    vectors.append(np.asarray(rows.column(4).flatten()).reshape(z - a, -1))
+                    held += z - a
+                    a = z
+                    if held == QUERIES:
                         yield answered(graph, ids, vectors)
-                    graph, ids, vectors = pickle.loads(batch.column(1)[a].as_py()), [], []
-                    a += 1
-                if a < b:
-                    part = batch.slice(a, b - a)
-                    ids.append(np.asarray(part.column(2)))
-                    vectors.append(np.asarray(part.column(3).flatten()).reshape(b - a, -1))
-        if graph is not None and ids:
+                        ids, vectors, held = [], [], 0
+        if ids:
             yield answered(graph, ids, vectors)
 
     return run
@@ -300,19 +339,21 @@ def groups(embeddings: DataFrame, threshold: float = THRESHOLD, shard_rows: int
     shards = max(1, -(-distinct.count() // shard_rows))
     size = F.size("vector").alias("size")
     dealt = distinct.select("id", "vector", size, F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("long").alias("shard"))
-    graphs = written(dealt.groupBy("size", "shard").applyInArrow(_build, "size int, shard long, graph binary"), "graphs")
-    # of each length of vectors, as many tasks for each graph as its queries need
-    tasks = distinct.groupBy(size).agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("long").alias("tasks"))
-    known = written(graphs.select("size", "shard").join(sized(written(tasks, "tasks")), "size"), "known")
+    graphs = written(dealt.groupBy("size", "shard").applyInArrow(_build, "size int, shard long, part int, graph binary"), "graphs")
+    # of each length of vectors, as many tasks for each graph as its queries need, but together no more than keep all cores busy
+    one = graphs.where("part = 0").select("size", "shard")
+    lanes = max(1, -(-LANES_A_CORE * embeddings.sparkSession.sparkContext.defaultParallelism // max(1, one.count())))
+    tasks = distinct.groupBy(size).agg(F.least(F.ceil(F.count(F.lit(1)) / QUERIES), F.lit(lanes)).cast("long").alias("tasks"))
+    known = written(one.join(sized(written(tasks, "tasks")), "size"), "known")
     lane = F.pmod(F.xxhash64("id"), F.col("tasks")).alias("lane")
     asked = distinct.select("id", "vector", size).join(sized(known), "size").select(
-        "size", "shard", lane, F.lit(None).cast("binary").alias("graph"), "id", "vector"
+        "size", "shard", lane, F.lit(None).cast("int").alias("part"), F.lit(None).cast("binary").alias("graph"), "id", "vector"
     )
     held = graphs.join(sized(known), ["size", "shard"]).select(
-        "size", "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tasks") - 1)).alias("lane"), "graph", F.lit(None).cast("long").alias("id"), F.lit(None).cast("array<double>").alias("vector")
+        "size", "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tasks") - 1)).alias("lane"), "part", "graph", F.lit(None).cast("long").alias("id"), F.lit(None).cast("array<double>").alias("vector")
     )
-    both = held.unionByName(asked).repartition("size", "shard", "lane").sortWithinPartitions("size", "shard", "lane", F.col("graph").isNull(), "id")
+    both = held.unionByName(asked).repartition("size", "shard", "lane").sortWithinPartitions("size", "shard", "lane", F.col("part").isNull(), "part", "id")
     task = F.concat_ws(":", "size", "shard", "lane").alias("task")
-    links = written(both.select(task, "graph", "id", "vector").mapInArrow(_query(threshold), "a long, b long"), "matches")
+    links = written(both.select(task, "part", "graph", "id", "vector").mapInArrow(_query(threshold), "a long, b long"), "matches")
     links = links.unionByName(distinct.where("size(ids) > 1").select(F.col("id").alias("a"), F.explode("ids").alias("b")))
     return components(links.where("a <> b"), "a", "b").select(F.col("node").alias("vec_id"), "component")

@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -313,6 +314,30 @@ def test_embedding_dedup(spark):
     assert embedding_dedup.groups(df.limit(0)).count() == 0
 
 
+def test_embedding_dedup_keeps_memory_low(spark, monkeypatch):
+    """Matches are verified some at a time, graphs come in parts, and lanes don't grow with the vectors."""
+    rng = np.random.default_rng(6)
+    own = rng.normal(size=64) + 0.05 * rng.normal(size=(1000, 64))
+    g = embedding_dedup.Graph(np.arange(1000), own)
+    tracemalloc.start()
+    i, k, _ = embedding_dedup.matches(g, own[:300], 5000 + np.arange(300))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(i) == 300_000 and most < 100 << 20
+    assert g.vectors.dtype == np.float64 and embedding_dedup.Graph(np.arange(1000), np.float32(own).astype(np.float64)).vectors.dtype == np.float32
+    s = rng.normal(size=(20, 2085)).astype(np.float32)
+    columns, values = embedding_dedup.nearest(s, 8)
+    assert (np.sort(values, axis=1) == np.sort(s, axis=1)[:, -8:]).all() and (np.take_along_axis(s, columns, 1) == values).all()
+    monkeypatch.setattr(embedding_dedup, "QUERIES", 20)
+    monkeypatch.setattr(embedding_dedup, "PART_BYTES", 1000)
+    monkeypatch.setattr(embedding_dedup, "LANES_A_CORE", 1)
+    every = {n: v.tolist() for n, v in enumerate(rng.normal(size=(300, 16)))}
+    every |= {1000 + n: (np.array(every[n]) + 0.05 * rng.normal(size=16)).tolist() for n in range(0, 300, 3)}
+    df = spark.createDataFrame(list(every.items()), "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["component"] for r in embedding_dedup.groups(df, shard_rows=150).collect()}
+    assert got == brute_groups(every, embedding_dedup.THRESHOLD)
+
+
 def test_beams_pass_the_audit_out_of_sample(spark, monkeypatch):
     """In shards far larger than the beam, queries from other shards find what brute force finds, and not by brute force."""
     rng = np.random.default_rng(4)
