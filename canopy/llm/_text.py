@@ -5,7 +5,8 @@ A word is a longest run of ASCII letters, ASCII digits and characters beyond ASC
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -62,6 +63,26 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return bytes_, offs - offs[0]
 
 
+def give_back() -> None:
+    """Returns what is freed to the system: Arrow and the C library keep it otherwise, in each worker of an executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """run, but its worker, which waits for other tasks or goes on with them, gives back what is freed at the end."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
+
+
 @dataclass
 class Words:
     data: np.ndarray  # lower-case bytes of the whole column

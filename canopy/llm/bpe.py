@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from canopy.llm._store import bucketed, own_columns
-from canopy.llm._text import hash_ranges, pieces, raw
+from canopy.llm._text import give_back, hash_ranges, lean, pieces, raw
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -97,6 +97,8 @@ def _split(pattern: str, buckets: int):
                         flat += got
                     lists.append(pa.array(flat, pa.string()))
                 yield _chunk(chunk.column(0), np.array(counts, np.int64), pa.chunked_array(lists, pa.string()), buckets)
+                del lists, flat
+                give_back()
 
     return run
 
@@ -165,7 +167,7 @@ def _encode(held):
                 out = len(a := _pack(np.array(counts, np.uint32))).to_bytes(8, "little") + a + _pack(np.array(ids, np.uint32))
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(i, 1), batch.column(2).slice(i, 1), pa.array([out], pa.binary())], names=["chunk", "codes", "ids"])
 
-    return run
+    return lean(run)
 
 
 def _join(ids: pa.Table, docs: pa.Table) -> pa.Table:
@@ -272,7 +274,9 @@ def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PAT
     decoded = _decoder(_bytes_of(docs, vocabulary), False)
 
     def join(ids: pa.Table, placed: pa.Table) -> pa.Table:
-        return pa.Table.from_batches(decoded(iter(_join(ids, placed).to_batches())))
+        found = pa.Table.from_batches(decoded(iter(_join(ids, placed).to_batches())))
+        give_back()
+        return found
 
     found = _encoded(docs, vocabulary, pattern, join, _schema(False))
     return found.select("doc_id", "n_tokens", "token_ids", "text_md5")

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from canopy.llm._store import components, forest, own_columns, sized, written
-from canopy.llm._text import grams, mix, pieces, words
+from canopy.llm._text import give_back, grams, lean, mix, pieces, words
 
 N = 3
 THRESHOLD = 0.6
@@ -165,7 +165,7 @@ def _signed(n: int, bits: int):
         if most:
             yield _counted(table)
 
-    return run
+    return lean(run)
 
 
 def _added(bits: int):
@@ -195,7 +195,7 @@ def _keys(n: int, t: float, held):
                 rest = before << _U(24) | (code(size[row], False) << 12 | code(size[row] - place, True)).astype(_U)
                 yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (key, sid[row][at], rest[at])], names=["key", "sid", "rest"])
 
-    return run
+    return lean(run)
 
 
 def _meet(t: float):
@@ -215,7 +215,7 @@ def _meet(t: float):
         if held:
             yield from _pairs(np.concatenate(held, axis=1), t)
 
-    return run
+    return lean(run)
 
 
 def _pairs(rows: np.ndarray, t: float) -> Iterator[pa.RecordBatch]:
@@ -257,7 +257,7 @@ def _sets(n: int):
                 sets = [gram[at[i] : at[i + 1]].tobytes() for i in range(part.num_rows)]
                 yield pa.RecordBatch.from_arrays([pa.array(sid.view(np.int64)), pa.array(sets, pa.binary())], names=["sid", "body"])
 
-    return run
+    return lean(run)
 
 
 def _held(pairs: pa.Table, bodies: pa.Table) -> tuple[np.ndarray, ...]:
@@ -285,7 +285,10 @@ def _near(t: float):
                 cut = slice(low, low + step)
                 apart[mine[cut]] = np.bitwise_count(table[x[cut]] ^ table[y[cut]]).sum(axis=1)
         ok = apart <= np.floor((1 - t) / (1 + t) * (size[i] + size[j]) + 1e-9)
-        return pa.table({"a": pa.array(sid[i[ok]]), "b": pa.array(sid[j[ok]])})
+        found = pa.table({"a": pa.array(sid[i[ok]]), "b": pa.array(sid[j[ok]])})
+        del body, i, j
+        give_back()
+        return found
 
     return run
 
@@ -320,7 +323,10 @@ def _verify(t: float):
         top, low_ = forest(i, j)
         root[low_] = top
         some = np.flatnonzero(links)
-        return pa.table({"sid": pa.array(sid[some]), "root": pa.array(sid[root[some]]), "links": pa.array(links[some].astype(np.int64))})
+        found = pa.table({"sid": pa.array(sid[some]), "root": pa.array(sid[root[some]]), "links": pa.array(links[some].astype(np.int64))})
+        del body, gram, mark, i, j
+        give_back()
+        return found
 
     return run
 

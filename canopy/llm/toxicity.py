@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from canopy.llm._store import own_columns
-from canopy.llm._text import pieces, words
+from canopy.llm._text import lean, pieces, words
 
 SAMPLE = 4000
 WINDOW = 256
@@ -311,7 +311,7 @@ def _tagger(model, column: int, names: list[str], keep: bool):
                         [*(part.column(i) for i in range(part.num_columns) if i != column), pa.array(score), pa.array(expected), pa.array(score >= 0.5), spans], names=names
                     )
 
-    return run
+    return lean(run)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from canopy.llm import bpe, embedding_dedup, exact_dedup, lm_score, mixing, ngram_join, resharding, secrets, substring_dedup, toxicity
 from canopy.llm._store import components
-from canopy.llm._text import WORD
+from canopy.llm._text import WORD, lean
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 CLASHES = "key h sid shard winner slot size a bucket __i __d __hash __slot __digest d g i row nth rank begin epoch due_slot own_id own_hash text_md5".split()
@@ -474,6 +474,27 @@ def test_secrets(spark, docs, nothing):
     assert secrets.scan(docs).count() == 0 and secrets.scan(nothing).count() == 0
 
 
+def test_workers_give_back_what_is_freed():
+    """Blocks that are freed below one that stays would not leave the process by themselves."""
+
+    def anonymous():
+        with open("/proc/self/smaps_rollup") as f:
+            return int(re.search(r"\nAnonymous:\s+(\d+)", f.read())[1]) >> 10
+
+    full = []
+
+    def run(batches):
+        held = [bytes(b"x" * 100_000) for _ in range(3000)]
+        stays.append(held[-1])
+        del held
+        full.append(anonymous())
+        yield from batches
+
+    stays = []
+    assert list(lean(run)(iter([1, 2]))) == [1, 2]
+    assert full[0] - anonymous() > 200
+
+
 def planted_keys(rng, kind):
     letters = {"hex": "0123456789abcdef", "HEX": "0123456789ABCDEF", "base36": secrets.DIGITS + secrets.LOW, "base64": secrets.ALPHABETS["base64"]}[kind[:-2]]
     return "".join(rng.choices(letters, k=int(kind[-2:])))
