@@ -8,11 +8,14 @@ adapts to its own text, then counts, mixer (an online Newton step a gate, with t
 KEEP stays each time) and map learn from every bit of it. In a block only the distinct (five bytes, byte) have to be worked
 out; each position takes the cost of its own, so the result is the same as position by position.
 
-Equal texts are scored once. The distinct ones are dealt by hash into shards of about SHARD_BYTES, so all of the corpus is
-gathered into models and no task grows. In a shard the texts form two halves, and each is scored by a model that has
-already learned the other (in blocks of WARM bytes), and also the texts of its own half of which there are several: no text
-is scored by what it taught itself alone, nor by a cold model (unless it is alone in its shard), and a text that occurs
-again is cheap wherever its copies are.
+The model is of the whole corpus. Equal texts are scored once; the distinct ones are dealt by hash into shards of about
+SHARD_BYTES, and every shard into one of FOLDS folds. First each shard's texts are learned (in blocks of WARM bytes). All that
+is learned adds up: counts and map as they are, weights by their curvature; so the sums over folds and over everything are
+exact, in a few tables of fixed size. Then a shard's texts are scored by a model that begins with everything outside of its
+fold and goes on to learn the shard. Texts of which there are several are shards of their own, outside of all folds: no text
+is scored by what it taught itself alone, and one that occurs again is cheap wherever its copies are.
+
+costs() is the same within one shard, in two halves, each scored by a model that has learned the other and what occurs again.
 
 Defined results: null and empty texts have 0 bytes and null bits per byte. Rows that repeat have a row each, with the same
 score. Long texts are scored whole. Texts are told apart by 64 bits of hash and their size. Extra columns are ignored.
@@ -24,15 +27,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canopy.llm._store import own_columns, sized, written
-from canopy.llm._text import raw
+from canopy.llm._store import new_path, own_columns, sized, written
+from canopy.llm._text import lean, raw
 
 ORDERS = 5
-SLOT_BITS = 21
+SLOT_BITS = 22
 SHARD_BYTES = 24 << 20
+FOLDS = 8
 BLOCK = 512 << 10
 WARM = 4 << 20
 RIDGE = 20.0
@@ -40,6 +46,7 @@ KEEP = 0.995
 TRUST = 24.0
 START = (0.15, 0.2, 0.25, 0.3, 0.4)
 _U = np.uint64
+_MOST = 1 << 30  # a slot of more is scaled down when a model begins with it
 _ONES = 32  # a slot counts zeros in its lower half and ones in its upper
 
 
@@ -51,6 +58,31 @@ class Mixer:
         self.steep = np.zeros((8 * ORDERS, ORDERS, ORDERS))
         self.map = np.zeros(256 * 33, _U)
 
+    def sums(self) -> list[np.ndarray]:
+        """What adds up over models: zeros and ones of each order, then map, curvature, weights times curvature, and 1."""
+        split = lambda x, t: np.concatenate([(x & _U(0xFFFFFFFF)).astype(t), (x >> _U(_ONES)).astype(t)])
+        firm = self.steep + RIDGE * np.eye(ORDERS)
+        pull = firm @ self.weight[:, :, None].astype(np.float64)
+        return [*(split(x, np.float32) for x in self.seen), np.concatenate([split(self.map, np.float64), self.steep.ravel(), pull.ravel(), [1.0]])]
+
+    def begin(self, part: int, sums: np.ndarray) -> None:
+        """Takes over part `part` of sums of models; the curvature is their mean, so that the weights still move."""
+
+        def packed(x: np.ndarray) -> np.ndarray:
+            zeros, ones = np.maximum(x, 0).reshape(2, -1)
+            scale = np.minimum(1, _MOST / np.maximum(np.maximum(zeros, ones), 1))
+            return np.rint(zeros * scale).astype(_U) | np.rint(ones * scale).astype(_U) << _U(_ONES)
+
+        if part < ORDERS:
+            self.seen[part] = packed(sums)
+            return
+        counts, steep, pull, runs = np.split(sums, np.cumsum([2 * self.map.size, self.steep.size, self.weight.size]))
+        if runs[0] > 0.5:
+            self.map, steep = packed(counts), steep.reshape(self.steep.shape)
+            firm = steep + runs[0] * RIDGE * np.eye(ORDERS)
+            self.weight = np.linalg.solve(firm, pull.reshape(-1, ORDERS, 1))[:, :, 0].astype(np.float32)
+            self.steep = steep / runs[0]
+
     def slots(self, context: np.ndarray, node: np.ndarray) -> Iterator[np.ndarray]:
         """The place of each predictor; context: five bytes, the last of them lowest."""
         wide = node.astype(_U)
@@ -170,6 +202,15 @@ def blocks(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[tuple[n
         a = z
 
 
+def scored_online(model: Mixer, texts: pa.Array, block: int = BLOCK) -> np.ndarray:
+    """Bits of each text by model, which learns them as it goes."""
+    total = np.zeros(len(texts))
+    for key, count, own, names in blocks(*raw(texts), block):
+        bits = np.bincount(own, np.repeat(model.learn(key, count, True), count))
+        total[names] += bits
+    return total
+
+
 def costs(texts: pa.Array, again: np.ndarray | None = None, block: int = BLOCK, warm: int = WARM, slot_bits: int = SLOT_BITS, first: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(bits, bytes) of each text; again: those of which there are several; the first `first` texts are one half, by
     default about half of the bytes."""
@@ -184,22 +225,17 @@ def costs(texts: pa.Array, again: np.ndarray | None = None, block: int = BLOCK,
         if mine.any():
             for key, count, _, _ in blocks(*raw(texts.filter(pa.array(~mine | again))), warm):
                 model.learn(key, count, False)
-        low = int(np.flatnonzero(mine)[0]) if mine.any() else 0
-        for key, count, own, names in blocks(*raw(texts.filter(pa.array(mine))), block):
-            bits = np.bincount(own, np.repeat(model.learn(key, count, True), count))
-            total[low + names] += bits
+        total[mine] = scored_online(model, texts.filter(pa.array(mine)), block)
     return total, np.diff(offsets)
 
 
-def _shards(block: int, warm: int, slot_bits: int):
-    """Rows (shard, h, size, again, doc_id, text) in order of shards, whole shards each."""
+def _whole(work):
+    """work on the rows (shard, fold, ..., text) of each shard; they come in order of shards, whole shards each."""
 
-    def scored(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(rows).combine_chunks()
-        rows.clear()
-        bits, _ = costs(table.column("text").chunk(0), np.asarray(table.column("again")), block, warm, slot_bits)
-        table = table.select(["doc_id", "h", "size", "again"]).append_column("bits", pa.array(np.round(bits, 3)))
-        return table.to_batches()[0]
+    def gathered(held: list[pa.RecordBatch]) -> pa.Table:
+        table = pa.Table.from_batches(held).combine_chunks()
+        held.clear()
+        return table
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -210,12 +246,85 @@ def _shards(block: int, warm: int, slot_bits: int):
                 if a == b:
                     continue
                 if held and held[0].column(0)[0].as_py() != int(shard[a]):
-                    yield scored(held)
+                    yield from work(gathered(held))
                 held.append(batch.slice(a, b - a))
         if held:
-            yield scored(held)
+            yield from work(gathered(held))
+
+    return lean(run)
+
+
+def _body(sums: np.ndarray) -> bytes:
+    return pa.compress(sums.tobytes(), "zstd", asbytes=True)
+
+
+def _sums(part: int, length: int, body: bytes) -> np.ndarray:
+    kind = np.float32 if part < ORDERS else np.float64
+    return np.frombuffer(pa.decompress(body, length * np.dtype(kind).itemsize, "zstd", asbytes=True), kind)
+
+
+SUMS = "fold int, shard long, part int, length int, body binary"
+
+
+def _rows(fold: int, shard: int, part: int, sums: np.ndarray) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((fold, shard, part, len(sums), _body(sums)), kinds)], names=["fold", "shard", "part", "length", "body"])
+
+
+def _learned(warm: int, slot_bits: int):
+    def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        model = Mixer(slot_bits)
+        for key, count, _, _ in blocks(*raw(table.column("text").chunk(0)), warm):
+            model.learn(key, count, False)
+        shard, fold = table.column("shard")[0].as_py(), table.column("fold")[0].as_py()
+        for part, sums in enumerate(model.sums()):
+            yield _rows(fold, shard, part, sums)
+
+    return _whole(work)
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of each (fold, part); rows come in order of these and of shards."""
+    now, total = None, None
+    for batch in batches:
+        for i in range(batch.num_rows):
+            fold, _, part, length, body = (batch.column(k)[i].as_py() for k in range(5))
+            if now != (fold, part):
+                if now is not None:
+                    yield _rows(now[0], 0, now[1], total)
+                now, total = (fold, part), np.zeros(length, np.float32 if part < ORDERS else np.float64)
+            total += _sums(part, length, body)
+    if now is not None:
+        yield _rows(now[0], 0, now[1], total)
+
+
+def _add_up(rows: DataFrame, path: str) -> None:
+    """Writes the sums of each fold into a folder of its own."""
+    inner = rows.repartition("fold", "part").sortWithinPartitions("fold", "part", "shard").mapInArrow(lean(_added), SUMS)
+    inner.write.option("compression", "none").partitionBy("fold").parquet(path)
+
+
+def _read(path: str, fold: int) -> dict[int, tuple[int, bytes]]:
+    """(length, body) of the sums by part; nothing if the fold is empty."""
+    files, root = pyarrow.fs.FileSystem.from_uri(f"{path}/fold={fold}")
+    if files.get_file_info(root).type == pyarrow.fs.FileType.NotFound:
+        return {}
+    table = pq.read_table(root, columns=["part", "length", "body"], filesystem=files, partitioning=None)
+    return {r["part"]: (r["length"], r["body"]) for r in table.to_pylist()}
+
+
+def _scored(path: str, block: int, slot_bits: int):
+    def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        model, fold = Mixer(slot_bits), table.column("fold")[0].as_py()
+        every, own = _read(f"{path}-all", -1), _read(path, fold) if fold < FOLDS else {}
+        for part, x in every.items():
+            model.begin(part, _sums(part, *x) - _sums(part, *own[part]) if own else _sums(part, *x))
+        del every, own
+        bits = scored_online(model, table.column("text").chunk(0), block)
+        table = table.select(["doc_id", "h", "size", "again"]).append_column("bits", pa.array(np.round(bits, 3)))
+        yield from table.to_batches()
 
-    return run
+    return _whole(work)
 
 
 def score(docs: DataFrame, shard_bytes: int = SHARD_BYTES, block: int = BLOCK, warm: int = WARM, slot_bits: int = SLOT_BITS) -> DataFrame:
@@ -227,13 +336,20 @@ def score(docs: DataFrame, shard_bytes: int = SHARD_BYTES, block: int = BLOCK, w
     copies = written(full.groupBy(*name).count().where("count > 1").select(*name), "copies")
     once = full.join(sized(copies), name, "left_anti").withColumn("again", F.lit(False))
     many = full.join(sized(copies), name, "left_semi").dropDuplicates(name).withColumn("again", F.lit(True))
-    whole = own.agg(F.sum("size")).first()[0] or 0
-    shards = max(1, -(-whole // shard_bytes))
+    whole, several = own.agg(F.sum("size")).first()[0] or 0, copies.agg(F.sum("size")).first()[0] or 0
+    shards, more = max(FOLDS, -(-whole // shard_bytes)), max(1, -(-several // shard_bytes))
     # shards are few and equally full: each has a partition of its own as far as there are not too many of them
-    parts = min(shards, 10 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = once.unionByName(many).select(F.pmod(F.xxhash64(*name), F.lit(shards)).alias("shard"), *name, "again", "doc_id", "text")
+    parts = min(shards + more, 10 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    hashed = F.xxhash64(*name)
+    shard = F.when(F.col("again"), shards + F.pmod(hashed, F.lit(more))).otherwise(F.pmod(hashed, F.lit(shards))).alias("shard")
+    fold = F.when(F.col("again"), FOLDS).otherwise(F.pmod(F.pmod(hashed, F.lit(shards)), F.lit(FOLDS))).cast("int").alias("fold")
+    dealt = once.unionByName(many).select(shard, fold, *name, "again", "doc_id", "text")
     dealt = dealt.repartitionById(parts, F.pmod("shard", F.lit(parts)).cast("int")).sortWithinPartitions("shard", *name)
-    scored = written(dealt.mapInArrow(_shards(block, warm, slot_bits), "doc_id long, h long, size long, again boolean, bits double"), "scored")
+    models = new_path(spark, "models")
+    _add_up(dealt.mapInArrow(_learned(warm, slot_bits), SUMS), models)
+    folds = spark.read.schema(SUMS).parquet(models)
+    _add_up(folds.select(F.lit(-1).alias("fold"), F.col("fold").cast("long").alias("shard"), "part", "length", "body"), f"{models}-all")
+    scored = written(dealt.mapInArrow(_scored(models, block, slot_bits), "doc_id long, h long, size long, again boolean, bits double"), "scored")
     copied = full.join(sized(copies), name, "left_semi").select("doc_id", *name).join(scored.where("again").select(*name, "bits"), name)
     out = scored.where("not again").select("doc_id", "size", "bits").unionByName(copied.select("doc_id", "size", "bits"))
     out = out.unionByName(own.where("size = 0").select("doc_id", "size", F.lit(0.0).alias("bits")))

@@ -622,3 +622,37 @@ def test_least_cost_flow():
         )
         assert [sum(r) for r in flow] == supply and all(sum(c) <= m for c, m in zip(zip(*flow), room))
         assert sum(f * c for r, k in zip(flow, cost) for f, c in zip(r, k)) == best
+
+
+def test_lm_score_learns_from_the_whole_corpus(spark):
+    """What is said in any one shard is known in all of them, so rates don't depend on how many there are."""
+    rng = random.Random(12)
+    noise = "".join(chr(rng.randint(33, 126)) for _ in range(400))
+    rows = [(i, prose(rng, 400)) for i in range(60)] + [(100, noise + " one"), (101, noise + " two")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    rate = [{r["doc_id"]: r["bits_per_byte"] for r in lm_score.score(df, slot_bits=16, shard_bytes=n).collect()} for n in (1_500, 6_000)]
+    for r in rate:
+        assert max(r[100], r[101]) < 0.6 * 6.5  # random symbols have 6.55 bits
+        assert sum(r[i] for i in range(60)) / 60 < 2
+    assert sum(abs(rate[0][i] - rate[1][i]) for i in range(60)) / 60 < 0.1
+
+
+def test_lm_score_sums_of_models():
+    rng = random.Random(13)
+    models = [lm_score.Mixer(12) for _ in range(2)]
+    texts = [pa.array([prose(rng, 200)]) for _ in range(2)]
+    for m, t in zip(models, texts):
+        for key, count, *_ in lm_score.blocks(*lm_score.raw(t), 500):
+            m.learn(key, count, False)
+    got = lm_score.Mixer(12)
+    for part, (x, y) in enumerate(zip(*(m.sums() for m in models))):
+        got.begin(part, x + y)
+    assert all((g == x + y).all() for g, x, y in zip([*got.seen, got.map], [*models[0].seen, models[0].map], [*models[1].seen, models[1].map]))
+    assert (np.minimum(*(m.weight for m in models)) - 1 <= got.weight).all() and got.steep == pytest.approx((models[0].steep + models[1].steep) / 2)
+    one = lm_score.Mixer(12)
+    for part, x in enumerate(models[0].sums()):
+        one.begin(part, x)
+    assert one.weight == pytest.approx(models[0].weight, abs=1e-4)
+    big = np.full(2 << 12, 2.0**33, np.float32)
+    one.begin(2, big)
+    assert (one.seen[2] == (lm_score._MOST | lm_score._MOST << 32)).all()
