@@ -1,10 +1,12 @@
 """Toxic spans by a linear-chain conditional random field with two labels.
 
-Training. At most SAMPLE labelled documents (those of the least hash of doc_id) are read, whole, as chains of WINDOW
-words. The labels are of whole documents; tokens get theirs by a test of each word: a word is an offender if it occurs in
-more toxic documents than chance allows (Chernoff bound of the binomial tail, Benjamini-Hochberg at FDR), and an offender
-in a toxic document is labelled 1, every other token 0. The field has a weight for each word of the sample, one for each
-length, a bias and the transitions, and all of them are fitted by Adam on the exact gradient from forward-backward.
+Training. All labelled documents are read, whole, as chains of WINDOW words. The labels are of whole documents; tokens get
+theirs by a test of each word: a word is an offender if more of its documents are toxic than a share of one half (or that of all
+documents, if larger) allows (Chernoff bound of the binomial tail, Benjamini-Hochberg at FDR), and an offender in a toxic document is labelled 1, every other token 0. The
+documents of each word are counted over all of them; as the test depends only on the two counts, the driver needs only how
+many words have which. The field has a weight for each offender (other words are never labelled 1 and share the bias), one
+for each length, a bias and the transitions, and all of them are fitted by Adam on the exact gradient from forward-backward
+over all chains: the tasks sum it, so the driver holds a few numbers an offender.
 
 Scoring. All words of all texts pass forward-backward in one sweep over the documents of a batch. Chains are swept in
 segments of SEGMENT words side by side, so a very long text takes no more steps than others: what a segment makes of a
@@ -13,7 +15,7 @@ offending spans, with offsets in characters (end excluded). A document is toxic
 
 Defined results: null, empty and wordless texts have score 0 and no spans. Labels that are null are left out; of
 several labels of a doc_id the largest counts; doc_ids that are null, repeated or without a label are scored like
-others. Without any significant word nothing is toxic.
+others. Each row of a labelled doc_id counts as a document. Without any significant word nothing is toxic.
 """
 
 from __future__ import annotations
@@ -27,10 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canopy.llm._store import own_columns
+from canopy.llm._store import own_columns, sized, written
 from canopy.llm._text import lean, pieces, words
 
-SAMPLE = 4000
 WINDOW = 256
 SEGMENT = 512
 FDR = 0.01
@@ -38,6 +39,7 @@ STEPS, RATE, L2, L2_LENGTH = 80, 0.4, 1e-6, 0.05
 LENGTHS = 16
 GROUP = 4 << 20
 GROUP_TOKENS = 1 << 18
+HELD = 1 << 21  # so many tokens of chains the driver sums itself, in place of a job for each step
 _U = np.uint64
 
 SPANS = "array<struct<start:int,end:int,p:double>>"
@@ -160,107 +162,210 @@ class Model:
         return w + self.length[np.minimum(size, LENGTHS - 1)] + self.bias
 
 
-def offenders(doc: np.ndarray, word: np.ndarray, toxic: np.ndarray, words_: int) -> np.ndarray:
-    """Whether each word is in significantly many toxic documents; (doc, word) distinct."""
-    hits = np.bincount(word, weights=toxic[doc], minlength=words_)
-    n = np.bincount(word, minlength=words_)
-    q = toxic.mean() if len(toxic) else 0.0
+def cutoff(n: np.ndarray, hits: np.ndarray, words_: np.ndarray, q: float) -> np.ndarray:
+    """Whether words in n documents, of which hits are toxic, are offenders; words_: how many such words there are, q: the
+    share of toxic documents."""
+    p = np.ones(len(n))
     if not 0 < q < 1:
-        return np.zeros(words_, bool)
-    share = hits / np.maximum(n, 1)
-    p = np.ones(words_)
-    up = share > max(q, 0.5)
+        return np.zeros(len(n), bool)
+    # against half, not only q: with many documents a share just above q is significant too, and clean ones would go
+    share, q = hits / np.maximum(n, 1), max(q, 0.5)
+    up = share > q
     s = np.clip(share[up], 1e-12, 1 - 1e-12)
     p[up] = np.exp(-n[up] * (s * np.log(s / q) + (1 - s) * np.log((1 - s) / (1 - q))))
     order = np.argsort(p, kind="stable")
-    ok = np.flatnonzero(p[order] <= FDR * (np.arange(words_) + 1) / words_)
-    out = np.zeros(words_, bool)
-    if len(ok):
-        out[order[: ok[-1] + 1]] = True
-    return out & up
-
-
-def fit(h: np.ndarray, size: np.ndarray, doc: np.ndarray, seq_start: np.ndarray, seq_len: np.ndarray, toxic: np.ndarray) -> Model:
-    """h, size, doc: hash, length and document of each token; toxic: of each document."""
-    known, word = np.unique(h, return_inverse=True)
-    word = word.astype(np.int32)
-    pair = np.unique(doc.astype(np.int64) * max(1, len(known)) + word)
-    bad = offenders(pair // max(1, len(known)), pair % max(1, len(known)), toxic.astype(float), len(known))
-    y = bad[word] & (toxic[doc] > 0)
-    w, ln, trans = np.zeros(len(known)), np.zeros(LENGTHS), np.zeros((2, 2))
-    bias = math.log((y.sum() + 0.5) / (len(y) - y.sum() + 100.0)) if len(y) else -10.0
-    if y.any():
-        inner = np.ones(len(h), bool)
-        inner[seq_start + seq_len - 1] = False
-        inner = np.flatnonzero(inner)
-        seen = np.array([[((y[inner] == a) & (y[inner + 1] == b)).sum() for b in (0, 1)] for a in (0, 1)], dtype=float)
-        # at first log odds over independence: what the labels of neighbours say beyond their rates
-        rate = y.mean()
-        trans = np.log((seen + 1.0) / (seen.sum(1, keepdims=True) + 2.0) / np.array([1 - rate, rate]))
-        size = np.minimum(size, LENGTHS - 1)
-        params = [w, ln, np.array([bias]), trans]
-        first = [np.zeros_like(p) for p in params]
-        second = [np.zeros_like(p) for p in params]
-        count = max(1, int(y.sum()))
-        # some chains at a time, so that the gradient needs little memory
-        group = np.cumsum(seq_len) // GROUP_TOKENS
-        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(seq_len)]
-        for step in range(1, STEPS + 1):
-            grads = [L2 * params[0], L2_LENGTH * params[1], np.zeros(1), L2_LENGTH * params[3]]
-            for a, b in zip(cuts, cuts[1:]):
-                low, high = int(seq_start[a]), int(seq_start[b - 1] + seq_len[b - 1])
-                own, long = word[low:high], size[low:high]
-                diff, moves = gradient(params[0][own] + params[1][long] + params[2][0], seq_start[a:b] - low, seq_len[a:b], params[3], y[low:high])
-                diff /= count
-                grads[0] += np.bincount(own, diff, len(known))
-                grads[1] += np.bincount(long, diff, LENGTHS)
-                grads[2] += diff.sum()
-                grads[3] += moves / count
-            for i, g in enumerate(grads):
-                first[i] = 0.9 * first[i] + 0.1 * g
-                second[i] = 0.99 * second[i] + 0.01 * g * g
-                params[i] = params[i] - RATE * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.99**step)) + 1e-6)
-        w, ln, bias, trans = params[0], params[1], float(params[2][0]), params[3]
-    else:
-        bias = -20.0
-    return Model.of(known, w, ln, bias, trans)
+    rank = np.cumsum(words_[order])
+    ok = np.flatnonzero(p[order] <= FDR * rank / max(1, rank[-1] if len(rank) else 0))
+    return up & (p <= p[order[ok[-1]]]) if len(ok) else np.zeros(len(n), bool)
 
 
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(hash, documents, toxic ones, length) of each word of some rows (text, toxic); a null hash: rows with words."""
     for batch in batches:
-        for part in pieces(batch, 1):
-            w = words(part.column(1))
-            b = w.bounds(part.num_rows)
-            out: list[tuple[int, bytes, bytes]] = []
-            for i in range(part.num_rows):
-                a, z = int(b[i]), int(b[i + 1])
-                for s in range(a, z, WINDOW):
-                    e = min(z, s + WINDOW)
-                    out.append((i, w.hash[s:e].tobytes(), np.minimum(w.end[s:e] - w.start[s:e], 255).astype(np.uint8).tobytes()))
-            rows = pa.array([o[0] for o in out], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(rows), part.column(2).take(rows), pa.array([o[1] for o in out], pa.binary()), pa.array([o[2] for o in out], pa.binary())],
-                names=["doc_id", "toxic", "hashes", "sizes"],
-            )
-
-
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+        for part in pieces(batch, 0):
+            w = words(part.column(0))
+            toxic = np.asarray(part.column(1), dtype=np.int64) > 0
+            order = np.lexsort((w.doc, w.hash))
+            h, doc, size = w.hash[order], w.doc[order], (w.end - w.start)[order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+            h, doc, size = h[new], doc[new], size[new]
+            at = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+            n = np.diff(np.concatenate([at, [len(h)]]))
+            hits = np.add.reduceat(toxic[doc].astype(np.int64), at) if len(at) else n
+            some = np.unique(w.doc)
+            columns = [pa.array([*h[at].view(np.int64).tolist(), None], pa.int64())]
+            columns += [pa.array(np.concatenate([x, [y]]).astype(np.int64)) for x, y in ((n, len(some)), (hits, toxic[some].sum()), (size[at], 0))]
+            yield pa.RecordBatch.from_arrays(columns, names=["h", "n", "hits", "size"])
+
+
+@dataclass
+class Chains:
+    """Chains side by side, the longest first: of each step in turn the classes of the tokens of those that go on."""
+
+    ids: np.ndarray
+    active: np.ndarray  # chains that have a token at each step
+
+    @classmethod
+    def of(cls, ids: np.ndarray, length: np.ndarray) -> Chains:
+        order = np.argsort(-length, kind="stable")
+        start = (np.cumsum(length) - length)[order]
+        active = np.searchsorted(-length[order], -np.arange(1, int(length.max()) + 1), side="right")
+        return cls(np.concatenate([ids[start[:n] + t] for t, n in enumerate(active.tolist())]), active)
+
+    def inner(self) -> np.ndarray:
+        """The tokens that have a token before them; it lies active[step before] places earlier."""
+        return np.arange(self.active[0], len(self.ids))
+
+    def before(self) -> np.ndarray:
+        return self.inner() - np.repeat(self.active[:-1], self.active[1:])
+
+
+def expected(chains: Chains, e: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Expected tokens of label 1 by class, and pairs of labels; e: scores by class. Messages are odds of label 1."""
+    m, x = np.exp(trans), np.exp(np.clip(e, -60, 60)).take(chains.ids)
+    ahead, back = np.empty(len(x)), np.ones(len(x))
+    sizes = chains.active.tolist()
+    ends = np.cumsum(chains.active).tolist()
+    ahead[: ends[0]] = x[: ends[0]]
+    for t in range(1, len(sizes)):
+        n, low = sizes[t], ends[t - 1]
+        a = ahead[low - sizes[t - 1] : low - sizes[t - 1] + n]
+        ahead[low : low + n] = x[low : low + n] * (m[0, 1] + m[1, 1] * a) / (m[0, 0] + m[1, 0] * a)
+    for t in range(len(sizes) - 1, 0, -1):
+        n, low = sizes[t], ends[t - 1]
+        x[low : low + n] *= back[low : low + n]
+        b = x[low : low + n]
+        back[low - sizes[t - 1] : low - sizes[t - 1] + n] = (m[1, 0] + m[1, 1] * b) / (m[0, 0] + m[0, 1] * b)
+    top = ahead * back
+    one, two = ahead.take(chains.before()), x[sizes[0] :]
+    pair = [np.full(len(two), m[0, 0]), m[0, 1] * two, m[1, 0] * one, m[1, 1] * one * two]
+    whole = sum(pair)
+    return np.bincount(chains.ids, top / (1 + top), len(e)), np.array([(p / whole).sum() for p in pair]).reshape(2, 2)
+
+
+def _chains(known: np.ndarray):
+    """Rows (text, toxic) as (ids, active, tokens of label 1 by class, pairs of labels) of many chains each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = LENGTHS + len(known)
+
+        def row(ids: list[np.ndarray], length: list[int], toxic: list[bool]) -> pa.RecordBatch:
+            size = np.array(length)
+            c = Chains.of(np.concatenate(ids), size)
+            bad = np.array(toxic)[np.argsort(-size, kind="stable")]
+            y = (c.ids >= LENGTHS) & np.concatenate([bad[:n] for n in c.active.tolist()])
+            seen = np.bincount(2 * y[c.before()].astype(np.int64) + y[c.inner()], minlength=4)
+            counts = np.concatenate([np.bincount(c.ids, y, classes), seen, [len(y)]])
+            return pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (c.ids.astype(np.int32), c.active.astype(np.int32), counts.astype(np.float64))], names=["ids", "active", "observed"])
+
+        ids, length, toxic = [], [], []
+        for batch in batches:
+            for part in pieces(batch, 0):
+                w = words(part.column(0))
+                at = np.minimum(np.searchsorted(known, w.hash), max(0, len(known) - 1))
+                own = np.minimum(w.end - w.start, LENGTHS - 1)
+                if len(known):
+                    own = np.where(known[at] == w.hash, LENGTHS + at, own)
+                b, bad = w.bounds(part.num_rows).tolist(), np.asarray(part.column(1)) > 0
+                for i, (a, z) in enumerate(zip(b, b[1:])):
+                    for s in range(a, z, WINDOW):
+                        ids.append(own[s : min(z, s + WINDOW)])
+                        length.append(len(ids[-1]))
+                        toxic.append(bool(bad[i]))
+                    if WINDOW * len(ids) >= GROUP_TOKENS:
+                        yield row(ids, length, toxic)
+                        ids, length, toxic = [], [], []
+        if ids:
+            yield row(ids, length, toxic)
+
+    return lean(run)
+
+
+def _summed(of):
+    """One row with the sum of what `of` makes of each row of chains."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                x = of(batch, i)
+                total = x if total is None else total + x
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+    return run
+
+
+def _observed(batch: pa.RecordBatch, i: int) -> np.ndarray:
+    return np.frombuffer(batch.column(2)[i].as_py())
+
+
+def _expected(e: np.ndarray, trans: np.ndarray):
+    def of(batch: pa.RecordBatch, i: int) -> np.ndarray:
+        c = Chains(*(np.frombuffer(batch.column(k)[i].as_py(), np.int32) for k in (0, 1)))
+        by_class, pairs = expected(c, e, trans)
+        return np.concatenate([by_class, pairs.ravel()])
+
+    return of
+
+
+def fit(chains: DataFrame, known: np.ndarray, sizes: np.ndarray) -> Model:
+    """known, sizes: hash and length of each offender, by class after those of lengths."""
+    held: list[pa.RecordBatch] = []
+
+    def add_up(of) -> np.ndarray:
+        if held:
+            rows = [x.column(0)[0].as_py() for x in _summed(of)(iter(held))]
+        else:
+            rows = [r["sums"] for r in chains.mapInArrow(_summed(of), "sums binary").collect()]
+        return sum((np.frombuffer(r) for r in rows), np.zeros(0) if not rows else 0.0)
+
+    w, ln, trans, bias = np.zeros(len(known)), np.zeros(LENGTHS), np.zeros((2, 2)), -20.0
+    found = add_up(_observed)
+    ones, seen, tokens = found[:-5], found[-5:-1].reshape(-1, 2), found[-1] if len(found) else 0
+    if not ones.any():
+        return Model.of(known, w, ln, bias, trans)
+    if tokens <= HELD:
+        held = chains.toArrow().to_batches()
+    # at first log odds over independence: what the labels of neighbours say beyond their rates
+    rate = ones.sum() / tokens
+    trans = np.log((seen + 1.0) / (seen.sum(1, keepdims=True) + 2.0) / np.array([1 - rate, rate]))
+    long = np.concatenate([np.arange(LENGTHS), np.minimum(sizes, LENGTHS - 1)]).astype(np.int64)
+    params = [w, ln, np.array([math.log((ones.sum() + 0.5) / (tokens - ones.sum() + 100.0))]), trans]
+    first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
+    count = max(1, int(ones.sum()))
+    for step in range(1, STEPS + 1):
+        e = np.concatenate([np.zeros(LENGTHS), params[0]]) + params[1][long] + params[2][0]
+        got = add_up(_expected(e, params[3]))
+        diff, moves = (got[:-4] - ones) / count, (got[-4:].reshape(2, 2) - seen) / count
+        grads = [L2 * params[0] + diff[LENGTHS:], L2_LENGTH * params[1] + np.bincount(long, diff, LENGTHS), np.array([diff.sum()]), L2_LENGTH * params[3] + moves]
+        for i, g in enumerate(grads):
+            first[i] = 0.9 * first[i] + 0.1 * g
+            second[i] = 0.99 * second[i] + 0.01 * g * g
+            params[i] = params[i] - RATE * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.99**step)) + 1e-6)
+    return Model.of(known, params[0], params[1], float(params[2][0]), params[3])
+
+
+def train(docs: DataFrame, labels: DataFrame) -> Model:
     lab = own_columns(labels, {"__i": F.col("doc_id").cast("long"), "toxic": F.col("toxic").cast("int")}).where("__i is not null and toxic is not null")
-    lab = lab.groupBy("__i").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("__i"), "__i").limit(sample)
+    lab = sized(written(lab.groupBy("__i").agg(F.max("toxic").alias("toxic")), "labels"))
     own = own_columns(docs, {"doc_id": F.col("doc_id").cast("long"), "text": "text"})
-    taken = own.join(F.broadcast(lab), F.col("doc_id") == F.col("__i")).select("doc_id", "text", "toxic")
-    got = taken.mapInArrow(_hashed, "doc_id long, toxic int, hashes binary, sizes binary").toArrow().sort_by([("doc_id", "ascending"), ("hashes", "ascending")])
-    ids = np.asarray(got["doc_id"].to_numpy(), dtype=np.int64)
-    seqs = [np.frombuffer(x, _U) for x in got["hashes"].to_pylist()]
-    length = np.array([len(s) for s in seqs], dtype=np.int64)
-    _, d = np.unique(ids, return_inverse=True)
-    toxic = np.zeros(d.max() + 1 if len(d) else 0, np.int64)
-    toxic[d] = np.asarray(got["toxic"].to_numpy(), dtype=np.int64)
-    h = np.concatenate(seqs) if seqs else np.zeros(0, _U)
-    size = np.frombuffer(b"".join(got["sizes"].to_pylist()), np.uint8)
-    del got, seqs
-    start = np.concatenate([[0], np.cumsum(length)])[:-1]
-    return fit(h, size, np.repeat(d, length), start, length, toxic)
+    taken = own.join(lab, F.col("doc_id") == F.col("__i")).select("text", "toxic")
+    counts = taken.mapInArrow(lean(_word_counts), "h long, n long, hits long, size long")
+    counts = written(counts.groupBy("h").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"), F.max("size").alias("size")), "words")
+    rows = counts.where("h is null").first()
+    kinds = counts.where("h is not null").groupBy("n", "hits").count().toArrow()
+    n, hits, number = (np.asarray(kinds[c].to_numpy(), dtype=np.int64) for c in ("n", "hits", "count"))
+    bad = cutoff(n, hits, number, rows["hits"] / rows["n"] if rows and rows["n"] else 0.0)
+    known, sizes = np.zeros(0, _U), np.zeros(0, np.int64)
+    if bad.any():
+        kept = docs.sparkSession.createDataFrame(list(zip(n[bad].tolist(), hits[bad].tolist())), "n long, hits long")
+        found = counts.join(F.broadcast(kept), ["n", "hits"]).where("h is not null").select("h", "size").toArrow()
+        known, sizes = np.asarray(found["h"].to_numpy(), dtype=np.int64).view(_U), np.asarray(found["size"].to_numpy(), dtype=np.int64)
+        order = np.argsort(known)
+        known, sizes = known[order], sizes[order]
+    return fit(written(taken.mapInArrow(_chains(known), "ids binary, active binary, observed binary"), "chains"), known, sizes)
 
 
 def tag(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, pa.Array]:

@@ -1,8 +1,8 @@
 """A corpus pipeline: toxic documents go, then repeats, then near copies; sources are mixed; the rest becomes token ids.
 
 Each stage takes (spark, docs, sf_dir) and gives a DataFrame, which is written as Parquet and read again as docs of the
-next. All but the last give the columns of documents. The classifier of the first stage is fitted on a bounded sample of the
-labelled documents (canopy.llm.toxicity.SAMPLE); everything else covers all rows of its stage.
+next. All but the last give the columns of documents. The classifier of the first stage is fitted on all
+labelled documents, and every stage covers all of its rows.
 
 Mixing gives a document once for each epoch of its source, so from there on rows may repeat. Encoding a repeat anew
 costs nothing but its positions.

@@ -656,3 +656,33 @@ def test_lm_score_sums_of_models():
     big = np.full(2 << 12, 2.0**33, np.float32)
     one.begin(2, big)
     assert (one.seen[2] == (lm_score._MOST | lm_score._MOST << 32)).all()
+
+
+def test_toxicity_learns_from_all_labels(spark, monkeypatch):
+    """Offenders of a few documents only are found among thousands of labelled ones, whoever sums the gradient."""
+    rng = random.Random(21)
+    ids = spark.range(4300).withColumn("at", F.xxhash64("id")).orderBy("at", "id").collect()
+    last = {r["id"] for r in ids[4000:4060]}  # never among the first 4000 by hash of doc_id
+    rows = [(i, " ".join(prose(rng, 12).split() + ["grubvile"] * (i in last)), "en", "s", 1) for i in range(4300)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    labels = spark.createDataFrame([(i, 1, int(i in last)) for i in range(4300)], "doc_id long, quality int, toxic int")
+    model = toxicity.train(df, labels)
+    got = {r["doc_id"] for r in toxicity.score(df, model).where("toxic").collect()}
+    assert got == last
+    monkeypatch.setattr(toxicity, "HELD", 0)
+    monkeypatch.setattr(toxicity, "STEPS", 3)
+    apart = toxicity.train(df, labels)
+    monkeypatch.setattr(toxicity, "HELD", 1 << 30)
+    one = toxicity.train(df, labels)
+    assert apart.weight == pytest.approx(one.weight, rel=1e-9) and apart.trans == pytest.approx(one.trans, rel=1e-9)
+
+
+def test_expected_labels_are_those_of_the_gradient():
+    rng = np.random.default_rng(5)
+    length = np.array([3, 1, 7, 5])
+    ids, trans, e = rng.integers(0, 6, 16), rng.normal(size=(2, 2)), rng.normal(size=6)
+    by_class, pairs = toxicity.expected(toxicity.Chains.of(ids, length), e, trans)
+    none = np.zeros(16, bool)
+    by_token, by_pair = toxicity.gradient(e[ids], np.cumsum(length) - length, length, trans, none)
+    assert by_class == pytest.approx(np.bincount(ids, by_token, 6))
+    assert pairs == pytest.approx(by_pair + np.array([[12, 0], [0, 0]]))
