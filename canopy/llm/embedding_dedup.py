@@ -5,8 +5,10 @@ has layers of geometrically falling size; a node is linked to diverse near nodes
 it is nearer to the node than to all taken before; places that are left go to the nearest others) and links go both
 ways. As a shard is of bounded size, candidates are found by matrix products rather than by inserting nodes one by one.
 
-Every vector is a query to the graph of every shard: descent through the upper layers, then a beam search below, for
-many queries at a time; a query that is a node of the graph itself begins at that node. A query whose beam is full of matches is asked again with a beam of twice the width, so there is
+The matrix products that give a node its candidates also give its matches in its own shard, exactly and without a beam;
+where all candidates match, the row of products is looked at whole. So a vector is a query only to the graphs of the other
+shards: descent through the upper layers, then a beam search below, for
+many queries at a time. A query whose beam is full of matches is asked again with a beam of twice the width, so there is
 no cap on partners. For each task and shard an audit comes first: AUDIT of the queries and AUDIT vectors planted just
 within the threshold of nodes of the shard are answered by brute force too, and the beam is doubled until it finds RECALL
 of all their matches. Matches are verified on the cosine in double precision; what a task connects leaves it as a
@@ -72,7 +74,9 @@ def nearest(s: np.ndarray, want: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Graph:
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, least: float | None = None):
+        """least: what nodes that are at least so similar connect is gathered in `close`, as forests."""
+        self.least, self.close = least, []
         with np.errstate(over="ignore"):
             narrow = vectors.astype(np.float32)
         self.ids, self.vectors = ids, narrow if (narrow == vectors).all() else vectors
@@ -87,7 +91,7 @@ class Graph:
         self.entry = int(np.flatnonzero(level == top)[0]) if len(ids) else 0
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "unit"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("unit", "close")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__ |= state
@@ -106,6 +110,14 @@ class Graph:
             s = x[a : a + 128] @ x.T
             s[np.arange(len(s)), np.arange(a, a + len(s))] = -9
             part, value = nearest(s, want)
+            if self.least is not None and n == len(self.ids):
+                match = value >= self.least - 1e-4
+                full = np.flatnonzero(match.all(axis=1))
+                match[full] = False
+                i, k = np.nonzero(match)
+                f, c = np.nonzero(s[full] >= self.least - 1e-4)
+                one, two = np.concatenate([i, full[f]]) + a, np.concatenate([part[i, k], c])
+                self.close += self._verified(one[one < two], two[one < two])
             order = np.argsort(-value, axis=1, kind="stable")
             near[a : a + 128], sims[a : a + 128] = np.take_along_axis(part, order, 1), np.take_along_axis(value, order, 1)
         half = max(1, most // 2)
@@ -143,6 +155,16 @@ class Graph:
         links[a[keep], place[keep]] = nodes[b[keep]]
         return links
 
+    def _verified(self, one: np.ndarray, two: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Forests of the pairs of nodes that match, some pairs at a time."""
+        out = []
+        for a in range(0, len(one), VERIFIED):
+            i, k = one[a : a + VERIFIED], two[a : a + VERIFIED]
+            ok = np.einsum("ij,ij->i", unit(self.vectors[i]), unit(self.vectors[k])) >= self.least
+            if ok.any():
+                out.append(forest(i[ok], k[ok]))
+        return out
+
     def search(self, queries: np.ndarray, beam: int, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(nodes, similarities) of the best of each query, -1 where there are fewer than beam.
 
@@ -275,14 +297,35 @@ def matches(graph: Graph, queries: np.ndarray, names: np.ndarray, threshold: flo
     return i[ok], k[ok], beam
 
 
-def _build(key: tuple, table: pa.Table) -> pa.Table:
-    table = table.sort_by("id")
-    size = key[0].as_py()
-    vectors = np.asarray(table.column("vector").combine_chunks().flatten()).reshape(-1, size)
-    body = pickle.dumps(Graph(np.asarray(table.column("id")), vectors))
-    parts = [body[a : a + PART_BYTES] for a in range(0, len(body), PART_BYTES)]
-    n = len(parts)
-    return pa.table({"size": pa.array([size] * n, pa.int32()), "shard": pa.array([key[1].as_py()] * n, pa.int64()), "part": pa.array(range(n), pa.int32()), "graph": pa.array(parts, pa.binary())})
+def within(graph: Graph) -> tuple[np.ndarray, np.ndarray]:
+    """A forest of the ids that match within the graph."""
+    one, two = (np.concatenate([np.zeros(0, np.int64), *(pair[k] for pair in graph.close)]) for k in (0, 1))
+    return forest(graph.ids[one], graph.ids[two])
+
+
+def _build(threshold: float, alone: bool):
+    """The graph of a shard in parts, unless it is the only one, and its links in parts below 0."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by("id")
+        size = key[0].as_py()
+        vectors = np.asarray(table.column("vector").combine_chunks().flatten()).reshape(-1, size)
+        graph = Graph(np.asarray(table.column("id")), vectors, threshold)
+        links = np.stack(within(graph)).T.tobytes()
+        body = b"" if alone else pickle.dumps(graph)
+        parts = [(k, body[a : a + PART_BYTES]) for k, a in enumerate(range(0, len(body), PART_BYTES))]
+        parts += [(-1 - k, links[a : a + PART_BYTES]) for k, a in enumerate(range(0, len(links), PART_BYTES))]
+        n = len(parts)
+        return pa.table({"size": pa.array([size] * n, pa.int32()), "shard": pa.array([key[1].as_py()] * n, pa.int64()), "part": pa.array([k for k, _ in parts], pa.int32()), "graph": pa.array([x for _, x in parts], pa.binary())})
+
+    return run
+
+
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for body in batch.column(0):
+            ab = np.frombuffer(body.as_py(), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1])], names=["a", "b"])
 
 
 def _query(threshold: float):
@@ -339,14 +382,17 @@ def groups(embeddings: DataFrame, threshold: float = THRESHOLD, shard_rows: int
     shards = max(1, -(-distinct.count() // shard_rows))
     size = F.size("vector").alias("size")
     dealt = distinct.select("id", "vector", size, F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("long").alias("shard"))
-    graphs = written(dealt.groupBy("size", "shard").applyInArrow(_build, "size int, shard long, part int, graph binary"), "graphs")
+    graphs = written(dealt.groupBy("size", "shard").applyInArrow(_build(threshold, shards == 1), "size int, shard long, part int, graph binary"), "graphs")
+    inner = graphs.where("part < 0").select("graph").mapInArrow(_links, "a long, b long")
+    graphs = graphs.where("part >= 0")
     # of each length of vectors, as many tasks for each graph as its queries need, but together no more than keep all cores busy
     one = graphs.where("part = 0").select("size", "shard")
     lanes = max(1, -(-LANES_A_CORE * embeddings.sparkSession.sparkContext.defaultParallelism // max(1, one.count())))
     tasks = distinct.groupBy(size).agg(F.least(F.ceil(F.count(F.lit(1)) / QUERIES), F.lit(lanes)).cast("long").alias("tasks"))
     known = written(one.join(sized(written(tasks, "tasks")), "size"), "known")
     lane = F.pmod(F.xxhash64("id"), F.col("tasks")).alias("lane")
-    asked = distinct.select("id", "vector", size).join(sized(known), "size").select(
+    home = F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("long").alias("home")
+    asked = distinct.select("id", "vector", size, home).join(sized(known), "size").where("home <> shard").select(
         "size", "shard", lane, F.lit(None).cast("int").alias("part"), F.lit(None).cast("binary").alias("graph"), "id", "vector"
     )
     held = graphs.join(sized(known), ["size", "shard"]).select(
@@ -355,5 +401,5 @@ def groups(embeddings: DataFrame, threshold: float = THRESHOLD, shard_rows: int
     both = held.unionByName(asked).repartition("size", "shard", "lane").sortWithinPartitions("size", "shard", "lane", F.col("part").isNull(), "part", "id")
     task = F.concat_ws(":", "size", "shard", "lane").alias("task")
     links = written(both.select(task, "part", "graph", "id", "vector").mapInArrow(_query(threshold), "a long, b long"), "matches")
-    links = links.unionByName(distinct.where("size(ids) > 1").select(F.col("id").alias("a"), F.explode("ids").alias("b")))
+    links = links.unionByName(inner).unionByName(distinct.where("size(ids) > 1").select(F.col("id").alias("a"), F.explode("ids").alias("b")))
     return components(links.where("a <> b"), "a", "b").select(F.col("node").alias("vec_id"), "component")

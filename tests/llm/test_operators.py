@@ -686,3 +686,20 @@ def test_expected_labels_are_those_of_the_gradient():
     by_token, by_pair = toxicity.gradient(e[ids], np.cumsum(length) - length, length, trans, none)
     assert by_class == pytest.approx(np.bincount(ids, by_token, 6))
     assert pairs == pytest.approx(by_pair + np.array([[12, 0], [0, 0]]))
+
+
+def test_embedding_dedup_is_exact_within_a_shard(spark, monkeypatch):
+    """All matches of a shard are found without a search, also where there are more than candidates."""
+    rng = np.random.default_rng(8)
+    own = rng.normal(size=(3000, 16))
+    own[:100] = own[0] + 0.05 * rng.normal(size=(100, 16))
+    t = embedding_dedup.THRESHOLD
+    g = embedding_dedup.Graph(np.arange(3000), own, t)
+    u = embedding_dedup.unit(own)
+    one, two = np.nonzero(np.triu(u @ u.T >= t, 1))
+    assert len(one) > 4000 and all((x == y).all() for x, y in zip(embedding_dedup.within(g), embedding_dedup.forest(one, two)))
+    monkeypatch.setattr(embedding_dedup, "BEAM", None)  # a search would fail
+    every = {n: v.tolist() for n, v in enumerate(own[:800])}
+    df = spark.createDataFrame(list(every.items()), "vec_id long, embedding array<double>")
+    groups = {r["vec_id"]: r["component"] for r in embedding_dedup.groups(df).collect()}
+    assert groups == brute_groups(every, t)
