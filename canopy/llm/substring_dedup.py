@@ -9,8 +9,8 @@ passages. A repeated passage of K or more words is thus covered by paths, whatev
    Rows that are equal are first merged into one with a count, so copies don't pile up in memory.
 2. Under each anchor edges are counted, and repeated edges joined without a branch (the edge of K + 1 words occurs as
    often as both) become segments. These go back to the documents by a join on a hash of (anchor, edges).
-3. Joins of neighbouring segments in documents count their links; unbranched links are contracted to paths by
-   connected components.
+3. Joins of neighbouring segments in documents count their links. An unbranched link is found wherever one of its two
+   segments is, so each document holds whole paths: a run of such links is one, under the name of its least segment.
 4. Each occurrence is read again at its source: its words are digested whole, must equal those of the path's first
    occurrence, and get offsets in characters.
 
@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from canopy.llm._store import components, own_columns, sized, written
-from canopy.llm._text import long_runs, mix, pieces, words
+from canopy.llm._store import own_columns, sized, written
+from canopy.llm._text import lean, long_runs, mix, pieces, words
 
 K = 50
 ANCHOR = 20
@@ -212,27 +212,24 @@ def repeats(docs: DataFrame, k: int = K, anchor: int = ANCHOR) -> DataFrame:
     if twice.count():
         same = ["doc_id", "h"]
         own = own.join(sized(twice), same, "left_anti").unionByName(own.join(sized(twice), same, "left_semi").dropDuplicates(same))
-    runs = written(own.mapInArrow(_runs(k, anchor), "doc_id long, h long, pos int, anchor long, edges binary"), "runs")
+    runs = written(own.mapInArrow(lean(_runs(k, anchor)), "doc_id long, h long, pos int, anchor long, edges binary"), "runs")
     variant = F.xxhash64("anchor", "edges").alias("variant")
     # one shuffle by anchor serves the merging of equal rows and the comparison under each anchor
     variants = runs.select("anchor", "edges").repartition("anchor").groupBy("anchor", "edges").agg(F.count(F.lit(1)).alias("n"))
-    found = variants.select("anchor", "edges", "n", variant).sortWithinPartitions("anchor").mapInArrow(_segments, FOUND)
+    found = variants.select("anchor", "edges", "n", variant).sortWithinPartitions("anchor").mapInArrow(lean(_segments), FOUND)
     found = written(found, "segments")
     rows = runs.select("doc_id", "h", "pos", variant).join(found, "variant").select("doc_id", "h", F.col("pos").alias("base"), F.explode(F.arrays_zip("first", "size", "segment", "copies")).alias("s"))
     spots = written(rows.select("doc_id", "h", (F.col("base") + F.col("s.first")).alias("pos"), F.col("s.size").alias("size"), F.col("s.segment").alias("segment"), F.col("s.copies").alias("copies")), "spots")
     in_doc = Window.partitionBy("doc_id", "h").orderBy("pos")
     after = spots.select("segment", "copies", (F.lead("pos").over(in_doc) == F.col("pos") + F.col("size")).alias("next"), F.lead("segment").over(in_doc).alias("to"), F.lead("copies").over(in_doc).alias("to_copies"))
     links = after.where("next and copies = to_copies").groupBy("segment", "to", "copies").agg(F.count(F.lit(1)).alias("n")).where("n = copies")
-    links = written(links, "links")
-    paths = components(links.select("segment", "to"), "segment", "to").withColumnsRenamed({"node": "segment", "component": "path"})
-    # an unbranched link leaves each segment once, so a path is a chain and `to` what comes next in it
-    chain = paths.join(links.select("segment", "to"), "segment", "left")
-    named = spots.join(chain, "segment", "left").withColumn("path", F.coalesce("path", "segment"))
+    named = spots.join(links.select("segment", "to"), "segment", "left")
     joined = (F.lag("to").over(in_doc) == F.col("segment")) & (F.lag(F.col("pos") + F.col("size")).over(in_doc) == F.col("pos"))
     island = F.sum(F.when(joined, 0).otherwise(1)).over(in_doc)
-    whole = named.withColumn("island", island).groupBy("doc_id", "h", "island", "path").agg(F.min("pos").alias("pos"), F.sum("size").cast("int").alias("size"))
+    # a link is at all places of both its segments: a run of them in a document is the whole path, the same wherever it is
+    whole = named.withColumn("island", island).groupBy("doc_id", "h", "island").agg(F.min("segment").alias("path"), F.min("pos").alias("pos"), F.sum("size").cast("int").alias("size"))
     places = whole.groupBy("doc_id", "h").agg(F.sort_array(F.collect_list(F.struct("pos", "size", "path"))).alias("at"))
-    read = own.join(places, ["doc_id", "h"]).select("doc_id", "text", "at").mapInArrow(_read(k), "path long, doc_id long, pos int, n_words int, start int, end int, digest binary")
+    read = own.join(places, ["doc_id", "h"]).select("doc_id", "text", "at").mapInArrow(lean(_read(k)), "path long, doc_id long, pos int, n_words int, start int, end int, digest binary")
     read = written(read, "passages")
     # the same words, byte for byte, as the first occurrence of the path
     source = read.groupBy("path", "digest", "n_words").agg(F.min(F.struct("doc_id", "pos")).alias("source"), F.count(F.lit(1)).alias("copies")).where("copies > 1")

@@ -703,3 +703,21 @@ def test_embedding_dedup_is_exact_within_a_shard(spark, monkeypatch):
     df = spark.createDataFrame(list(every.items()), "vec_id long, embedding array<double>")
     groups = {r["vec_id"]: r["component"] for r in embedding_dedup.groups(df).collect()}
     assert groups == brute_groups(every, t)
+
+
+def test_substring_dedup_needs_no_rounds(spark):
+    """However long a path is, it takes the same number of jobs, but for those of replanning; a passage that branches is told apart from the whole."""
+    rng = random.Random(31)
+    jobs = []
+    for n in (60, 6000):
+        body = prose(rng, n)
+        rows = [(1, prose(rng, 9) + " " + body), (2, body + " " + prose(rng, 9)), (3, body), (4, " ".join(body.split()[:55]) + " " + prose(rng, 70))]
+        spark.sparkContext.setJobGroup(f"path{n}", "")
+        got = substring_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"path{n}")))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        at = sorted((r["doc_id"], r["first_word"], r["n_words"], r["copies"]) for r in got)
+        # runs of 50 words that three documents have, then those that four have
+        assert at == sorted([(i, (9 if i == 1 else 0) + p, w, c) for i in (1, 2, 3, 4) for p, w, c in ((0, 55, 4), (6, n - 6, 3)) if i < 4 or c == 4])
+        assert len({r["path"] for r in got}) == 2
+    assert jobs[1] <= jobs[0] + 3, jobs
