@@ -41,13 +41,14 @@ SHARD_BYTES = 24 << 20
 FOLDS = 8
 BLOCK = 512 << 10
 WARM = 4 << 20
+CHUNK = 16384
 RIDGE = 20.0
 KEEP = 0.995
 TRUST = 24.0
 START = (0.15, 0.2, 0.25, 0.3, 0.4)
 _U = np.uint64
 _MOST = 1 << 30  # a slot of more is scaled down when a model begins with it
-_ONES = 32  # a slot counts zeros in its lower half and ones in its upper
+_ONES = 32  # a slot counts zeros in its lower half and ones in its upper; as two of 32 bits, zeros come first
 
 
 class Mixer:
@@ -60,7 +61,7 @@ class Mixer:
 
     def sums(self) -> list[np.ndarray]:
         """What adds up over models: zeros and ones of each order, then map, curvature, weights times curvature, and 1."""
-        split = lambda x, t: np.concatenate([(x & _U(0xFFFFFFFF)).astype(t), (x >> _U(_ONES)).astype(t)])
+        split = lambda x, t: np.concatenate([x.view(np.uint32)[::2].astype(t), x.view(np.uint32)[1::2].astype(t)])
         firm = self.steep + RIDGE * np.eye(ORDERS)
         pull = firm @ self.weight[:, :, None].astype(np.float64)
         return [*(split(x, np.float32) for x in self.seen), np.concatenate([split(self.map, np.float64), self.steep.ravel(), pull.ravel(), [1.0]])]
@@ -70,6 +71,10 @@ class Mixer:
 
         def packed(x: np.ndarray) -> np.ndarray:
             zeros, ones = np.maximum(x, 0).reshape(2, -1)
+            if max(zeros.max(), ones.max()) <= _MOST:
+                out = np.empty(zeros.size, _U)
+                out.view(np.uint32)[::2], out.view(np.uint32)[1::2] = zeros, ones
+                return out
             scale = np.minimum(1, _MOST / np.maximum(np.maximum(zeros, ones), 1))
             return np.rint(zeros * scale).astype(_U) | np.rint(ones * scale).astype(_U) << _U(_ONES)
 
@@ -83,88 +88,121 @@ class Mixer:
             self.weight = np.linalg.solve(firm, pull.reshape(-1, ORDERS, 1))[:, :, 0].astype(np.float32)
             self.steep = steep / runs[0]
 
-    def slots(self, context: np.ndarray, node: np.ndarray) -> Iterator[np.ndarray]:
-        """The place of each predictor; context: five bytes, the last of them lowest."""
-        wide = node.astype(_U)
-        yield ((context & _U(0xFF)) << _U(8) | wide).view(np.int64)
+    def names(self, context: np.ndarray) -> Iterator[np.ndarray]:
+        """Where the nodes of each context begin in the tables; context: five bytes, the last of them highest."""
+        yield context >> _U(32) << _U(8)
         for o in range(2, ORDERS + 1):
-            part = context << _U(64 - 8 * o)
-            part += wide * _U(0xD1342543DE82EF95 + 2 * o)
+            part = (context >> _U(40 - 8 * o)) * _U(0x9E3779B97F4A7C15) + _U(0xD1342543DE82EF95 * (2 * o + 1) % (1 << 64))
             part ^= part >> _U(29)
             part *= _U(0xBF58476D1CE4E5B9)
-            part >>= _U(64 - self.bits)
-            yield part.view(np.int64)
+            part ^= part >> _U(32)
+            part *= _U(0x94D049BB133111EB)
+            yield part >> _U(64 - self.bits)
+
+    def slots(self, context: np.ndarray, node: np.ndarray) -> Iterator[np.ndarray]:
+        """The place of each predictor; context: five bytes, the last of them lowest.
+
+        A context's nodes lie together, in 2 KB of each table, so that memory is not fetched anew for each of them.
+        """
+        for o, name in enumerate(self.names(context.byteswap() >> _U(24))):
+            yield (name ^ node.astype(_U) & _U((1 << (self.bits if o else 8)) - 1)).view(np.int64)
 
     @staticmethod
     def place(node: np.ndarray, x: np.ndarray) -> np.ndarray:
         return node.astype(np.int64) * 33 + np.rint(np.clip(x, -8, 8) * 2).astype(np.int64) + 16
 
-    def step(self, gate: np.ndarray, odds, p, zeros, ones) -> None:
+    def step(self, push: np.ndarray, bend: np.ndarray, met: np.ndarray) -> None:
         """An online Newton step of the weights of each gate; blocks before this one count too, less and less, for the curvature."""
-        both = zeros + ones
-        error = ones - both * p
-        steep = both * p * (1 - p)
-        order = np.argsort(gate, kind="stable")
-        z, error, steep = [x.take(order) for x in odds], error.take(order), steep.take(order)
-        z = np.stack(z)
-        ends = np.searchsorted(gate.take(order), np.arange(8 * ORDERS + 1, dtype=np.uint8)).tolist()
-        push = np.zeros((8 * ORDERS, ORDERS))
-        for g, (low, high) in enumerate(zip(ends, ends[1:])):
-            if low < high:
-                own = z[:, low:high]
-                self.steep[g] = KEEP * self.steep[g] + (own * steep[low:high]) @ own.T
-                push[g] = own @ error[low:high]
+        self.steep[met] = KEEP * self.steep[met] + bend[met]
         hessian = self.steep + RIDGE * np.eye(ORDERS)
         self.weight += np.clip(np.linalg.solve(hessian, push[:, :, None])[:, :, 0], -1, 1).astype(np.float32)
 
     def learn(self, key: np.ndarray, count: np.ndarray, score: bool) -> np.ndarray | None:
         """Learns count of each distinct key (context << 8 | symbol), in order of keys; score: their bits before that.
 
+        A context has the last byte before the symbol highest. Some contexts at a time, whole ones, are worked out, so that
+        what is worked on stays in the processor's cache; what they teach is added when all of the block is worked out.
+        """
+        fresh = np.flatnonzero(np.concatenate([[True], (key[1:] ^ key[:-1]) > _U(0xFF)]))
+        cuts = np.unique(fresh[np.searchsorted(fresh, np.arange(0, fresh[-1] + 1, CHUNK))])
+        push, bend, met = np.zeros((8 * ORDERS, ORDERS)), np.zeros((8 * ORDERS, ORDERS, ORDERS)), np.zeros(8 * ORDERS, bool)
+        cost = np.zeros(len(key), np.float32) if score else None
+        count, later = count.astype(_U), []
+        for a, z in zip(cuts, [*cuts[1:], len(key)]):
+            part = None if cost is None else cost[a:z]
+            later.append(self._chunk(key[a:z], count[a:z], push, bend, met, part))
+        self.step(push, bend, met)
+        for slots, place, both in later:
+            for seen, at in zip(self.seen, slots):
+                np.add.at(seen, at.astype(np.int64), both)
+            np.add.at(self.map, place.astype(np.int64), both)
+        return cost
+
+    def _chunk(self, key, count, push, bend, met, cost) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(slots, place in the map, zeros and ones) of each node of the keys; adds to push, bend, met and to cost, if there is one.
+
         The nodes are the distinct (context, bits of the symbol so far) of all eight places of a bit, one place after another.
         """
-        symbol = (key & _U(0xFF)).astype(np.int64)
-        apart = key[1:] ^ key[:-1]
-        heads = [np.concatenate([[0], np.flatnonzero(apart >> _U(8 - j)) + 1]) for j in range(8)]
-        cuts = np.concatenate([[0], np.cumsum([len(h) for h in heads])])
-        head = np.concatenate(heads)
-        level = np.repeat(np.arange(8, dtype=np.int16), np.diff(cuts))
-        node = 1 << level | symbol[head].astype(np.int16) >> (8 - level)
-        zeros, ones = np.empty(len(head), np.uint32), np.empty(len(head), np.uint32)
+        n = len(key)
+        apart = np.empty(n, _U)
+        apart[0], apart[1:] = ~_U(0), key[1:] ^ key[:-1]
+        new, nodes, bit = np.empty((8, n), bool), np.empty((8, n), np.uint8), np.empty((8, n), np.uint8)
+        symbol = key.astype(np.uint8)
         for j in range(8):
-            part = slice(cuts[j], cuts[j + 1])
-            ones[part] = np.add.reduceat(count * (symbol >> (7 - j) & 1), heads[j])
-            zeros[part] = np.add.reduceat(count, heads[j]) - ones[part]
-        slots = list(self.slots(key[head] >> _U(8), node))
-        odds, longest = np.empty((ORDERS, len(head)), np.float32), np.zeros(len(head), np.int8)
-        for o, at in enumerate(slots):
-            seen = self.seen[o].take(at)
-            longest[seen > 0] = o
-            odds[o] = np.log(((seen >> _U(_ONES)).astype(np.float32) + np.float32(0.4)) / ((seen & _U(0xFFFFFFFF)).astype(np.float32) + np.float32(0.4)))
-        gate = (level * ORDERS + longest).astype(np.uint8)
-        del seen, head, level
-        x = np.zeros(len(node), np.float32)
+            np.greater_equal(apart, _U(1 << (8 - j)), out=new[j])
+            nodes[j] = symbol >> (8 - j) | 1 << j if j else 1
+            bit[j] = symbol >> (7 - j) & 1
+        head = np.flatnonzero(new)
+        ends = np.searchsorted(head, np.arange(9) * n)
+        size = np.diff(ends)
+        node = nodes.ravel().take(head)
+        until = np.zeros(8 * n + 1, _U)
+        np.cumsum((count << (bit.astype(_U) << _U(5))).ravel(), out=until[1:])
+        both = np.diff(until.take(np.append(head, 8 * n)))
+        own = np.cumsum(new[0]) - 1
+        whose = own.take(head - np.repeat(np.arange(8) * n, size))
+        names = np.stack(list(self.names(key[new[0]] >> _U(8))), axis=1).view(np.int64).take(whose, axis=0)
+        wide = node.astype(np.int64)
+        low = wide & ((1 << self.bits) - 1)
+        odds, longest = np.empty((ORDERS, len(head)), np.float32), np.zeros(len(head), np.uint8)
+        slots = np.empty((ORDERS, len(head)), np.uint32)
         for o in range(ORDERS):
-            x += odds[o] * self.weight[:, o].take(gate)
-        x = np.clip(x, -12, 12)
-        p = 1 / (1 + np.exp(-x))
+            at = names[:, o] ^ (low if o else wide)
+            slots[o] = at
+            seen = self.seen[o].take(at)
+            np.maximum(longest, (seen > 0).view(np.uint8) * np.uint8(o), out=longest)
+            halves = seen.view(np.uint32).astype(np.float32)  # zeros, ones, zeros, ...
+            halves += np.float32(0.4)
+            np.divide(halves[1::2], halves[::2], out=odds[o])
+        np.log(odds, out=odds)
+        halves = both.view(np.uint32).astype(np.float32)
+        times, ones = halves[::2] + halves[1::2], halves[1::2]
+        x, p = np.empty(len(head), np.float32), np.empty(len(head), np.float32)
+        for j in range(8):
+            part, gates = slice(ends[j], ends[j + 1]), slice(j * ORDERS, (j + 1) * ORDERS)
+            z = odds[:, part]
+            gate = longest[part] == np.arange(ORDERS, dtype=np.uint8)[:, None]
+            met[gates] |= gate.any(axis=1)
+            gate = gate.astype(np.float32)
+            np.clip((gate * (self.weight[gates] @ z)).sum(axis=0), -12, 12, out=x[part])
+            p[part] = 1 / (1 + np.exp(-x[part]))
+            sure = times[part] * p[part]
+            bent = gate * (sure * (1 - p[part]))
+            bend[gates] += ((bent[:, None] * z).reshape(ORDERS * ORDERS, -1) @ z.T).reshape(ORDERS, ORDERS, ORDERS)
+            push[gates] += (gate * (ones[part] - sure)) @ z.T
         place = self.place(node, x)
-        cost = np.zeros(len(key), np.float32) if score else None
-        if score:
-            seen = self.map.take(place)
-            one_, zero_ = (seen >> _U(_ONES)).astype(np.float32), (seen & _U(0xFFFFFFFF)).astype(np.float32)
-            refined = (p + (one_ + TRUST * p) / (zero_ + one_ + TRUST)) / 2
-            if_one, if_zero = -np.log2(refined), -np.log2(1 - refined)
-            for j in range(8):
-                group = np.repeat(np.arange(cuts[j], cuts[j + 1]), np.diff(np.concatenate([heads[j], [len(key)]])))
-                cost += np.where(symbol >> (7 - j) & 1, if_one.take(group), if_zero.take(group))
-        del node, x
-        self.step(gate, odds, p, zeros.astype(np.float32), ones.astype(np.float32))
-        del odds, p
-        both = zeros.astype(_U) | ones.astype(_U) << _U(_ONES)
-        for o, at in enumerate(slots):
-            np.add.at(self.seen[o], at, both)
-        np.add.at(self.map, place, both)
-        return cost
+        if cost is not None:
+            halves = self.map.take(place).view(np.uint32).astype(np.float32)
+            zero, one = halves[::2], halves[1::2]
+            bits = np.empty((len(head), 2), np.float32)
+            refined = (p + (one + TRUST * p) / (zero + one + TRUST)) / 2
+            bits[:, 0], bits[:, 1] = 1 - refined, refined
+            np.log2(bits, out=bits)
+            spot = np.cumsum(new.ravel()) - 1
+            spot <<= 1
+            spot |= bit.ravel()
+            cost -= bits.ravel().take(spot).reshape(8, n).sum(axis=0)
+        return slots, place.astype(np.uint16), both
 
 
 def blocks(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -184,7 +222,7 @@ def blocks(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[tuple[n
         last = int(np.searchsorted(offsets, z - 1, side="right")) - 1
         low, high = a + 5 * (first + 1), z - 1 + 5 * (last + 1)
         key = np.zeros(high + 1 - low, _U)
-        for back in range(5, -1, -1):
+        for back in (1, 2, 3, 4, 5, 0):
             key <<= _U(8)
             key |= apart[low - back : high + 1 - back]
         key = key[text[low : high + 1]]

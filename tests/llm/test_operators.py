@@ -721,3 +721,15 @@ def test_substring_dedup_needs_no_rounds(spark):
         assert at == sorted([(i, (9 if i == 1 else 0) + p, w, c) for i in (1, 2, 3, 4) for p, w, c in ((0, 55, 4), (6, n - 6, 3)) if i < 4 or c == 4])
         assert len({r["path"] for r in got}) == 2
     assert jobs[1] <= jobs[0] + 3, jobs
+
+
+def test_lm_score_works_on_some_contexts_at_a_time(monkeypatch):
+    """A context's nodes lie within 2 KB of each table, and how many contexts are worked on at a time doesn't matter."""
+    rng = random.Random(41)
+    for at in lm_score.Mixer(14).slots(np.full(255, 0x6162636465, np.uint64), np.arange(1, 256)):
+        assert len(set(at.tolist())) == 255 and len(set((at >> 8).tolist())) == 1
+    texts = pa.array([prose(rng, 300) for _ in range(12)])
+    want, _ = lm_score.costs(texts, slot_bits=14, block=5000)
+    monkeypatch.setattr(lm_score, "CHUNK", 50)
+    got, _ = lm_score.costs(texts, slot_bits=14, block=5000)
+    assert got == pytest.approx(want, rel=1e-4)
