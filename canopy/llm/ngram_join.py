@@ -25,6 +25,7 @@ Sets and n-grams are told apart by 64-bit hashes, keys before by 40 bits.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +43,7 @@ SLICE_BITS = 20
 PAIR_BLOCK = 1 << 18
 HOT = 1 << 20
 BLOCK_GRAMS = 1 << 21
+BLOCK_PAIRS = 1 << 20
 _U = np.uint64
 _ZSTD = pa.Codec("zstd", compression_level=1)
 
@@ -168,6 +170,23 @@ def _signed(n: int, bits: int):
     return lean(run)
 
 
+def _summed(bits: int):
+    """(h, body) of some tasks' tables of one slice: their sum, in as many tables as 16 bits a place ask for."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        total = np.zeros(1 << min(bits, SLICE_BITS), np.int64)
+        for body in rows.column("body"):
+            total += _unpack(body.as_py(), len(total))
+        body = []
+        while total.any():
+            now = np.minimum(total, (1 << 16) - 1).astype(np.uint16)
+            body.append(_pack(now))
+            total -= now
+        return pa.table({"h": pa.array([key[0].as_py()] * len(body), pa.int64()), "body": pa.array(body, pa.binary())})
+
+    return run
+
+
 def _added(bits: int):
     """(part, codes) of one slice: 8 log2(count + 1) of all tasks' counts, rounded up."""
 
@@ -310,8 +329,9 @@ def _verify(t: float):
             one = int(i[low])
             mine = gram[at[one] : at[one + 1]]
             mark[mine] = True
-            for a in range(low, high, 256):
-                two = j[a : min(high, a + 256)]
+            step = max(1, min(256, PAIR_BLOCK // int(size[j[low:high]].max())))
+            for a in range(low, high, step):
+                two = j[a : min(high, a + step)]
                 n = size[two]
                 spots = np.arange(int(n.sum())) + np.repeat(at[two] - (np.cumsum(n) - n), n)
                 same = np.add.reduceat(mark[gram[spots]].astype(np.int64), np.cumsum(n) - n)
@@ -338,8 +358,14 @@ def table_bits(own: DataFrame) -> int:
 
 
 def counts(tables: DataFrame, bits: int) -> np.ndarray:
-    """The code of the count in each place of the table, from the rows (h, body) of all tasks."""
-    found = tables.groupBy("h").applyInArrow(_added(bits), "part long, codes binary").toArrow()
+    """The code of the count in each place of the table, from the rows (h, body) of all tasks.
+
+    They are added in two steps, so that one task holds no more than about the root of the number of tables of a slice.
+    """
+    each = tables.groupBy("h").count().agg(F.max("count")).first()[0] or 0
+    some = F.pmod(F.monotonically_increasing_id(), F.lit(max(1, math.ceil(math.sqrt(each)))))
+    sums = tables.withColumn("some", some).groupBy("h", "some").applyInArrow(_summed(bits), "h long, body binary")
+    found = sums.groupBy("h").applyInArrow(_added(bits), "part long, codes binary").toArrow()
     out = np.zeros(1 << bits, np.uint8)
     for part, codes in zip(found.column("part").to_pylist(), found.column("codes").to_pylist()):
         out[part << SLICE_BITS :][: len(codes)] = np.frombuffer(codes, np.uint8)
@@ -350,15 +376,20 @@ def _compared(pairs: DataFrame, bodies: DataFrame, judge, schema: str) -> DataFr
     """The table of judge over all pairs (a, b) with the bodies (sid, size, n, body) of both, in blocks.
 
     The home of a pair is the least set that is a or a partner of a, so sets with common partners share a home. Homes are
-    dealt into buckets of about BLOCK_GRAMS n-grams; a home of more than that is cut by both sides of its pairs.
+    dealt into buckets of about half of BLOCK_GRAMS n-grams and of BLOCK_PAIRS pairs; a home of more than a quarter of
+    either has blocks of its own, cut by both sides of its pairs: near copies of one text have as many pairs as the square
+    of their number, so their n-grams alone don't bound a block.
     """
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     homes = both.groupBy("a").agg(F.min("b").alias("home")).withColumn("home", F.least("a", "home"))
     placed = written(pairs.join(homes, "a"), "placed")
     need = placed.select("home", F.col("a").alias("sid")).unionByName(placed.select("home", F.col("b").alias("sid"))).distinct()
-    weight = written(need.join(bodies.select("sid", "size"), "sid").groupBy("home").agg(F.sum("size").alias("weight")), "weights")
-    buckets = max(1, -(-(weight.agg(F.sum("weight")).first()[0] or 0) // BLOCK_GRAMS))
-    large = weight.where(F.col("weight") > BLOCK_GRAMS).select("home", F.ceil(2 * F.col("weight") / BLOCK_GRAMS).cast("int").alias("cuts"))
+    weight = need.join(bodies.select("sid", "size"), "sid").groupBy("home").agg((F.sum("size") / BLOCK_GRAMS).alias("grams"))
+    count = placed.groupBy("home").agg((F.count(F.lit(1)) / BLOCK_PAIRS).alias("pairs"))
+    weight = written(weight.join(count, "home").withColumn("load", F.greatest("grams", "pairs")), "weights")
+    buckets = max(1, math.ceil(2 * (weight.where("load <= 0.25").agg(F.sum("load")).first()[0] or 0)))
+    cuts = F.ceil(F.greatest(2 * F.col("grams"), F.sqrt(2 * F.col("pairs")))).cast("int").alias("cuts")
+    large = weight.where("load > 0.25").select("home", cuts)
     dealt = placed.join(sized(large), "home", "left")
 
     def side(c: str):

@@ -141,6 +141,40 @@ def test_ngram_join_in_blocks(spark, monkeypatch):
     assert joined(spark.createDataFrame(rows, "doc_id long, text string")) == want and max(n for *_, n in want) > 20
 
 
+def test_ngram_join_bounds_the_pairs_of_a_block(spark, monkeypatch):
+    """Near copies of one text have as many pairs as the square of their number: no block holds them all."""
+    rng = random.Random(14)
+    base = prose(rng, 60).split()
+    rows = [(k, " ".join(w if rng.random() > 0.02 else f"x{k}y{p}" for p, w in enumerate(base))) for k in range(120)]
+    sizes = spark.sparkContext.accumulator(0)
+    most = 150
+
+    def seen(judge):
+        def run(pairs, bodies):
+            sizes.add(int(pairs.num_rows > 2 * most))
+            return judge(pairs, bodies)
+
+        return run
+
+    compared = ngram_join._compared
+    monkeypatch.setattr(ngram_join, "BLOCK_PAIRS", most, raising=False)
+    monkeypatch.setattr(ngram_join, "_compared", lambda pairs, bodies, judge, schema: compared(pairs, bodies, seen(judge), schema))
+    assert joined(spark.createDataFrame(rows, "doc_id long, text string")) == brute_join(rows)
+    assert sizes.value == 0
+
+
+def test_ngram_join_adds_counts_in_two_steps(spark):
+    """No task adds the tables of all tasks, and sums beyond 16 bits stay whole."""
+    table = np.zeros(1 << 16, np.uint16)
+    table[7], table[9] = 60_000, 1
+    body = ngram_join._pack(table)
+    tables = spark.createDataFrame([(0, bytearray(body))] * 10, "h long, body binary")
+    got = ngram_join.counts(tables, 16)
+    assert {int(k): int(got[k]) for k in np.flatnonzero(got)} == {7: int(np.ceil(8 * np.log2(600_001))), 9: int(np.ceil(8 * np.log2(11)))}
+    sums = ngram_join._summed(16)((pa.scalar(0),), pa.table({"body": pa.array([body] * 10, pa.binary())}))
+    assert sum(ngram_join._unpack(b.as_py(), 1 << 16).astype(int)[7] for b in sums.column("body")) == 600_000
+
+
 def test_ngram_join_counts_all_texts(spark, docs, many_partitions):
     """The order of the keys comes from the n-grams of every text, also of more texts than a table of one task can count."""
     rows = [(i, t) for i, t, *_ in corpus() if i is not None] + [(1000 + k, "one line that all of them have") for k in range(300)]
