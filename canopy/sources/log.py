@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canopy.operators import changes
@@ -96,7 +97,14 @@ def stream(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFr
 
 
 class EventQueue:
-    """A queue of event rows in a folder: each push is a set of files, and a place says how much was popped."""
+    """A queue of event rows in a folder: each push is a set of files, and a place says how much was popped.
+
+    A push is sorted by ranges of seq. In the files a row's place is the number of its range and its row in that, as one
+    long; the state has how many rows each range of a push has, so places count on from push to push.
+    """
+
+    #: monotonically_increasing_id gives each partition so many places
+    RANGE = 1 << 33
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path
@@ -108,11 +116,13 @@ class EventQueue:
     def push(self, events: DataFrame) -> int:
         """Adds events, in order of seq, behind those that are there; gives how many."""
         state = self._state()
-        n, at = events.count(), f"{self.path}/{len(state['folders'])}-{state['pushed']}"
-        # one push is a batch of bounded size, so its order may take one task
-        place = F.row_number().over(Window.orderBy("seq")) - 1 + F.lit(state["pushed"])
-        events.withColumn("place", place.cast("long")).write.mode("overwrite").parquet(at)
-        self.file.save(state | {"pushed": state["pushed"] + n, "folders": [*state["folders"], at]})
+        at = f"{self.path}/{len(state['folders'])}-{state['pushed']}"
+        ordered = events.repartitionByRange("seq").sortWithinPartitions("seq").withColumn("place", F.monotonically_increasing_id())
+        ordered.write.mode("overwrite").parquet(at)
+        written = self.spark.read.schema(ordered.schema).parquet(at).groupBy(F.floor(F.col("place") / F.lit(self.RANGE)).alias("range")).count()
+        ranges = sorted((r["range"], r["count"]) for r in written.collect())
+        n = sum(count for _, count in ranges)
+        self.file.save(state | {"pushed": state["pushed"] + n, "folders": [*state["folders"], {"path": at, "first": state["pushed"], "ranges": ranges}]})
         return n
 
     def size(self) -> int:
@@ -124,9 +134,20 @@ class EventQueue:
         state = self._state()
         low, high = state["popped"], min(state["pushed"], state["popped"] + n)
         self.file.save(state | {"popped": high})
-        if not state["folders"]:
-            return self.spark.createDataFrame([], changes.EVENT)
-        return self.spark.read.parquet(*state["folders"]).where((F.col("place") >= low) & (F.col("place") < high)).drop("place")
+        found = []
+        for folder in state["folders"]:
+            if isinstance(folder, str):  # of a queue that numbered all rows in the files
+                found.append(self.spark.read.parquet(folder).where((F.col("place") >= low) & (F.col("place") < high)).drop("place"))
+                continue
+            first, some = folder["first"], []
+            for k, count in folder["ranges"]:
+                a, z = max(low - first, 0), min(high - first, count)
+                if a < z:
+                    some.append((k * self.RANGE + a, k * self.RANGE + z - 1))
+                first += count
+            if some:  # what lies between two ranges has no rows
+                found.append(self.spark.read.parquet(folder["path"]).where(F.col("place").between(some[0][0], some[-1][1])).drop("place"))
+        return reduce(DataFrame.unionByName, found) if found else self.spark.createDataFrame([], changes.EVENT)
 
     def delete(self) -> None:
         self.file.save(self._state() | {"popped": 0, "pushed": 0, "folders": []})

@@ -338,6 +338,25 @@ def test_queue(spark, tmp_path):
     assert queue.size() == 0 and queue.meta() == {"txid": 4}
 
 
+def test_queue_orders_a_push_on_many_tasks(spark, tmp_path):
+    """No task sorts a whole push, and pops cross its ranges and pushes in order."""
+    queue = log.EventQueue(spark, f"{tmp_path}/q")
+    events = lambda *seq: spark.createDataFrame([(n, "INSERT", "t", None, None, n) for n in seq], changes.EVENT)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        first = list(range(200))
+        random.Random(4).shuffle(first)
+        assert queue.push(events(*first)) == 200 and queue.push(events(1000).limit(0)) == 0 and queue.push(events(300, 300, 250, 400)) == 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = spark.read.parquet(f"{tmp_path}/q/0-0").groupBy(F.input_file_name()).count().collect()
+    assert len(files) > 1 and all(r["count"] < 200 for r in files)
+    got = []
+    while queue.size():
+        got.append(sorted(r["seq"] for r in queue.pop(37).collect()))
+    assert [len(x) for x in got] == [37] * 5 + [19] and sum(got, []) == [*range(200), 250, 300, 300, 400]
+
+
 def test_json_lines_have_routing_and_pipeline(spark, tmp_path):
     lib = Library(spark)
     spec = parse({"index": "books", "routing": "title", "pipeline": "p", "nodes": {"table": "book"}})
