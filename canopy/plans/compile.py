@@ -119,7 +119,7 @@ def _with_child(df: DataFrame, parent: Node, child: Node, catalog: Catalog, i: i
         elif tuple(sorted(theirs)) == tuple(sorted(built.primary_key)):
             grouped = picked.drop("__o")
         else:  # of several rows the one of the least key
-            grouped = picked.groupBy(*links).agg(F.min_by(F.struct("__v", "__keys"), "__o").alias("__x")).select(*links, "__x.__v", "__x.__keys")
+            grouped = picked.groupBy(*links).agg(F.min_by("__v", "__o").alias("__v"), F.min_by("__keys", "__o").alias("__keys"))
     renamed = grouped.select(*[F.col(f"__l{n}").alias(f"__j{n}") for n in range(len(on))], F.col("__v").alias(f"__c{i}"), F.col("__keys").alias(f"__k{i}"))
     kind = renamed.schema[f"__c{i}"].dataType
     joined = df.join(renamed, [df[c] == renamed[f"__j{n}"] for n, c in enumerate(on)], "left")
@@ -137,13 +137,16 @@ def _condition(child: Node, filters: dict[str, Column | str]) -> Column | None:
 
 
 def _collected(picked: DataFrame, links: list[str]) -> DataFrame:
-    """Values (nulls stay, as they are wrapped) in order, and the keys of all rows."""
+    """Values (nulls stay, as they are wrapped) in order, and the keys of all rows, in no order.
+
+    They are collected apart, so a plan that doesn't ask for the keys neither makes nor shuffles them.
+    """
     if orderable(picked.schema["__v"].dataType) and orderable(picked.schema["__o"].dataType):
-        rows = F.sort_array(F.collect_list(F.struct("__o", F.struct("__v").alias("__w"), "__keys")))
+        rows = F.sort_array(F.collect_list(F.struct("__o", F.struct("__v").alias("__w"))))
     else:
-        rows = F.array_sort(F.collect_list(F.struct("__o", F.to_json(F.struct("__v")).alias("__t"), F.struct("__v").alias("__w"), "__keys")), _by_order)
-    got = picked.groupBy(*links).agg(rows.alias("__r"))
-    return got.select(*links, F.transform("__r", lambda r: r["__w"]["__v"]).alias("__v"), F.flatten(F.transform("__r", lambda r: r["__keys"])).alias("__keys"))
+        rows = F.array_sort(F.collect_list(F.struct("__o", F.to_json(F.struct("__v")).alias("__t"), F.struct("__v").alias("__w"))), _by_order)
+    got = picked.groupBy(*links).agg(rows.alias("__r"), F.flatten(F.collect_list("__keys")).alias("__keys"))
+    return got.select(*links, F.transform("__r", lambda r: r["__w"]["__v"]).alias("__v"), "__keys")
 
 
 def _by_order(a: Column, b: Column) -> Column:

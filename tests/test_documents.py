@@ -357,6 +357,16 @@ def test_queue_orders_a_push_on_many_tasks(spark, tmp_path):
     assert [len(x) for x in got] == [37] * 5 + [19] and sum(got, []) == [*range(200), 250, 300, 300, 400]
 
 
+def test_unasked_keys_are_not_collected(spark):
+    """A plan of documents alone makes no lineage; one that asks for it gets it whole."""
+    lib = Library(spark)
+    got = compile(parse(SPEC), lib.catalog)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "table, rating," in plan(got) and "table, rating," not in plan(as_json(got).select("_id", "_source"))
+    keys = {r["_id"]: {tuple(k) for k in r["_keys"]} for r in got.collect()}
+    assert {("rating", "id", "1"), ("rating", "id", "2"), ("author", "id", "1"), ("book_author", "id", "2"), ("publisher", "id", "1")} <= keys["a"]
+
+
 def test_json_lines_have_routing_and_pipeline(spark, tmp_path):
     lib = Library(spark)
     spec = parse({"index": "books", "routing": "title", "pipeline": "p", "nodes": {"table": "book"}})
